@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators import gold, quality, silver
+from strata.functions.rounding import round_half_up
+from strata.operators import decisions, gold, locations, measures, quality, silver
 from strata.operators.layers import add_temporal_features
 from strata.sources import fixtures
 
@@ -108,6 +109,73 @@ def kpi_rollup(spark: SparkSession, sf: str) -> DataFrame:
     return gold.kpi_rollup(_mart(spark, sf)).select(*KPI_COLS)
 
 
+MEASURE_COLS = ["avg_congestion_ratio", "avg_current_speed", "avg_free_flow_speed", "congestion_index_pct",
+                "peak_hour_congestion", "average_aqi", "average_pm2_5", "weather_risk_level"]
+# Measures are means of means in double arithmetic; six decimals make them engine independent.
+MEASURE_DIGITS = 6
+
+
+def measures_by_location(spark: SparkSession, sf: str) -> DataFrame:
+    """M1-M8 (F6 inside M5) per location over the KPI table."""
+    kpi = gold.kpi_rollup(_mart(spark, sf), order_by=None)
+    return measures.measures(kpi, by=["city_name"], digits=MEASURE_DIGITS).select("city_name", *MEASURE_COLS)
+
+
+def measures_total(spark: SparkSession, sf: str) -> DataFrame:
+    """M1-M8 grand total."""
+    kpi = gold.kpi_rollup(_mart(spark, sf), order_by=None)
+    return measures.measures(kpi, by=[], digits=MEASURE_DIGITS).select(*MEASURE_COLS)
+
+
+def region_locations(spark: SparkSession, sf: str) -> DataFrame:
+    """Location dimension of the fixture: one row per region, names in lower case."""
+    r = fixtures.table(spark, sf, "region")
+    return r.select(
+        F.lower("r_name").alias("name"),
+        F.lit("region").alias("area_type"),
+        (F.lit(19.0) + F.col("r_regionkey") * F.lit(0.25)).alias("lat"),
+        (F.lit(72.75) + F.col("r_regionkey") * F.lit(0.125)).alias("lon"),
+        (F.lit(12) + F.col("r_regionkey") % 3).cast("int").alias("zoom"),
+    )
+
+
+def location_enrich(spark: SparkSession, sf: str) -> DataFrame:
+    """S9 + J4: silver traffic with area, coordinates and zoom (case-insensitive match)."""
+    out = locations.enrich_locations(_silver_traffic(spark, sf), region_locations(spark, sf))
+    return out.select("event_id", "city_name", "location_name", "area_type", "lat", "lon", "zoom")
+
+
+def location_unknown(spark: SparkSession, sf: str) -> DataFrame:
+    """location names of both raw feeds without a dimension entry."""
+    names = (fixtures.traffic_raw(spark, sf).select("city_name")
+             .unionByName(fixtures.weather_raw(spark, sf).select("city_name")))
+    return locations.unknown_locations(names, region_locations(spark, sf)).select(
+        F.col("name_seen").alias("city_name"), "events")
+
+
+def scored_mart(spark: SparkSession, sf: str) -> DataFrame:
+    """Mart rows with the location-hour averages standing in for model predictions."""
+    mart = _mart(spark, sf)
+    pred = mart.groupBy("city_name", "hour").agg(
+        round_half_up(F.avg("current_speed"), 1).alias("predicted_speed"),
+        round_half_up(F.avg("aqi"), 1).alias("predicted_aqi"),
+    )
+    return mart.join(pred, ["city_name", "hour"], "inner")
+
+
+def decision_alerts(spark: SparkSession, sf: str) -> DataFrame:
+    """R1-R8 over every mart row."""
+    out = decisions.recommend(scored_mart(spark, sf))
+    return out.select(
+        "event_id", "city_name", "hour", "predicted_speed", "predicted_aqi", "speed_drop_percent",
+        "primary_alert",
+        F.array_join("alerts", " | ").alias("alerts_text"),
+        F.array_join("recommendations", " | ").alias("recommendations_text"),
+        "recommended_travel_window",
+        F.size("alerts").alias("n_alerts"),
+    )
+
+
 QUERIES = {
     "parse_temporal": parse_temporal,
     "dedup_events": dedup_events,
@@ -121,4 +189,9 @@ QUERIES = {
     "fallback_join": fallback_join,
     "feature_mart": feature_mart,
     "kpi_rollup": kpi_rollup,
+    "measures_by_location": measures_by_location,
+    "measures_total": measures_total,
+    "location_enrich": location_enrich,
+    "location_unknown": location_unknown,
+    "decision_alerts": decision_alerts,
 }

@@ -304,5 +304,90 @@ def base_oracle() -> dict[str, str]:
     return q
 
 
+def _measures_select(by: str) -> str:
+    m1 = "avg(avg_congestion_ratio)"
+    num = [
+        (rhu(m1, 6), "avg_congestion_ratio"),
+        (rhu("avg(avg_current_speed)", 6), "avg_current_speed"),
+        (rhu("avg(avg_free_flow_speed)", 6), "avg_free_flow_speed"),
+        (rhu(f"({dbl(1.0)} - {m1}) * {dbl(100.0)}", 6), "congestion_index_pct"),
+        (rhu("avg(CASE WHEN hour IN (8, 9, 17, 18, 19) THEN avg_congestion_ratio END)", 6), "peak_hour_congestion"),
+        (rhu("avg(avg_aqi)", 6), "average_aqi"),
+        (rhu("avg(avg_pm2_5)", 6), "average_pm2_5"),
+    ]
+    risk = ("CASE WHEN count(*) = 0 THEN NULL WHEN avg(avg_temperature) > 35 THEN 'Extreme Heat' "
+            "WHEN avg(avg_aqi) >= 4 THEN 'Hazardous Air Quality' "
+            f"WHEN {m1} < 0.65 THEN 'Heavy Congestion Delay' ELSE 'Optimal Traffic Flow' END")
+    sel = ", ".join(f"{e} AS {n}" for e, n in num) + f", {risk} AS weather_risk_level"
+    if by:
+        return f"SELECT {by}, {sel} FROM kpi GROUP BY {by}"
+    return f"SELECT {sel} FROM kpi"
+
+
+LOC_DIM_CTE = f"""loc_dim AS (
+  SELECT lower(r_name) AS name, 'region' AS area_type,
+         {dbl(19.0)} + r_regionkey * {dbl(0.25)} AS lat, {dbl(72.75)} + r_regionkey * {dbl(0.125)} AS lon,
+         CAST(12 + r_regionkey % 3 AS INTEGER) AS zoom
+  FROM region)"""
+
+
+def _decision_sql() -> str:
+    loc = "city_name"
+    a1 = ("'⚠️ Heavy congestion expected in ' || city_name || ' during the next hour. (Predicted Speed: ' "
+          "|| CAST(predicted_speed AS VARCHAR) || ' km/h)'")
+    a2 = "'🚨 Peak traffic rush hour active in ' || city_name || '.'"
+    a3 = "'😷 Poor AQI predicted in ' || city_name || ' (AQI Level: ' || CAST(predicted_aqi AS VARCHAR) || ').'"
+    a4 = ("'🌧️ Adverse weather (' || weather_condition || ') likely to increase travel times in ' "
+          "|| city_name || ' by 25-40%.'")
+    r1 = "'Consider alternative routes via Western/Eastern Express Highway to bypass ' || city_name || '.'"
+    r2 = "'Traffic flow in ' || city_name || ' is currently near optimal speed.'"
+    r3 = "'Air quality alert: Sensitive groups should limit outdoor activity in this zone.'"
+    normal = f"'✅ Traffic and environmental metrics normal in ' || {loc} || '.'"
+    ctes = mart_ctes() + [
+        f"""pred AS (
+  SELECT city_name, hour, {rhu('avg(current_speed)', 1)} AS predicted_speed, {rhu('avg(aqi)', 1)} AS predicted_aqi
+  FROM mart GROUP BY city_name, hour)""",
+        f"""s AS (
+  SELECT m.*, p.predicted_speed, p.predicted_aqi,
+         {rhe(f"(m.current_speed - p.predicted_speed) / greatest(m.current_speed, {dbl(1.0)}) * {dbl(100.0)}", 1)} AS speed_drop_percent
+  FROM mart m JOIN pred p ON m.city_name = p.city_name AND m.hour = p.hour)""",
+        """f AS (
+  SELECT *, coalesce(predicted_speed < 15 OR speed_drop_percent > 20, false) AS heavy,
+         coalesce(hour BETWEEN 8 AND 10 OR hour BETWEEN 17 AND 20, false) AS peak,
+         coalesce(predicted_aqi >= 3.5 OR aqi >= 4, false) AS poor,
+         coalesce(lower(weather_condition) IN ('rain', 'thunderstorm', 'drizzle', 'mist'), false) AS adverse
+  FROM s)""",
+        f"""a AS (
+  SELECT *, CASE WHEN heavy THEN {a1} END AS a1, CASE WHEN peak THEN {a2} END AS a2,
+         CASE WHEN poor THEN {a3} END AS a3, CASE WHEN adverse THEN {a4} END AS a4,
+         CASE WHEN heavy THEN {r1} END AS r1, CASE WHEN NOT peak THEN {r2} END AS r2,
+         CASE WHEN poor THEN {r3} END AS r3
+  FROM f)""",
+    ]
+    return with_query(ctes, f"""SELECT event_id, city_name, hour, predicted_speed, predicted_aqi, speed_drop_percent,
+       coalesce(a1, a2, a3, a4, {normal}) AS primary_alert,
+       concat_ws(' | ', a1, a2, a3, a4) AS alerts_text,
+       concat_ws(' | ', r1, r2, r3) AS recommendations_text,
+       CASE WHEN peak THEN 'Recommended travel window: Post 8:30 PM or between 1:00 PM - 4:00 PM'
+            ELSE 'Optimal travel window: 11:00 AM - 1:30 PM & 9:00 PM - 11:00 PM' END AS recommended_travel_window,
+       CAST(heavy AS INTEGER) + CAST(peak AS INTEGER) + CAST(poor AS INTEGER) + CAST(adverse AS INTEGER) AS n_alerts
+FROM a""")
+
+
+def gold_oracle() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["measures_by_location"] = with_query(kpi_ctes(), _measures_select("city_name"))
+    q["measures_total"] = with_query(kpi_ctes(), _measures_select(""))
+    q["location_enrich"] = with_query(silver_traffic_ctes() + [LOC_DIM_CTE], """SELECT t.event_id, t.city_name,
+       d.name AS location_name, d.area_type, d.lat, d.lon, d.zoom
+FROM silver_traffic t JOIN loc_dim d ON lower(trim(t.city_name)) = lower(trim(d.name))""")
+    q["location_unknown"] = with_query(traffic_raw_ctes() + weather_raw_ctes() + [LOC_DIM_CTE], """SELECT city_name, count(*) AS events
+FROM (SELECT city_name FROM traffic_raw UNION ALL SELECT city_name FROM weather_raw) n
+WHERE NOT EXISTS (SELECT 1 FROM loc_dim d WHERE lower(trim(d.name)) = lower(trim(n.city_name)))
+GROUP BY city_name""")
+    q["decision_alerts"] = _decision_sql()
+    return q
+
+
 def all_oracle() -> dict[str, str]:
-    return base_oracle()
+    return {**base_oracle(), **gold_oracle()}
