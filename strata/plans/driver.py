@@ -195,3 +195,98 @@ QUERIES = {
     "location_unknown": location_unknown,
     "decision_alerts": decision_alerts,
 }
+
+
+# --- raw payloads, bronze, publishing, sinks ----------------------------------------------------
+from strata.session import scratch_path  # noqa: E402
+from strata.sinks import writers  # noqa: E402
+from strata.sources import landing, payloads  # noqa: E402
+from strata.operators.layers import add_layer_metadata  # noqa: E402
+from strata import schemas  # noqa: E402
+
+FLAT_TRAFFIC_COLS = ["poll_id", "timestamp", "city_name", "latitude", "longitude", "current_speed",
+                     "free_flow_speed", "current_travel_time", "free_flow_travel_time", "congestion_ratio",
+                     "congestion_level", "confidence", "road_closure", "data_source", "payload_error"]
+FLAT_WEATHER_COLS = ["poll_id", "timestamp", "city_name", "latitude", "longitude", "temperature",
+                     "feels_like", "humidity", "pressure", "wind_speed", "weather_condition", "aqi", "co",
+                     "no2", "o3", "so2", "pm2_5", "pm10", "data_source", "payload_error"]
+
+
+def _flat_traffic(spark: SparkSession, sf: str) -> DataFrame:
+    return payloads.flatten_traffic(fixtures.raw_traffic_landing(spark, sf))
+
+
+def _flat_weather(spark: SparkSession, sf: str) -> DataFrame:
+    w = payloads.flatten_weather(fixtures.raw_weather_landing(spark, sf))
+    a = payloads.flatten_air(fixtures.raw_air_landing(spark, sf))
+    return payloads.merge_weather_air(w, a)
+
+
+def flatten_raw_traffic(spark: SparkSession, sf: str) -> DataFrame:
+    """S11 + P11 + P12 over raw traffic response bodies."""
+    return _flat_traffic(spark, sf).select(*FLAT_TRAFFIC_COLS)
+
+
+def flatten_raw_weather_aqi(spark: SparkSession, sf: str) -> DataFrame:
+    """S12 + S13 + J3 over raw weather and air-quality bodies."""
+    return _flat_weather(spark, sf).select(*FLAT_WEATHER_COLS)
+
+
+def bronze_metadata(spark: SparkSession, sf: str) -> DataFrame:
+    """P1 (bronze): layer name and ingestion stamp on the flattened traffic events."""
+    df = add_layer_metadata(_flat_traffic(spark, sf), "Bronze", "ingestion_timestamp")
+    return df.select(*FLAT_TRAFFIC_COLS, "data_layer")
+
+
+def publish_events(spark: SparkSession, sf: str) -> DataFrame:
+    """K6 + K7: topic fan-out of both feeds, the JSON value parsed back to columns."""
+    frame = writers.publish_frame(_flat_traffic(spark, sf), _flat_weather(spark, sf))
+    parsed = F.from_json("value", "poll_id long, timestamp string, city_name string")
+    return frame.select("topic", "key", parsed["poll_id"].alias("poll_id"),
+                        parsed["timestamp"].alias("timestamp"))
+
+
+def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """K5: the KPI table exported as CSV and read back with its declared schema."""
+    path = scratch_path(spark, "bi-export")
+    writers.export_csv(kpi_rollup(spark, sf).select(*schemas.ANALYTICS_SCHEMA.names), path)
+    return writers.read_csv(spark, path, schemas.ANALYTICS_SCHEMA).select(*KPI_COLS)
+
+
+def landing_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """K8 + S1: traffic events written to the landing fallback, read back with the schema."""
+    path = scratch_path(spark, "landing")
+    writers.write_landing(writers.publish_frame(_flat_traffic(spark, sf), None), path)
+    schema = schemas.with_fields(schemas.TRAFFIC_SCHEMA, [("poll_id", schemas.L), ("payload_error", schemas.S)])
+    df = landing.read_landing(spark, f"{path}/topic={writers.DEFAULT_TOPICS['traffic']}", schema,
+                              multi_line=False, glob=None)
+    return df.select(*FLAT_TRAFFIC_COLS)
+
+
+def layer_publish(spark: SparkSession, sf: str) -> DataFrame:
+    """K1 + K9: write the silver traffic layer, publish it to a second location, summarise."""
+    src, dst = scratch_path(spark, "silver-traffic"), scratch_path(spark, "published")
+    writers.write_layer(_silver_traffic(spark, sf), src)
+    return writers.publish_layer(spark, src, dst, layer="silver/traffic")
+
+
+def object_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    """The file manifest of a freshly written layer, summed per partition folder."""
+    path = scratch_path(spark, "manifest")
+    writers.write_layer(_silver_weather(spark, sf), path)
+    m = writers.object_manifest(spark, path)
+    part = F.regexp_extract("path", r"city_name=([^/]+)/", 1)
+    return m.groupBy(part.alias("partition")).agg(F.count(F.lit(1)).alias("files"),
+                                                 F.sum("length").alias("bytes"))
+
+
+QUERIES.update({
+    "flatten_raw_traffic": flatten_raw_traffic,
+    "flatten_raw_weather_aqi": flatten_raw_weather_aqi,
+    "bronze_metadata": bronze_metadata,
+    "publish_events": publish_events,
+    "csv_roundtrip": csv_roundtrip,
+    "landing_roundtrip": landing_roundtrip,
+    "layer_publish": layer_publish,
+    "object_manifest": object_manifest,
+})

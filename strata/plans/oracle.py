@@ -389,5 +389,86 @@ GROUP BY city_name""")
     return q
 
 
+FLAT_TRAFFIC_COLS = ["poll_id", "timestamp", "city_name", "latitude", "longitude", "current_speed",
+                     "free_flow_speed", "current_travel_time", "free_flow_travel_time", "congestion_ratio",
+                     "congestion_level", "confidence", "road_closure", "data_source", "payload_error"]
+FLAT_WEATHER_COLS = ["poll_id", "timestamp", "city_name", "latitude", "longitude", "temperature",
+                     "feels_like", "humidity", "pressure", "wind_speed", "weather_condition", "aqi", "co",
+                     "no2", "o3", "so2", "pm2_5", "pm10", "data_source", "payload_error"]
+BROKEN = "event_id % 101 = 0"
+ABSENT = "event_id % 13 = 0"
+
+
+def _b(expr: str, absent_default: str | None = None) -> str:
+    """Null for bodies that are not JSON; the preset default where the field was left out."""
+    if absent_default is None:
+        return f"CASE WHEN {BROKEN} THEN NULL ELSE {expr} END"
+    return f"CASE WHEN {BROKEN} THEN NULL WHEN {ABSENT} THEN {absent_default} ELSE {expr} END"
+
+
+def flat_traffic_ctes() -> list[str]:
+    return [
+        ev_cte(("view", "click", "purchase"), "ft_ev"),
+        f"""ft0 AS (
+  SELECT event_id AS poll_id, {ISO} AS "timestamp", city_name, latitude, longitude,
+         {_b('value', dbl(0.0))} AS current_speed,
+         {_b('CAST(k AS DOUBLE)')} AS free_flow_speed,
+         {_b(travel_time('value'))} AS current_travel_time,
+         {_b(travel_time('CAST(k AS DOUBLE)'))} AS free_flow_travel_time,
+         {_b(f"{dbl(1.0)} - CAST(event_id % 4 AS DOUBLE) * {dbl(0.25)}", dbl(1.0))} AS confidence,
+         {_b('(event_id % 50 = 0)')} AS road_closure,
+         'TomTom_API' AS data_source,
+         CASE WHEN {BROKEN} THEN 'unparsable body' END AS payload_error
+  FROM ft_ev)""",
+        f"""flat_traffic AS (
+  SELECT *, {rhe(f"current_speed / greatest(free_flow_speed, {dbl(1.0)})", 3)} AS congestion_ratio
+  FROM ft0)""",
+    ]
+
+
+def flat_traffic_select() -> str:
+    c = [x if x != "congestion_level" else
+         f"CASE WHEN payload_error IS NULL THEN {level('congestion_ratio')} END AS congestion_level"
+         for x in FLAT_TRAFFIC_COLS]
+    return "SELECT " + ", ".join(x if " AS " in x else f'"{x}"' for x in c) + " FROM flat_traffic"
+
+
+def flat_weather_ctes() -> list[str]:
+    temp = f"CAST(k AS DOUBLE) * {dbl(1.3)} - {dbl(55.0)}"
+    pm = f"value - {dbl(5.0)}"
+    cond = f"coalesce({condition_case()}, 'Clear')"
+    return [
+        ev_cte(("signup", "error"), "fw_ev"),
+        f"""flat_weather AS (
+  SELECT event_id AS poll_id, {ISO} AS "timestamp", city_name, latitude, longitude,
+         {_b(temp)} AS temperature, {_b(f"({temp}) - {dbl(1.0)}")} AS feels_like,
+         {_b('CAST(event_id % 111 AS INTEGER)', '50')} AS humidity,
+         {_b('CAST(1005 + event_id % 16 AS INTEGER)')} AS pressure,
+         {_b('CAST(user_id % 15 AS DOUBLE)', dbl(3.5))} AS wind_speed,
+         {_b(cond, "'Clear'")} AS weather_condition,
+         {_b('CAST(event_id % 7 AS INTEGER)', '2')} AS aqi,
+         {_b('CAST(200 + k AS DOUBLE)')} AS co, {_b('CAST(10 + k % 50 AS DOUBLE)')} AS no2,
+         {_b('CAST(20 + k % 70 AS DOUBLE)')} AS o3, {_b('CAST(2 + k % 13 AS DOUBLE)')} AS so2,
+         {_b(pm, dbl(15.0))} AS pm2_5, {_b(f"({pm}) * {dbl(1.5)}")} AS pm10,
+         'OpenWeather_API' AS data_source,
+         CASE WHEN {BROKEN} THEN 'unparsable body' END AS payload_error
+  FROM fw_ev)""",
+    ]
+
+
+def sink_oracle() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["flatten_raw_traffic"] = with_query(flat_traffic_ctes(), flat_traffic_select())
+    q["flatten_raw_weather_aqi"] = with_query(flat_weather_ctes(), f"SELECT {cols(FLAT_WEATHER_COLS)} FROM flat_weather")
+    q["bronze_metadata"] = with_query(
+        flat_traffic_ctes() + [f"ft AS ({flat_traffic_select()})"], "SELECT *, 'Bronze' AS data_layer FROM ft")
+    q["publish_events"] = with_query(flat_traffic_ctes() + flat_weather_ctes(), """SELECT 'traffic-raw-events' AS topic, city_name AS "key", poll_id, "timestamp" FROM flat_traffic
+UNION ALL SELECT 'weather-raw-events', city_name, poll_id, "timestamp" FROM flat_weather
+UNION ALL SELECT 'aqi-raw-events', city_name, poll_id, "timestamp" FROM flat_weather""")
+    q["csv_roundtrip"] = with_query(kpi_ctes(), f"SELECT {cols(KPI_COLS)} FROM kpi")
+    q["landing_roundtrip"] = q["flatten_raw_traffic"]
+    return q
+
+
 def all_oracle() -> dict[str, str]:
-    return {**base_oracle(), **gold_oracle()}
+    return {**base_oracle(), **gold_oracle(), **sink_oracle()}

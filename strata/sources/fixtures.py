@@ -111,3 +111,68 @@ def weather_raw(spark: SparkSession, sf_dir: str, year_shift: int = 0) -> DataFr
         F.lit("events").alias("data_source"),
         F.col("ts").alias("ingestion_timestamp"),
     )
+
+
+NOT_JSON = "<html>upstream error</html>"
+
+
+def _landing(ev: DataFrame, body: Column) -> DataFrame:
+    return ev.select("city_name", "latitude", "longitude", F.col("event_id").alias("poll_id"),
+                     body.alias("body"), F.col("ts").alias("fetched_at"))
+
+
+def _absent(value: Column) -> Column:
+    """Null (hence left out by ``to_json``) for every 13th event."""
+    return F.when(F.col("event_id") % 13 != 0, value)
+
+
+def _broken(body: Column) -> Column:
+    """Every 101st response is not JSON at all."""
+    return F.when(F.col("event_id") % 101 == 0, F.lit(NOT_JSON)).otherwise(body)
+
+
+def raw_traffic_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw traffic responses, one per traffic event (S11 input)."""
+    ev = located_events(spark, sf_dir, TRAFFIC_TYPES)
+    flow = F.struct(
+        _absent(F.col("value")).alias("currentSpeed"),
+        F.col("k").cast("double").alias("freeFlowSpeed"),
+        _travel_time(F.col("value")).alias("currentTravelTime"),
+        _travel_time(F.col("k").cast("double")).alias("freeFlowTravelTime"),
+        _absent(F.lit(1.0) - (F.col("event_id") % 4).cast("double") * F.lit(0.25)).alias("confidence"),
+        (F.col("event_id") % 50 == 0).alias("roadClosure"),
+    )
+    return _landing(ev, _broken(F.to_json(F.struct(flow.alias("flowSegmentData")))))
+
+
+def raw_weather_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw current-weather responses, one per weather event (S12 input)."""
+    ev = located_events(spark, sf_dir, WEATHER_TYPES)
+    temperature = F.col("k").cast("double") * F.lit(1.3) - F.lit(55.0)
+    condition = F.element_at(F.array(*[F.lit(c).cast("string") for c in CONDITIONS]),
+                             (F.col("event_id") % 9 + 1).cast("int"))
+    main = F.struct(temperature.alias("temp"), (temperature - F.lit(1.0)).alias("feels_like"),
+                    _absent((F.col("event_id") % 111).cast("int")).alias("humidity"),
+                    (F.lit(1005) + F.col("event_id") % 16).cast("int").alias("pressure"))
+    wind = F.struct(_absent((F.col("user_id") % 15).cast("double")).alias("speed"))
+    weather = F.when(F.col("event_id") % 13 != 0, F.array(F.struct(condition.alias("main"))))
+    body = F.to_json(F.struct(main.alias("main"), wind.alias("wind"), weather.alias("weather")))
+    return _landing(ev, _broken(body))
+
+
+def raw_air_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw air-pollution responses, one per weather event (S13 input)."""
+    ev = located_events(spark, sf_dir, WEATHER_TYPES)
+    pm25 = F.col("value") - F.lit(5.0)
+    comp = F.struct(
+        (F.lit(200.0) + F.col("k")).cast("double").alias("co"),
+        (F.lit(10.0) + F.col("k") % 50).cast("double").alias("no2"),
+        (F.lit(20.0) + F.col("k") % 70).cast("double").alias("o3"),
+        (F.lit(2.0) + F.col("k") % 13).cast("double").alias("so2"),
+        _absent(pm25).alias("pm2_5"),
+        (pm25 * F.lit(1.5)).alias("pm10"),
+    )
+    entry = F.struct(F.struct(_absent((F.col("event_id") % 7).cast("int")).alias("aqi")).alias("main"),
+                     comp.alias("components"))
+    body = F.to_json(F.struct(F.array(entry).alias("list")))
+    return _landing(ev, _broken(body))
