@@ -290,3 +290,48 @@ QUERIES.update({
     "layer_publish": layer_publish,
     "object_manifest": object_manifest,
 })
+
+
+# --- streaming ------------------------------------------------------------------------------------
+from strata.streaming import streams  # noqa: E402
+
+LANDING_TRAFFIC_SCHEMA = schemas.with_fields(
+    schemas.TRAFFIC_SCHEMA, [("event_id", schemas.L), ("ingestion_timestamp", schemas.T.TimestampNTZType())])
+
+
+def _stream_silver_to(spark: SparkSession, sf: str, out: str) -> None:
+    """Land the traffic feed in two generations (originals, then the late copies), and drain
+    each with an ``availableNow`` run of the silver stream into ``out``."""
+    base = scratch_path(spark, "stream")
+    land, ckpt = f"{base}/landing", f"{base}/checkpoint"
+    originals = fixtures.traffic_raw(spark, sf, generation=0)
+    late = fixtures.traffic_raw(spark, sf, generation=1)
+    for generation in (originals, late):
+        landing.write_landing_json(generation.select(*LANDING_TRAFFIC_SCHEMA.names), land)
+        stream = streams.landing_stream(spark, land, LANDING_TRAFFIC_SCHEMA)
+        streams.run_to_table(streams.silver_stream(stream, quality.traffic_rules()), out, ckpt)
+
+
+def stream_silver(spark: SparkSession, sf: str) -> DataFrame:
+    """ST2-ST5: landing stream, watermark dedup, rules, calendar features, parquet sink."""
+    out = scratch_path(spark, "silver-stream")
+    _stream_silver_to(spark, sf, out)
+    return spark.read.parquet(out).select(*SILVER_TRAFFIC_COLS)
+
+
+def stream_gold_refresh(spark: SparkSession, sf: str) -> DataFrame:
+    """ST6: the streamed silver table drives ``foreachBatch`` gold refreshes; the final KPI
+    table equals the batch rollup."""
+    base = scratch_path(spark, "gold-refresh")
+    silver_t, silver_w = f"{base}/silver/traffic", f"{base}/silver/weather"
+    _stream_silver_to(spark, sf, silver_t)
+    writers.write_layer(_silver_weather(spark, sf), silver_w)
+    streams.run_gold_refresh(spark, silver_t, silver_w, f"{base}/gold/feature_mart",
+                             f"{base}/gold/analytics", f"{base}/checkpoint")
+    return writers.read_layer(spark, f"{base}/gold/analytics", schemas.ANALYTICS_SCHEMA).select(*KPI_COLS)
+
+
+QUERIES.update({
+    "stream_silver": stream_silver,
+    "stream_gold_refresh": stream_gold_refresh,
+})

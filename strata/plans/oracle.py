@@ -471,4 +471,11 @@ UNION ALL SELECT 'aqi-raw-events', city_name, poll_id, "timestamp" FROM flat_wea
 
 
 def all_oracle() -> dict[str, str]:
-    return {**base_oracle(), **gold_oracle(), **sink_oracle()}
+    return {**base_oracle(), **gold_oracle(), **sink_oracle(), **stream_oracle()}
+
+
+def stream_oracle() -> dict[str, str]:
+    return {
+        "stream_silver": base_oracle()["silver_traffic"],
+        "stream_gold_refresh": with_query(kpi_ctes(), f"SELECT {cols(KPI_COLS)} FROM kpi"),
+    }

@@ -51,9 +51,11 @@ def _travel_time(speed: Column) -> Column:
     return round_half_up(F.lit(6000.0) / F.greatest(speed, F.lit(1.0)), 0).cast("int")
 
 
-def traffic_raw(spark: SparkSession, sf_dir: str, with_duplicates: bool = True) -> DataFrame:
+def traffic_raw(spark: SparkSession, sf_dir: str, with_duplicates: bool = True,
+                generation: int | None = None) -> DataFrame:
     """Bronze-shaped traffic feed; rows with ``event_id % 10 = 0`` arrive twice when
-    ``with_duplicates`` (the copy has speed + 1 and an ingestion time one minute later)."""
+    ``with_duplicates`` (the copy has speed + 1 and an ingestion time one minute later).
+    ``generation`` 0 / 1 keeps only the originals / only the late copies."""
     ev = located_events(spark, sf_dir, TRAFFIC_TYPES)
     speed = (F.when(F.col("event_id") % 97 == 0, F.lit(None).cast("double"))
               .when(F.col("event_id") % 89 == 0, -F.col("value"))
@@ -65,6 +67,8 @@ def traffic_raw(spark: SparkSession, sf_dir: str, with_duplicates: bool = True)
         speed.alias("speed0"), F.col("k").cast("double").alias("free_flow_speed"),
         F.explode(copies).alias("copy"),
     )
+    if generation is not None:
+        base = base.filter(F.col("copy") == generation)
     current = F.col("speed0") + F.col("copy").cast("double")
     return (base
             .withColumn("current_speed", current)

@@ -7,6 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
+# Microsecond timestamps in landing JSON (the writer's default keeps milliseconds only).
+JSON_TIME_OPTIONS = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
 def _missing(e: AnalysisException) -> bool:
     cond = getattr(e, "getCondition", None)
     name = cond() if callable(cond) else getattr(e, "getErrorClass", lambda: None)()
@@ -24,7 +31,7 @@ def read_landing(spark: SparkSession, path: str, schema: T.StructType, multi_lin
     ``multi_line=True`` reads one (possibly indented) object per file, the producer's file
     form; ``False`` reads JSON lines. A missing folder gives a typed empty frame.
     """
-    reader = spark.read.schema(schema).option("multiLine", multi_line)
+    reader = spark.read.schema(schema).option("multiLine", multi_line).options(**JSON_TIME_OPTIONS)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     try:
@@ -55,3 +62,8 @@ def read_gold_for_training(spark: SparkSession, analytics_path: str, mart_path:
         if df is not None:
             return df
     raise FileNotFoundError(f"no gold table at {analytics_path} or {mart_path}")
+
+
+def write_landing_json(df: DataFrame, path: str, mode: str = "append") -> None:
+    """Events as JSON lines in a landing folder (microsecond timestamps)."""
+    df.write.mode(mode).options(**JSON_TIME_OPTIONS).json(path)
