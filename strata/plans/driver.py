@@ -335,3 +335,64 @@ QUERIES.update({
     "stream_silver": stream_silver,
     "stream_gold_refresh": stream_gold_refresh,
 })
+
+
+# --- models ---------------------------------------------------------------------------------------
+from strata.ml import models  # noqa: E402
+
+_TRAINED: dict = {}
+
+
+def _trained(spark: SparkSession, sf: str, which: str):
+    """Fit once per application and scale (the fits are reused by the scoring queries)."""
+    key = (spark.sparkContext.applicationId, sf, which)
+    if key not in _TRAINED:
+        kpi = gold.kpi_rollup(_mart(spark, sf), order_by=None)
+        _TRAINED[key] = models.train_speed(kpi) if which == "speed" else models.train_aqi(kpi)
+    return _TRAINED[key]
+
+
+def train_speed(spark: SparkSession, sf: str) -> DataFrame:
+    """X1-X4a + X6: random-forest speed model on the KPI table; its metrics."""
+    return models.metrics_frame(spark, {"speed_random_forest": _trained(spark, sf, "speed")})
+
+
+def train_aqi(spark: SparkSession, sf: str) -> DataFrame:
+    """X1-X3 + X4b + X6: boosted-tree AQI model on the KPI table; its metrics."""
+    return models.metrics_frame(spark, {"aqi_boosted_trees": _trained(spark, sf, "aqi")})
+
+
+def score_batch(spark: SparkSession, sf: str) -> DataFrame:
+    """X5 + P16 + P17: both models over every mart row."""
+    scored = models.score(_mart(spark, sf), _trained(spark, sf, "speed").model, _trained(spark, sf, "aqi").model)
+    return scored.select("event_id", "city_name", "hour", "current_speed", "predicted_speed",
+                         "predicted_aqi", "derived_congestion_index")
+
+
+def scored_decisions(spark: SparkSession, sf: str) -> DataFrame:
+    """R1-R8 over model predictions (the reference's intended use of the rule engine)."""
+    scored = models.score(_mart(spark, sf), _trained(spark, sf, "speed").model, _trained(spark, sf, "aqi").model)
+    out = decisions.recommend(scored)
+    return out.select("event_id", "city_name", "hour", "predicted_speed", "predicted_aqi", "primary_alert",
+                      F.array_join("alerts", " | ").alias("alerts_text"), "recommended_travel_window")
+
+
+def model_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Save the speed pipeline, load it back and score the KPI table with the copy."""
+    path = scratch_path(spark, "model-speed")
+    t = _trained(spark, sf, "speed")
+    models.save(t.model, path)
+    kpi = models.add_missing_defaults(gold.kpi_rollup(_mart(spark, sf), order_by=None))
+    kpi = kpi.fillna(models.SPEED_FILL, subset=list(models.SPEED_FEATURES))
+    out = models.load(path).transform(kpi)
+    return out.select("city_name", "hour", "is_weekend", "congestion_level",
+                      F.col("speed_prediction").alias("predicted_speed"))
+
+
+QUERIES.update({
+    "train_speed": train_speed,
+    "train_aqi": train_aqi,
+    "score_batch": score_batch,
+    "scored_decisions": scored_decisions,
+    "model_roundtrip": model_roundtrip,
+})
