@@ -396,3 +396,20 @@ QUERIES.update({
     "scored_decisions": scored_decisions,
     "model_roundtrip": model_roundtrip,
 })
+
+
+# --- whole jobs ------------------------------------------------------------------------------------
+from strata.plans import medallion  # noqa: E402
+
+
+def medallion_files(spark: SparkSession, sf: str) -> DataFrame:
+    """W1-W4 file to file: both feeds landed as JSON, then bronze, silver and gold jobs; the
+    gold analytics table read back equals the KPI rollup."""
+    layout = medallion.Layout(scratch_path(spark, "medallion"))
+    landing.write_landing_json(fixtures.traffic_raw(spark, sf), layout.landing(layout.traffic_topic))
+    landing.write_landing_json(fixtures.weather_raw(spark, sf), layout.landing(layout.weather_topic))
+    medallion.medallion_run(spark, layout, multi_line=False, stamp_ingestion=False, train=False, export=False)
+    return writers.read_layer(spark, layout.analytics, schemas.ANALYTICS_SCHEMA).select(*KPI_COLS)
+
+
+QUERIES["medallion_files"] = medallion_files

@@ -471,7 +471,7 @@ UNION ALL SELECT 'aqi-raw-events', city_name, poll_id, "timestamp" FROM flat_wea
 
 
 def all_oracle() -> dict[str, str]:
-    return {**base_oracle(), **gold_oracle(), **sink_oracle(), **stream_oracle()}
+    return {**base_oracle(), **gold_oracle(), **sink_oracle(), **stream_oracle(), **job_oracle()}
 
 
 def stream_oracle() -> dict[str, str]:
@@ -479,3 +479,7 @@ def stream_oracle() -> dict[str, str]:
         "stream_silver": base_oracle()["silver_traffic"],
         "stream_gold_refresh": with_query(kpi_ctes(), f"SELECT {cols(KPI_COLS)} FROM kpi"),
     }
+
+
+def job_oracle() -> dict[str, str]:
+    return {"medallion_files": with_query(kpi_ctes(), f"SELECT {cols(KPI_COLS)} FROM kpi")}
