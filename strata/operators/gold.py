@@ -42,7 +42,7 @@ KPI_AVERAGES = (
 
 def hourly_weather(weather: DataFrame, measures: Sequence[str] = WEATHER_MEASURES,
                    keys=HOUR_KEYS, order: Sequence = LATEST_EVENT,
-                   dedup_method: str = "aggregate") -> DataFrame:
+                   dedup_method: str = "window") -> DataFrame:
     """P5 + D2: weather keys renamed ``w_*``, one row per location and clock hour."""
     order_cols = [o.column if isinstance(o, Order) else o[0] for o in order]
     order_cols = [c for c in order_cols if c in weather.columns]
@@ -76,7 +76,7 @@ def latest_weather_by_location(hourly: DataFrame, keys=HOUR_KEYS) -> DataFrame:
     """D3: the latest hourly weather row per location (one row per location)."""
     loc = keys[0][0]
     order = [Order(alias, False) for alias, _ in keys[1:]]
-    return dedup(hourly, [loc], order, method="aggregate")
+    return dedup(hourly, [loc], order)
 
 
 def location_fallback_join(traffic: DataFrame, hourly: DataFrame, keys=HOUR_KEYS) -> DataFrame:
@@ -108,13 +108,20 @@ def join_weather(traffic: DataFrame, hourly: DataFrame, fallback: str = "global"
     """J1 with the J2 fallback.
 
     ``fallback="global"`` (the reference): when the hourly join is empty everywhere, use the
-    location-level left join. Deciding it takes one short job (``isEmpty`` stops at the first
-    row). ``"per_row"``: the T7 single-plan option. ``"none"``: the hourly join only.
+    location-level left join, decided inside the plan by an EXISTS subquery.
+    ``"global_branch"``: the same decided on the driver with ``isEmpty`` (an extra job).
+    ``"per_row"``: the T7 single-plan option. ``"none"``: the hourly join only.
     """
     if fallback == "per_row":
         return per_row_fallback_join(traffic, hourly, keys)
     joined = hourly_join(traffic, hourly, keys)
-    if fallback == "global" and joined.isEmpty():
+    if fallback == "global":
+        # One plan: the fallback rows pass only when the hourly join has no row at all. The
+        # uncorrelated EXISTS runs once, and adaptive execution shares its shuffle stages with
+        # the main join instead of computing the join twice.
+        fb = location_fallback_join(traffic, hourly, keys)
+        return joined.unionByName(fb.filter(~joined.exists()))
+    if fallback == "global_branch" and joined.isEmpty():
         return location_fallback_join(traffic, hourly, keys)
     return joined
 
@@ -135,7 +142,7 @@ def add_gold_features(joined: DataFrame, fills: dict | None = None) -> DataFrame
 
 
 def feature_mart(traffic_silver: DataFrame, weather_silver: DataFrame, fallback: str = "global",
-                 dedup_method: str = "aggregate") -> DataFrame:
+                 dedup_method: str = "window") -> DataFrame:
     """W4 (mart half): hourly weather, join with fallback, gold features."""
     hourly = hourly_weather(weather_silver, dedup_method=dedup_method)
     return add_gold_features(join_weather(traffic_silver, hourly, fallback=fallback))

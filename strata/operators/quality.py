@@ -1,9 +1,8 @@
 """Deduplication (D1-D3), quality rules (F1-F4) and row accounting.
 
 Survivors of a dedup follow a total order given by the caller, so that results are
-repeatable. Dedup is expressed as an aggregate by default: partial aggregation collapses copies
-inside each map task before the shuffle, so a key with millions of copies never lands whole in
-one task.
+repeatable. Both dedup forms reduce copies inside each map task before the shuffle, so a key
+with millions of copies never lands whole in one task.
 """
 
 from __future__ import annotations
@@ -36,15 +35,17 @@ def dedup(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence = (),
-    method: str = "aggregate",
+    method: str = "window",
     count_col: str | None = None,
 ) -> DataFrame:
     """Keep one row per ``keys``: the first row under ``order`` (nulls last).
 
-    ``method="aggregate"`` takes ``min``/``max`` of a struct led by the order columns (all
-    ascending or all descending). ``method="window"`` ranks with ``row_number``; Spark then
-    limits each group map-side as well. ``count_col`` adds the number of rows per key
-    (aggregate method only); the row accounting uses it.
+    ``method="window"`` (default) ranks with ``row_number`` and keeps rank 1; Spark plans a
+    partial ``WindowGroupLimit`` before the shuffle, so every map task forwards one row per key
+    and a key with millions of copies never reaches one reducer whole. ``method="aggregate"``
+    takes ``min``/``max`` of a struct led by the order columns (all ascending or all
+    descending), combined map-side as well; ``count_col`` (aggregate only) adds the number of
+    rows per key, which the row accounting uses.
     """
     keys = list(keys)
     order = _order_list(order)

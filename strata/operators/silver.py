@@ -21,18 +21,22 @@ def silver(
     order: Sequence = FIRST_INGESTED,
     tz: str = "UTC",
     filter_first: bool = False,
-    dedup_method: str = "aggregate",
+    dedup_method: str = "window",
     processed_col: str | None = "processed_timestamp",
 ) -> DataFrame:
     """Dedup on ``keys`` then quality rules (the reference's order, T5), or rules first with
     ``filter_first=True`` (then a bad copy cannot remove a good one, and the rules reach the scan)."""
     order = [o for o in order if (o[0] if isinstance(o, tuple) else o) in df.columns]
+    # Calendar parts are derived once per row before the dedup and ride through it. Derived
+    # after it, they would be functions of the dedup key, and the null checks Catalyst infers
+    # from the hourly join would be pushed below the aggregate into the scan, re-parsing the
+    # text once per part and per row.
+    timed = add_temporal_features(df, "timestamp", tz)
     if filter_first:
-        clean = dedup(apply_rules(df, rules), keys, order, method=dedup_method)
+        clean = dedup(apply_rules(timed, rules), keys, order, method=dedup_method)
     else:
-        clean = apply_rules(dedup(df, keys, order, method=dedup_method), rules)
-    out = add_temporal_features(clean, "timestamp", tz)
-    return add_layer_metadata(out, "Silver", processed_col)
+        clean = apply_rules(dedup(timed, keys, order, method=dedup_method), rules)
+    return add_layer_metadata(clean, "Silver", processed_col)
 
 
 def silver_traffic(df: DataFrame, **kw) -> DataFrame:

@@ -21,12 +21,22 @@ WEATHER_TYPES = ("signup", "error")
 CONDITIONS = ("Thunderstorm", "Rain", "Clouds", "Haze", "Mist", "Snow", "Drizzle", None, "Clear")
 
 
+_TABLES: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One DataFrame per (session, table): the file listing and footer reads happen once, and
+    every use shares one scan node, which lets identical exchanges be reused."""
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    df = _TABLES.get(key)
+    if df is None:
+        df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        _TABLES[key] = df
+    return df
 
 
 def _k() -> Column:
-    return F.get_json_object("props", "$.k").cast("int")
+    return F.from_json("props", "k int")["k"]
 
 
 def located_events(spark: SparkSession, sf_dir: str, event_types, year_shift: int = 0) -> DataFrame:
