@@ -1,7 +1,9 @@
 """Benchmark: headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
 Each query runs once to warm up, then three times; the reported time is the median. A run
-executes the whole plan into the ``noop`` sink (no collect to the driver). Prints one JSON line.
+executes the whole plan into the ``noop`` sink (no collect to the driver), and the cache is
+cleared after every run so that no run reads data persisted by an earlier one. Prints one JSON
+line.
 """
 
 from __future__ import annotations
@@ -37,6 +39,7 @@ def main() -> None:
         for i in range(runs + 1):
             t0 = time.perf_counter()
             q(spark, sf_dir).write.format("noop").mode("overwrite").save()
+            spark.catalog.clearCache()  # no run may reuse data a previous run persisted
             if i:
                 samples.append(time.perf_counter() - t0)
         times[name] = round(statistics.median(samples), 3)

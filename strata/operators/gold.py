@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -108,21 +109,20 @@ def join_weather(traffic: DataFrame, hourly: DataFrame, fallback: str = "global"
     """J1 with the J2 fallback.
 
     ``fallback="global"`` (the reference): when the hourly join is empty everywhere, use the
-    location-level left join, decided inside the plan by an EXISTS subquery.
-    ``"global_branch"``: the same decided on the driver with ``isEmpty`` (an extra job).
-    ``"per_row"``: the T7 single-plan option. ``"none"``: the hourly join only.
+    location-level left join instead. The join is persisted (memory and disk, lineage kept)
+    before the emptiness test, so the test and the returned frame share one computation of its
+    shuffles; only the rare empty case computes the fallback. ``"per_row"``: the T7 option in
+    one plan. ``"none"``: the hourly join only (streaming refreshes, and jobs that decide from
+    the row count they observe while writing).
     """
     if fallback == "per_row":
         return per_row_fallback_join(traffic, hourly, keys)
     joined = hourly_join(traffic, hourly, keys)
     if fallback == "global":
-        # One plan: the fallback rows pass only when the hourly join has no row at all. The
-        # uncorrelated EXISTS runs once, and adaptive execution shares its shuffle stages with
-        # the main join instead of computing the join twice.
-        fb = location_fallback_join(traffic, hourly, keys)
-        return joined.unionByName(fb.filter(~joined.exists()))
-    if fallback == "global_branch" and joined.isEmpty():
-        return location_fallback_join(traffic, hourly, keys)
+        joined = joined.persist(StorageLevel.MEMORY_AND_DISK)
+        if joined.isEmpty():
+            joined.unpersist()
+            return location_fallback_join(traffic, hourly, keys)
     return joined
 
 

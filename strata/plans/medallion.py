@@ -94,11 +94,20 @@ def silver_job(spark: SparkSession, src: str, dst: str, rules, filter_first: boo
 
 def gold_job(spark: SparkSession, traffic_path: str, weather_path: str, mart_path: str,
              analytics_path: str, fallback: str = "global") -> dict:
-    """Feature mart, then the KPI rollup from the written mart (no recomputation)."""
-    mart = gold.feature_mart(spark.read.parquet(traffic_path), spark.read.parquet(weather_path),
-                             fallback=fallback)
-    mart, m_obs = _count(mart, "mart")
+    """Feature mart, then the KPI rollup from the written mart (no recomputation).
+
+    With ``fallback="global"`` the hourly-join mart is written first and its row count observed
+    on the way; only when it is empty is the location-level fallback computed and written
+    instead, so the common case pays nothing for the check.
+    """
+    traffic, weather = spark.read.parquet(traffic_path), spark.read.parquet(weather_path)
+    first = "none" if fallback == "global" else fallback
+    mart, m_obs = _count(gold.feature_mart(traffic, weather, fallback=first), "mart")
     writers.write_layer(mart, mart_path)
+    if fallback == "global" and m_obs.get.get("rows", 0) == 0:
+        hourly = gold.hourly_weather(weather)
+        mart, m_obs = _count(gold.add_gold_features(gold.location_fallback_join(traffic, hourly)), "mart_fallback")
+        writers.write_layer(mart, mart_path)
     kpi = gold.kpi_rollup(spark.read.parquet(mart_path), order_by=None)
     kpi, k_obs = _count(kpi, "analytics")
     writers.write_layer(kpi, analytics_path)

@@ -49,10 +49,9 @@ def test_global_fallback_only_when_the_hourly_join_is_empty(spark):
     t = traffic(spark, [t_row(1, "A", 8), t_row(2, "B", 8)])
     w = weather(spark, [(1, "A", 2025, 1, 1, 8, 5, "Rain"), (2, "A", 2025, 1, 1, 9, 5, "Haze")])
     hourly = gold.hourly_weather(w)
-    for mode in ("global", "global_branch"):
-        j = gold.join_weather(t, hourly, fallback=mode)
-        # No hourly match anywhere: left join to the latest weather of the location.
-        assert rows(j, "event_id", "weather_condition") == [(1, "Haze"), (2, None)]
+    j = gold.join_weather(t, hourly, fallback="global")
+    # No hourly match anywhere: left join to the latest weather of the location.
+    assert rows(j, "event_id", "weather_condition") == [(1, "Haze"), (2, None)]
     assert gold.join_weather(t, hourly, fallback="none").count() == 0
 
 
