@@ -83,7 +83,9 @@ def silver_job(spark: SparkSession, src: str, dst: str, rules, filter_first: boo
     The difference between input and output is split into duplicates and rejects by the row
     accounting (D4) when asked for; here both counts come from observations on the way.
     """
-    bronze = spark.read.parquet(src)
+    bronze = landing.read_table(spark, src)
+    if bronze is None:  # S5: nothing landed yet is not an error
+        return {"layer": "silver", "path": dst, "rows_in": 0, "rows": 0, "removed": 0, "skipped": True}
     bronze, seen = _count(bronze, "silver_in")
     out = silver.silver(bronze, rules, filter_first=filter_first)
     out, kept = _count(out, "silver_out")
@@ -100,7 +102,9 @@ def gold_job(spark: SparkSession, traffic_path: str, weather_path: str, mart_pat
     on the way; only when it is empty is the location-level fallback computed and written
     instead, so the common case pays nothing for the check.
     """
-    traffic, weather = spark.read.parquet(traffic_path), spark.read.parquet(weather_path)
+    traffic, weather = landing.read_table(spark, traffic_path), landing.read_table(spark, weather_path)
+    if traffic is None or weather is None:  # S5
+        return {"layer": "gold", "mart_rows": 0, "analytics_rows": 0, "skipped": True}
     first = "none" if fallback == "global" else fallback
     mart, m_obs = _count(gold.feature_mart(traffic, weather, fallback=first), "mart")
     writers.write_layer(mart, mart_path)
@@ -114,10 +118,12 @@ def gold_job(spark: SparkSession, traffic_path: str, weather_path: str, mart_pat
     return {"layer": "gold", "mart_rows": m_obs.get.get("rows", 0), "analytics_rows": k_obs.get.get("rows", 0)}
 
 
-def training_job(spark: SparkSession, analytics_path: str, mart_path: str, model_dir: str) -> dict:
-    """S8 + P14 + P15 + X1-X4 + X6 + K11."""
+def training_job(spark: SparkSession, analytics_path: str, mart_path: str, model_dir: str,
+                 speed_params: dict | None = None, aqi_params: dict | None = None) -> dict:
+    """S8 + P14 + P15 + X1-X4 + X6 + K11 (model parameters default to the presets)."""
     df = landing.read_gold_for_training(spark, analytics_path, mart_path)
-    speed, aqi = models.train_speed(df), models.train_aqi(df)
+    speed = models.train_speed(df, **(speed_params or {}))
+    aqi = models.train_aqi(df, **(aqi_params or {}))
     models.save(speed.model, f"{model_dir}/speed")
     models.save(aqi.model, f"{model_dir}/aqi")
     return {"speed": speed.metrics, "aqi": aqi.metrics}
@@ -125,7 +131,7 @@ def training_job(spark: SparkSession, analytics_path: str, mart_path: str, model
 
 def medallion_run(spark: SparkSession, layout: Layout, multi_line: bool = True,
                   stamp_ingestion: bool = True, train: bool = True, export: bool = True,
-                  publish_to: str | None = None) -> list[dict]:
+                  publish_to: str | None = None, model_params: dict | None = None) -> list[dict]:
     """Landing -> bronze -> silver -> gold (-> publish, models, BI export), in order."""
     log = [
         bronze_job(spark, layout.landing(layout.traffic_topic), layout.bronze(layout.traffic_topic),
@@ -146,9 +152,11 @@ def medallion_run(spark: SparkSession, layout: Layout, multi_line: bool = True,
         for name, path in (("silver/traffic", layout.silver_traffic), ("silver/weather", layout.silver_weather),
                            ("gold/feature_mart", layout.mart), ("gold/analytics", layout.analytics)):
             summary = writers.publish_layer(spark, path, f"{publish_to}/{name}", layer=name).first()
-            log.append({"layer": f"publish {name}", **summary.asDict()})
+            log.append({**summary.asDict(), "layer": f"publish {name}"})
     if train:
-        log.append({"layer": "models", **training_job(spark, layout.analytics, layout.mart, layout.models)})
+        mp = model_params or {}
+        log.append({"layer": "models", **training_job(spark, layout.analytics, layout.mart, layout.models,
+                                                       mp.get("speed"), mp.get("aqi"))})
     if export:
         for name, path in (("gold_feature_mart", layout.mart), ("gold_analytics", layout.analytics)):
             t = landing.read_table(spark, path)

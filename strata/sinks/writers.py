@@ -37,8 +37,12 @@ def read_layer(spark: SparkSession, path: str, schema=None, fmt: str = "parquet"
 
 
 def export_csv(df: DataFrame, path: str, single_file: bool = False,
-               timestamp_format: str = "yyyy-MM-dd HH:mm:ss.SSSSSS") -> None:
-    """K5: BI export with a header row. ``single_file`` (one task) is for small tables only."""
+               timestamp_format: str = "yyyy-MM-dd HH:mm:ss.SSSSSS", python_booleans: bool = False) -> None:
+    """K5: BI export with a header row. ``single_file`` (one task) is for small tables only.
+    ``python_booleans`` writes ``True``/``False`` as the pandas export of the original did."""
+    if python_booleans:
+        df = df.select(*[F.initcap(F.col(f.name).cast("string")).alias(f.name)
+                         if f.dataType.typeName() == "boolean" else F.col(f.name) for f in df.schema.fields])
     if single_file:
         df = df.coalesce(1)
     (df.write.mode("overwrite").option("header", True)
@@ -103,6 +107,15 @@ def publish(frame: DataFrame, landing_path: str, bootstrap_servers: str | None =
     return "landing"
 
 
+def publish_batch(landing_path: str, bootstrap_servers: str | None = None):
+    """K8 for streams: a ``foreachBatch`` function that publishes each micro-batch of
+    ``(topic, key, value)`` rows to the broker, or to the landing zone when that fails. The
+    stream's checkpoint replays a batch that failed both ways."""
+    def run(batch: DataFrame, epoch_id: int) -> None:
+        publish(batch, landing_path, bootstrap_servers)
+    return run
+
+
 def object_manifest(spark: SparkSession, path: str) -> DataFrame:
     """Every file below ``path`` (paths, sizes, times); file contents are not read.
     Hidden and ``_``-prefixed files are skipped by the file index."""

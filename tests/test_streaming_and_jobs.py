@@ -33,3 +33,38 @@ def test_gold_refresh_replaces_only_touched_locations(spark, sf_small):
     got = writers.read_layer(spark, f"{base}/a", schemas.ANALYTICS_SCHEMA)
     want = gold.kpi_rollup(gold.feature_mart(traffic, weather, fallback="none"), order_by=None)
     assert rows(got.select(*want.columns)) == rows(want)
+
+
+def test_full_run_with_models_and_export(spark, sf_small):
+    layout = medallion.Layout(scratch_path(spark, "test-w5"))
+    landing.write_landing_json(fixtures.traffic_raw(spark, sf_small), layout.landing(layout.traffic_topic))
+    landing.write_landing_json(fixtures.weather_raw(spark, sf_small), layout.landing(layout.weather_topic))
+    log = medallion.medallion_run(
+        spark, layout, multi_line=False, stamp_ingestion=False, publish_to=scratch_path(spark, "test-w5-pub"),
+        model_params={"speed": {"num_trees": 3, "max_depth": 3}, "aqi": {"max_iter": 3, "max_depth": 2}})
+    by = {e["layer"]: e for e in log}
+    assert by["silver"]["rows"] > 0 and by["gold"]["analytics_rows"] > 0
+    assert by["publish gold/analytics"]["rows"] == by["gold"]["analytics_rows"]
+    assert "rmse" in by["models"]["speed"]
+    back = writers.read_csv(spark, f"{layout.exports}/gold_analytics", schemas.ANALYTICS_SCHEMA)
+    assert back.count() == by["gold"]["analytics_rows"]
+
+
+def test_missing_layers_are_skipped(spark):
+    base = scratch_path(spark, "test-missing")
+    assert medallion.silver_job(spark, f"{base}/nope", f"{base}/out", quality.traffic_rules())["skipped"]
+    assert medallion.gold_job(spark, f"{base}/a", f"{base}/b", f"{base}/c", f"{base}/d")["skipped"]
+
+
+def test_stream_publish_falls_back_to_landing(spark):
+    base = scratch_path(spark, "test-pub-stream")
+    src = f"{base}/src"
+    t = spark.createDataFrame([("A", "t1", 30.0)], "city_name string, timestamp string, current_speed double")
+    landing.write_landing_json(t, src)
+    stream = streams.landing_stream(spark, src, schemas.TRAFFIC_SCHEMA)
+    q = (writers.publish_frame(stream, None).writeStream.foreachBatch(writers.publish_batch(f"{base}/landing"))
+         .option("checkpointLocation", f"{base}/ck").trigger(availableNow=True).start())
+    q.awaitTermination()
+    back = landing.read_landing(spark, f"{base}/landing/topic=traffic-raw-events", schemas.TRAFFIC_SCHEMA,
+                                multi_line=False, glob=None)
+    assert rows(back, "city_name", "current_speed") == [("A", 30.0)]
