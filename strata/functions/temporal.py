@@ -32,7 +32,12 @@ def wall_clock(instant, tz: str = "UTC") -> Column:
 
 def temporal_parts(instant, tz: str = "UTC", weekend_days=WEEKEND_DAYS) -> dict[str, Column]:
     """hour, day_of_week (1 = Sunday), day_of_month, month, year and is_weekend for ``tz``."""
-    local = wall_clock(instant, tz)
+    return parts_of_wall_clock(wall_clock(instant, tz), weekend_days)
+
+
+def parts_of_wall_clock(local, weekend_days=WEEKEND_DAYS) -> dict[str, Column]:
+    """Calendar parts of a TIMESTAMP_NTZ wall-clock column."""
+    local = _col(local)
     dow = F.dayofweek(local)
     return {
         "hour": F.hour(local),

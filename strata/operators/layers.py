@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.temporal import parse_event_time, temporal_parts
+from strata.functions.temporal import parse_event_time, parts_of_wall_clock, wall_clock
 
 TEMPORAL_COLUMNS = ("hour", "day_of_week", "day_of_month", "month", "year", "is_weekend")
 
@@ -23,8 +23,10 @@ def add_temporal_features(df: DataFrame, text_col: str = "timestamp", tz: str =
                           out_col: str = "event_timestamp") -> DataFrame:
     """Parse the ISO text to ``out_col`` and derive calendar parts in zone ``tz``.
 
-    Unparsable text gives a null time and null parts (``try_to_timestamp``).
+    Unparsable text gives a null time and null parts (``try_to_timestamp``). The parse and the
+    zone shift are separate columns that every part refers to, so each runs once per row
+    (Catalyst does not inline an expensive expression into several consumers).
     """
-    ts = parse_event_time(text_col)
-    parts = temporal_parts(ts, tz)
-    return df.withColumns({out_col: ts, **parts})
+    df = df.withColumn(out_col, parse_event_time(text_col))
+    df = df.withColumn("__wall", wall_clock(F.col(out_col), tz))
+    return df.withColumns(parts_of_wall_clock("__wall")).drop("__wall")

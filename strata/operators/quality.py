@@ -145,26 +145,33 @@ def row_accounting(
     order: Sequence,
     rules: Sequence[Rule],
     feed: str,
+    method: str = "window",
 ) -> DataFrame:
     """Counts of input rows, removed duplicates, rejects per rule and output rows.
 
-    One scan: the dedup aggregate also counts copies per key; each survivor is classified by
-    the first rule it fails. Returns ``(feed, outcome, rows)``; rejects sum to input - duplicates - output.
+    Each dedup survivor is classified by the first rule it fails; duplicates are the input
+    count minus the survivors. ``method="window"`` counts the input in a separate, column-pruned
+    pass and dedups with the map-side group limit; ``"aggregate"`` does it in one pass (the
+    dedup aggregate counts copies per key). Returns ``(feed, outcome, rows)``.
     """
-    survivors = dedup(df, keys, order, method="aggregate", count_col="__copies")
-    per_outcome = (
-        survivors.select(F.coalesce(first_failed_rule(rules), F.lit("output")).alias("outcome"),
-                         F.col("__copies"))
-        .groupBy("outcome")
-        .agg(F.count(F.lit(1)).alias("survivors"), F.sum("__copies").alias("copies"))
-    )
-    totals = per_outcome.agg(
-        F.sum("copies").alias("input"),
-        (F.sum("copies") - F.sum("survivors")).alias("duplicate"),
-    ).select(F.explode(F.array(
+    outcome = F.coalesce(first_failed_rule(rules), F.lit("output")).alias("outcome")
+    if method == "aggregate":
+        survivors = dedup(df, keys, order, method="aggregate", count_col="__copies")
+        per = (survivors.select(outcome, F.col("__copies"))
+               .groupBy("outcome").agg(F.count(F.lit(1)).alias("rows"), F.sum("__copies").alias("copies")))
+        signed = per.select("outcome", "rows", F.col("copies").alias("input_share"))
+    else:
+        per = dedup(df, keys, order).select(outcome).groupBy("outcome").agg(F.count(F.lit(1)).alias("rows"))
+        total = df.select(F.lit("input").alias("outcome"), F.lit(0).cast("long").alias("rows"),
+                          F.lit(1).cast("long").alias("input_share"))
+        signed = per.select("outcome", "rows", F.lit(0).cast("long").alias("input_share")).unionByName(total)
+    # One small aggregate over the per-outcome rows gives the input and duplicate totals.
+    totals = signed.agg(F.sum("input_share").alias("input"),
+                        (F.sum("input_share") - F.sum("rows")).alias("duplicate"))
+    totals = totals.select(F.explode(F.array(
         F.struct(F.lit("input").alias("outcome"), F.col("input").alias("rows")),
         F.struct(F.lit("duplicate").alias("outcome"), F.col("duplicate").alias("rows")),
     )).alias("r")).select("r.*")
-    per_rule = per_outcome.select("outcome", F.col("survivors").alias("rows"))
+    per_rule = signed.filter(F.col("outcome") != "input").select("outcome", "rows")
     return (totals.unionByName(per_rule)
             .select(F.lit(feed).alias("feed"), "outcome", F.col("rows").cast("long").alias("rows")))
