@@ -67,3 +67,20 @@ def unknown_locations(df: DataFrame, dim: DataFrame, name_col: str = "city_name"
                .withColumn("__loc_key", _match_key("name_seen")))
     d = dim.select(_match_key("name").alias("__loc_key"))
     return names.join(d, "__loc_key", "left_anti").drop("__loc_key")
+
+
+class UnknownLocationError(ValueError):
+    pass
+
+
+def require_known_locations(df: DataFrame, dim: DataFrame, name_col: str = "city_name",
+                            max_listed: int = 20) -> DataFrame:
+    """F5, strict form: raise when ``df`` names a location the dimension lacks.
+
+    One short job: the anti join stops at the first ``max_listed`` unknown names, which are the
+    only rows brought to the driver. Returns ``df`` unchanged when every name is known.
+    """
+    unknown = [r.name_seen for r in unknown_locations(df, dim, name_col).select("name_seen").take(max_listed)]
+    if unknown:
+        raise UnknownLocationError(f"locations not configured: {unknown}")
+    return df

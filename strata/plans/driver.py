@@ -10,10 +10,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata import schemas
 from strata.functions.rounding import round_half_up
+from strata.ml import models
 from strata.operators import decisions, gold, locations, measures, quality, silver
-from strata.operators.layers import add_temporal_features
-from strata.sources import fixtures
+from strata.operators.layers import add_layer_metadata, add_temporal_features
+from strata.plans import medallion
+from strata.session import scratch_path
+from strata.sinks import writers
+from strata.sources import fixtures, landing, payloads
+from strata.streaming import streams
 
 TRAFFIC_COLS = ["event_id", "timestamp", "city_name", "latitude", "longitude", "current_speed",
                 "free_flow_speed", "current_travel_time", "free_flow_travel_time", "congestion_ratio",
@@ -198,11 +204,6 @@ QUERIES = {
 
 
 # --- raw payloads, bronze, publishing, sinks ----------------------------------------------------
-from strata.session import scratch_path  # noqa: E402
-from strata.sinks import writers  # noqa: E402
-from strata.sources import landing, payloads  # noqa: E402
-from strata.operators.layers import add_layer_metadata  # noqa: E402
-from strata import schemas  # noqa: E402
 
 FLAT_TRAFFIC_COLS = ["poll_id", "timestamp", "city_name", "latitude", "longitude", "current_speed",
                      "free_flow_speed", "current_travel_time", "free_flow_travel_time", "congestion_ratio",
@@ -293,7 +294,6 @@ QUERIES.update({
 
 
 # --- streaming ------------------------------------------------------------------------------------
-from strata.streaming import streams  # noqa: E402
 
 LANDING_TRAFFIC_SCHEMA = schemas.with_fields(
     schemas.TRAFFIC_SCHEMA, [("event_id", schemas.L), ("ingestion_timestamp", schemas.T.TimestampNTZType())])
@@ -338,7 +338,6 @@ QUERIES.update({
 
 
 # --- models ---------------------------------------------------------------------------------------
-from strata.ml import models  # noqa: E402
 
 _TRAINED: dict = {}
 
@@ -399,7 +398,6 @@ QUERIES.update({
 
 
 # --- whole jobs ------------------------------------------------------------------------------------
-from strata.plans import medallion  # noqa: E402
 
 
 def medallion_files(spark: SparkSession, sf: str) -> DataFrame:

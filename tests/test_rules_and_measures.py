@@ -85,3 +85,13 @@ def test_location_lookup_is_case_insensitive_and_finds_unknowns(spark):
     assert rows(enriched, "city_name", "location_name") == [("42", "42"), ("ANDHERI", "Andheri"), ("andheri", "Andheri")]
     assert rows(locations.unknown_locations(feed, dim), "name_seen", "events") == [("Atlantis", 1)]
     assert locations.location_dim(spark).count() == 15
+
+
+def test_strict_location_lookup_raises_on_unknown_names(spark):
+    import pytest
+    dim = locations.location_dim(spark)
+    ok = spark.createDataFrame([("bkc",), ("Navi Mumbai",)], "city_name string")
+    assert locations.require_known_locations(ok, dim) is ok
+    bad = spark.createDataFrame([("Atlantis",)], "city_name string")
+    with pytest.raises(locations.UnknownLocationError):
+        locations.require_known_locations(bad, dim)
