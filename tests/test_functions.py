@@ -77,3 +77,14 @@ def test_iso_text_round_trip(spark):
     df = spark.createDataFrame([(dt.datetime(2024, 1, 1, 0, 16, 6, 738090),)], "ts timestamp_ntz")
     assert df.select(iso_utc_text("ts")).first()[0] == "2024-01-01T00:16:06.738090+00:00"
     assert df.select(iso_utc_text().alias("now")).select(F.length("now")).first()[0] == 32
+
+
+def test_iso_text_ignores_the_session_zone(spark):
+    from strata.functions.temporal import iso_utc_text
+    df = spark.createDataFrame([(dt.datetime(2024, 3, 10, 2, 30, 1, 5),)], "ts timestamp_ntz")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")  # 02:30 falls in its DST gap
+        assert df.select(iso_utc_text("ts")).first()[0] == "2024-03-10T02:30:01.000005+00:00"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
