@@ -33,8 +33,8 @@ def severity_index(condition="weather_condition", levels=SEVERITY_LEVELS, defaul
 
 
 def speed_ratio(current="current_speed", free="free_flow_speed", digits: int = 4) -> Column:
-    """Current / free-flow, half-up to ``digits``."""
-    return round_half_up(_col(current) / _col(free), digits)
+    """Current / free-flow, half-up to ``digits``; a zero free-flow speed gives null."""
+    return round_half_up(F.try_divide(_col(current), _col(free)), digits)
 
 
 def delay_seconds(current="current_travel_time", free="free_flow_travel_time") -> Column:

@@ -18,10 +18,14 @@ def _col(c) -> Column:
 
 
 def round_half_up(c, digits: int) -> Column:
-    """Half-up rounding on the decimal value (Spark ``round`` semantics), returned as double."""
-    return F.round(_col(c).cast(ROUNDING_DECIMAL), digits).cast("double")
+    """Half-up rounding on the decimal value (Spark ``round`` semantics), returned as double.
+    Values beyond the decimal's range (and NaN / infinity) are rounded as doubles instead of
+    failing under ANSI mode."""
+    x = _col(c)
+    return F.coalesce(F.round(x.try_cast(ROUNDING_DECIMAL), digits).cast("double"), F.round(x, digits))
 
 
 def round_half_even(c, digits: int) -> Column:
     """Half-even (banker's) rounding on the decimal value, returned as double."""
-    return F.bround(_col(c).cast(ROUNDING_DECIMAL), digits).cast("double")
+    x = _col(c)
+    return F.coalesce(F.bround(x.try_cast(ROUNDING_DECIMAL), digits).cast("double"), F.bround(x, digits))

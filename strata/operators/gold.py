@@ -161,3 +161,25 @@ def kpi_rollup(mart: DataFrame, keys: Sequence[str] = KPI_KEYS, averages=KPI_AVE
     if order_by:
         out = out.orderBy(*order_by)
     return out
+
+
+DAY_KEYS = ("city_name", "year", "month", "day_of_month")
+
+
+def kpi_partials(mart: DataFrame, keys: Sequence[str] = KPI_KEYS, period: Sequence[str] = DAY_KEYS[1:],
+                 averages=KPI_AVERAGES) -> DataFrame:
+    """Mergeable KPI state per group and day: a sum and a non-null count per averaged column,
+    plus the row count. Averages over any set of days follow by adding partials."""
+    aggs = []
+    for _, src, _ in averages:
+        aggs += [F.sum(src).cast("double").alias(f"sum_{src}"), F.count(src).alias(f"n_{src}")]
+    aggs.append(F.count(F.lit(1)).alias("total_observations"))
+    return mart.groupBy(*keys, *period).agg(*aggs)
+
+
+def kpi_from_partials(partials: DataFrame, keys: Sequence[str] = KPI_KEYS, averages=KPI_AVERAGES) -> DataFrame:
+    """A1-A3 from ``kpi_partials``: the same rounded averages and counts as ``kpi_rollup``."""
+    aggs = [round_half_up(F.try_divide(F.sum(f"sum_{src}"), F.sum(f"n_{src}")), digits).alias(name)
+            for name, src, digits in averages]
+    aggs.append(F.sum("total_observations").alias("total_observations"))
+    return partials.groupBy(*keys).agg(*aggs)

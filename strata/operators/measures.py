@@ -29,7 +29,7 @@ def _mean(col: str, weighted: bool, weight: str, cond: Column | None = None) ->
     if not weighted:
         return F.avg(x)
     w = F.when(x.isNotNull(), F.col(weight))
-    return F.sum(x * w) / F.sum(w)
+    return F.try_divide(F.sum(x * w), F.sum(w))
 
 
 def measures(

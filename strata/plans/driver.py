@@ -299,7 +299,7 @@ LANDING_TRAFFIC_SCHEMA = schemas.with_fields(
     schemas.TRAFFIC_SCHEMA, [("event_id", schemas.L), ("ingestion_timestamp", schemas.T.TimestampNTZType())])
 
 
-def _stream_silver_to(spark: SparkSession, sf: str, out: str) -> None:
+def _stream_silver_to(spark: SparkSession, sf: str, out: str, partition_by=("city_name",)) -> None:
     """Land the traffic feed in two generations (originals, then the late copies), and drain
     each with an ``availableNow`` run of the silver stream into ``out``."""
     base = scratch_path(spark, "stream")
@@ -309,7 +309,8 @@ def _stream_silver_to(spark: SparkSession, sf: str, out: str) -> None:
     for generation in (originals, late):
         landing.write_landing_json(generation.select(*LANDING_TRAFFIC_SCHEMA.names), land)
         stream = streams.landing_stream(spark, land, LANDING_TRAFFIC_SCHEMA)
-        streams.run_to_table(streams.silver_stream(stream, quality.traffic_rules()), out, ckpt)
+        streams.run_to_table(streams.silver_stream(stream, quality.traffic_rules()), out, ckpt,
+                             partition_by=partition_by)
 
 
 def stream_silver(spark: SparkSession, sf: str) -> DataFrame:

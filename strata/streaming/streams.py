@@ -76,32 +76,45 @@ def run_to_table(df: DataFrame, path: str, checkpoint: str, partition_by: Sequen
 
 
 def gold_refresh_batch(spark: SparkSession, silver_traffic_path: str, silver_weather_path: str,
-                       mart_path: str, analytics_path: str, fallback: str = "none",
-                       location_col: str = "city_name") -> Callable[[DataFrame, int], None]:
-    """ST6: a ``foreachBatch`` function that rebuilds the gold tables for the locations a
+                       mart_path: str, analytics_path: str, partials_path: str | None = None,
+                       fallback: str = "none") -> Callable[[DataFrame, int], None]:
+    """ST6: a ``foreachBatch`` function that refreshes gold for the (location, day) pairs a
     micro-batch touched.
 
-    The touched locations stay a DataFrame (semi join, no collect); the silver reads are
-    pruned to those partitions, and the dynamic overwrite replaces only them. KPIs pool all
-    days of a clock hour, so a touched location is recomputed from its whole silver history.
+    The hourly join only pairs rows of the same day, so the mart is rebuilt for touched days
+    alone and written with a dynamic overwrite of those ``(city_name, year, month,
+    day_of_month)`` partitions. KPI state is kept per day as sums and counts
+    (``kpi_partials``); the KPI table is re-derived from that small table. Work per batch
+    grows with the touched days, not with the history. Touched keys stay a DataFrame (semi
+    joins, no collect).
     """
+    partials_path = partials_path or f"{mart_path.rstrip('/')}_kpi_partials"
+    day = list(gold.DAY_KEYS)
+
     def refresh(batch: DataFrame, epoch_id: int) -> None:
-        touched = batch.select(location_col).distinct()
-        traffic = spark.read.parquet(silver_traffic_path).join(touched, location_col, "left_semi")
-        weather = spark.read.parquet(silver_weather_path).join(touched, location_col, "left_semi")
-        mart = gold.feature_mart(traffic, weather, fallback=fallback)
-        write_layer(mart, mart_path, mode="overwrite")
-        written = spark.read.parquet(mart_path).join(touched, location_col, "left_semi")
-        write_layer(gold.kpi_rollup(written, order_by=None), analytics_path, mode="overwrite")
+        touched = batch.select(*day).distinct()
+        traffic = spark.read.parquet(silver_traffic_path).join(touched, day, "left_semi")
+        weather = spark.read.parquet(silver_weather_path).join(touched, day, "left_semi")
+        write_layer(gold.feature_mart(traffic, weather, fallback=fallback), mart_path, partition_by=day)
+        written = spark.read.parquet(mart_path).join(touched, day, "left_semi")
+        write_layer(gold.kpi_partials(written), partials_path, partition_by=day)
+        kpi = gold.kpi_from_partials(spark.read.parquet(partials_path))
+        write_layer(kpi, analytics_path, partition_by=("city_name",))
     return refresh
 
 
 def run_gold_refresh(spark: SparkSession, silver_traffic_path: str, silver_weather_path: str,
                      mart_path: str, analytics_path: str, checkpoint: str, available_now: bool = True,
                      fallback: str = "none"):
-    """ST6: stream new silver traffic files and refresh gold after each micro-batch."""
-    schema = spark.read.parquet(silver_traffic_path).schema
-    src = spark.readStream.schema(schema).parquet(silver_traffic_path)
+    """ST6: stream new files of both silver tables; refresh gold after each micro-batch.
+
+    New weather for an already processed day re-triggers that day as well as new traffic."""
+    day = list(gold.DAY_KEYS)
+    sources = []
+    for path in (silver_traffic_path, silver_weather_path):
+        schema = spark.read.parquet(path).schema
+        sources.append(spark.readStream.schema(schema).parquet(path).select(*day))
+    src = sources[0].unionByName(sources[1])
     fn = gold_refresh_batch(spark, silver_traffic_path, silver_weather_path, mart_path, analytics_path,
                             fallback=fallback)
     w = src.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
