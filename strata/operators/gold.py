@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from strata.functions.metrics import delay_seconds, severity_index, speed_ratio
 from strata.functions.rounding import round_half_up
-from strata.operators.layers import add_layer_metadata
 from strata.operators.quality import Order, dedup
 
 # Weather measures carried to gold, in the mart's column order.
