@@ -92,12 +92,22 @@ def _metrics(pred: DataFrame, label: str, prediction: str, names: Sequence[str],
     return out
 
 
+ROWS_PER_PARTITION = 200_000
+
+
 def _materialize(df: DataFrame) -> DataFrame:
     """Cut the lineage before an iterative fit: the trees, the scaler and the metrics then read
-    the checkpointed table in the shared checkpoint folder instead of re-running the gold job."""
+    the checkpointed table in the shared checkpoint folder instead of re-running the gold job.
+
+    Iterative fits run several jobs per round, so tasks are sized to the data: about
+    ``ROWS_PER_PARTITION`` rows each (a KPI table fits one task; a mart-sized input spreads).
+    """
     from strata.session import checkpoint_root
     checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    data = df.checkpoint(eager=True)
+    rows = data.count()
+    target = max(1, -(-rows // ROWS_PER_PARTITION))
+    return data.coalesce(target) if target < data.rdd.getNumPartitions() else data
 
 
 def train_speed(df: DataFrame, drop_label_from_features: bool = True, num_trees: int = 100,
