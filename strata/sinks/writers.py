@@ -12,19 +12,24 @@ DEFAULT_TOPICS = {"traffic": "traffic-raw-events", "weather": "weather-raw-event
 
 
 def write_layer(df: DataFrame, path: str, partition_by: Sequence[str] = ("city_name",),
-                mode: str = "overwrite", fmt: str = "parquet", rebalance: bool = True) -> None:
+                mode: str = "overwrite", fmt: str = "parquet", rebalance: bool = True,
+                replace: str = "table") -> None:
     """K1-K4: a partitioned table.
 
+    ``replace="table"`` (the reference's behaviour) swaps the whole table on overwrite;
+    ``"partitions"`` replaces only the partitions present in ``df`` (incremental refreshes). The
+    choice is a write option, so it does not depend on the session's configuration.
     ``rebalance`` asks adaptive execution for evenly sized output tasks by the partition
     columns: a busy location is split over several tasks (and files) instead of one, and a
-    quiet one is not spread over every task. With the session's dynamic overwrite mode only
-    the partitions present in ``df`` are replaced.
+    quiet one is not spread over every task.
     """
     if rebalance and partition_by:
         df = df.hint("rebalance", *partition_by)
     w = df.write.mode(mode).format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
+        if mode == "overwrite":
+            w = w.option("partitionOverwriteMode", "dynamic" if replace == "partitions" else "static")
     w.save(path)
 
 

@@ -95,9 +95,10 @@ def gold_refresh_batch(spark: SparkSession, silver_traffic_path: str, silver_wea
         touched = batch.select(*day).distinct()
         traffic = spark.read.parquet(silver_traffic_path).join(touched, day, "left_semi")
         weather = spark.read.parquet(silver_weather_path).join(touched, day, "left_semi")
-        write_layer(gold.feature_mart(traffic, weather, fallback=fallback), mart_path, partition_by=day)
+        write_layer(gold.feature_mart(traffic, weather, fallback=fallback), mart_path, partition_by=day,
+                    replace="partitions")
         written = spark.read.parquet(mart_path).join(touched, day, "left_semi")
-        write_layer(gold.kpi_partials(written), partials_path, partition_by=day)
+        write_layer(gold.kpi_partials(written), partials_path, partition_by=day, replace="partitions")
         kpi = gold.kpi_from_partials(spark.read.parquet(partials_path))
         write_layer(kpi, analytics_path, partition_by=("city_name",))
     return refresh

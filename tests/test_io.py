@@ -86,3 +86,15 @@ def test_landing_fallback_csv_and_manifest(spark):
     writers.export_csv(t, f"{base}/csv", single_file=True)
     back = writers.read_csv(spark, f"{base}/csv", "city_name string, timestamp string, current_speed double")
     assert rows(back) == rows(t)
+
+
+def test_table_overwrite_drops_stale_partitions_partition_refresh_keeps_them(spark):
+    base = scratch_path(spark, "test-overwrite")
+    a = spark.createDataFrame([("A", 1.0), ("B", 2.0)], "city_name string, v double")
+    b = spark.createDataFrame([("B", 3.0)], "city_name string, v double")
+    writers.write_layer(a, f"{base}/t")
+    writers.write_layer(b, f"{base}/t")
+    assert rows(spark.read.parquet(f"{base}/t"), "city_name", "v") == [("B", 3.0)]
+    writers.write_layer(a, f"{base}/p")
+    writers.write_layer(b, f"{base}/p", replace="partitions")
+    assert rows(spark.read.parquet(f"{base}/p"), "city_name", "v") == [("A", 1.0), ("B", 3.0)]
