@@ -59,7 +59,25 @@ def measures(
              .when(aqi >= HAZARDOUS_AQI_FROM, F.lit(RISK_LABELS[1]))
              .when(m1 < HEAVY_CONGESTION_BELOW, F.lit(RISK_LABELS[2]))
              .otherwise(F.lit(RISK_LABELS[3])))
+    by = list(by)
+    outer = [c for c in by if c != "hour"]
+    if len(outer) < len(by):
+        # The peak measure replaces any filter on ``hour`` (M5): when the slice is by hour, it is
+        # taken over the slice without the hour and joined back on the remaining keys.
+        peak = numeric.pop("peak_hour_congestion")
     aggs = [(round_half_up(e, digits) if digits is not None else e).alias(n) for n, e in numeric.items()]
     aggs.append(risk.alias("weather_risk_level"))
     grouped = analytics.groupBy(*by) if by else analytics.groupBy()
-    return grouped.agg(*aggs)
+    out = grouped.agg(*aggs)
+    if len(outer) == len(by):
+        return out
+    peak_col = (round_half_up(peak, digits) if digits is not None else peak).alias("peak_hour_congestion")
+    key = outer or ["__all"]
+    base = analytics if outer else analytics.withColumn("__all", F.lit(1))
+    peaks = base.groupBy(*key).agg(peak_col)
+    if not outer:
+        out = out.withColumn("__all", F.lit(1))
+    joined = out.join(peaks, key, "left")
+    cols = by + ["avg_congestion_ratio", "avg_current_speed", "avg_free_flow_speed", "congestion_index_pct",
+                 "peak_hour_congestion", "average_aqi", "average_pm2_5", "weather_risk_level"]
+    return joined.select(*cols)

@@ -133,6 +133,13 @@ def measures_total(spark: SparkSession, sf: str) -> DataFrame:
     return measures.measures(kpi, by=[], digits=MEASURE_DIGITS).select(*MEASURE_COLS)
 
 
+def measures_by_location_hour(spark: SparkSession, sf: str) -> DataFrame:
+    """M1-M8 per location and clock hour; the peak measure ignores the hour slice (M5)."""
+    kpi = gold.kpi_rollup(_mart(spark, sf), order_by=None)
+    return measures.measures(kpi, by=["city_name", "hour"], digits=MEASURE_DIGITS).select(
+        "city_name", "hour", *MEASURE_COLS)
+
+
 def region_locations(spark: SparkSession, sf: str) -> DataFrame:
     """Location dimension of the fixture: one row per region, names in lower case."""
     r = fixtures.table(spark, sf, "region")
@@ -197,6 +204,7 @@ QUERIES = {
     "kpi_rollup": kpi_rollup,
     "measures_by_location": measures_by_location,
     "measures_total": measures_total,
+    "measures_by_location_hour": measures_by_location_hour,
     "location_enrich": location_enrich,
     "location_unknown": location_unknown,
     "decision_alerts": decision_alerts,

@@ -378,6 +378,11 @@ def gold_oracle() -> dict[str, str]:
     q: dict[str, str] = {}
     q["measures_by_location"] = with_query(kpi_ctes(), _measures_select("city_name"))
     q["measures_total"] = with_query(kpi_ctes(), _measures_select(""))
+    peak = rhu("avg(CASE WHEN hour IN (8, 9, 17, 18, 19) THEN avg_congestion_ratio END)", 6)
+    q["measures_by_location_hour"] = with_query(
+        kpi_ctes() + [f"m AS ({_measures_select('city_name, hour')})",
+                      f"p AS (SELECT city_name, {peak} AS peak FROM kpi GROUP BY city_name)"],
+        "SELECT m.* REPLACE (p.peak AS peak_hour_congestion) FROM m LEFT JOIN p ON m.city_name = p.city_name")
     q["location_enrich"] = with_query(silver_traffic_ctes() + [LOC_DIM_CTE], """SELECT t.event_id, t.city_name,
        d.name AS location_name, d.area_type, d.lat, d.lon, d.zoom
 FROM silver_traffic t JOIN loc_dim d ON lower(trim(t.city_name)) = lower(trim(d.name))""")

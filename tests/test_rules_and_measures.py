@@ -95,3 +95,14 @@ def test_strict_location_lookup_raises_on_unknown_names(spark):
     bad = spark.createDataFrame([("Atlantis",)], "city_name string")
     with pytest.raises(locations.UnknownLocationError):
         locations.require_known_locations(bad, dim)
+
+
+def test_peak_measure_ignores_an_hour_slice(spark):
+    df = kpi(spark, [("A", 8, 0.5, 20.0, 40.0, 30.0, 2.0, 10.0, 1), ("A", 12, 0.9, 36.0, 40.0, 30.0, 2.0, 20.0, 3),
+                     ("A", 17, 0.7, 20.0, 40.0, 30.0, 2.0, 10.0, 1), ("B", 9, 0.2, 20.0, 40.0, 30.0, 2.0, 10.0, 1)])
+    by_hour = {(r.city_name, r.hour): r for r in measures.measures(df, by=["city_name", "hour"]).collect()}
+    assert by_hour[("A", 12)].peak_hour_congestion == 0.6    # peak hours 8 and 17 of location A
+    assert by_hour[("A", 12)].avg_congestion_ratio == 0.9
+    assert by_hour[("B", 9)].peak_hour_congestion == 0.2
+    only_hour = {r.hour: r.peak_hour_congestion for r in measures.measures(df, by=["hour"]).collect()}
+    assert set(only_hour.values()) == {(0.5 + 0.7 + 0.2) / 3}
