@@ -35,6 +35,13 @@ def _ok(body: str) -> Column:
     return F.json_object_keys(F.col(body)).isNotNull()
 
 
+def _parsed(raw: DataFrame, body: str, schema) -> DataFrame:
+    """The body parsed once into ``__p`` and its validity computed once into ``__ok``; field
+    extraction then reads these columns (Catalyst does not inline an expensive expression into
+    several consumers), so each body is parsed a fixed number of times, not once per field."""
+    return raw.withColumns({"__p": F.from_json(F.col(body), schema), "__ok": _ok(body)})
+
+
 def _pick(ok: Column, value: Column, default) -> Column:
     return F.when(ok, F.coalesce(value, F.lit(default)))
 
@@ -46,8 +53,9 @@ def _stamp(time_col: str | None) -> Column:
 def flatten_traffic(raw: DataFrame, body: str = "body", time_col: str | None = "fetched_at",
                     source: str = TRAFFIC_SOURCE, defaults: dict = TRAFFIC_DEFAULTS) -> DataFrame:
     """S11 + P11 + P12 + P13: one traffic event per body."""
-    ok = _ok(body)
-    f = F.from_json(F.col(body), TRAFFIC_PAYLOAD_SCHEMA)["flowSegmentData"]
+    raw = _parsed(raw, body, TRAFFIC_PAYLOAD_SCHEMA)
+    ok = F.col("__ok")
+    f = F.col("__p")["flowSegmentData"]
     d = defaults
     out = raw.select(
         "poll_id",
@@ -75,8 +83,9 @@ def flatten_traffic(raw: DataFrame, body: str = "body", time_col: str | None = "
 def flatten_weather(raw: DataFrame, body: str = "body", time_col: str | None = "fetched_at",
                     defaults: dict = WEATHER_DEFAULTS) -> DataFrame:
     """Current-weather body to typed columns."""
-    ok = _ok(body)
-    p = F.from_json(F.col(body), WEATHER_PAYLOAD_SCHEMA)
+    raw = _parsed(raw, body, WEATHER_PAYLOAD_SCHEMA)
+    ok = F.col("__ok")
+    p = F.col("__p")
     d = defaults
     return raw.select(
         "city_name", "poll_id", "latitude", "longitude",
@@ -93,8 +102,9 @@ def flatten_weather(raw: DataFrame, body: str = "body", time_col: str | None = "
 
 def flatten_air(raw: DataFrame, body: str = "body", defaults: dict = AIR_DEFAULTS) -> DataFrame:
     """Air-pollution body to typed columns (first list entry)."""
-    ok = _ok(body)
-    first = F.get(F.from_json(F.col(body), AIR_PAYLOAD_SCHEMA)["list"], 0)
+    raw = _parsed(raw, body, AIR_PAYLOAD_SCHEMA)
+    ok = F.col("__ok")
+    first = F.get(F.col("__p")["list"], 0)
     comp = first["components"]
     d = defaults
     return raw.select(
