@@ -88,3 +88,16 @@ def test_iso_text_ignores_the_session_zone(spark):
         assert df.select(iso_utc_text("ts")).first()[0] == "2024-03-10T02:30:01.000005+00:00"
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_text_without_offset_is_read_in_the_session_zone(spark):
+    df = spark.createDataFrame([("2024-01-06 23:59:59",)], "timestamp string")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        assert add_temporal_features(df, "timestamp", "UTC").first().hour == 23
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+        # 23:59:59 in India is 18:29:59 UTC.
+        assert add_temporal_features(df, "timestamp", "UTC").first().hour == 18
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
