@@ -53,17 +53,12 @@ def iso_utc_text(ts=None) -> Column:
     """ISO-8601 text with microseconds and a ``+00:00`` offset.
 
     ``ts`` is a TIMESTAMP_NTZ holding UTC wall-clock time; ``None`` stamps the current time.
-    The text is assembled from zone-free parts of the NTZ value, so it does not pass through the
-    session zone (where a wall-clock time inside a daylight-saving gap would shift).
+    The text comes from the zone-free cast of the NTZ value (``yyyy-MM-dd HH:mm:ss[.ffffff]``,
+    trailing zeros dropped), so it never passes through the session zone, where a wall-clock
+    time inside a daylight-saving gap would shift.
     """
     if ts is None:
         ts = wall_clock(F.current_timestamp(), "UTC")
-    t = _col(ts)
-    micros = F.timestamp_diff("MICROSECOND", F.date_trunc("second", t), t)
-
-    def pad(c: Column, n: int) -> Column:
-        return F.lpad(c.cast("string"), n, "0")
-
-    return F.concat(pad(F.year(t), 4), F.lit("-"), pad(F.month(t), 2), F.lit("-"), pad(F.dayofmonth(t), 2),
-                    F.lit("T"), pad(F.hour(t), 2), F.lit(":"), pad(F.minute(t), 2), F.lit(":"),
-                    pad(F.second(t), 2), F.lit("."), pad(micros, 6), F.lit("+00:00"))
+    s = _col(ts).cast("string")
+    return F.concat(F.substring(s, 1, 10), F.lit("T"), F.substring(s, 12, 8), F.lit("."),
+                    F.rpad(F.substring(s, 21, 6), 6, "0"), F.lit("+00:00"))
