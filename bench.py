@@ -1,6 +1,7 @@
 """Benchmark: headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
-Each query runs once to warm up, then three times; the reported time is the median. A run
+One warm-up pass runs every query once; then each query runs three times and the reported
+time is the median. A run
 executes the whole plan into the ``noop`` sink (no collect to the driver), and the cache is
 cleared after every run so that no run reads data persisted by an earlier one. Prints one JSON
 line.
@@ -32,17 +33,18 @@ def main() -> None:
 
     spark = get_session(f"local[{cpus}]", app_name="strata-bench", shuffle_partitions=int(cpus),
                         extra_conf={"spark.driver.memory": os.environ.get("BENCH_MEMORY", "16g")})
+    def run_once(name: str) -> float:
+        t0 = time.perf_counter()
+        driver.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        elapsed = time.perf_counter() - t0
+        spark.catalog.clearCache()  # no run may reuse data a previous run persisted
+        return elapsed
+
+    for name in names:  # one warm-up pass over every query (JIT, file listings, code caches)
+        run_once(name)
     times: dict[str, float] = {}
     for name in names:
-        q = driver.QUERIES[name]
-        samples = []
-        for i in range(runs + 1):
-            t0 = time.perf_counter()
-            q(spark, sf_dir).write.format("noop").mode("overwrite").save()
-            spark.catalog.clearCache()  # no run may reuse data a previous run persisted
-            if i:
-                samples.append(time.perf_counter() - t0)
-        times[name] = round(statistics.median(samples), 3)
+        times[name] = round(statistics.median(run_once(name) for _ in range(runs)), 3)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
         "metric": "sum_of_median_query_seconds",

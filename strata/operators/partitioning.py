@@ -1,0 +1,21 @@
+"""Partitioning helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, key: str, min_partitions: int | None = None) -> DataFrame:
+    """Hash-redistribute a frame whose scan yields fewer tasks than the cluster has cores.
+
+    A table stored as a few unsplittable files (one row group each) is scanned by a few
+    tasks, and every per-row expression above the scan then runs on those few cores. When the
+    scan already has at least as many partitions as the cluster's default parallelism (the
+    normal case for a large table on a cluster) ``df`` is returned unchanged and no shuffle is
+    added. Rows are hashed on ``key``: a round-robin repartition would first sort every row to
+    stay deterministic on retry.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, key)

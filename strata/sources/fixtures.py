@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from strata.functions.metrics import congestion_level, congestion_ratio
 from strata.functions.rounding import round_half_up
 from strata.functions.temporal import iso_utc_text
+from strata.operators.partitioning import spread
 
 TRAFFIC_TYPES = ("view", "click", "purchase")
 WEATHER_TYPES = ("signup", "error")
@@ -42,11 +43,14 @@ def _k() -> Column:
 def located_events(spark: SparkSession, sf_dir: str, event_types, year_shift: int = 0) -> DataFrame:
     """Events of the given types with their location and coordinates.
 
-    The region join is against a 5-row dimension, which the planner broadcasts by size.
+    The region join is against a 5-row dimension, which the planner broadcasts by size. A scan
+    with fewer tasks than cores (one large row group) is spread first, so the per-row work of
+    the feeds runs on every core.
     """
     ev = (table(spark, sf_dir, "events")
           .filter(F.col("event_type").isin(*event_types))
           .select("event_id", "ts", "user_id", "value", "props"))
+    ev = spread(ev, "event_id")
     if year_shift:
         ev = ev.withColumn("ts", F.col("ts") + F.expr(f"INTERVAL {int(year_shift)} YEAR"))
     region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
