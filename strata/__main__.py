@@ -25,13 +25,15 @@ def main(argv=None) -> None:
     ap.add_argument("--master", default=None)
     ap.add_argument("--landing-lines", action="store_true",
                     help="landing files hold JSON lines (default: one object per file)")
+    ap.add_argument("--landing-pattern", default="topic={topic}",
+                    help="folder of one topic below landing/ ('{topic}' for one-object-per-file folders)")
     ap.add_argument("--publish-to", default=None, help="copy silver and gold below this URI (K9)")
     ap.add_argument("--no-train", action="store_true")
     ap.add_argument("--no-export", action="store_true")
     args = ap.parse_args(argv)
 
     spark = get_session(args.master)
-    layout = medallion.Layout(args.root.rstrip("/"))
+    layout = medallion.Layout(args.root.rstrip("/"), landing_pattern=args.landing_pattern)
     multi_line = not args.landing_lines
     if args.job == "full":
         log = medallion.medallion_run(spark, layout, multi_line=multi_line, train=not args.no_train,

@@ -26,9 +26,16 @@ class Layout:
     root: str
     traffic_topic: str = writers.DEFAULT_TOPICS["traffic"]
     weather_topic: str = writers.DEFAULT_TOPICS["weather"]
+    # Folder of one topic below landing/: "topic={topic}" is what the publish fallback (K8)
+    # writes; "{topic}" reads one-object-per-file folders named after the topic.
+    landing_pattern: str = "topic={topic}"
+
+    @property
+    def landing_root(self) -> str:
+        return f"{self.root}/landing"
 
     def landing(self, topic: str) -> str:
-        return f"{self.root}/landing/{topic}"
+        return f"{self.landing_root}/{self.landing_pattern.format(topic=topic)}"
 
     def bronze(self, topic: str) -> str:
         return f"{self.root}/bronze/{topic}"
@@ -131,9 +138,22 @@ def training_job(spark: SparkSession, analytics_path: str, mart_path: str, model
 
 def medallion_run(spark: SparkSession, layout: Layout, multi_line: bool = True,
                   stamp_ingestion: bool = True, train: bool = True, export: bool = True,
-                  publish_to: str | None = None, model_params: dict | None = None) -> list[dict]:
-    """Landing -> bronze -> silver -> gold (-> publish, models, BI export), in order."""
-    log = [
+                  publish_to: str | None = None, model_params: dict | None = None,
+                  events: tuple[DataFrame | None, DataFrame | None] | None = None,
+                  bootstrap_servers: str | None = None) -> list[dict]:
+    """(publish) -> landing -> bronze -> silver -> gold (-> layer publish, models, BI export).
+
+    ``events`` = ``(traffic, weather)`` standardized events (e.g. flattened API payloads) are
+    first published (K6/K7) to the broker, or to the landing zone when there is none (K8); the
+    bronze jobs then read what landed (JSON lines).
+    """
+    log = []
+    if events is not None:
+        frame = writers.publish_frame(*events)
+        route = writers.publish(frame, layout.landing_root, bootstrap_servers)
+        log.append({"layer": "publish events", "route": route})
+        multi_line = False
+    log += [
         bronze_job(spark, layout.landing(layout.traffic_topic), layout.bronze(layout.traffic_topic),
                    schemas.with_fields(schemas.TRAFFIC_SCHEMA, [("event_id", schemas.L),
                                                                 ("ingestion_timestamp", schemas.T.TimestampNTZType())])

@@ -68,3 +68,16 @@ def test_stream_publish_falls_back_to_landing(spark):
     back = landing.read_landing(spark, f"{base}/landing/topic=traffic-raw-events", schemas.TRAFFIC_SCHEMA,
                                 multi_line=False, glob=None)
     assert rows(back, "city_name", "current_speed") == [("A", 30.0)]
+
+
+def test_full_run_from_api_payloads_through_the_landing_fallback(spark, sf_small):
+    from strata.plans import driver as d
+    traffic, weather = d._flat_traffic(spark, sf_small), d._flat_weather(spark, sf_small)
+    layout = medallion.Layout(scratch_path(spark, "test-w5-payloads"))
+    log = medallion.medallion_run(spark, layout, events=(traffic, weather), train=False, export=False)
+    assert log[0] == {"layer": "publish events", "route": "landing"}
+    got = writers.read_layer(spark, layout.analytics, schemas.ANALYTICS_SCHEMA)
+    want = gold.kpi_rollup(gold.feature_mart(silver.silver_traffic(traffic), silver.silver_weather(weather)),
+                           order_by=None)
+    assert got.count() > 0
+    assert rows(got.select(*want.columns)) == rows(want)
