@@ -419,4 +419,14 @@ def medallion_files(spark: SparkSession, sf: str) -> DataFrame:
     return writers.read_layer(spark, layout.analytics, schemas.ANALYTICS_SCHEMA).select(*KPI_COLS)
 
 
+def medallion_from_payloads(spark: SparkSession, sf: str) -> DataFrame:
+    """S11-S13 + J3, K6-K8, W1-W4: raw API bodies flattened, published (no broker here, so to
+    the landing fallback), then bronze, silver and gold from what landed; returns the KPI table."""
+    layout = medallion.Layout(scratch_path(spark, "medallion-payloads"))
+    medallion.medallion_run(spark, layout, events=(_flat_traffic(spark, sf), _flat_weather(spark, sf)),
+                            train=False, export=False)
+    return writers.read_layer(spark, layout.analytics, schemas.ANALYTICS_SCHEMA).select(*KPI_COLS)
+
+
 QUERIES["medallion_files"] = medallion_files
+QUERIES["medallion_from_payloads"] = medallion_from_payloads

@@ -178,8 +178,9 @@ def joined_ctes() -> list[str]:
     ]
 
 
-def mart_ctes(year_shift: int = 0) -> list[str]:
-    return silver_traffic_ctes() + silver_weather_ctes(year_shift) + joined_ctes() + [
+def gold_mart_ctes() -> list[str]:
+    """J1 with fallback and the mart features over CTEs named silver_traffic / silver_weather."""
+    return joined_ctes() + [
         f"""mart AS (
   SELECT * REPLACE (coalesce(temperature, {dbl(25.0)}) AS temperature, coalesce(humidity, 70) AS humidity,
                     coalesce(weather_condition, 'Clear') AS weather_condition, coalesce(aqi, 2) AS aqi,
@@ -193,6 +194,10 @@ def mart_ctes(year_shift: int = 0) -> list[str]:
     ]
 
 
+def mart_ctes(year_shift: int = 0) -> list[str]:
+    return silver_traffic_ctes() + silver_weather_ctes(year_shift) + gold_mart_ctes()
+
+
 KPI_AVERAGES = (
     ("avg_current_speed", "current_speed", 2),
     ("avg_free_flow_speed", "free_flow_speed", 2),
@@ -204,6 +209,13 @@ KPI_AVERAGES = (
 )
 
 
+def kpi_cte() -> str:
+    aggs = ", ".join(f"{rhu(f'avg({src})', d)} AS {name}" for name, src, d in KPI_AVERAGES)
+    return f"""kpi AS (
+  SELECT city_name, hour, is_weekend, congestion_level, {aggs}, count(*) AS total_observations
+  FROM mart GROUP BY city_name, hour, is_weekend, congestion_level)"""
+
+
 def kpi_ctes() -> list[str]:
     aggs = ", ".join(f"{rhu(f'avg({src})', d)} AS {name}" for name, src, d in KPI_AVERAGES)
     return mart_ctes() + [f"""kpi AS (
@@ -486,5 +498,22 @@ def stream_oracle() -> dict[str, str]:
     }
 
 
+def payload_kpi_ctes() -> list[str]:
+    """Flattened payload events through silver and gold (the events are unique per location
+    and timestamp, so the dedup keeps every row)."""
+    return flat_traffic_ctes() + flat_weather_ctes() + [
+        f"ft AS ({flat_traffic_select()})",
+        dedup_cte("ft_dedup", "ft", 'city_name, "timestamp"', "poll_id"),
+        f"ft_clean AS (SELECT * FROM ft_dedup WHERE {TRAFFIC_RULES_SQL})",
+        f"silver_traffic AS ({temporal_select('ft_clean')})",
+        dedup_cte("fw_dedup", "flat_weather", 'city_name, "timestamp"', "poll_id"),
+        f"fw_clean AS (SELECT *, poll_id AS event_id FROM fw_dedup WHERE {WEATHER_RULES_SQL})",
+        f"silver_weather AS ({temporal_select('fw_clean')})",
+    ] + gold_mart_ctes() + [kpi_cte()]
+
+
 def job_oracle() -> dict[str, str]:
-    return {"medallion_files": with_query(kpi_ctes(), f"SELECT {cols(KPI_COLS)} FROM kpi")}
+    return {
+        "medallion_files": with_query(kpi_ctes(), f"SELECT {cols(KPI_COLS)} FROM kpi"),
+        "medallion_from_payloads": with_query(payload_kpi_ctes(), f"SELECT {cols(KPI_COLS)} FROM kpi"),
+    }
