@@ -7,7 +7,8 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 
 from strata.operators.layers import add_layer_metadata, add_temporal_features
-from strata.operators.quality import Order, apply_rules, dedup, traffic_rules, weather_rules
+from strata.operators.quality import (Order, apply_rules, dedup, first_failed_rule, traffic_rules,
+                                     weather_rules)
 
 EVENT_KEYS = ("city_name", "timestamp")
 # T4: the earliest ingestion survives; event_id breaks ties.
@@ -23,9 +24,15 @@ def silver(
     filter_first: bool = False,
     dedup_method: str = "window",
     processed_col: str | None = "processed_timestamp",
+    reject_col: str | None = None,
 ) -> DataFrame:
     """Dedup on ``keys`` then quality rules (the reference's order, T5), or rules first with
-    ``filter_first=True`` (then a bad copy cannot remove a good one, and the rules reach the scan)."""
+    ``filter_first=True`` (then a bad copy cannot remove a good one, and the rules reach the scan).
+
+    With ``reject_col`` (dedup-first order only) nothing is filtered: the column names the first
+    rule each survivor fails (null when it passes), so a job can count rejects per rule while it
+    writes and filter afterwards.
+    """
     order = [o for o in order if (o[0] if isinstance(o, tuple) else o) in df.columns]
     # Calendar parts are derived once per row before the dedup and ride through it. Derived
     # after it, they would be functions of the dedup key, and the null checks Catalyst infers
@@ -34,6 +41,8 @@ def silver(
     timed = add_temporal_features(df, "timestamp", tz)
     if filter_first:
         clean = dedup(apply_rules(timed, rules), keys, order, method=dedup_method)
+    elif reject_col:
+        clean = dedup(timed, keys, order, method=dedup_method).withColumn(reject_col, first_failed_rule(rules))
     else:
         clean = apply_rules(dedup(timed, keys, order, method=dedup_method), rules)
     return add_layer_metadata(clean, "Silver", processed_col)

@@ -85,20 +85,31 @@ def bronze_job(spark: SparkSession, src: str, dst: str, schema, multi_line: bool
 
 
 def silver_job(spark: SparkSession, src: str, dst: str, rules, filter_first: bool = False) -> dict:
-    """Bronze table -> dedup, rules, calendar features -> silver table.
-
-    The difference between input and output is split into duplicates and rejects by the row
-    accounting (D4) when asked for; here both counts come from observations on the way.
-    """
+    """Bronze table -> dedup, rules, calendar features -> silver table, with the row
+    accounting (D4) observed in the same pass: input rows, duplicates removed, rejects per rule
+    (first rule failed) and rows written."""
     bronze = landing.read_table(spark, src)
     if bronze is None:  # S5: nothing landed yet is not an error
-        return {"layer": "silver", "path": dst, "rows_in": 0, "rows": 0, "removed": 0, "skipped": True}
+        return {"layer": "silver", "path": dst, "rows_in": 0, "rows": 0, "duplicates": 0,
+                "rejects": {}, "skipped": True}
     bronze, seen = _count(bronze, "silver_in")
-    out = silver.silver(bronze, rules, filter_first=filter_first)
-    out, kept = _count(out, "silver_out")
+    if filter_first:
+        out, kept = _count(silver.silver(bronze, rules, filter_first=True), "silver_out")
+        writers.write_layer(out, dst)
+        n_in, n_out = seen.get.get("rows", 0), kept.get.get("rows", 0)
+        return {"layer": "silver", "path": dst, "rows_in": n_in, "rows": n_out, "removed": n_in - n_out}
+    classified = silver.silver(bronze, rules, reject_col="__reject")
+    verdicts = Observation("silver_rules")
+    metrics = [F.count(F.lit(1)).alias("survivors")] + [
+        F.sum(F.when(F.col("__reject") == r.name, 1).otherwise(0)).alias(f"rule_{i}") for i, r in enumerate(rules)]
+    classified = classified.observe(verdicts, *metrics)
+    out = classified.filter(F.col("__reject").isNull()).drop("__reject")
     writers.write_layer(out, dst)
-    n_in, n_out = seen.get.get("rows", 0), kept.get.get("rows", 0)
-    return {"layer": "silver", "path": dst, "rows_in": n_in, "rows": n_out, "removed": n_in - n_out}
+    n_in, v = seen.get.get("rows", 0), verdicts.get
+    rejects = {r.name: int(v.get(f"rule_{i}") or 0) for i, r in enumerate(rules)}
+    survivors = int(v.get("survivors") or 0)
+    return {"layer": "silver", "path": dst, "rows_in": n_in, "duplicates": n_in - survivors,
+            "rejects": {k: n for k, n in rejects.items() if n}, "rows": survivors - sum(rejects.values())}
 
 
 def gold_job(spark: SparkSession, traffic_path: str, weather_path: str, mart_path: str,

@@ -81,3 +81,15 @@ def test_full_run_from_api_payloads_through_the_landing_fallback(spark, sf_small
                            order_by=None)
     assert got.count() > 0
     assert rows(got.select(*want.columns)) == rows(want)
+
+
+def test_silver_job_splits_duplicates_and_rejects(spark, sf_small):
+    base = scratch_path(spark, "test-silver-acc")
+    writers.write_layer(fixtures.traffic_raw(spark, sf_small), f"{base}/bronze")
+    out = medallion.silver_job(spark, f"{base}/bronze", f"{base}/silver", quality.traffic_rules())
+    acc = {r.outcome: r.rows for r in quality.row_accounting(
+        fixtures.traffic_raw(spark, sf_small), silver.EVENT_KEYS, silver.FIRST_INGESTED,
+        quality.traffic_rules(), "traffic").collect()}
+    assert out["rows_in"] == acc["input"] and out["duplicates"] == acc["duplicate"]
+    assert out["rows"] == acc["output"] == spark.read.parquet(f"{base}/silver").count()
+    assert out["rejects"] == {k: v for k, v in acc.items() if k not in ("input", "duplicate", "output")}
