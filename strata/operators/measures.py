@@ -72,12 +72,10 @@ def measures(
     if len(outer) == len(by):
         return out
     peak_col = (round_half_up(peak, digits) if digits is not None else peak).alias("peak_hour_congestion")
-    key = outer or ["__all"]
-    base = analytics if outer else analytics.withColumn("__all", F.lit(1))
-    peaks = base.groupBy(*key).agg(peak_col)
-    if not outer:
-        out = out.withColumn("__all", F.lit(1))
-    joined = out.join(peaks, key, "left")
+    if outer:
+        joined = out.join(analytics.groupBy(*outer).agg(peak_col), outer, "left")
+    else:  # sliced by hour alone: one value over the whole table, an uncorrelated scalar subquery
+        joined = out.withColumn("peak_hour_congestion", analytics.agg(peak_col).scalar())
     cols = by + ["avg_congestion_ratio", "avg_current_speed", "avg_free_flow_speed", "congestion_index_pct",
                  "peak_hour_congestion", "average_aqi", "average_pm2_5", "weather_risk_level"]
     return joined.select(*cols)

@@ -328,18 +328,54 @@ def stream_silver(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(out).select(*SILVER_TRAFFIC_COLS)
 
 
+LANDING_WEATHER_SCHEMA = schemas.with_fields(
+    schemas.WEATHER_SCHEMA, [("event_id", schemas.L), ("ingestion_timestamp", schemas.T.TimestampNTZType())])
+
+
+def _weather_generations(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """The weather feed split at the middle of its time range (earlier half, later half); the
+    midpoint is an uncorrelated scalar subquery, computed once."""
+    w = fixtures.weather_raw(spark, sf)
+    t0, t1 = F.col("t0").cast("timestamp"), F.col("t1").cast("timestamp")
+    mid = (w.agg(F.min("ingestion_timestamp").alias("t0"), F.max("ingestion_timestamp").alias("t1"))
+            .select(F.timestamp_add("SECOND", (F.unix_timestamp(t1) - F.unix_timestamp(t0)) / 2, F.col("t0")))
+            .scalar())
+    return w.filter(F.col("ingestion_timestamp") < mid), w.filter(F.col("ingestion_timestamp") >= mid)
+
+
 def stream_gold_refresh(spark: SparkSession, sf: str) -> DataFrame:
-    """ST6: the streamed silver table drives ``foreachBatch`` gold refreshes; the final KPI
-    table equals the batch rollup."""
+    """ST2-ST6: both feeds land in two rounds and stream through silver; after each round the
+    ``foreachBatch`` gold refresh rebuilds the touched days.
+
+    Round one lands all traffic and the earlier half of the weather, so days of the later half
+    get no hourly matches yet. Round two lands the late traffic copies (dropped by the
+    watermark dedup) and the later weather, which re-triggers exactly those days. The final KPI
+    table equals the batch rollup.
+    """
     base = scratch_path(spark, "gold-refresh")
-    silver_t, silver_w = f"{base}/silver/traffic", f"{base}/silver/weather"
-    _stream_silver_to(spark, sf, silver_t)
-    writers.write_layer(_silver_weather(spark, sf), silver_w)
-    streams.run_gold_refresh(spark, silver_t, silver_w, f"{base}/gold/feature_mart",
-                             f"{base}/gold/analytics", f"{base}/checkpoint")
+    _stream_gold_rounds(spark, sf, base)
     return writers.read_layer(spark, f"{base}/gold/analytics", schemas.ANALYTICS_SCHEMA).select(*KPI_COLS)
 
 
+def _stream_gold_rounds(spark: SparkSession, sf: str, base: str, after_round=None) -> None:
+    silver_t, silver_w = f"{base}/silver/traffic", f"{base}/silver/weather"
+    rounds = [
+        (fixtures.traffic_raw(spark, sf, generation=0), _weather_generations(spark, sf)[0]),
+        (fixtures.traffic_raw(spark, sf, generation=1), _weather_generations(spark, sf)[1]),
+    ]
+    for traffic, weather in rounds:
+        landing.write_landing_json(traffic.select(*LANDING_TRAFFIC_SCHEMA.names), f"{base}/landing/traffic")
+        landing.write_landing_json(weather.select(*LANDING_WEATHER_SCHEMA.names), f"{base}/landing/weather")
+        for kind, schema, rules, out in (("traffic", LANDING_TRAFFIC_SCHEMA, quality.traffic_rules(), silver_t),
+                                         ("weather", LANDING_WEATHER_SCHEMA, quality.weather_rules(), silver_w)):
+            stream = streams.landing_stream(spark, f"{base}/landing/{kind}", schema)
+            streams.run_to_table(streams.silver_stream(stream, rules), out, f"{base}/checkpoint/{kind}")
+        streams.run_gold_refresh(spark, silver_t, silver_w, f"{base}/gold/feature_mart",
+                                 f"{base}/gold/analytics", f"{base}/checkpoint/gold")
+        if after_round:
+            after_round(f"{base}/gold/analytics")
+
+
 QUERIES.update({
     "stream_silver": stream_silver,
     "stream_gold_refresh": stream_gold_refresh,

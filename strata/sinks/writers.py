@@ -135,8 +135,7 @@ def publish_layer(spark: SparkSession, src: str, dst: str, partition_by: Sequenc
     df = spark.read.parquet(src)
     write_layer(df, dst, partition_by=[c for c in partition_by if c in df.columns])
     name = layer or dst
-    files = (object_manifest(spark, dst)
-             .agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
-             .withColumn("layer", F.lit(name)))
-    rows = spark.read.parquet(dst).agg(F.count(F.lit(1)).alias("rows")).withColumn("layer", F.lit(name))
-    return files.join(rows, "layer").select("layer", "files", "bytes", "rows")
+    rows = spark.read.parquet(dst).agg(F.count(F.lit(1))).scalar()
+    return (object_manifest(spark, dst)
+            .agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
+            .select(F.lit(name).alias("layer"), "files", "bytes", rows.alias("rows")))
