@@ -31,8 +31,10 @@ def main() -> None:
     from strata.session import get_session
     from strata.plans import driver
 
+    memory = os.environ.get("BENCH_MEMORY", "16g")
     spark = get_session(f"local[{cpus}]", app_name="strata-bench", shuffle_partitions=int(cpus),
-                        extra_conf={"spark.driver.memory": os.environ.get("BENCH_MEMORY", "16g")})
+                        extra_conf={"spark.driver.memory": memory})
+
     def run_once(name: str) -> float:
         t0 = time.perf_counter()
         driver.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
@@ -53,6 +55,7 @@ def main() -> None:
         "queries": times,
         "sf": float(m.group(1)) if m else None,
         "cpus": int(cpus),
+        "driver_memory": memory,
         "runs": runs,
     }))
     spark.stop()
