@@ -86,7 +86,8 @@ def gold_refresh_batch(spark: SparkSession, silver_traffic_path: str, silver_wea
     day_of_month)`` partitions. KPI state is kept per day as sums and counts
     (``kpi_partials``); the KPI table is re-derived from that small table. Work per batch
     grows with the touched days, not with the history. Touched keys stay a DataFrame (semi
-    joins, no collect).
+    joins, no collect). The refresh is idempotent: a micro-batch replayed after a failure
+    recomputes the same partitions from silver and overwrites them with the same rows.
     """
     partials_path = partials_path or f"{mart_path.rstrip('/')}_kpi_partials"
     day = list(gold.DAY_KEYS)
