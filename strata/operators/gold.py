@@ -49,7 +49,9 @@ def hourly_weather(weather: DataFrame, measures: Sequence[str] = WEATHER_MEASURE
     order = [o for o in order if (o.column if isinstance(o, Order) else o[0]) in order_cols]
     narrow = weather.select(*[F.col(src).alias(alias) for alias, src in keys],
                             *measures, *[c for c in order_cols if c not in measures])
-    out = dedup(narrow, [alias for alias, _ in keys], order, method=dedup_method)
+    # T4: without an event id among the order columns, a row hash breaks ties.
+    tie = "event_id" not in order_cols
+    out = dedup(narrow, [alias for alias, _ in keys], order, method=dedup_method, tie_break=tie)
     return out.select(*[alias for alias, _ in keys], *measures)
 
 

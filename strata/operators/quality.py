@@ -37,6 +37,7 @@ def dedup(
     order: Sequence = (),
     method: str = "window",
     count_col: str | None = None,
+    tie_break: bool = False,
 ) -> DataFrame:
     """Keep one row per ``keys``: the first row under ``order`` (nulls last).
 
@@ -46,9 +47,16 @@ def dedup(
     takes ``min``/``max`` of a struct led by the order columns (all ascending or all
     descending), combined map-side as well; ``count_col`` (aggregate only) adds the number of
     rows per key, which the row accounting uses.
+
+    ``tie_break`` appends ``xxhash64`` of the row's columns as the last sort key (T4), so the
+    order is total even when the given columns tie, and a task recomputed after an executor loss
+    picks the same survivor as the first attempt. It reads every column (no column pruning
+    below the dedup), so callers turn it on only when the order has no unique id.
     """
     keys = list(keys)
     order = _order_list(order)
+    hashable = [f.name for f in df.schema.fields if f.dataType.typeName() != "map"]
+    tb = F.xxhash64(*[F.col(c) for c in hashable]) if tie_break and hashable else None
     directions = {o.ascending for o in order}
     if method == "aggregate" and len(directions) > 1:
         method = "window"
@@ -56,7 +64,10 @@ def dedup(
         if count_col:
             raise ValueError("count_col needs method='aggregate'")
         sort = [(F.col(o.column).asc_nulls_last() if o.ascending else F.col(o.column).desc_nulls_last())
-                for o in order] or [F.lit(0)]
+                for o in order]
+        if tb is not None:
+            sort.append(tb.asc() if not order or order[-1].ascending else tb.desc())
+        sort = sort or [F.lit(0)]
         w = Window.partitionBy(*keys).orderBy(*sort)
         return (df.withColumn("__rn", F.row_number().over(w))
                   .filter(F.col("__rn") == 1).drop("__rn"))
@@ -69,6 +80,8 @@ def dedup(
         # not-null flag leads when descending (true > false under max).
         flag = F.col(o.column).isNull() if ascending else F.col(o.column).isNotNull()
         fields += [flag.alias(f"__n{i}"), F.col(o.column).alias(f"__o{i}")]
+    if tb is not None:
+        fields.append(tb.alias("__tb"))
     fields.append(F.struct(*[F.col(c) for c in rest]).alias("__row"))
     pick = F.min if ascending else F.max
     aggs = [pick(F.struct(*fields)).alias("__best")]

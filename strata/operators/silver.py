@@ -39,12 +39,15 @@ def silver(
     # from the hourly join would be pushed below the aggregate into the scan, re-parsing the
     # text once per part and per row.
     timed = add_temporal_features(df, "timestamp", tz)
+    # T4: the order ends in a unique id when there is one; otherwise a row hash breaks ties.
+    tie = "event_id" not in df.columns
     if filter_first:
-        clean = dedup(apply_rules(timed, rules), keys, order, method=dedup_method)
+        clean = dedup(apply_rules(timed, rules), keys, order, method=dedup_method, tie_break=tie)
     elif reject_col:
-        clean = dedup(timed, keys, order, method=dedup_method).withColumn(reject_col, first_failed_rule(rules))
+        clean = (dedup(timed, keys, order, method=dedup_method, tie_break=tie)
+                 .withColumn(reject_col, first_failed_rule(rules)))
     else:
-        clean = apply_rules(dedup(timed, keys, order, method=dedup_method), rules)
+        clean = apply_rules(dedup(timed, keys, order, method=dedup_method, tie_break=tie), rules)
     return add_layer_metadata(clean, "Silver", processed_col)
 
 
