@@ -15,7 +15,9 @@ def spread(df: DataFrame, key: str, min_partitions: int | None = None) -> DataFr
     added. Rows are hashed on ``key``: a round-robin repartition would first sort every row to
     stay deterministic on retry.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        scanned = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a Spark Connect session): leave as is
         return df
-    return df.repartition(target, key)
+    return df if scanned >= target else df.repartition(target, key)
