@@ -279,6 +279,14 @@ def layer_publish(spark: SparkSession, sf: str) -> DataFrame:
     return writers.publish_layer(spark, src, dst, layer="silver/traffic")
 
 
+def layer_publish_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """K1 + K9: the published copy of the silver weather layer, counted per location partition."""
+    src, dst = scratch_path(spark, "silver-weather"), scratch_path(spark, "published-weather")
+    writers.write_layer(_silver_weather(spark, sf), src)
+    writers.publish_layer(spark, src, dst, layer="silver/weather")
+    return spark.read.parquet(dst).groupBy("city_name").agg(F.count(F.lit(1)).alias("rows"))
+
+
 def object_manifest(spark: SparkSession, sf: str) -> DataFrame:
     """The file manifest of a freshly written layer, summed per partition folder."""
     path = scratch_path(spark, "manifest")
@@ -297,6 +305,7 @@ QUERIES.update({
     "csv_roundtrip": csv_roundtrip,
     "landing_roundtrip": landing_roundtrip,
     "layer_publish": layer_publish,
+    "layer_publish_rows": layer_publish_rows,
     "object_manifest": object_manifest,
 })
 

@@ -483,6 +483,8 @@ def sink_oracle() -> dict[str, str]:
 UNION ALL SELECT 'weather-raw-events', city_name, poll_id, "timestamp" FROM flat_weather
 UNION ALL SELECT 'aqi-raw-events', city_name, poll_id, "timestamp" FROM flat_weather""")
     q["csv_roundtrip"] = with_query(kpi_ctes(), f"SELECT {cols(KPI_COLS)} FROM kpi")
+    q["layer_publish_rows"] = with_query(
+        silver_weather_ctes(), 'SELECT city_name, count(*) AS "rows" FROM silver_weather GROUP BY city_name')
     q["landing_roundtrip"] = q["flatten_raw_traffic"]
     return q
 
