@@ -9,7 +9,7 @@ from tools.oracle_check import TABLES, rows_of
 FAST = ["parse_temporal", "dedup_events", "row_accounting", "silver_traffic", "silver_weather",
         "hourly_weather", "hourly_join", "fallback_join", "feature_mart", "kpi_rollup",
         "measures_by_location", "measures_total", "measures_by_location_hour", "location_enrich", "decision_alerts",
-        "flatten_raw_traffic", "flatten_raw_weather_aqi", "publish_events"]
+        "flatten_raw_traffic", "flatten_raw_weather_aqi", "publish_events", "layer_publish_rows"]
 
 
 def test_entry_returns_rows(spark):
