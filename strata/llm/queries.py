@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.llm.common import read_table
+from strata.llm.decontam import benchmark_hits
 from strata.llm.packing import byte_bpe_encoder, pack
+from strata.llm.simhash import near_duplicates
 
 PIECE_COLUMNS = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
@@ -24,5 +27,22 @@ def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read_table(spark, sf_dir, "documents"), bpe_encoder).select(*PIECE_COLUMNS)
 
 
-QUERIES = {"op1_pack": op1_pack}
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = benchmark_hits(read_table(spark, sf_dir, "documents"),
+                           read_table(spark, sf_dir, "benchmark"))
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"),
+                        lambda acc, x: acc + (x["e"] - x["s"]).cast("long"))
+    return found.select(
+        "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        (F.size("spans") > 0).alias("contaminated"))
+
+
+QUERIES = {"op1_pack": op1_pack, "op6_simhash": op6_simhash,
+           "op7_decontaminate": op7_decontaminate}
 ORACLE: dict[str, str] = {}
