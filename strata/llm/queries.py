@@ -9,6 +9,7 @@ from strata.llm.common import read_table
 from strata.llm.decontam import benchmark_hits
 from strata.llm.packing import byte_bpe_encoder, pack
 from strata.llm.simhash import near_duplicates
+from strata.llm.substring_dedup import remove_repeats
 
 PIECE_COLUMNS = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
@@ -27,6 +28,11 @@ def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read_table(spark, sf_dir, "documents"), bpe_encoder).select(*PIECE_COLUMNS)
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents")).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -43,6 +49,6 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.size("spans") > 0).alias("contaminated"))
 
 
-QUERIES = {"op1_pack": op1_pack, "op6_simhash": op6_simhash,
-           "op7_decontaminate": op7_decontaminate}
+QUERIES = {"op1_pack": op1_pack, "op3_substring_dedup": op3_substring_dedup,
+           "op6_simhash": op6_simhash, "op7_decontaminate": op7_decontaminate}
 ORACLE: dict[str, str] = {}
