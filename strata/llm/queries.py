@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.llm import oracle
 from strata.llm.common import read_table
 from strata.llm.decontam import benchmark_hits
 from strata.llm.packing import byte_bpe_encoder, pack
+from strata.llm.quality_rules import judge
 from strata.llm.simhash import near_duplicates
 from strata.llm.substring_dedup import remove_repeats
 
@@ -33,6 +35,12 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept")
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents")).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -49,6 +57,15 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.size("spans") > 0).alias("contaminated"))
 
 
-QUERIES = {"op1_pack": op1_pack, "op3_substring_dedup": op3_substring_dedup,
-           "op6_simhash": op6_simhash, "op7_decontaminate": op7_decontaminate}
-ORACLE: dict[str, str] = {}
+QUERIES = {
+    "op1_pack": op1_pack,
+    "op3_substring_dedup": op3_substring_dedup,
+    "op4_quality_rules": op4_quality_rules,
+    "op6_simhash": op6_simhash,
+    "op7_decontaminate": op7_decontaminate,
+}
+ORACLE = {
+    "op3_substring_dedup": oracle.SUBSTRING_DEDUP,
+    "op4_quality_rules": oracle.QUALITY_RULES,
+    "op7_decontaminate": oracle.DECONTAMINATE,
+}
