@@ -26,7 +26,7 @@ with parts as (
   select r, count(distinct i + j) as n
   from repeated, (select unnest(range(0, 5)) as j) group by r
 ), passing as (
-  select r, list_filter(lines, l ->
+  select r, list_filter(lines, lambda l:
       regexp_matches(l, '[.!?…]["''”’»)\]]*(\s|$)')
       and {_count('l', '|>»·•')} * 20 <= length(l)
       and {_count('l', '#*$%&<!')} * 20 <= length(l)

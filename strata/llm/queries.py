@@ -5,15 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import oracle
+from strata.llm import oracle, quality_classifier, toxicity
 from strata.llm.common import read_table
 from strata.llm.decontam import benchmark_hits
+from strata.llm.html_extract import extract
 from strata.llm.packing import byte_bpe_encoder, pack
 from strata.llm.quality_rules import judge
+from strata.llm.sampling import id_crc
 from strata.llm.simhash import near_duplicates
 from strata.llm.substring_dedup import remove_repeats
 
 PIECE_COLUMNS = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+QUALITY_THRESHOLD = 0.3
 
 
 def tokenizer_path(name: str) -> str:
@@ -41,6 +44,14 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    known = read_table(spark, sf_dir, "labels").where(id_crc() % 3 != 1)
+    scored = toxicity.score(docs, toxicity.fit(docs, known))
+    return scored.select("doc_id", (id_crc() % 3 == 1).alias("held_out"), "score",
+                         (F.col("score") >= 0.7).cast("int").alias("predicted"), "offending")
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents")).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -57,12 +68,33 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.size("spans") > 0).alias("contaminated"))
 
 
+def op8_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(read_table(spark, sf_dir, "pages")).withColumn(
+        "n_chars", F.char_length("text").cast("long"))
+
+
+def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, score), learned from the labels whose id remainder modulo 5 is not 0."""
+    model = quality_classifier.fit(docs, labels.where(id_crc() % 5 != 0))
+    return quality_classifier.score(docs, model)
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality_scores(read_table(spark, sf_dir, "documents"),
+                            read_table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", (id_crc() % 5 == 0).alias("held_out"), "score",
+                         (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"))
+
+
 QUERIES = {
     "op1_pack": op1_pack,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_quality_rules": op4_quality_rules,
+    "op5_toxicity": op5_toxicity,
     "op6_simhash": op6_simhash,
     "op7_decontaminate": op7_decontaminate,
+    "op8_html_extract": op8_html_extract,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 ORACLE = {
     "op3_substring_dedup": oracle.SUBSTRING_DEDUP,
