@@ -6,6 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from strata.session import checkpoint_root
 
 # Rows handled at once inside a Python task; bounds the memory of derived lists.
 SLICE_ROWS = 512
+SLICE_BYTES = 4 << 20
 # Entries kept in a per-task memo before it is emptied.
 MEMO_ENTRIES = 400_000
 
@@ -33,10 +35,22 @@ def as_bytes(text: str = "text"):
     return F.col(text).cast("binary").alias("text")
 
 
-def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS,
+           limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Pieces of at most ``rows`` rows that hold about ``limit`` bytes (or one row)."""
     for batch in batches:
-        for start in range(0, batch.num_rows, rows):
-            yield batch.slice(start, rows)
+        sizes = np.zeros(batch.num_rows, np.int64)
+        for column in batch.columns:
+            if pa.types.is_binary(column.type) or pa.types.is_string(column.type):
+                sizes += pc.fill_null(pc.binary_length(column), 0).to_numpy().astype(np.int64)
+        total = np.cumsum(sizes)
+        start = 0
+        while start < batch.num_rows:
+            before = total[start - 1] if start else 0
+            end = int(np.searchsorted(total, before + limit, "right"))
+            end = min(max(end, start + 1), start + rows, batch.num_rows)
+            yield batch.slice(start, end - start)
+            start = end
 
 
 class WordHashes(dict):

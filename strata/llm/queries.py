@@ -9,11 +9,13 @@ from strata.llm import oracle, quality_classifier, toxicity
 from strata.llm.common import read_table
 from strata.llm.decontam import benchmark_hits
 from strata.llm.html_extract import extract
+from strata.llm.line_dedup import line_report
 from strata.llm.packing import byte_bpe_encoder, pack
 from strata.llm.quality_rules import judge
 from strata.llm.sampling import id_crc
 from strata.llm.simhash import near_duplicates
 from strata.llm.substring_dedup import remove_repeats
+from strata.llm.token_counts import Vocabulary, token_counts
 
 PIECE_COLUMNS = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 QUALITY_THRESHOLD = 0.3
@@ -33,6 +35,10 @@ def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read_table(spark, sf_dir, "documents"), bpe_encoder).select(*PIECE_COLUMNS)
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_report(read_table(spark, sf_dir, "documents"))
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(read_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -73,6 +79,14 @@ def op8_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_chars", F.char_length("text").cast("long"))
 
 
+def piece_vocabulary(path: str | None = None) -> Vocabulary:
+    return Vocabulary.from_piece_file(path or tokenizer_path("piece_bpe_32k.model"))
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(read_table(spark, sf_dir, "documents"), piece_vocabulary)
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, score), learned from the labels whose id remainder modulo 5 is not 0."""
     model = quality_classifier.fit(docs, labels.where(id_crc() % 5 != 0))
@@ -88,12 +102,14 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_pack": op1_pack,
+    "op2_line_dedup": op2_line_dedup,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_quality_rules": op4_quality_rules,
     "op5_toxicity": op5_toxicity,
     "op6_simhash": op6_simhash,
     "op7_decontaminate": op7_decontaminate,
     "op8_html_extract": op8_html_extract,
+    "op9_token_counts": op9_token_counts,
     "op10_quality_classifier": op10_quality_classifier,
 }
 ORACLE = {
