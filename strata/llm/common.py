@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -10,6 +10,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from strata.session import checkpoint_root
 
@@ -53,6 +54,30 @@ def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS,
             start = end
 
 
+def map_texts(docs: DataFrame, keep: list[str], new: str, make: Callable,
+              text_col: str = "text") -> DataFrame:
+    """Columns ``keep`` of every row and the ``new`` columns (DDL) that are made from its text.
+
+    ``make()`` builds, inside a task, the function from a list of texts (bytes or None) to the
+    Arrow arrays of the new columns; if it returns a mask as well, only those rows stay. A kept column with
+    the name of a new one is replaced.
+    """
+    added = StructType.fromDDL(new)
+    keep = [c for c in keep if c not in added.names]
+    rows = docs.select(*keep, F.col(text_col).cast("binary").alias("_text"))
+    schema = StructType([rows.schema[c] for c in keep] + added.fields)
+
+    def run(batches):
+        work = make()
+        for batch in slices(batches):
+            made = work(batch.column(len(keep)).to_pylist())
+            made, mask = made if isinstance(made, tuple) else (made, None)
+            out = pa.RecordBatch.from_arrays([*batch.columns[:-1], *made], names=schema.names)
+            yield out if mask is None else out.filter(pa.array(mask, pa.bool_()))
+
+    return rows.mapInArrow(run, schema)
+
+
 class WordHashes(dict):
     """Memo word -> 64-bit hash. Emptied by ``trim`` once it holds ``MEMO_ENTRIES`` words."""
 

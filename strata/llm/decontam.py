@@ -16,12 +16,15 @@ each get a row; empty tables give no rows or no hits; extra columns are not read
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import BASE_A, WordHashes, as_bytes, slices, sliding_hash
+from strata.llm.common import (BASE_A, WordHashes, as_bytes, map_texts, slices,
+                               sliding_hash)
 
 WINDOW = 10
 KGRAM = 5
@@ -126,23 +129,52 @@ def merge_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return merged
 
 
-def benchmark_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
-                   kgram: int = KGRAM, block_bytes: int = BLOCK_BYTES, id_col: str = "doc_id",
-                   text_col: str = "text") -> DataFrame:
-    """(doc_id, n_words, spans, items): what each document shares with benchmark items."""
-    spark = docs.sparkSession
+def item_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator:
+    """Broadcasts of all distinct items, each of at most about ``block_bytes``; one at least."""
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"),
                              as_bytes()).where("length(text) > 0").distinct()
     size = items.agg(F.sum(F.length("text") + 64)).first()[0] or 0
     blocks = max(1, -(-size // block_bytes))
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                         F.xxhash64(id_col, text_col).alias("rid"), as_bytes(text_col))
-    found = None
     for block in range(blocks):
         rows = items if blocks == 1 else items.where(
             F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
-        sent = spark.sparkContext.broadcast(
+        yield benchmark.sparkSession.sparkContext.broadcast(
             [(r["item_id"], bytes(r["text"])) for r in rows.collect()])
+
+
+def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
+                    kgram: int = KGRAM, block_bytes: int = BLOCK_BYTES,
+                    text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that share no window with a benchmark item (any extra columns stay)."""
+    columns, spans = docs.columns, "_benchmark_spans"
+    for sent in item_blocks(benchmark, block_bytes):
+        docs = map_texts(docs, columns, f"{spans} int", _clean(sent, window, kgram), text_col)
+        docs = docs.drop(spans)
+    return docs
+
+
+def _clean(sent, window: int, kgram: int):
+    def make():
+        index = BenchmarkIndex(sent.value, window, kgram)
+
+        def work(texts):
+            hits = np.array([len(index.hits(fold_words(t))[0]) for t in texts], np.int32)
+            return [pa.array(hits)], hits == 0
+
+        return work
+
+    return make
+
+
+def benchmark_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
+                   kgram: int = KGRAM, block_bytes: int = BLOCK_BYTES, id_col: str = "doc_id",
+                   text_col: str = "text") -> DataFrame:
+    """(doc_id, n_words, spans, items): what each document shares with benchmark items."""
+    source = docs.select(F.col(id_col).cast("long").alias("doc_id"),
+                         F.xxhash64(id_col, text_col).alias("rid"), as_bytes(text_col))
+    found, blocks = None, 0
+    for sent in item_blocks(benchmark, block_bytes):
+        blocks += 1
         part = source.mapInArrow(_scan(sent, window, kgram), SCHEMA)
         found = part if found is None else found.unionByName(part)
     if blocks > 1:

@@ -7,8 +7,8 @@ a line before others.
 1. Word counts of all documents give the order: rare words first. The ``RANKED`` commonest words
    carry their rank (a table of fixed size); all others are rarer and go by hash.
 2. A line posts itself under the words of its prefix: lines similar enough share one. Lines that
-   meet under a word pass the length filter, the positional filter and a parity sketch of their
-   words that can't differ in more bits than the sets do in words.
+   meet under a word pass the length filter, the positional filter and a 128-bit parity sketch of
+   their words that can't differ in more bits than the sets do in words.
 3. The words of the pairs left are fetched once and the Jaccard similarity is computed exactly.
 
 Lines with equal sets are one class, posted once per task, so a common line costs one row a
@@ -33,10 +33,11 @@ from strata.llm.common import MEMO_ENTRIES, as_bytes, durable, mix, slices
 
 THRESHOLD = (4, 5)
 RANKED = 1 << 16
-SMALL_GROUP = 32
+SMALL_GROUP = 128
 GROUP_ROWS = 1 << 20
 NO_ID = -(1 << 63)
-POSTING = "token long, block int, doc long, line int, class long, n int, pos int, sketch long"
+POSTING = ("token long, block int, doc long, line int, class long, n int, pos int, "
+           "low long, high long")
 
 
 def least_overlap(total, threshold=THRESHOLD):
@@ -120,12 +121,15 @@ def line_sets(order: WordOrder, docs: list[int], texts: list) -> dict:
     n = np.diff(np.append(starts, len(keys)))
     spread = mix(keys + np.uint64(0x632BE59BD9B4E019))
     if len(sizes):
-        sketch = np.bitwise_xor.reduceat(np.uint64(1) << (spread >> np.uint64(58)), starts)
+        bit = np.uint64(1) << (spread >> np.uint64(58))
+        upper = (spread >> np.uint64(57)) & np.uint64(1)
+        low = np.bitwise_xor.reduceat(bit * (upper ^ np.uint64(1)), starts)
+        high = np.bitwise_xor.reduceat(bit * upper, starts)
         classes = mix(np.add.reduceat(spread, starts) + n.astype(np.uint64))
     else:
-        sketch = classes = np.zeros(0, np.uint64)
+        low = high = classes = np.zeros(0, np.uint64)
     return {"doc": np.array(doc, np.int64), "line": np.array(line, np.int32), "n": n,
-            "starts": starts, "keys": keys, "owner": owner, "sketch": sketch,
+            "starts": starts, "keys": keys, "owner": owner, "low": low, "high": high,
             "class": classes.view(np.int64)}
 
 
@@ -167,8 +171,9 @@ def _postings(sent, threshold):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(token.view(np.int64)), pa.array(block), pa.array(s["doc"][own]),
                  pa.array(s["line"][own]), pa.array(s["class"][own]), pa.array(n),
-                 pa.array(pos[at].astype(np.int32)), pa.array(s["sketch"][own].view(np.int64))],
-                names=["token", "block", "doc", "line", "class", "n", "pos", "sketch"])
+                 pa.array(pos[at].astype(np.int32)), pa.array(s["low"][own].view(np.int64)),
+                 pa.array(s["high"][own].view(np.int64))],
+                names=["token", "block", "doc", "line", "class", "n", "pos", "low", "high"])
 
     return run
 
@@ -179,7 +184,8 @@ def may_match(t: dict, x, y, threshold) -> np.ndarray:
     total = nx + ny
     need = least_overlap(total, threshold)
     most = np.minimum(px, py) + 1 + np.minimum(nx - px, ny - py) - 1
-    differ = np.bitwise_count(t["sketch"][x] ^ t["sketch"][y])
+    differ = (np.bitwise_count(t["low"][x] ^ t["low"][y]).astype(np.int32)
+              + np.bitwise_count(t["high"][x] ^ t["high"][y]))
     return ((np.minimum(nx, ny) >= need) & (most >= need) & (differ <= total - 2 * need)
             & (t["class"][x] != t["class"][y]))
 
@@ -248,13 +254,13 @@ def earliest(t: dict) -> dict:
 
 def _candidates(threshold, every: bool):
     """Rows of two kinds: candidate pairs of classes, and every line with its class."""
-    names = ["token", "block", "doc", "line", "class", "n", "pos", "sketch"] + ["probe"] * every
+    names = ["token", "block", "doc", "line", "class", "n", "pos", "low", "high"] + ["probe"] * every
 
     def run(batches):
         held: dict | None = None
         for batch in batches:
             t = {k: batch.column(i).to_numpy(zero_copy_only=False) for i, k in enumerate(names)}
-            t["sketch"] = t["sketch"].astype(np.int64).view(np.uint64)
+            t |= {k: t[k].astype(np.int64).view(np.uint64) for k in ("low", "high")}
             lines = t["pos"] == 0  # a split word repeats such rows, which changes nothing
             if not every:
                 yield output(t["class"][lines], np.zeros(int(lines.sum()), np.int64),

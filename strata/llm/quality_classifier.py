@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import MEMO_ENTRIES, as_bytes, slices
+from strata.llm.common import MEMO_ENTRIES, as_bytes, map_texts, slices
 from strata.llm.sampling import labelled_sample
 
 BUCKETS = 1 << 14
@@ -176,21 +176,18 @@ class QualityModel:
         return self.network.probability(x.astype(np.float64))
 
 
-def _pooled(docs: DataFrame, sent, columns: list[str]) -> DataFrame:
-    """``columns`` and the pooled vector of ``text``, as bytes."""
-    def run(batches):
+def _pooler(sent):
+    def make():
         buckets = TokenBuckets()
-        for batch in slices(batches):
-            rows = [pool(buckets.of(t), sent.value).tobytes()
-                    for t in batch.column(len(columns)).to_pylist()]
+
+        def work(texts):
+            rows = [pool(buckets.of(t), sent.value).tobytes() for t in texts]
             buckets.trim()
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(i) for i in range(len(columns))] + [pa.array(rows, pa.binary())],
-                names=[*columns, "x"])
+            return [pa.array(rows, pa.binary())]
+
+        return work
 
-    kinds = dict(docs.dtypes)
-    schema = ", ".join(f"{c} {kinds[c]}" for c in columns)
-    return docs.select(*columns, "text").mapInArrow(run, f"{schema}, x binary")
+    return make
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality",
@@ -202,8 +199,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality",
     if set(shares) != {0, 1}:
         return QualityModel(vectors, None, prior)
     sent = docs.sparkSession.sparkContext.broadcast(vectors)
-    rows = sorted((r["doc_id"], r["label"], bytes(r["x"])) for r in
-                  _pooled(sample, sent, ["doc_id", "label"]).collect())  # bounded by the sample
+    pooled = map_texts(sample, ["doc_id", "label"], "x binary", _pooler(sent))
+    rows = sorted((r["doc_id"], r["label"], bytes(r["x"]))
+                  for r in pooled.collect())  # bounded by the sample
     y = np.array([r[1] for r in rows], float)
     if len(set(y.tolist())) < 2:
         return QualityModel(vectors, None, prior)
@@ -212,20 +210,22 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality",
     return QualityModel(vectors, fit_network(x, y, weight, epochs), prior)
 
 
-def score(docs: DataFrame, model: QualityModel, id_col: str = "doc_id",
-          text_col: str = "text") -> DataFrame:
-    """(doc_id, score): the probability of label 1 for every row."""
+def score(docs: DataFrame, model: QualityModel, keep: list[str], text_col: str = "text",
+          least: float | None = None) -> DataFrame:
+    """Columns ``keep`` and ``score``, the probability of label 1, of every row; with ``least``
+    only of rows that reach it."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches):
+    def make():
         buckets = TokenBuckets()
-        for batch in slices(batches):
-            x = np.array([pool(buckets.of(t), sent.value.vectors)
-                          for t in batch.column(1).to_pylist()]).reshape(batch.num_rows, -1)
+
+        def work(texts):
+            x = np.array([pool(buckets.of(t), sent.value.vectors) for t in texts])
             buckets.trim()
-            p = sent.value.probability(x) if batch.num_rows else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(p, pa.float64())],
-                                             names=["doc_id", "score"])
+            p = sent.value.probability(x.reshape(len(texts), -1))
+            made = [pa.array(p, pa.float64())]
+            return made if least is None else (made, p >= least)
+
+        return work
 
-    return (docs.select(F.col(id_col).cast("long").alias("doc_id"), as_bytes(text_col))
-            .mapInArrow(run, "doc_id long, score double"))
+    return map_texts(docs, keep, "score double", make, text_col)

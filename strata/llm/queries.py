@@ -87,17 +87,17 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read_table(spark, sf_dir, "documents"), piece_vocabulary)
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, score), learned from the labels whose id remainder modulo 5 is not 0."""
-    model = quality_classifier.fit(docs, labels.where(id_crc() % 5 != 0))
-    return quality_classifier.score(docs, model)
+def quality_model(docs: DataFrame, labels: DataFrame) -> quality_classifier.QualityModel:
+    """Learned from the labels whose id remainder modulo 5 is not 0."""
+    return quality_classifier.fit(docs, labels.where(id_crc() % 5 != 0))
 
 
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = quality_scores(read_table(spark, sf_dir, "documents"),
-                            read_table(spark, sf_dir, "labels"))
-    return scored.select("doc_id", (id_crc() % 5 == 0).alias("held_out"), "score",
-                         (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"))
+    docs = read_table(spark, sf_dir, "documents")
+    model = quality_model(docs, read_table(spark, sf_dir, "labels"))
+    return quality_classifier.score(docs, model, ["doc_id"]).select(
+        "doc_id", (id_crc() % 5 == 0).alias("held_out"), "score",
+        (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"))
 
 
 QUERIES = {

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import as_bytes, durable, slices
+from strata.llm.common import durable, map_texts
 from strata.llm.graph import components
 
 SHINGLE_WORDS = 3
@@ -53,17 +53,17 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE_WORDS, seed: int = SE
     return np.packbits(2 * counts > len(spans), bitorder="little").view("<u8")[0]
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE_WORDS, id_col: str = "doc_id",
+def fingerprints(docs: DataFrame, keep: list[str], shingle: int = SHINGLE_WORDS,
                  text_col: str = "text") -> DataFrame:
-    """(doc_id, fp long) for every row."""
-    def run(batches):
-        for batch in slices(batches):
-            fps = np.array([fingerprint(t, shingle) for t in batch.column(1).to_pylist()], "<u8")
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view("<i8"))],
-                                             names=["doc_id", "fp"])
+    """Columns ``keep`` and ``fp`` (long) of every row."""
+    def make():
+        def work(texts):
+            fps = np.array([fingerprint(t, shingle) for t in texts], "<u8")
+            return [pa.array(fps.view("<i8"))]
+
+        return work
 
-    return (docs.select(F.col(id_col).cast("long").alias("doc_id"), as_bytes(text_col))
-            .mapInArrow(run, "doc_id long, fp long"))
+    return map_texts(docs, keep, "fp long", make, text_col)
 
 
 def join_roots(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -146,15 +146,33 @@ def near_links(classes: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS,
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS, radius: int = RADIUS,
-                    blocks: int = BLOCKS, id_col: str = "doc_id",
-                    text_col: str = "text") -> DataFrame:
-    """(doc_id, fp, component_id): the smallest ``doc_id`` reachable over links of fingerprints
-    that differ in ``radius`` bits or fewer."""
-    fps = durable(fingerprints(docs, shingle, id_col, text_col))
+                    blocks: int = BLOCKS, id_col: str = "doc_id", text_col: str = "text",
+                    keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, columns ``keep``, fp, root, component_id) of every row.
+
+    Rows are in one component if links of fingerprints that differ in ``radius`` bits or fewer
+    connect them: ``root`` is its smallest fingerprint, ``component_id`` its smallest id.
+    """
+    source = docs.withColumn("doc_id", F.col(id_col).cast("long"))
+    fps = durable(fingerprints(source, ["doc_id", *keep], shingle, text_col))
     classes = durable(fps.groupBy("fp").agg(F.min("doc_id").alias("first")))
     roots = durable(components(near_links(classes, radius, blocks)))
     linked = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left") \
         .withColumn("root", F.coalesce("root", "fp"))
     least = linked.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = linked.join(least, "root").select("fp", "component_id")
-    return fps.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = linked.join(least, "root").select("fp", "root", "component_id")
+    return fps.join(named, "fp").select("doc_id", *keep, "fp", "root", "component_id")
+
+
+def one_of_each(docs: DataFrame, shingle: int = SHINGLE_WORDS, radius: int = RADIUS,
+                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each component: the smallest id (null ids last), then the smallest
+    text hash; rows equal in both are one."""
+    key, text_hash = "_simhash_id", "_simhash_text"
+    marked = (docs.withColumn(text_hash, F.xxhash64(text_col))
+              .withColumn(key, F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1))))
+    found = near_duplicates(marked, shingle, radius, BLOCKS, id_col, text_col, (key, text_hash))
+    stays = (found.groupBy("root").agg(F.min(F.struct(key, text_hash)).alias("at"))
+             .select(f"at.{key}", f"at.{text_hash}"))
+    return (marked.join(stays, [key, text_hash], "left_semi")
+            .dropDuplicates([key, text_hash]).drop(key, text_hash))
