@@ -7,7 +7,7 @@ any two start positions some shift below the period puts both on the cover. So a
 repeated only if one of its first ``period`` positions holds an anchor that occurs twice.
 
 1. Anchors are counted (map-side combine) and those found twice are joined back to their places.
-2. Each such anchor is extended to every window it can start in; these windows are hashed whole
+2. The (zstd-packed) texts join their anchors by row. Each such anchor is extended to every window it can start in; these windows are hashed whole
    (96 bits) and grouped. Windows that occur once are sent back, one row each; the other
    candidates are the repeated ones.
 
@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -55,20 +56,35 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, period: int = PERIOD,
     places = source.select("rid", "text").mapInArrow(
         _anchors(window, period, cover), "h long, rid long, pos int")
     twice = places.groupBy("h").agg(F.count("*").alias("c")).where("c > 1").select("h")
-    shared = (places.join(twice, "h", "left_semi")
-              .groupBy("rid").agg(F.collect_set("pos").alias("anchors")))
-    joined = durable(source.join(shared, "rid", "left"))
-    clean, found = joined.where("anchors is null"), joined.where("anchors is not null")
-    windows = found.select("rid", "text", "anchors").mapInArrow(
+    shared = durable(places.join(twice, "h", "left_semi")
+                     .groupBy("rid").agg(F.collect_set("pos").alias("anchors")))
+    # Both joins read one and the same exchange of the packed texts.
+    packed = source.mapInArrow(_pack_texts, "doc_id long, rid long, packed binary")
+    windows = packed.join(shared, "rid").select("doc_id", "rid", "packed", "anchors").mapInArrow(
         _windows(window, period), "w1 long, w2 int, rid long, pos int")
     once = (windows.groupBy("w1", "w2")
             .agg(F.count("*").alias("c"), F.min("rid").alias("rid"), F.min("pos").alias("pos"))
             .where("c = 1").groupBy("rid").agg(F.collect_list("pos").alias("once")))
-    schema = "doc_id long, n_words long, n_removed long, kept binary"
-    untouched = clean.select("doc_id", "text").mapInArrow(_whole, schema)
-    cleaned = found.join(once, "rid", "left").select("doc_id", "text", "anchors", "once") \
-        .mapInArrow(_remove(window, period), schema)
-    return untouched.unionByName(cleaned)
+    return (packed.join(shared, "rid", "left").join(once, "rid", "left")
+            .select("doc_id", "rid", "packed", "anchors", "once")
+            .mapInArrow(_remove(window, period),
+                        "doc_id long, n_words long, n_removed long, kept binary"))
+
+
+def _pack_texts(batches):
+    """Texts travel in zstd frames, which take half the shuffle space of plain ones."""
+    pack = zstandard.ZstdCompressor(level=1).compress
+    for batch in slices(batches):
+        texts = [None if t is None else pack(t) for t in batch.column(2).to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array(texts, pa.binary())],
+            names=["doc_id", "rid", "packed"])
+
+
+def _unpacked(packed: list) -> list[list[bytes]]:
+    """The words of packed texts."""
+    unpack = zstandard.ZstdDecompressor().decompress
+    return [unpack(p).split() if p else [] for p in packed]
 
 
 def _anchors(window: int, period: int, cover: tuple[int, ...]):
@@ -84,7 +100,9 @@ def _anchors(window: int, period: int, cover: tuple[int, ...]):
                 first = np.arange(0, len(words) - length + 1, period)
                 at = (first[:, None] + np.array(cover)[None, :]).ravel()
                 at = at[at <= len(words) - length]
-                found.append(window_hash(array, at, length, BASE_A).view(np.int64))
+                # 48 bits do for candidates: a chance meeting only costs a check
+                found.append((window_hash(array, at, length, BASE_A) >> np.uint64(16))
+                             .view(np.int64))
                 rids.append(np.full(len(at), rid, np.int64))
                 places.append(at.astype(np.int32))
             hashes.trim()
@@ -110,8 +128,8 @@ def _windows(window: int, period: int):
         hashes = WordHashes()
         for batch in slices(batches, 64):
             out = []
-            for rid, text, anchors in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                words = text.split()
+            rids, packed, anchor_lists = (batch.column(i).to_pylist() for i in (1, 2, 3))
+            for rid, words, anchors in zip(rids, _unpacked(packed), anchor_lists):
                 array = hashes.array(words)
                 at = np.flatnonzero(candidate_starts(len(words), anchors, window, period))
                 w1 = sliding_hash(array, window, BASE_A)[at].view(np.int64)
@@ -131,22 +149,16 @@ def _output(rows) -> pa.RecordBatch:
          pa.array(kept, pa.binary())], names=["doc_id", "n_words", "n_removed", "kept"])
 
 
-def _whole(batches):
-    for batch in slices(batches):
-        rows = []
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            words = text.split() if text else []
-            rows.append((doc_id, len(words), 0, b" ".join(words)))
-        yield _output(rows)
-
-
 def _remove(window: int, period: int):
     def run(batches):
         for batch in slices(batches, 64):
             rows = []
-            for doc_id, text, anchors, once in zip(
-                    *(batch.column(i).to_pylist() for i in range(4))):
-                words = text.split()
+            ids, packed, anchor_lists, singles = (
+                batch.column(i).to_pylist() for i in (0, 2, 3, 4))
+            for doc_id, words, anchors, once in zip(ids, _unpacked(packed), anchor_lists, singles):
+                if not anchors:
+                    rows.append((doc_id, len(words), 0, b" ".join(words)))
+                    continue
                 repeated = candidate_starts(len(words), anchors, window, period)
                 if once:
                     repeated[np.array(once)] = False
