@@ -8,7 +8,7 @@ repeated only if one of its first ``period`` positions holds an anchor that occu
 
 1. Anchors are counted (map-side combine) and those found twice are joined back to their places.
 2. The (zstd-packed) texts join their anchors by row. Each such anchor is extended to every window it can start in; these windows are hashed whole
-   (96 bits) and grouped. Windows that occur once are sent back, one row each; the other
+   (79 bits) and grouped. Windows that occur once are sent back, one row each; the other
    candidates are the repeated ones.
 
 Hot passages meet only in aggregations with map-side combine and in joins that adaptive execution
@@ -59,9 +59,10 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, period: int = PERIOD,
     shared = durable(places.join(twice, "h", "left_semi")
                      .groupBy("rid").agg(F.collect_set("pos").alias("anchors")))
     # Both joins read one and the same exchange of the packed texts.
-    packed = source.mapInArrow(_pack_texts, "doc_id long, rid long, packed binary")
+    packed = source.mapInArrow(_pack_texts, "doc_id long, rid long, packed binary") \
+        .where("rid is not null")  # as the inner join asks, so that both sides stay alike
     windows = packed.join(shared, "rid").select("doc_id", "rid", "packed", "anchors").mapInArrow(
-        _windows(window, period), "w1 long, w2 int, rid long, pos int")
+        _windows(window, period), "w1 long, w2 short, rid long, pos int")
     once = (windows.groupBy("w1", "w2")
             .agg(F.count("*").alias("c"), F.min("rid").alias("rid"), F.min("pos").alias("pos"))
             .where("c = 1").groupBy("rid").agg(F.collect_list("pos").alias("once")))
@@ -133,7 +134,7 @@ def _windows(window: int, period: int):
                 array = hashes.array(words)
                 at = np.flatnonzero(candidate_starts(len(words), anchors, window, period))
                 w1 = sliding_hash(array, window, BASE_A)[at].view(np.int64)
-                w2 = (sliding_hash(array, window, BASE_B)[at] >> np.uint64(33)).astype(np.int32)
+                w2 = (sliding_hash(array, window, BASE_B)[at] >> np.uint64(49)).astype(np.int16)
                 out.append((w1, w2, np.full(len(at), rid, np.int64), at.astype(np.int32)))
             hashes.trim()
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)],
