@@ -15,12 +15,13 @@ are not read.
 from __future__ import annotations
 
 import itertools
+import re
+import unicodedata
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,11 +33,27 @@ OPEN_WINDOWS = 64
 MERGE_FAN_IN = 256
 TOKEN_BYTES = 4
 
-# Fixed value: the split pattern of the byte-level BPE vocabulary.
-BPE_SPLIT = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 # Characters whose class is the same in every Unicode version and regex library; a text with
 # any other character is handed whole to the tokenizer.
-OTHER_CHARACTERS = regex.compile("[^\t\n\r\x20-\x7e\xa1-ɏ]")
+PLAIN = [chr(c) for c in (9, 10, 13, *range(0x20, 0x7F), *range(0xA1, 0x250))]
+OTHER_CHARACTERS = re.compile(f"[^{re.escape(''.join(PLAIN))}]")
+
+
+def split_pattern() -> re.Pattern:
+    """The pre-token pattern of the byte-level BPE file, with the letters and digits of ``PLAIN``
+    spelled out."""
+    letters, digits = (re.escape("".join(c for c in PLAIN if unicodedata.category(c)[0] == kind))
+                       for kind in "LN")
+    return re.compile(rf"'(?:s|t|re|ve|m|ll|d)| ?[{letters}]+| ?[{digits}]+"
+                      rf"| ?[^\s{letters}{digits}]+|\s+(?!\S)|\s+")
+
+
+def byte_letters() -> dict[int, int]:
+    """Byte -> letter of the byte-level alphabet: visible Latin-1 as it is, others from 256 on."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: 256 + i for i, b in enumerate(hidden)}
+
 
 PIECE_SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
                 "sequence_id long, offset long, ids binary, part long")
@@ -56,7 +73,7 @@ def byte_bpe_encoder(path: str, end_id: int = 1) -> Callable[[str], bytes]:
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
     end = end_id.to_bytes(TOKEN_BYTES, "little")
-    split = regex.compile(BPE_SPLIT).findall
+    split, letters, model = split_pattern().findall, byte_letters(), tokenizer.model
 
     def encode(text: str) -> bytes:
         ids = tokenizer.encode(text, add_special_tokens=False).ids
@@ -64,7 +81,9 @@ def byte_bpe_encoder(path: str, end_id: int = 1) -> Callable[[str], bytes]:
 
     class Memo(dict):
         def __missing__(self, piece: str) -> bytes:
-            value = self[piece] = encode(piece)
+            spelled = piece.encode().decode("latin-1").translate(letters)
+            value = self[piece] = b"".join(t.id.to_bytes(TOKEN_BYTES, "little")
+                                           for t in model.tokenize(spelled))
             return value
 
     memo = Memo()
