@@ -4,16 +4,17 @@ A line is the set of its words. A line is removed if a line before it (by docume
 number) has a Jaccard similarity of ``THRESHOLD`` or more to it; what was removed still counts as
 a line before others.
 
-1. Word counts of all documents give the order: rare words first. The ``RANKED`` commonest words
-   carry their rank (a table of fixed size); all others are rarer and go by hash.
+1. Word counts of all documents give the order: rare words first. Words are counted in
+   ``BUCKETS`` hash buckets, a table of fixed size; a word ranks as its bucket, then by hash.
 2. A line posts itself under the words of its prefix: lines similar enough share one. Lines that
    meet under a word pass the length filter, the positional filter and a 128-bit parity sketch of
    their words that can't differ in more bits than the sets do in words.
-3. The words of the pairs left are fetched once and the Jaccard similarity is computed exactly.
+3. The lines of the pairs left are fetched from their documents (which travel as zstd frames) and
+   the Jaccard similarity is computed exactly.
 
 Lines with equal sets are one class, posted once per task, so a common line costs one row a
-task. In a large group each line passes on only its first candidate; those whose candidates all fail
-the exact check go through a second round that takes every candidate. A word whose count could
+task. In a large group each line passes on only its first ``FIRST_PAIRS`` candidates; a line that has
+more, and whose candidates all fail the exact check, goes through a second round that takes every candidate. A word whose count could
 make a group of more than ``GROUP_ROWS`` rows is cut into blocks of rows that meet pairwise.
 
 Defined results: lines without a word are kept and never compared; null and empty texts have no
@@ -25,19 +26,23 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import MEMO_ENTRIES, as_bytes, durable, mix, slices
+from strata.llm.common import MEMO_ENTRIES, WordHashes, as_bytes, durable, mix, slices
 
 THRESHOLD = (4, 5)
-RANKED = 1 << 16
+BUCKETS = 1 << 16
+KEY_BITS = 44
+LINES_AT_ONCE = 1 << 18
 SMALL_GROUP = 128
+FIRST_PAIRS = 8
 GROUP_ROWS = 1 << 20
 NO_ID = -(1 << 63)
+BROADCAST_ROWS = 100_000
 POSTING = ("token long, block int, doc long, line int, class long, n int, pos int, "
-           "low long, high long")
+           "low long, high long, short boolean")
 
 
 def least_overlap(total, threshold=THRESHOLD):
@@ -56,124 +61,121 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        as_bytes(text_col))
 
 
-def common_words(keyed: DataFrame, ranked: int = RANKED) -> list[tuple[int, int]]:
-    """(word hash, count) of the ``ranked`` commonest words of all documents, commonest first."""
+def bucket_counts(keyed: DataFrame) -> np.ndarray:
+    """How many words of all documents fall in each hash bucket."""
     def run(batches):
-        counts: dict[bytes, int] = {}
-        get = counts.get
-
-        def flush():
-            hashes = [xxhash.xxh3_64_intdigest(w) for w in counts]
-            out = pa.RecordBatch.from_arrays(
-                [pa.array(np.array(hashes, np.uint64).view(np.int64)),
-                 pa.array(list(counts.values()), pa.int64())], names=["h", "c"])
-            counts.clear()
-            return out
-
+        hashes, total = WordHashes(), np.zeros(BUCKETS, np.int64)
         for batch in slices(batches):
             for text in batch.column(0).to_pylist():
-                for w in text.split() if text else ():
-                    counts[w] = get(w, 0) + 1
-            if len(counts) > 2 * MEMO_ENTRIES:
-                yield flush()
-        yield flush()
-
-    rows = (keyed.select("text").mapInArrow(run, "h long, c long")
-            .groupBy("h").agg(F.sum("c").alias("c")).orderBy(F.desc("c"), "h").limit(ranked))
-    return [(r["h"], r["c"]) for r in rows.collect()]  # at most ``ranked`` rows
-
-
-class WordOrder(dict):
-    """Memo word -> sort key, rare words first, with the class hash of a word kept apart."""
-
-    def __init__(self, ranks: list[tuple[int, int]]):
-        super().__init__()
-        self.rank = {h & (1 << 64) - 1: len(ranks) - i for i, (h, _) in enumerate(ranks)}
-
-    def __missing__(self, word: bytes) -> int:
-        h = xxhash.xxh3_64_intdigest(word)
-        rank = self.rank.get(h)
-        value = self[word] = (1 << 62) + rank if rank else h >> 2
-        return value
-
-
-def line_sets(order: WordOrder, docs: list[int], texts: list) -> dict:
-    """Arrays over the lines of a slice and over their distinct words in sort order."""
-    doc, line, words, sizes = [], [], [], []
+                if text:
+                    total += np.bincount((hashes.array(text.split()) % np.uint64(BUCKETS))
+                                         .astype(np.int64), minlength=BUCKETS)
+            hashes.trim()
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(total[used])],
+                                         names=["b", "c"])
+
+    rows = (keyed.select("text").mapInArrow(run, "b int, c long")
+            .groupBy("b").agg(F.sum("c").alias("c")))
+    counts = np.zeros(BUCKETS, np.int64)
+    for r in rows.collect():  # at most ``BUCKETS`` rows
+        counts[r["b"]] = r["c"]
+    return counts
+
+
+class LineSets:
+    """Word sets of lines as arrays. A word's sort key is its bucket's rank, then hash bits."""
+
+    def __init__(self, counts: np.ndarray):
+        self.hashes = WordHashes()
+        order = np.lexsort((np.arange(BUCKETS), counts))
+        self.rank = np.empty(BUCKETS, np.uint64)
+        self.rank[order] = np.arange(BUCKETS, dtype=np.uint64)
+
+    def of(self, lines: list[list[bytes]]) -> dict:
+        """Set sizes, classes and sketches by line; sort keys by line and rarity."""
+        sets = [set(words) for words in lines]
+        n = np.fromiter(map(len, sets), np.int64, len(sets))
+        words = self.hashes.array([w for s in sets for w in s])
+        self.hashes.trim()
+        starts = np.concatenate([[0], np.cumsum(n)[:-1]]).astype(np.int64)
+        owner = np.repeat(np.arange(len(n), dtype=np.uint64), n)
+        keys = (self.rank[(words % np.uint64(BUCKETS)).astype(np.int64)] << np.uint64(28)) \
+            | (words >> np.uint64(36))
+        keys = np.sort((owner << np.uint64(KEY_BITS)) | keys)
+        spread = mix(words + np.uint64(0x632BE59BD9B4E019))
+        bit = np.uint64(1) << (spread >> np.uint64(58))
+        upper = (spread >> np.uint64(57)) & np.uint64(1)
+        if not len(n):
+            return {k: np.zeros(0, np.int64) for k in ("n", "starts", "class", "low", "high",
+                                                       "keys", "owner")}
+        return {"n": n, "starts": starts, "owner": (keys >> np.uint64(KEY_BITS)).astype(np.int64),
+                "keys": (keys & np.uint64((1 << KEY_BITS) - 1)).astype(np.int64),
+                "class": mix(np.add.reduceat(spread, starts) + n.astype(np.uint64)).view(np.int64),
+                "low": np.bitwise_xor.reduceat(bit * (upper ^ np.uint64(1)), starts).view(np.int64),
+                "high": np.bitwise_xor.reduceat(bit * upper, starts).view(np.int64)}
+
+
+def worded_lines(docs: list[int], texts: list):
+    """Chunks of (documents, line numbers, words) of the lines with a word."""
+    doc, line, words = [], [], []
     for d, text in zip(docs, texts):
         for at, part in enumerate(text.split(b"\n") if text else ()):
             found = part.split()
             if found:
                 doc.append(d)
                 line.append(at)
-                sizes.append(len(found))
-                words.extend(found)
-    keys = np.fromiter(map(order.__getitem__, words), np.uint64, len(words))
-    if len(order) > MEMO_ENTRIES:
-        order.clear()
-    owner = np.repeat(np.arange(len(sizes)), sizes)
-    by = np.lexsort((keys, owner))
-    keys, owner = keys[by], owner[by]
-    first = np.ones(len(keys), bool)
-    first[1:] = (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1])
-    keys, owner = keys[first], owner[first]
-    starts = np.searchsorted(owner, np.arange(len(sizes)))
-    n = np.diff(np.append(starts, len(keys)))
-    spread = mix(keys + np.uint64(0x632BE59BD9B4E019))
-    if len(sizes):
-        bit = np.uint64(1) << (spread >> np.uint64(58))
-        upper = (spread >> np.uint64(57)) & np.uint64(1)
-        low = np.bitwise_xor.reduceat(bit * (upper ^ np.uint64(1)), starts)
-        high = np.bitwise_xor.reduceat(bit * upper, starts)
-        classes = mix(np.add.reduceat(spread, starts) + n.astype(np.uint64))
-    else:
-        low = high = classes = np.zeros(0, np.uint64)
-    return {"doc": np.array(doc, np.int64), "line": np.array(line, np.int32), "n": n,
-            "starts": starts, "keys": keys, "owner": owner, "low": low, "high": high,
-            "class": classes.view(np.int64)}
+                words.append(found)
+                if len(line) == LINES_AT_ONCE:
+                    yield np.array(doc, np.int64), np.array(line, np.int32), words
+                    doc, line, words = [], [], []
+    if line:
+        yield np.array(doc, np.int64), np.array(line, np.int32), words
 
 
 def _postings(sent, threshold):
     """A row per prefix word of a line; a copy of a line already posted here has one row, n = 0."""
     def run(batches):
-        ranks = sent.value
-        order, seen = WordOrder(ranks), {}
-        blocks = {(1 << 62) + len(ranks) - i: -(-c // GROUP_ROWS)
-                  for i, (_, c) in enumerate(ranks) if c > GROUP_ROWS}
-        hot = np.array(sorted(blocks), np.uint64)
+        sets, seen = LineSets(sent.value), {}
+        counts = np.sort(sent.value)  # by rank
+        hot = int(np.searchsorted(counts, GROUP_ROWS, "right"))
         for batch in slices(batches):
-            s = line_sets(order, batch.column(0).to_pylist(), batch.column(1).to_pylist())
-            new = np.zeros(len(s["n"]), bool)
-            for i, (c, at) in enumerate(zip(s["class"].tolist(),
-                                            zip(s["doc"].tolist(), s["line"].tolist()))):
-                if c not in seen or at < seen[c]:
-                    seen[c], new[i] = at, True
+            for doc, line, words in worded_lines(*(batch.column(i).to_pylist() for i in (0, 1))):
+                yield post(sets.of(words), doc, line, seen, counts, hot)
             if len(seen) > MEMO_ENTRIES:
                 seen.clear()
-            # such a set is no more similar to one with a word more, nor to any other but its own
-            alone = threshold[1] * s["n"] < threshold[0] * (s["n"] + 1)
-            prefix = np.where(new & ~alone, prefix_words(s["n"], threshold), 1)
-            pos = np.arange(len(s["keys"])) - s["starts"][s["owner"]]
-            at = np.flatnonzero(pos < prefix[s["owner"]])
-            own = s["owner"][at]
-            token, block = s["keys"][at], np.zeros(len(at), np.int32)
-            row = np.arange(len(at))
-            if len(hot):
-                for k in np.flatnonzero(np.isin(token, hot)).tolist():
-                    parts = blocks[int(token[k])]
-                    mine = int(s["class"][own[k]]) % parts
-                    pairs = [min(mine, u) * parts + max(mine, u) for u in range(parts)]
-                    block[k] = pairs[0]
-                    row = np.append(row, [k] * (parts - 1))
-                    block = np.append(block, np.array(pairs[1:], np.int32))
-            own, at, token = own[row], at[row], token[row]
-            n = np.where(new & ~alone, s["n"], 0)[own].astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(token.view(np.int64)), pa.array(block), pa.array(s["doc"][own]),
-                 pa.array(s["line"][own]), pa.array(s["class"][own]), pa.array(n),
-                 pa.array(pos[at].astype(np.int32)), pa.array(s["low"][own].view(np.int64)),
-                 pa.array(s["high"][own].view(np.int64))],
-                names=["token", "block", "doc", "line", "class", "n", "pos", "low", "high"])
+
+    def post(s, doc, line, seen, counts, hot):
+        new = np.zeros(len(line), bool)
+        for i, (c, *at) in enumerate(zip(s["class"].tolist(), doc.tolist(), line.tolist())):
+            if c not in seen or at < seen[c]:
+                seen[c], new[i] = at, True
+        # such a set is no more similar to one with a word more, nor to any other but its own
+        alone = threshold[1] * s["n"] < threshold[0] * (s["n"] + 1)
+        posted = new & ~alone
+        prefix = np.where(posted, prefix_words(s["n"], threshold), 1)
+        pos = np.arange(len(s["keys"])) - s["starts"][s["owner"]]
+        at = np.flatnonzero(pos < prefix[s["owner"]])
+        rank = s["keys"][at] >> 28
+        row, block = [np.flatnonzero(rank < hot)], [np.zeros(int((rank < hot).sum()), np.int64)]
+        for k in np.flatnonzero(rank >= hot).tolist():
+            parts = int(-(-counts[rank[k]] // GROUP_ROWS))
+            mine = int(s["class"][s["owner"][at[k]]]) % parts
+            row.append(np.full(parts, k))
+            block.append(np.array([min(mine, u) * parts + max(mine, u) for u in range(parts)]))
+        at = at[np.concatenate(row)]
+        own = s["owner"][at]
+        # a pair of 128 words or fewer in all is compared by the folded sketch
+        short = s["n"] * (threshold[0] + threshold[1]) <= 128 * threshold[0]
+        low = np.where(short, s["low"] ^ s["high"], s["low"])
+        high = np.where(short, 0, s["high"])
+        n = np.where(posted, s["n"], 0)[own].astype(np.int32)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(s["keys"][at]), pa.array(np.concatenate(block).astype(np.int32)),
+             pa.array(doc[own]), pa.array(line[own]), pa.array(s["class"][own]), pa.array(n),
+             pa.array(pos[at].astype(np.int32)), pa.array(low[own]), pa.array(high[own]),
+             pa.array(short[own])],
+            names=[c.split()[0] for c in POSTING.split(", ")])
 
     return run
 
@@ -184,8 +186,10 @@ def may_match(t: dict, x, y, threshold) -> np.ndarray:
     total = nx + ny
     need = least_overlap(total, threshold)
     most = np.minimum(px, py) + 1 + np.minimum(nx - px, ny - py) - 1
-    differ = (np.bitwise_count(t["low"][x] ^ t["low"][y]).astype(np.int32)
-              + np.bitwise_count(t["high"][x] ^ t["high"][y]))
+    low, high = t["low"][x] ^ t["low"][y], t["high"][x] ^ t["high"][y]
+    folded = t["short"][x] | t["short"][y]
+    differ = (np.bitwise_count(np.where(folded, low ^ high, low)).astype(np.int32)
+              + np.bitwise_count(np.where(folded, np.uint64(0), high)))
     return ((np.minimum(nx, ny) >= need) & (most >= need) & (differ <= total - 2 * need)
             & (t["class"][x] != t["class"][y]))
 
@@ -193,7 +197,7 @@ def may_match(t: dict, x, y, threshold) -> np.ndarray:
 def group_pairs(t: dict, threshold, every: bool) -> tuple:
     """(later, earlier, more) posting pairs of arrays sorted by token, block, document and line.
 
-    Of a large group a line passes on its first candidate only, with ``more`` set; with ``every``
+    Of a large group a line passes on ``FIRST_PAIRS`` only, the last with ``more`` set; with ``every``
     the lines marked ``probe`` pass on all of theirs, and others none.
     """
     size = len(t["token"])
@@ -225,18 +229,19 @@ def group_pairs(t: dict, threshold, every: bool) -> tuple:
                 earlier.append(x)
                 more.append(np.zeros(len(x), bool))
             continue
-        left = np.arange(s, e)
+        left, had = np.arange(s, e), np.zeros(e - s, np.int8)
         for x in range(s, e):
-            left = left[left > x]
+            left = left[np.searchsorted(left, x, "right"):]
             if not len(left):
                 break
             ok = may_match(t, np.full(len(left), x), left, threshold)
             if ok.any():
                 found = left[ok]
+                had[found - s] += 1
                 later.append(found)
                 earlier.append(np.full(len(found), x))
-                more.append(np.ones(len(found), bool))
-                left = left[~ok]
+                more.append(had[found - s] == FIRST_PAIRS)
+                left = left[had[left - s] < FIRST_PAIRS]
     return tuple(np.concatenate(a) if a else np.zeros(0, k)
                  for a, k in ((later, int), (earlier, int), (more, bool)))
 
@@ -253,68 +258,82 @@ def earliest(t: dict) -> dict:
 
 
 def _candidates(threshold, every: bool):
-    """Rows of two kinds: candidate pairs of classes, and every line with its class."""
-    names = ["token", "block", "doc", "line", "class", "n", "pos", "low", "high"] + ["probe"] * every
+    """Rows of two kinds: candidate pairs (class a after class b), and every line with its class
+    (``doc2`` null)."""
+    names = [c.split()[0] for c in POSTING.split(", ")] + ["probe"] * every
 
     def run(batches):
         held: dict | None = None
         for batch in batches:
             t = {k: batch.column(i).to_numpy(zero_copy_only=False) for i, k in enumerate(names)}
             t |= {k: t[k].astype(np.int64).view(np.uint64) for k in ("low", "high")}
-            lines = t["pos"] == 0  # a split word repeats such rows, which changes nothing
             if not every:
-                yield output(t["class"][lines], np.zeros(int(lines.sum()), np.int64),
-                             np.zeros(int(lines.sum()), bool), t["doc"][lines], t["line"][lines])
+                lines = t["pos"] == 0  # a split word repeats such rows, which changes nothing
+                yield output(*(t[k][lines] for k in ("class", "class", "doc", "line")))
             t = {k: v[t["n"] > 0] for k, v in t.items()}
             held = t if held is None else {k: np.concatenate([held[k], t[k]]) for k in t}
-            size = len(held["token"])
-            if size:
-                cut = size - 1 - int(np.argmax(
-                    ((held["token"] != held["token"][-1])
-                     | (held["block"] != held["block"][-1]))[::-1]))
-                if held["token"][0] != held["token"][-1] or held["block"][0] != held["block"][-1]:
-                    yield pairs({k: v[:cut + 1] for k, v in held.items()})
-                    held = {k: v[cut + 1:] for k, v in held.items()}
+            if not len(held["token"]):
+                continue
+            other = (held["token"] != held["token"][-1]) | (held["block"] != held["block"][-1])
+            if other.any():
+                cut = len(other) - int(np.argmax(other[::-1]))
+                yield pairs({k: v[:cut] for k, v in held.items()})
+                held = {k: v[cut:] for k, v in held.items()}
         if held is not None and len(held["token"]):
             yield pairs(held)
 
     def pairs(t):
         t = earliest(t)
         later, earlier, more = group_pairs(t, threshold, every)
-        none = np.full(len(later), -1, np.int32)
-        return output(t["class"][later], t["class"][earlier], more, t["doc"][later], none)
+        return output(t["class"][later], t["class"][earlier], t["doc"][later], t["line"][later],
+                      t["doc"][earlier], t["line"][earlier], t["token"][later], more)
 
-    def output(a, b, more, doc, line):
+    def output(a, b, doc, line, doc2=None, line2=None, token=None, more=None):
+        none = [None] * len(a)
         return pa.RecordBatch.from_arrays(
-            [pa.array(a.astype(np.int64)), pa.array(b.astype(np.int64)), pa.array(more),
-             pa.array(doc.astype(np.int64)), pa.array(line.astype(np.int32))],
-            names=["a", "b", "more", "doc", "line"])
+            [pa.array(x, kind) for x, kind in (
+                (a, pa.int64()), (b, pa.int64()), (doc, pa.int64()), (line, pa.int32()),
+                (none if doc2 is None else doc2, pa.int64()),
+                (none if line2 is None else line2, pa.int32()),
+                (none if token is None else token, pa.int64()),
+                (none if more is None else more, pa.bool_()))],
+            names=[c.split()[0] for c in CANDIDATE.split(", ")])
 
     return run
 
 
-CANDIDATE = "a long, b long, more boolean, doc long, line int"
+CANDIDATE = ("a long, b long, doc long, line int, doc2 long, line2 int, token long, more boolean")
 
 
-def _line_texts(sent):
-    """(class, text) of the lines of a slice, each class once while it is remembered."""
+def _wanted_lines(sent):
+    """(class, words) of the wanted lines of a document, if they are of that class."""
     def run(batches):
-        order, seen = WordOrder(sent.value), set()
-        for batch in slices(batches):
-            texts = batch.column(1).to_pylist()
-            classes = line_sets(order, batch.column(0).to_pylist(), texts)["class"].tolist()
-            parts = [p for t in texts for p in (t.split(b"\n") if t else ()) if p.split()]
-            fresh = {c: p for c, p in zip(classes, parts) if c not in seen}
-            seen.update(fresh)
-            if len(seen) > MEMO_ENTRIES:
-                seen.clear()
+        sets, unpack = LineSets(sent.value), zstandard.ZstdDecompressor().decompress
+        for batch in batches:
+            classes, words = [], []
+            for packed, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                parts = unpack(packed).split(b"\n")
+                wanted = [w for w in wanted if w["line"] < len(parts) and parts[w["line"]].split()]
+                found = sets.of([parts[w["line"]].split() for w in wanted])["class"].tolist()
+                for w, c in zip(wanted, found):
+                    if w["class"] == c:
+                        classes.append(c)
+                        words.append(parts[w["line"]])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(list(fresh), pa.int64()), pa.array(list(fresh.values()), pa.binary())],
+                [pa.array(classes, pa.int64()), pa.array(words, pa.binary())],
                 names=["class", "words"])
 
     return run
 
 
+def _packed(batches):
+    pack = zstandard.ZstdCompressor(level=1).compress
+    for batch in slices(batches):
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array([pack(t) for t in batch.column(1).to_pylist()],
+                                       pa.binary())], names=["doc", "packed"])
+
+
 def _verify(threshold):
     num, den = threshold
 
@@ -336,34 +355,43 @@ def kept_lines(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, id_col:
     """(doc, n_lines, kept): for every document with a line that has a word, how many such lines
     it has and the numbers of those that stay (from 0, counting all lines)."""
     keyed = _keyed(docs, id_col, text_col)
-    sent = docs.sparkSession.sparkContext.broadcast(common_words(keyed))
+    sent = docs.sparkSession.sparkContext.broadcast(bucket_counts(keyed))
     postings = keyed.mapInArrow(_postings(sent, threshold), POSTING)
     group, inside = ["token", "block"], ["token", "block", "doc", "line"]
-    found = durable(postings.repartition(*group).sortWithinPartitions(*inside)
-                    .mapInArrow(_candidates(threshold, False), CANDIDATE))
-    lines = found.where("line >= 0").select(F.col("a").alias("class"), "doc", "line")
-    pairs = found.where("line < 0")
 
-    def similar(candidates: DataFrame) -> DataFrame:
+    def candidates(rows: DataFrame, every: bool) -> DataFrame:
+        return durable(rows.repartition(*group).sortWithinPartitions(*inside)
+                       .mapInArrow(_candidates(threshold, every), CANDIDATE))
+
+    def similar(pairs: DataFrame) -> DataFrame:
         """Classes with a verified earlier match."""
-        unique = candidates.select("a", "b").distinct()
-        wanted = unique.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-        texts = durable(keyed.mapInArrow(_line_texts(sent), "class long, words binary")
-                        .join(wanted, "class", "left_semi").groupBy("class")
-                        .agg(F.min("words").alias("words")))
+        unique = pairs.select("a", "b").distinct()
+        wanted = (pairs.select(F.col("a").alias("class"), "doc", "line")
+                  .union(pairs.select("b", "doc2", "line2"))
+                  .groupBy("doc").agg(F.collect_set(F.struct("class", "line")).alias("wanted")))
+        texts = durable(keyed.where("text is not null").mapInArrow(
+            _packed, "doc long, packed binary").join(wanted, "doc").select("packed", "wanted")
+            .mapInArrow(_wanted_lines(sent), "class long, words binary")
+            .groupBy("class").agg(F.min("words").alias("words")))
         return (unique.join(texts.toDF("a", "wa"), "a").join(texts.toDF("b", "wb"), "b")
                 .select("a", "wa", "wb").mapInArrow(_verify(threshold), "a long").distinct())
 
+    found = candidates(postings, False)
+    lines = found.where("doc2 is null").select(F.col("a").alias("class"), "doc", "line")
+    pairs = found.where("doc2 is not null")
     removed = durable(similar(pairs))
-    again = durable(pairs.where("more").select(F.col("a").alias("class")).distinct()
+    again = durable(pairs.where("more").select(F.col("a").alias("class"), "token").distinct()
                     .join(removed.toDF("class"), "class", "left_anti"))
-    if not again.isEmpty():
-        marked = postings.join(again.withColumn("probe", F.lit(True)), "class", "left").select(
-            *[c.split()[0] for c in POSTING.split(", ")],
-            F.coalesce("probe", F.lit(False)).alias("probe"))
-        rest = durable(marked.repartition(*group).sortWithinPartitions(*inside)
-                       .mapInArrow(_candidates(threshold, True), CANDIDATE))
-        removed = removed.union(similar(rest)).distinct()
+    left = again.count()
+    if left:
+        probes, tokens = again.select("class").distinct(), again.select("token").distinct()
+        if left <= BROADCAST_ROWS:
+            probes, tokens = F.broadcast(probes), F.broadcast(tokens)
+        marked = (postings.join(tokens, "token", "left_semi")
+                  .join(probes.withColumn("probe", F.lit(True)), "class", "left")
+                  .select(*[c.split()[0] for c in POSTING.split(", ")],
+                          F.coalesce("probe", F.lit(False)).alias("probe")))
+        removed = removed.union(similar(candidates(marked, True))).distinct()
     first = lines.groupBy("class").agg(F.min(F.struct("doc", "line")).alias("at"))
     kept = (first.join(removed.toDF("class"), "class", "left_anti")
             .groupBy(F.col("at.doc").alias("doc"))
