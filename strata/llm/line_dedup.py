@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import MEMO_ENTRIES, WordHashes, as_bytes, durable, mix, slices
+from strata.llm.common import MEMO_ENTRIES, WordScanner, as_bytes, durable, mix, slices
 
 THRESHOLD = (4, 5)
 BUCKETS = 1 << 16
@@ -41,6 +41,7 @@ FIRST_PAIRS = 8
 GROUP_ROWS = 1 << 20
 NO_ID = -(1 << 63)
 BROADCAST_ROWS = 100_000
+SCAN_BYTES = 1 << 20
 POSTING = ("token long, block int, doc long, line int, class long, n int, pos int, "
            "low long, high long, short boolean")
 
@@ -64,13 +65,11 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def bucket_counts(keyed: DataFrame) -> np.ndarray:
     """How many words of all documents fall in each hash bucket."""
     def run(batches):
-        hashes, total = WordHashes(), np.zeros(BUCKETS, np.int64)
-        for batch in slices(batches):
-            for text in batch.column(0).to_pylist():
-                if text:
-                    total += np.bincount((hashes.array(text.split()) % np.uint64(BUCKETS))
-                                         .astype(np.int64), minlength=BUCKETS)
-            hashes.trim()
+        scanner, total = WordScanner(), np.zeros(BUCKETS, np.int64)
+        for batch in slices(batches, limit=SCAN_BYTES):
+            text = b"\n".join(t or b"" for t in batch.column(0).to_pylist())
+            total += np.bincount((scanner.scan(text)[0] % np.uint64(BUCKETS)).astype(np.int64),
+                                 minlength=BUCKETS)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(total[used])],
                                          names=["b", "c"])
@@ -87,50 +86,51 @@ class LineSets:
     """Word sets of lines as arrays. A word's sort key is its bucket's rank, then hash bits."""
 
     def __init__(self, counts: np.ndarray):
-        self.hashes = WordHashes()
+        self.scanner = WordScanner()
         order = np.lexsort((np.arange(BUCKETS), counts))
         self.rank = np.empty(BUCKETS, np.uint64)
         self.rank[order] = np.arange(BUCKETS, dtype=np.uint64)
 
-    def of(self, lines: list[list[bytes]]) -> dict:
-        """Set sizes, classes and sketches by line; sort keys by line and rarity."""
-        sets = [set(words) for words in lines]
-        n = np.fromiter(map(len, sets), np.int64, len(sets))
-        words = self.hashes.array([w for s in sets for w in s])
-        self.hashes.trim()
-        starts = np.concatenate([[0], np.cumsum(n)[:-1]]).astype(np.int64)
-        owner = np.repeat(np.arange(len(n), dtype=np.uint64), n)
+    def of(self, texts: list) -> dict:
+        """By line with a word: text and line number, set size, class, sketches; by line and word,
+        rare ones first: owner and sort key."""
+        texts = [t or b"" for t in texts]
+        offsets = np.cumsum([0] + [len(t) + 1 for t in texts[:-1]])
+        words, at, data = self.scanner.scan(b"\n".join(texts))
+        breaks = np.flatnonzero(data == 10)
+        row = np.searchsorted(breaks, at)  # line breaks before each word
+        first = np.ones(len(row), bool)
+        first[1:] = row[1:] != row[:-1]
+        lines = at[first]
+        owner = np.cumsum(first) - 1
+        text = np.searchsorted(offsets, lines, "right") - 1
+        number = row[first] - np.searchsorted(breaks, offsets[text])
         keys = (self.rank[(words % np.uint64(BUCKETS)).astype(np.int64)] << np.uint64(28)) \
             | (words >> np.uint64(36))
-        keys = np.sort((owner << np.uint64(KEY_BITS)) | keys)
+        chunks = []
+        for s in range(0, max(len(lines), 1), LINES_AT_ONCE):  # an owner must fit above the key
+            a, b = np.searchsorted(owner, [s, s + LINES_AT_ONCE])
+            whole = ((owner[a:b] - s).astype(np.uint64) << np.uint64(KEY_BITS)) | keys[a:b]
+            chunks.append(np.argsort(whole) + a)
+        by = np.concatenate(chunks)
+        words, keys, owner = words[by], keys[by], owner[by]
+        fresh = np.ones(len(by), bool)
+        fresh[1:] = (words[1:] != words[:-1]) | (owner[1:] != owner[:-1])
+        words, keys, owner = words[fresh], keys[fresh], owner[fresh]
+        n = np.bincount(owner, minlength=len(lines))
+        out = {"text": text, "line": number.astype(np.int32), "n": n, "owner": owner,
+               "keys": keys.astype(np.int64)}
+        if not len(lines):
+            return out | {k: np.zeros(0, np.int64) for k in ("starts", "class", "low", "high")}
+        starts = np.concatenate([[0], np.cumsum(n)[:-1]]).astype(np.int64)
         spread = mix(words + np.uint64(0x632BE59BD9B4E019))
         bit = np.uint64(1) << (spread >> np.uint64(58))
         upper = (spread >> np.uint64(57)) & np.uint64(1)
-        if not len(n):
-            return {k: np.zeros(0, np.int64) for k in ("n", "starts", "class", "low", "high",
-                                                       "keys", "owner")}
-        return {"n": n, "starts": starts, "owner": (keys >> np.uint64(KEY_BITS)).astype(np.int64),
-                "keys": (keys & np.uint64((1 << KEY_BITS) - 1)).astype(np.int64),
-                "class": mix(np.add.reduceat(spread, starts) + n.astype(np.uint64)).view(np.int64),
-                "low": np.bitwise_xor.reduceat(bit * (upper ^ np.uint64(1)), starts).view(np.int64),
-                "high": np.bitwise_xor.reduceat(bit * upper, starts).view(np.int64)}
-
-
-def worded_lines(docs: list[int], texts: list):
-    """Chunks of (documents, line numbers, words) of the lines with a word."""
-    doc, line, words = [], [], []
-    for d, text in zip(docs, texts):
-        for at, part in enumerate(text.split(b"\n") if text else ()):
-            found = part.split()
-            if found:
-                doc.append(d)
-                line.append(at)
-                words.append(found)
-                if len(line) == LINES_AT_ONCE:
-                    yield np.array(doc, np.int64), np.array(line, np.int32), words
-                    doc, line, words = [], [], []
-    if line:
-        yield np.array(doc, np.int64), np.array(line, np.int32), words
+        sums = np.add.reduceat(spread, starts) + n.astype(np.uint64)
+        return out | {
+            "starts": starts, "class": mix(sums).view(np.int64),
+            "low": np.bitwise_xor.reduceat(bit * (upper ^ np.uint64(1)), starts).view(np.int64),
+            "high": np.bitwise_xor.reduceat(bit * upper, starts).view(np.int64)}
 
 
 def _postings(sent, threshold):
@@ -139,9 +139,10 @@ def _postings(sent, threshold):
         sets, seen = LineSets(sent.value), {}
         counts = np.sort(sent.value)  # by rank
         hot = int(np.searchsorted(counts, GROUP_ROWS, "right"))
-        for batch in slices(batches):
-            for doc, line, words in worded_lines(*(batch.column(i).to_pylist() for i in (0, 1))):
-                yield post(sets.of(words), doc, line, seen, counts, hot)
+        for batch in slices(batches, limit=SCAN_BYTES):
+            s = sets.of(batch.column(1).to_pylist())
+            docs = batch.column(0).to_numpy()
+            yield post(s, docs[s["text"]], s["line"], seen, counts, hot)
             if len(seen) > MEMO_ENTRIES:
                 seen.clear()
 
@@ -314,7 +315,7 @@ def _wanted_lines(sent):
             for packed, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 parts = unpack(packed).split(b"\n")
                 wanted = [w for w in wanted if w["line"] < len(parts) and parts[w["line"]].split()]
-                found = sets.of([parts[w["line"]].split() for w in wanted])["class"].tolist()
+                found = sets.of([parts[w["line"]] for w in wanted])["class"].tolist()
                 for w, c in zip(wanted, found):
                     if w["class"] == c:
                         classes.append(c)
