@@ -182,17 +182,21 @@ def _postings(sent, threshold):
 
 
 def may_match(t: dict, x, y, threshold) -> np.ndarray:
-    """Length, positional and sketch filters of the posting pairs (x, y)."""
-    nx, ny, px, py = t["n"][x], t["n"][y], t["pos"][x], t["pos"][y]
-    total = nx + ny
-    need = least_overlap(total, threshold)
-    most = np.minimum(px, py) + 1 + np.minimum(nx - px, ny - py) - 1
+    """Length, positional and sketch filters of the posting pairs (x, y), each on what is left."""
+    ok = np.zeros(len(x), bool)
+    nx, ny = t["n"][x], t["n"][y]
+    need = least_overlap(nx + ny, threshold)
+    left = np.flatnonzero(np.minimum(nx, ny) >= need)
+    x, y, nx, ny, need = x[left], y[left], nx[left], ny[left], need[left]
+    px, py = t["pos"][x], t["pos"][y]
+    near = np.minimum(px, py) + np.minimum(nx - px, ny - py) >= need
+    left, x, y, spare = left[near], x[near], y[near], (nx + ny - 2 * need)[near]
     low, high = t["low"][x] ^ t["low"][y], t["high"][x] ^ t["high"][y]
     folded = t["short"][x] | t["short"][y]
     differ = (np.bitwise_count(np.where(folded, low ^ high, low)).astype(np.int32)
               + np.bitwise_count(np.where(folded, np.uint64(0), high)))
-    return ((np.minimum(nx, ny) >= need) & (most >= need) & (differ <= total - 2 * need)
-            & (t["class"][x] != t["class"][y]))
+    ok[left] = (differ <= spare) & (t["class"][x] != t["class"][y])
+    return ok
 
 
 def group_pairs(t: dict, threshold, every: bool) -> tuple:
@@ -206,20 +210,18 @@ def group_pairs(t: dict, threshold, every: bool) -> tuple:
                           | (t["block"][1:] != t["block"][:-1])) + 1
     starts = np.concatenate([[0], edge, [size]]).astype(np.int64)
     lengths = np.diff(starts)
-    group = np.repeat(np.arange(len(lengths)), lengths)
-    small = np.repeat(lengths <= SMALL_GROUP, lengths)
+    after = np.repeat(starts[1:], lengths) - np.arange(size)  # rows to the end of the group
+    x = np.flatnonzero(np.repeat(lengths <= SMALL_GROUP, lengths))
     later, earlier, more = [], [], []
-    for d in range(1, min(SMALL_GROUP, int(lengths.max(initial=1)))):
-        x = np.flatnonzero((group[d:] == group[:-d]) & small[d:])
+    for d in range(1, SMALL_GROUP):
+        x = x[after[x] > d]
         if not len(x):
             break
-        y = x + d
-        if every:
-            x, y = x[t["probe"][y]], y[t["probe"][y]]
-        ok = may_match(t, x, y, threshold)
-        later.append(y[ok])
-        earlier.append(x[ok])
-        more.append(np.zeros(int(ok.sum()), bool))
+        first = x[t["probe"][x + d]] if every else x
+        first = first[may_match(t, first, first + d, threshold)]
+        later.append(first + d)
+        earlier.append(first)
+        more.append(np.zeros(len(first), bool))
     for g in np.flatnonzero(lengths > SMALL_GROUP).tolist():
         s, e = int(starts[g]), int(starts[g + 1])
         if every:
