@@ -13,7 +13,7 @@ a line before others.
    the Jaccard similarity is computed exactly.
 
 Lines with equal sets are one class, posted once per task, so a common line costs one row a
-task. In a large group each line passes on only its first ``FIRST_PAIRS`` candidates; a line that has
+task. In a group each line passes on only about ``FIRST_PAIRS`` candidates; a line that has
 more, and whose candidates all fail the exact check, goes through a second round that takes every candidate. A word whose count could
 make a group of more than ``GROUP_ROWS`` rows is cut into blocks of rows that meet pairwise.
 
@@ -36,7 +36,7 @@ THRESHOLD = (4, 5)
 BUCKETS = 1 << 16
 KEY_BITS = 44
 LINES_AT_ONCE = 1 << 18
-SMALL_GROUP = 128
+SMALL_GROUP = 4096
 FIRST_PAIRS = 8
 GROUP_ROWS = 1 << 20
 NO_ID = -(1 << 63)
@@ -202,7 +202,7 @@ def may_match(t: dict, x, y, threshold) -> np.ndarray:
 def group_pairs(t: dict, threshold, every: bool) -> tuple:
     """(later, earlier, more) posting pairs of arrays sorted by token, block, document and line.
 
-    Of a large group a line passes on ``FIRST_PAIRS`` only, the last with ``more`` set; with ``every``
+    In a group a line passes on about ``FIRST_PAIRS`` only, the last with ``more`` set; with ``every``
     the lines marked ``probe`` pass on all of theirs, and others none.
     """
     size = len(t["token"])
@@ -211,17 +211,27 @@ def group_pairs(t: dict, threshold, every: bool) -> tuple:
     starts = np.concatenate([[0], edge, [size]]).astype(np.int64)
     lengths = np.diff(starts)
     after = np.repeat(starts[1:], lengths) - np.arange(size)  # rows to the end of the group
-    x = np.flatnonzero(np.repeat(lengths <= SMALL_GROUP, lengths))
     later, earlier, more = [], [], []
+    # middle-sized groups: by set size, so that only sets of similar sizes meet
+    num, den = threshold
+    by = np.lexsort((t["n"], np.repeat(np.arange(len(lengths)), lengths)))
+    sizes, had = t["n"][by].astype(np.int64), np.zeros(size, np.int64)
+    x = np.flatnonzero(np.repeat(lengths <= SMALL_GROUP, lengths))
     for d in range(1, SMALL_GROUP):
         x = x[after[x] > d]
+        x = x[num * sizes[x + d] <= den * sizes[x]]
         if not len(x):
             break
-        first = x[t["probe"][x + d]] if every else x
-        first = first[may_match(t, first, first + d, threshold)]
-        later.append(first + d)
+        one, two = by[x], by[x + d]
+        last, first = np.maximum(one, two), np.minimum(one, two)
+        open_ = t["probe"][last] if every else had[last] < FIRST_PAIRS
+        last, first = last[open_], first[open_]
+        ok = may_match(t, first, last, threshold)
+        last, first = last[ok], first[ok]
+        np.add.at(had, last, 1)
+        later.append(last)
         earlier.append(first)
-        more.append(np.zeros(len(first), bool))
+        more.append(had[last] >= FIRST_PAIRS)
     for g in np.flatnonzero(lengths > SMALL_GROUP).tolist():
         s, e = int(starts[g]), int(starts[g + 1])
         if every:
