@@ -29,6 +29,7 @@ from strata.llm.common import (BASE_A, WordHashes, as_bytes, map_texts, slices,
 WINDOW = 10
 KGRAM = 5
 BLOCK_BYTES = 8 << 20
+SPANS = pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())]))
 SCHEMA = "doc_id long, rid long, n_words long, spans array<struct<s:int,e:int>>, items array<string>"
 
 # ASCII letters and digits stay (in lower case), bytes of other characters stay, the rest parts words.
@@ -185,7 +186,6 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
 def _scan(sent, window: int, kgram: int):
     def run(batches):
         index = BenchmarkIndex(sent.value, window, kgram)
-        kind = pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())]))
         for batch in slices(batches):
             counts, spans, items = [], [], []
             for text in batch.column(2).to_pylist():
@@ -196,27 +196,33 @@ def _scan(sent, window: int, kgram: int):
                 items.append(i)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(counts, pa.int64()),
-                 pa.array(spans, kind), pa.array(items, pa.list_(pa.string()))],
+                 pa.array(spans, SPANS), pa.array(items, pa.list_(pa.string()))],
                 names=["doc_id", "rid", "n_words", "spans", "items"])
 
     return run
 
 
 def _merge_blocks(found: DataFrame, blocks: int) -> DataFrame:
-    """One row per document from its rows of the blocks; at most ``blocks`` rows meet."""
-    joined = found.groupBy("rid", "doc_id").agg(
+    """One row per document from its rows of the blocks; at most ``blocks`` different rows meet.
+
+    Repeated documents have equal rows in a block; they are counted first and given back after.
+    """
+    names = ["rid", "doc_id", "n_words", "spans", "items"]
+    joined = found.groupBy(*names).agg(F.count("*").alias("c")).groupBy("rid", "doc_id").agg(
         F.first("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"),
-        F.flatten(F.collect_list("items")).alias("items"),
-        (F.count("*") / blocks).cast("int").alias("copies"))
-    kind = "array<struct<s:int,e:int>>"
-    merged = F.aggregate(
-        F.array_sort("spans"), F.expr(f"cast(array() as {kind})"),
-        lambda acc, x: F.when(
-            (F.size(acc) > 0) & (x["s"] <= F.element_at(acc, -1)["e"]),
-            F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(
-                F.element_at(acc, -1)["s"].alias("s"),
-                F.greatest(F.element_at(acc, -1)["e"], x["e"]).alias("e"))))).otherwise(
-            F.concat(acc, F.array(x))))
-    return joined.select("doc_id", "rid", "n_words", merged.alias("spans"),
-                         F.array_sort(F.array_distinct("items")).alias("items"),
-                         F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).drop("copy")
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+        (F.sum("c") / blocks).cast("int").alias("copies"))
+
+    def run(batches):
+        for batch in batches:
+            spans = [[{"s": a, "e": b} for a, b in merge_spans([(x["s"], x["e"]) for x in row])]
+                     for row in batch.column(3).to_pylist()]
+            columns = batch.columns
+            columns[3] = pa.array(spans, SPANS)
+            yield pa.RecordBatch.from_arrays(columns, names=[*names, "copies"])
+
+    merged = joined.select(*names, "copies").mapInArrow(
+        run, "rid long, doc_id long, n_words long, spans array<struct<s:int,e:int>>, "
+             "items array<string>, copies int")
+    return merged.select("doc_id", "rid", "n_words", "spans", "items", F.explode(
+        F.sequence(F.lit(1), F.col("copies"))).alias("copy")).drop("copy")
