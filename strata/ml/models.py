@@ -92,22 +92,19 @@ def _metrics(pred: DataFrame, label: str, prediction: str, names: Sequence[str],
     return out
 
 
-ROWS_PER_PARTITION = 200_000
+FIT_PARTITIONS = 8
 
 
-def _materialize(df: DataFrame) -> DataFrame:
+def _materialize(df: DataFrame, partitions: int = FIT_PARTITIONS) -> DataFrame:
     """Cut the lineage before an iterative fit: the trees, the scaler and the metrics then read
     the checkpointed table in the shared checkpoint folder instead of re-running the gold job.
 
-    Iterative fits run several jobs per round, so tasks are sized to the data: about
-    ``ROWS_PER_PARTITION`` rows each (a KPI table fits one task; a mart-sized input spreads).
+    Bagging depends on how rows are dealt, so they are dealt by a hash of the row into a fixed
+    number of partitions, whatever their count.
     """
     from strata.session import checkpoint_root
     checkpoint_root(df.sparkSession)
-    data = df.checkpoint(eager=True)
-    rows = data.count()
-    target = max(1, -(-rows // ROWS_PER_PARTITION))
-    return data.coalesce(target) if target < data.rdd.getNumPartitions() else data
+    return df.repartition(partitions, *df.columns).sortWithinPartitions(*df.columns).checkpoint(eager=True)
 
 
 def train_speed(df: DataFrame, drop_label_from_features: bool = True, num_trees: int = 100,

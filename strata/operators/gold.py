@@ -5,7 +5,6 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -105,14 +104,20 @@ def per_row_fallback_join(traffic: DataFrame, hourly: DataFrame, keys=HOUR_KEYS,
     return j.drop(*drop)
 
 
+def hourly_matches(traffic: DataFrame, hourly: DataFrame, keys=HOUR_KEYS) -> DataFrame:
+    """Key values of traffic rows with an hourly match; reads the key columns only."""
+    left = traffic.select(*[src for _, src in keys])
+    right = hourly.select(*[alias for alias, _ in keys])
+    return left.join(right, _join_condition(left, right, keys), "left_semi")
+
+
 def join_weather(traffic: DataFrame, hourly: DataFrame, fallback: str = "global",
                  keys=HOUR_KEYS) -> DataFrame:
     """J1 with the J2 fallback.
 
     ``fallback="global"`` (the reference): when the hourly join is empty everywhere, use the
-    location-level left join instead. The join is persisted (memory and disk, lineage kept)
-    before the emptiness test, so the test and the returned frame share one computation of its
-    shuffles; only the rare empty case computes the fallback. ``"per_row"``: the T7 option in
+    location-level left join instead. The test is a semi join of the key columns alone that
+    stops at its first match; nothing is persisted. ``"per_row"``: the T7 option in
     one plan. ``"none"``: the hourly join only (streaming refreshes, and jobs that decide from
     the row count they observe while writing).
     """
@@ -120,9 +125,7 @@ def join_weather(traffic: DataFrame, hourly: DataFrame, fallback: str = "global"
         return per_row_fallback_join(traffic, hourly, keys)
     joined = hourly_join(traffic, hourly, keys)
     if fallback == "global":
-        joined = joined.persist(StorageLevel.MEMORY_AND_DISK)
-        if joined.isEmpty():
-            joined.unpersist()
+        if hourly_matches(traffic, hourly, keys).isEmpty():
             return location_fallback_join(traffic, hourly, keys)
     return joined
 

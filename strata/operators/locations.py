@@ -40,7 +40,7 @@ def location_dim(spark: SparkSession, path: str | None = None, fmt: str = "csv",
 
 
 def _match_key(col: str):
-    return F.lower(F.trim(F.col(col)))
+    return F.lower(F.col(col))
 
 
 def enrich_locations(df: DataFrame, dim: DataFrame, name_col: str = "city_name",
@@ -50,8 +50,10 @@ def enrich_locations(df: DataFrame, dim: DataFrame, name_col: str = "city_name",
     The dimension is one row per location; the planner broadcasts it from its size estimate
     (no hint, so a large dimension falls back to a shuffle join instead of failing).
     """
-    d = dim.select(_match_key("name").alias("__loc_key"), F.col("name").alias("location_name"),
-                   "area_type", "lat", "lon", "zoom")
+    d = (dim.groupBy(_match_key("name").alias("__loc_key"))
+         .agg(F.min_by(F.struct("name", "area_type", "lat", "lon", "zoom"), "name").alias("__row"))
+         .select("__loc_key", F.col("__row.name").alias("location_name"), "__row.area_type",
+                 "__row.lat", "__row.lon", "__row.zoom"))
     out = df.withColumn("__loc_key", _match_key(name_col)).join(d, "__loc_key", how)
     return out.drop("__loc_key")
 

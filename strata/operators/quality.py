@@ -31,6 +31,10 @@ def _order_list(order) -> list[Order]:
     return out
 
 
+# Stamped by a job, not part of an event: they differ between reruns over the same events.
+PROCESSING_COLUMNS = frozenset(("ingestion_timestamp", "processed_timestamp", "data_layer"))
+
+
 def dedup(
     df: DataFrame,
     keys: Sequence[str],
@@ -48,14 +52,15 @@ def dedup(
     descending), combined map-side as well; ``count_col`` (aggregate only) adds the number of
     rows per key, which the row accounting uses.
 
-    ``tie_break`` appends ``xxhash64`` of the row's columns as the last sort key (T4), so the
+    ``tie_break`` appends ``xxhash64`` of the event's columns as the last sort key (T4), so the
     order is total even when the given columns tie, and a task recomputed after an executor loss
     picks the same survivor as the first attempt. It reads every column (no column pruning
     below the dedup), so callers turn it on only when the order has no unique id.
     """
     keys = list(keys)
     order = _order_list(order)
-    hashable = [f.name for f in df.schema.fields if f.dataType.typeName() != "map"]
+    hashable = [f.name for f in df.schema.fields
+                if f.dataType.typeName() != "map" and f.name not in PROCESSING_COLUMNS]
     tb = F.xxhash64(*[F.col(c) for c in hashable]) if tie_break and hashable else None
     directions = {o.ascending for o in order}
     if method == "aggregate" and len(directions) > 1:

@@ -1,7 +1,7 @@
 """Whole jobs (W1-W6): bronze, silver, gold, training and the full run, file to file.
 
 Counts are taken with ``observe`` while each table is written (T13): no second pass over the
-input, and the logged numbers belong to the rows actually written. Each layer hands over by
+input unless the result is empty, and the logged numbers belong to the rows actually written. Each layer hands over by
 files, so a failed stage restarts from the last written table, not from the raw input.
 """
 
@@ -65,9 +65,43 @@ class Layout:
         return f"{self.root}/exports"
 
 
-def _count(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    obs = Observation(name)
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+class Observed:
+    """Metrics taken while a frame is written.
+
+    When adaptive execution finds that a frame is empty it may drop the node that observes it,
+    and the metrics with it. They are then computed from the frame itself, so that a count is
+    never assumed.
+    """
+
+    def __init__(self, df: DataFrame, name: str, *metrics):
+        metrics = metrics or (F.count(F.lit(1)).alias("rows"),)
+        self.source, self.metrics, self.observation = df, metrics, Observation(name)
+        self.df = df.observe(self.observation, *self.metrics)
+
+    def get(self) -> dict:
+        try:
+            return self.observation.get
+        except Exception:  # noqa: BLE001 - py4j error: the observed node was optimized away
+            return self.source.agg(*self.metrics).first().asDict()
+
+    def rows(self) -> int:
+        return int(self.get()["rows"] or 0)
+
+
+def layer_schema(frame: DataFrame):
+    """The declared schema of a written layer: that of the transformation on typed empty rows."""
+    return frame.schema
+
+
+def bronze_frame(df: DataFrame, stamp_ingestion: bool = True) -> DataFrame:
+    return add_layer_metadata(df, "Bronze", "ingestion_timestamp" if stamp_ingestion else None)
+
+
+def silver_schemas(spark: SparkSession, traffic=None, weather=None) -> tuple:
+    """Declared schemas of the two silver tables, from the event schemas of their feeds."""
+    return tuple(layer_schema(silver.silver(bronze_frame(landing.empty(spark, s)), r)) for s, r in (
+        (traffic or schemas.TRAFFIC_SCHEMA, quality.traffic_rules()),
+        (weather or schemas.WEATHER_SCHEMA, quality.weather_rules())))
 
 
 def bronze_job(spark: SparkSession, src: str, dst: str, schema, multi_line: bool = True,
@@ -78,34 +112,34 @@ def bronze_job(spark: SparkSession, src: str, dst: str, schema, multi_line: bool
     """
     df = landing.read_landing(spark, src, schema, multi_line=multi_line,
                               glob="*.json" if multi_line else None)
-    df = add_layer_metadata(df, "Bronze", "ingestion_timestamp" if stamp_ingestion else None)
-    df, obs = _count(df, "bronze")
-    writers.write_layer(df, dst)
-    return {"layer": "bronze", "path": dst, "rows": obs.get.get("rows", 0)}
+    if df.isEmpty():  # nothing landed: the table of an earlier run stays as it is
+        return {"layer": "bronze", "path": dst, "rows": 0, "skipped": True}
+    seen = Observed(bronze_frame(df, stamp_ingestion), "bronze")
+    writers.write_layer(seen.df, dst)
+    return {"layer": "bronze", "path": dst, "rows": seen.rows()}
 
 
-def silver_job(spark: SparkSession, src: str, dst: str, rules, filter_first: bool = False) -> dict:
+def silver_job(spark: SparkSession, src: str, dst: str, rules, filter_first: bool = False,
+               schema=None) -> dict:
     """Bronze table -> dedup, rules, calendar features -> silver table, with the row
     accounting (D4) observed in the same pass: input rows, duplicates removed, rejects per rule
-    (first rule failed) and rows written."""
-    bronze = landing.read_table(spark, src)
+    (first rule failed) and rows written. ``schema`` declares the bronze table, so that partition
+    values keep their types and a table without rows can be read."""
+    bronze = landing.read_table(spark, src, schema)
     if bronze is None:  # S5: nothing landed yet is not an error
         return {"layer": "silver", "path": dst, "rows_in": 0, "rows": 0, "duplicates": 0,
                 "rejects": {}, "skipped": True}
-    bronze, seen = _count(bronze, "silver_in")
+    seen = Observed(bronze, "silver_in")
     if filter_first:
-        out, kept = _count(silver.silver(bronze, rules, filter_first=True), "silver_out")
-        writers.write_layer(out, dst)
-        n_in, n_out = seen.get.get("rows", 0), kept.get.get("rows", 0)
-        return {"layer": "silver", "path": dst, "rows_in": n_in, "rows": n_out, "removed": n_in - n_out}
-    classified = silver.silver(bronze, rules, reject_col="__reject")
-    verdicts = Observation("silver_rules")
+        kept = Observed(silver.silver(seen.df, rules, filter_first=True), "silver_out")
+        writers.write_layer(kept.df, dst)
+        return {"layer": "silver", "path": dst, "rows_in": seen.rows(), "rows": kept.rows(),
+                "removed": seen.rows() - kept.rows()}
     metrics = [F.count(F.lit(1)).alias("survivors")] + [
         F.sum(F.when(F.col("__reject") == r.name, 1).otherwise(0)).alias(f"rule_{i}") for i, r in enumerate(rules)]
-    classified = classified.observe(verdicts, *metrics)
-    out = classified.filter(F.col("__reject").isNull()).drop("__reject")
-    writers.write_layer(out, dst)
-    n_in, v = seen.get.get("rows", 0), verdicts.get
+    verdicts = Observed(silver.silver(seen.df, rules, reject_col="__reject"), "silver_rules", *metrics)
+    writers.write_layer(verdicts.df.filter(F.col("__reject").isNull()).drop("__reject"), dst)
+    n_in, v = seen.rows(), verdicts.get()
     rejects = {r.name: int(v.get(f"rule_{i}") or 0) for i, r in enumerate(rules)}
     survivors = int(v.get("survivors") or 0)
     return {"layer": "silver", "path": dst, "rows_in": n_in, "duplicates": n_in - survivors,
@@ -113,27 +147,30 @@ def silver_job(spark: SparkSession, src: str, dst: str, rules, filter_first: boo
 
 
 def gold_job(spark: SparkSession, traffic_path: str, weather_path: str, mart_path: str,
-             analytics_path: str, fallback: str = "global") -> dict:
+             analytics_path: str, fallback: str = "global", silver_tables=None) -> dict:
     """Feature mart, then the KPI rollup from the written mart (no recomputation).
 
     With ``fallback="global"`` the hourly-join mart is written first and its row count observed
     on the way; only when it is empty is the location-level fallback computed and written
-    instead, so the common case pays nothing for the check.
+    instead, so the common case pays nothing for the check. ``silver_tables`` declares the
+    schemas of the two silver tables.
     """
-    traffic, weather = landing.read_table(spark, traffic_path), landing.read_table(spark, weather_path)
+    t_schema, w_schema = silver_tables or silver_schemas(spark)
+    traffic = landing.read_table(spark, traffic_path, t_schema)
+    weather = landing.read_table(spark, weather_path, w_schema)
     if traffic is None or weather is None:  # S5
         return {"layer": "gold", "mart_rows": 0, "analytics_rows": 0, "skipped": True}
     first = "none" if fallback == "global" else fallback
-    mart, m_obs = _count(gold.feature_mart(traffic, weather, fallback=first), "mart")
-    writers.write_layer(mart, mart_path)
-    if fallback == "global" and m_obs.get.get("rows", 0) == 0:
+    mart = Observed(gold.feature_mart(traffic, weather, fallback=first), "mart")
+    writers.write_layer(mart.df, mart_path)
+    if fallback == "global" and mart.rows() == 0:
         hourly = gold.hourly_weather(weather)
-        mart, m_obs = _count(gold.add_gold_features(gold.location_fallback_join(traffic, hourly)), "mart_fallback")
-        writers.write_layer(mart, mart_path)
-    kpi = gold.kpi_rollup(spark.read.parquet(mart_path), order_by=None)
-    kpi, k_obs = _count(kpi, "analytics")
-    writers.write_layer(kpi, analytics_path)
-    return {"layer": "gold", "mart_rows": m_obs.get.get("rows", 0), "analytics_rows": k_obs.get.get("rows", 0)}
+        mart = Observed(gold.add_gold_features(gold.location_fallback_join(traffic, hourly)), "mart_fallback")
+        writers.write_layer(mart.df, mart_path)
+    written = writers.read_layer(spark, mart_path, layer_schema(mart.source))
+    kpi = Observed(gold.kpi_rollup(written, order_by=None), "analytics")
+    writers.write_layer(kpi.df, analytics_path)
+    return {"layer": "gold", "mart_rows": mart.rows(), "analytics_rows": kpi.rows()}
 
 
 def training_job(spark: SparkSession, analytics_path: str, mart_path: str, model_dir: str,
@@ -164,21 +201,21 @@ def medallion_run(spark: SparkSession, layout: Layout, multi_line: bool = True,
         route = writers.publish(frame, layout.landing_root, bootstrap_servers)
         log.append({"layer": "publish events", "route": route})
         multi_line = False
-    log += [
-        bronze_job(spark, layout.landing(layout.traffic_topic), layout.bronze(layout.traffic_topic),
-                   schemas.with_fields(schemas.TRAFFIC_SCHEMA, [("event_id", schemas.L),
-                                                                ("ingestion_timestamp", schemas.T.TimestampNTZType())])
-                   if not stamp_ingestion else schemas.TRAFFIC_SCHEMA,
-                   multi_line=multi_line, stamp_ingestion=stamp_ingestion),
-        bronze_job(spark, layout.landing(layout.weather_topic), layout.bronze(layout.weather_topic),
-                   schemas.with_fields(schemas.WEATHER_SCHEMA, [("event_id", schemas.L),
-                                                                ("ingestion_timestamp", schemas.T.TimestampNTZType())])
-                   if not stamp_ingestion else schemas.WEATHER_SCHEMA,
-                   multi_line=multi_line, stamp_ingestion=stamp_ingestion),
-        silver_job(spark, layout.bronze(layout.traffic_topic), layout.silver_traffic, quality.traffic_rules()),
-        silver_job(spark, layout.bronze(layout.weather_topic), layout.silver_weather, quality.weather_rules()),
-        gold_job(spark, layout.silver_traffic, layout.silver_weather, layout.mart, layout.analytics),
-    ]
+    stamps = [] if stamp_ingestion else [
+        ("event_id", schemas.L), ("ingestion_timestamp", schemas.T.TimestampNTZType())]
+    feeds = [(layout.traffic_topic, schemas.with_fields(schemas.TRAFFIC_SCHEMA, stamps),
+              layout.silver_traffic, quality.traffic_rules()),
+             (layout.weather_topic, schemas.with_fields(schemas.WEATHER_SCHEMA, stamps),
+              layout.silver_weather, quality.weather_rules())]
+    bronze = [bronze_frame(landing.empty(spark, f[1]), stamp_ingestion) for f in feeds]
+    tables = [layer_schema(silver.silver(b, f[3])) for b, f in zip(bronze, feeds)]
+    log += [bronze_job(spark, layout.landing(topic), layout.bronze(topic), schema,
+                       multi_line=multi_line, stamp_ingestion=stamp_ingestion)
+            for topic, schema, _, _ in feeds]
+    log += [silver_job(spark, layout.bronze(topic), dst, rules, schema=layer_schema(b))
+            for (topic, _, dst, rules), b in zip(feeds, bronze)]
+    log.append(gold_job(spark, layout.silver_traffic, layout.silver_weather, layout.mart,
+                        layout.analytics, silver_tables=tables))
     if publish_to:
         for name, path in (("silver/traffic", layout.silver_traffic), ("silver/weather", layout.silver_weather),
                            ("gold/feature_mart", layout.mart), ("gold/analytics", layout.analytics)):

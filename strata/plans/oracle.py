@@ -517,5 +517,6 @@ def payload_kpi_ctes() -> list[str]:
 def job_oracle() -> dict[str, str]:
     return {
         "medallion_files": with_query(kpi_ctes(), f"SELECT {cols(KPI_COLS)} FROM kpi"),
+        "medallion_rerun_without_landing": with_query(kpi_ctes(), f"SELECT {cols(KPI_COLS)} FROM kpi"),
         "medallion_from_payloads": with_query(payload_kpi_ctes(), f"SELECT {cols(KPI_COLS)} FROM kpi"),
     }

@@ -15,9 +15,11 @@ from pyspark.sql import types as T
 
 from strata.operators import gold
 from strata.operators.layers import add_layer_metadata, add_temporal_features
-from strata.operators.quality import apply_rules
+from strata.operators.quality import apply_rules, dedup
+from strata.operators.silver import EVENT_KEYS, FIRST_INGESTED
+from strata.session import checkpoint_root
 from strata.sinks.writers import write_layer
-from strata.sources.landing import JSON_TIME_OPTIONS
+from strata.sources.landing import JSON_TIME_OPTIONS, read_table
 
 
 def read_topics(spark: SparkSession, bootstrap_servers: str, topics: Sequence[str],
@@ -75,6 +77,56 @@ def run_to_table(df: DataFrame, path: str, checkpoint: str, partition_by: Sequen
     return q
 
 
+def silver_refresh_batch(spark: SparkSession, rules, survivors_path: str, silver_path: str,
+                         schema: T.StructType, tz: str = "UTC") -> Callable[[DataFrame, int], None]:
+    """ST4 + ST5 without a watermark: a ``foreachBatch`` function that merges a micro-batch.
+
+    ``survivors_path`` holds the dedup survivors of all batches, before the rules, by location
+    and day. The partitions a batch touches are merged with it, deduplicated by the batch job's
+    total order and written again; silver is the rules over them. So the result does not depend
+    on how events are cut into batches or how late they come, no row is dropped for being late, and a
+    replayed batch gives the same tables. Work per batch grows with the touched days.
+    """
+    parts = ("city_name", "event_day")
+
+    def refresh(batch: DataFrame, epoch_id: int) -> None:
+        day = F.to_date("event_timestamp")
+        new = add_temporal_features(batch, "timestamp", tz).withColumn("event_day", day)
+        touched = new.select(*parts).distinct()
+        old = read_table(spark, survivors_path, silver_survivor_schema(spark, schema, tz))
+        if old is not None:
+            keep = [F.col(f"o.{p}").eqNullSafe(F.col(f"t.{p}")) for p in parts]
+            new = new.unionByName(old.alias("o").join(touched.alias("t"), keep, "left_semi"))
+        order = [o for o in FIRST_INGESTED if o.column in new.columns]
+        merged = dedup(new, EVENT_KEYS, order, tie_break="event_id" not in new.columns)
+        checkpoint_root(spark)
+        merged = merged.checkpoint()  # its partitions are about to be replaced
+        write_layer(merged, survivors_path, partition_by=parts, replace="partitions")
+        clean = add_layer_metadata(apply_rules(merged, rules), "Silver", "processed_timestamp")
+        write_layer(clean, silver_path, partition_by=parts, replace="partitions")
+
+    return refresh
+
+
+def silver_survivor_schema(spark: SparkSession, schema: T.StructType, tz: str = "UTC") -> T.StructType:
+    """Declared schema of the survivors table, so that partition values keep their types."""
+    frame = add_temporal_features(spark.createDataFrame([], schema), "timestamp", tz)
+    return frame.withColumn("event_day", F.to_date("event_timestamp")).schema
+
+
+def run_silver_refresh(events: DataFrame, rules, survivors_path: str, silver_path: str,
+                       checkpoint: str, tz: str = "UTC", available_now: bool = True):
+    """ST2-ST5: stream events into silver through ``silver_refresh_batch``."""
+    fn = silver_refresh_batch(events.sparkSession, rules, survivors_path, silver_path,
+                              events.schema, tz)
+    w = events.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
+    q = w.start()
+    if available_now:
+        q.awaitTermination()
+    return q
+
+
 def gold_refresh_batch(spark: SparkSession, silver_traffic_path: str, silver_weather_path: str,
                        mart_path: str, analytics_path: str, partials_path: str | None = None,
                        fallback: str = "none") -> Callable[[DataFrame, int], None]:
