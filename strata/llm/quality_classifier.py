@@ -15,12 +15,14 @@ columns are not read.
 
 from __future__ import annotations
 
+import pickle
 import re
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -214,15 +216,15 @@ def score(docs: DataFrame, model: QualityModel, keep: list[str], text_col: str =
           least: float | None = None) -> DataFrame:
     """Columns ``keep`` and ``score``, the probability of label 1, of every row; with ``least``
     only of rows that reach it."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))
 
     def make():
-        buckets = TokenBuckets()
+        buckets, model = TokenBuckets(), pickle.loads(sent.value)
 
         def work(texts):
-            x = np.array([pool(buckets.of(t), sent.value.vectors) for t in texts])
+            x = np.array([pool(buckets.of(t), model.vectors) for t in texts])
             buckets.trim()
-            p = sent.value.probability(x.reshape(len(texts), -1))
+            p = model.probability(x.reshape(len(texts), -1))
             made = [pa.array(p, pa.float64())]
             return made if least is None else (made, p >= least)
 
