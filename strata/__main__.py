@@ -16,6 +16,7 @@ from strata import schemas
 from strata.operators import quality
 from strata.plans import medallion
 from strata.session import get_session
+from strata.sources import landing
 
 
 def main(argv=None) -> None:
@@ -24,7 +25,8 @@ def main(argv=None) -> None:
     ap.add_argument("--root", required=True, help="folder or URI holding landing/, bronze/, silver/, gold/")
     ap.add_argument("--master", default=None)
     ap.add_argument("--landing-lines", action="store_true",
-                    help="landing files hold JSON lines (default: one object per file)")
+                    help="landing files hold JSON lines, as the publish fallback writes them "
+                         "(always so for the 'topic=' folders; otherwise one object per file)")
     ap.add_argument("--landing-pattern", default="topic={topic}",
                     help="folder of one topic below landing/ ('{topic}' for one-object-per-file folders)")
     ap.add_argument("--publish-to", default=None, help="copy silver and gold below this URI (K9)")
@@ -34,7 +36,9 @@ def main(argv=None) -> None:
 
     spark = get_session(args.master)
     layout = medallion.Layout(args.root.rstrip("/"), landing_pattern=args.landing_pattern)
-    multi_line = not args.landing_lines
+    multi_line = not (args.landing_lines or args.landing_pattern.startswith("topic="))
+    bronze = [medallion.bronze_frame(landing.empty(spark, s)).schema
+              for s in (schemas.TRAFFIC_SCHEMA, schemas.WEATHER_SCHEMA)]
     if args.job == "full":
         log = medallion.medallion_run(spark, layout, multi_line=multi_line, train=not args.no_train,
                                       export=not args.no_export, publish_to=args.publish_to)
@@ -45,9 +49,9 @@ def main(argv=None) -> None:
                                     schemas.WEATHER_SCHEMA, multi_line=multi_line)]
     elif args.job == "silver":
         log = [medallion.silver_job(spark, layout.bronze(layout.traffic_topic), layout.silver_traffic,
-                                    quality.traffic_rules()),
+                                    quality.traffic_rules(), schema=bronze[0]),
                medallion.silver_job(spark, layout.bronze(layout.weather_topic), layout.silver_weather,
-                                    quality.weather_rules())]
+                                    quality.weather_rules(), schema=bronze[1])]
     elif args.job == "gold":
         log = [medallion.gold_job(spark, layout.silver_traffic, layout.silver_weather, layout.mart, layout.analytics)]
     else:
