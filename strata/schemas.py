@@ -50,17 +50,17 @@ def with_fields(schema: T.StructType, extra) -> T.StructType:
     return T.StructType(list(schema.fields) + [T.StructField(n, t, True) for n, t in extra])
 
 
-# Traffic flow payload.
+# Traffic flow payload. Numbers are read as doubles; integer columns truncate them.
 TRAFFIC_PAYLOAD_SCHEMA = T.StructType([
     T.StructField("flowSegmentData", _struct([
-        ("currentSpeed", D), ("freeFlowSpeed", D), ("currentTravelTime", I),
-        ("freeFlowTravelTime", I), ("confidence", D), ("roadClosure", B),
+        ("currentSpeed", D), ("freeFlowSpeed", D), ("currentTravelTime", D),
+        ("freeFlowTravelTime", D), ("confidence", D), ("roadClosure", B),
     ]), True),
 ])
 
 # Current weather payload.
 WEATHER_PAYLOAD_SCHEMA = T.StructType([
-    T.StructField("main", _struct([("temp", D), ("feels_like", D), ("humidity", I), ("pressure", I)]), True),
+    T.StructField("main", _struct([("temp", D), ("feels_like", D), ("humidity", D), ("pressure", D)]), True),
     T.StructField("wind", _struct([("speed", D)]), True),
     T.StructField("weather", T.ArrayType(_struct([("main", S)])), True),
 ])
@@ -68,7 +68,7 @@ WEATHER_PAYLOAD_SCHEMA = T.StructType([
 # Air pollution payload.
 AIR_PAYLOAD_SCHEMA = T.StructType([
     T.StructField("list", T.ArrayType(T.StructType([
-        T.StructField("main", _struct([("aqi", I)]), True),
+        T.StructField("main", _struct([("aqi", D)]), True),
         T.StructField("components", _struct([
             ("co", D), ("no2", D), ("o3", D), ("so2", D), ("pm2_5", D), ("pm10", D),
         ]), True),

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.functions.metrics import congestion_level, congestion_ratio
 from strata.functions.temporal import iso_utc_text
@@ -28,6 +29,8 @@ TRAFFIC_SOURCE = "TomTom_API"
 WEATHER_SOURCE = "OpenWeather_API"
 
 UNPARSABLE = "unparsable body"
+WRONG_TYPE = "value of a wrong type"
+_CORRUPT = "_corrupt_body"
 
 
 def _ok(body: str) -> Column:
@@ -39,11 +42,21 @@ def _parsed(raw: DataFrame, body: str, schema) -> DataFrame:
     """The body parsed once into ``__p`` and its validity computed once into ``__ok``; field
     extraction then reads these columns (Catalyst does not inline an expensive expression into
     several consumers), so each body is parsed a fixed number of times, not once per field."""
-    return raw.withColumns({"__p": F.from_json(F.col(body), schema), "__ok": _ok(body)})
+    marked = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType(), True)])
+    parsed = F.from_json(F.col(body), marked, {"columnNameOfCorruptRecord": _CORRUPT})
+    return raw.withColumns({"__p": parsed, "__ok": _ok(body)})
 
 
 def _pick(ok: Column, value: Column, default) -> Column:
-    return F.when(ok, F.coalesce(value, F.lit(default)))
+    """An absent or null field takes the default; in a body with a value of a wrong type it
+    stays null, because the parse cannot tell which field held it."""
+    wrong = F.col("__p")[_CORRUPT].isNotNull()
+    return F.when(ok, F.when(wrong, value).otherwise(F.coalesce(value, F.lit(default))))
+
+
+def _error(ok: Column) -> Column:
+    return (F.when(~ok, F.lit(UNPARSABLE))
+            .when(F.col("__p")[_CORRUPT].isNotNull(), F.lit(WRONG_TYPE)))
 
 
 def _stamp(time_col: str | None) -> Column:
@@ -68,7 +81,7 @@ def flatten_traffic(raw: DataFrame, body: str = "body", time_col: str | None = "
         _pick(ok, f["confidence"], d["confidence"]).cast("double").alias("confidence"),
         _pick(ok, f["roadClosure"], d["roadClosure"]).cast("boolean").alias("road_closure"),
         F.lit(source).alias("data_source"),
-        F.when(~ok, F.lit(UNPARSABLE)).alias("payload_error"),
+        _error(ok).alias("payload_error"),
     )
     out = out.withColumn("congestion_ratio", congestion_ratio("current_speed", "free_flow_speed"))
     out = out.withColumn("congestion_level",
@@ -96,7 +109,7 @@ def flatten_weather(raw: DataFrame, body: str = "body", time_col: str | None = "
         _pick(ok, p["main"]["pressure"], d["pressure"]).cast("int").alias("pressure"),
         _pick(ok, p["wind"]["speed"], d["wind_speed"]).cast("double").alias("wind_speed"),
         _pick(ok, F.get(p["weather"], 0)["main"], d["condition"]).alias("weather_condition"),
-        F.when(~ok, F.lit(UNPARSABLE)).alias("weather_error"),
+        _error(ok).alias("weather_error"),
     )
 
 
@@ -111,7 +124,7 @@ def flatten_air(raw: DataFrame, body: str = "body", defaults: dict = AIR_DEFAULT
         "city_name", "poll_id",
         _pick(ok, first["main"]["aqi"], d["aqi"]).cast("int").alias("aqi"),
         *[_pick(ok, comp[c], d[c]).cast("double").alias(c) for c in ("co", "no2", "o3", "so2", "pm2_5", "pm10")],
-        F.when(~ok, F.lit(UNPARSABLE)).alias("air_error"),
+        _error(ok).alias("air_error"),
     )
 
 

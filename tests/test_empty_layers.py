@@ -5,7 +5,7 @@ from strata.operators import gold, locations, quality, silver
 from strata.plans import medallion
 from strata.session import scratch_path
 from strata.sinks import writers
-from strata.sources import fixtures, landing
+from strata.sources import fixtures, landing, payloads
 from strata.streaming import streams
 from tests.conftest import rows
 
@@ -88,3 +88,20 @@ def test_location_lookup_does_not_fan_out(spark):
                                 "name string, area_type string, lat double, lon double, zoom int")
     events = spark.createDataFrame([("airport", 1)], "city_name string, e int")
     assert locations.enrich_locations(events, dim).count() == 1
+
+
+def test_payload_numbers_truncate_and_wrong_types_are_reported(spark):
+    bodies = ['{"flowSegmentData": {"currentSpeed": 30.5, "freeFlowSpeed": 50, '
+              '"currentTravelTime": 12.7, "freeFlowTravelTime": 9}}',
+              '{"flowSegmentData": {"currentSpeed": "abc", "freeFlowSpeed": 50}}',
+              '{"flowSegmentData": "oops"}', "not json"]
+    raw = spark.createDataFrame(
+        [(i, "c", 1.0, 2.0, None, b) for i, b in enumerate(bodies)],
+        "poll_id long, city_name string, latitude double, longitude double, "
+        "fetched_at timestamp, body string")
+    got = {r.poll_id: r for r in payloads.flatten_traffic(raw).collect()}
+    assert got[0].current_travel_time == 12 and got[0].payload_error is None
+    assert got[0].confidence == 1.0  # absent: the default
+    assert got[1].current_speed is None and got[1].payload_error == payloads.WRONG_TYPE
+    assert got[2].current_speed is None and got[2].payload_error == payloads.WRONG_TYPE
+    assert got[3].current_speed is None and got[3].payload_error == payloads.UNPARSABLE
