@@ -9,8 +9,12 @@ a line before others.
 2. A line posts itself under the words of its prefix: lines similar enough share one. Lines that
    meet under a word pass the length filter, the positional filter and a 128-bit parity sketch of
    their words that can't differ in more bits than the sets do in words.
-3. The lines of the pairs left are fetched from their documents (which travel as zstd frames) and
-   the Jaccard similarity is computed exactly.
+3. The lines of the pairs left are fetched from their documents (which travel as zstd frames, or
+   not at all if the pairs are few enough to be broadcast) and the Jaccard similarity is computed
+   exactly.
+
+Postings travel in columns, compressed, one row per task and bucket of words. The number of
+buckets grows with the words of all documents and the session's shuffle partitions.
 
 Lines with equal sets are one class, posted once per task, so a common line costs one row a
 task. In a group each line passes on only about ``FIRST_PAIRS`` candidates; a line that has
@@ -42,8 +46,13 @@ GROUP_ROWS = 1 << 20
 NO_ID = -(1 << 63)
 BROADCAST_ROWS = 100_000
 SCAN_BYTES = 1 << 20
+# Postings a task gathers before it packs them, and words of all documents per bucket at most.
+PACKED_ROWS = 1 << 20
+BUCKET_WORDS = 1 << 23
 POSTING = ("token long, block int, doc long, line int, class long, n int, pos int, "
            "low long, high long, short boolean")
+PACKED = {"token": "<i8", "block": "<i4", "doc": "<i8", "line": "<i4", "class": "<i8", "n": "<i4",
+          "pos": "<i4", "low": "<i8", "high": "<i8", "short": "?"}
 
 
 def least_overlap(total, threshold=THRESHOLD):
@@ -133,8 +142,11 @@ class LineSets:
             "high": np.bitwise_xor.reduceat(bit * upper, starts).view(np.int64)}
 
 
-def _postings(sent, threshold):
-    """A row per prefix word of a line; a copy of a line already posted here has one row, n = 0."""
+def _postings(sent, threshold, only=None):
+    """A row per prefix word of a line; a copy of a line already posted here has one row, n = 0.
+
+    ``only``: broadcast sorted tokens; rows under other tokens are left out.
+    """
     def run(batches):
         sets, seen = LineSets(sent.value), {}
         counts = np.sort(sent.value)  # by rank
@@ -157,6 +169,9 @@ def _postings(sent, threshold):
         prefix = np.where(posted, prefix_words(s["n"], threshold), 1)
         pos = np.arange(len(s["keys"])) - s["starts"][s["owner"]]
         at = np.flatnonzero(pos < prefix[s["owner"]])
+        if only is not None:
+            near = np.searchsorted(only.value, s["keys"][at])
+            at = at[only.value[np.minimum(near, len(only.value) - 1)] == s["keys"][at]]
         rank = s["keys"][at] >> 28
         row, block = [np.flatnonzero(rank < hot)], [np.zeros(int((rank < hot).sum()), np.int64)]
         for k in np.flatnonzero(rank >= hot).tolist():
@@ -170,6 +185,7 @@ def _postings(sent, threshold):
         short = s["n"] * (threshold[0] + threshold[1]) <= 128 * threshold[0]
         low = np.where(short, s["low"] ^ s["high"], s["low"])
         high = np.where(short, 0, s["high"])
+        low, high = np.where(posted, low, 0), np.where(posted, high, 0)
         n = np.where(posted, s["n"], 0)[own].astype(np.int32)
         return pa.RecordBatch.from_arrays(
             [pa.array(s["keys"][at]), pa.array(np.concatenate(block).astype(np.int32)),
@@ -181,6 +197,94 @@ def _postings(sent, threshold):
     return run
 
 
+def _columns(batch: pa.RecordBatch, names) -> dict:
+    return {k: batch.column(i).to_numpy(zero_copy_only=False) for i, k in enumerate(names)}
+
+
+def _pack_rows(t: dict) -> bytes:
+    """Postings by column and byte position (equal bytes side by side), compressed."""
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(
+        np.ascontiguousarray(t[k].astype(kind, copy=False).view(np.uint8)
+                             .reshape(len(t[k]), -1).T).tobytes() for k, kind in PACKED.items()))
+
+
+def _unpack_rows(packed: bytes) -> dict:
+    raw, at, out = zstandard.ZstdDecompressor().decompress(packed), 0, {}
+    size = len(raw) // sum(np.dtype(kind).itemsize for kind in PACKED.values())
+    for k, kind in PACKED.items():
+        width = np.dtype(kind).itemsize
+        planes = np.frombuffer(raw, np.uint8, size * width, at).reshape(width, size)
+        out[k], at = np.ascontiguousarray(planes.T).view(kind).ravel(), at + size * width
+    return out
+
+
+def _packed_postings(sent, threshold, buckets: int):
+    """The postings of a task by bucket, a row each; a token's block lies in one bucket."""
+    names = list(PACKED)
+
+    def run(batches):
+        held, size = [], 0
+        for batch in _postings(sent, threshold)(batches):
+            held.append(_columns(batch, names))
+            size += batch.num_rows
+            if size >= PACKED_ROWS:
+                yield pack(held)
+                held, size = [], 0
+        if size:
+            yield pack(held)
+
+    def pack(held):
+        t = {k: np.concatenate([h[k] for h in held]) for k in names}
+        place = mix(t["token"].view(np.uint64) + mix(t["block"].astype(np.uint64)))
+        bucket = (place % np.uint64(buckets)).astype(np.int32)
+        by = np.lexsort((t["token"], bucket))
+        bucket, t = bucket[by], {k: v[by] for k, v in t.items()}
+        edges = [0, *(np.flatnonzero(bucket[1:] != bucket[:-1]) + 1).tolist(), len(bucket)]
+        packed = [_pack_rows({k: v[a:b] for k, v in t.items()}) for a, b in zip(edges, edges[1:])]
+        return pa.RecordBatch.from_arrays([pa.array(bucket[edges[:-1]]),
+                                           pa.array(packed, pa.binary())],
+                                          names=["bucket", "packed"])
+
+    return run
+
+
+def _buckets(batches):
+    """The postings of one bucket after the other, sorted like a group."""
+    held, last = [], None
+    for batch in batches:
+        for bucket, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            if bucket != last and held:
+                yield _sorted(held)
+                held = []
+            held.append(_unpack_rows(packed))
+            last = bucket
+    if held:
+        yield _sorted(held)
+
+
+def _sorted(held: list[dict]) -> dict:
+    t = {k: np.concatenate([h[k] for h in held]) for k in held[0]}
+    by = np.lexsort((t["line"], t["doc"], t["block"], t["token"]))
+    return {k: v[by] for k, v in t.items()}
+
+
+def _groups(batches):
+    """Plain marked postings, sorted by group, in runs of whole groups."""
+    names, held = [*PACKED, "probe"], None
+    for batch in batches:
+        t = _columns(batch, names)
+        held = t if held is None else {k: np.concatenate([held[k], t[k]]) for k in t}
+        if not len(held["token"]):
+            continue
+        other = (held["token"] != held["token"][-1]) | (held["block"] != held["block"][-1])
+        if other.any():
+            cut = len(other) - int(np.argmax(other[::-1]))
+            yield {k: v[:cut] for k, v in held.items()}
+            held = {k: v[cut:] for k, v in held.items()}
+    if held is not None and len(held["token"]):
+        yield held
+
+
 def may_match(t: dict, x, y, threshold) -> np.ndarray:
     """Length, positional and sketch filters of the posting pairs (x, y), each on what is left."""
     ok = np.zeros(len(x), bool)
@@ -273,27 +377,15 @@ def earliest(t: dict) -> dict:
 def _candidates(threshold, every: bool):
     """Rows of two kinds: candidate pairs (class a after class b), and every line with its class
     (``doc2`` null)."""
-    names = [c.split()[0] for c in POSTING.split(", ")] + ["probe"] * every
-
     def run(batches):
-        held: dict | None = None
-        for batch in batches:
-            t = {k: batch.column(i).to_numpy(zero_copy_only=False) for i, k in enumerate(names)}
-            t |= {k: t[k].astype(np.int64).view(np.uint64) for k in ("low", "high")}
+        for t in _groups(batches) if every else _buckets(batches):
+            t |= {k: t[k].view(np.uint64) for k in ("low", "high")}
             if not every:
                 lines = t["pos"] == 0  # a split word repeats such rows, which changes nothing
                 yield output(*(t[k][lines] for k in ("class", "class", "doc", "line")))
-            t = {k: v[t["n"] > 0] for k, v in t.items()}
-            held = t if held is None else {k: np.concatenate([held[k], t[k]]) for k in t}
-            if not len(held["token"]):
-                continue
-            other = (held["token"] != held["token"][-1]) | (held["block"] != held["block"][-1])
-            if other.any():
-                cut = len(other) - int(np.argmax(other[::-1]))
-                yield pairs({k: v[:cut] for k, v in held.items()})
-                held = {k: v[cut:] for k, v in held.items()}
-        if held is not None and len(held["token"]):
-            yield pairs(held)
+            posted = t["n"] > 0
+            if posted.any():
+                yield pairs({k: v[posted] for k, v in t.items()})
 
     def pairs(t):
         t = earliest(t)
@@ -318,14 +410,15 @@ def _candidates(threshold, every: bool):
 CANDIDATE = ("a long, b long, doc long, line int, doc2 long, line2 int, token long, more boolean")
 
 
-def _wanted_lines(sent):
+def _wanted_lines(sent, packed: bool):
     """(class, words) of the wanted lines of a document, if they are of that class."""
     def run(batches):
-        sets, unpack = LineSets(sent.value), zstandard.ZstdDecompressor().decompress
+        sets = LineSets(sent.value)
+        unpack = zstandard.ZstdDecompressor().decompress if packed else bytes
         for batch in batches:
             classes, words = [], []
-            for packed, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                parts = unpack(packed).split(b"\n")
+            for text, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                parts = unpack(text).split(b"\n")
                 wanted = [w for w in wanted if w["line"] < len(parts) and parts[w["line"]].split()]
                 found = sets.of([parts[w["line"]] for w in wanted])["class"].tolist()
                 for w, c in zip(wanted, found):
@@ -367,29 +460,35 @@ def kept_lines(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, id_col:
                text_col: str = "text") -> DataFrame:
     """(doc, n_lines, kept): for every document with a line that has a word, how many such lines
     it has and the numbers of those that stay (from 0, counting all lines)."""
-    keyed = _keyed(docs, id_col, text_col)
-    sent = docs.sparkSession.sparkContext.broadcast(bucket_counts(keyed))
-    postings = keyed.mapInArrow(_postings(sent, threshold), POSTING)
-    group, inside = ["token", "block"], ["token", "block", "doc", "line"]
-
-    def candidates(rows: DataFrame, every: bool) -> DataFrame:
-        return durable(rows.repartition(*group).sortWithinPartitions(*inside)
-                       .mapInArrow(_candidates(threshold, every), CANDIDATE))
+    keyed, spark = _keyed(docs, id_col, text_col), docs.sparkSession
+    total = bucket_counts(keyed)
+    sent = spark.sparkContext.broadcast(total)
+    buckets = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")),
+                  int(total.sum()) // BUCKET_WORDS)
 
     def similar(pairs: DataFrame) -> DataFrame:
         """Classes with a verified earlier match."""
+        few = pairs.count() <= BROADCAST_ROWS
         unique = pairs.select("a", "b").distinct()
         wanted = (pairs.select(F.col("a").alias("class"), "doc", "line")
                   .union(pairs.select("b", "doc2", "line2"))
                   .groupBy("doc").agg(F.collect_set(F.struct("class", "line")).alias("wanted")))
-        texts = durable(keyed.where("text is not null").mapInArrow(
-            _packed, "doc long, packed binary").join(wanted, "doc").select("packed", "wanted")
-            .mapInArrow(_wanted_lines(sent), "class long, words binary")
-            .groupBy("class").agg(F.min("words").alias("words")))
+        texts = keyed.where("text is not null")
+        if few:  # then no text is shuffled
+            texts = texts.join(F.broadcast(wanted), "doc").select("text", "wanted")
+        else:
+            texts = (texts.mapInArrow(_packed, "doc long, packed binary").join(wanted, "doc")
+                     .select("packed", "wanted"))
+        texts = durable(texts.mapInArrow(_wanted_lines(sent, not few),
+                                         "class long, words binary")
+                        .groupBy("class").agg(F.min("words").alias("words")))
         return (unique.join(texts.toDF("a", "wa"), "a").join(texts.toDF("b", "wb"), "b")
                 .select("a", "wa", "wb").mapInArrow(_verify(threshold), "a long").distinct())
 
-    found = candidates(postings, False)
+    found = durable(keyed.mapInArrow(_packed_postings(sent, threshold, buckets),
+                                     "bucket int, packed binary")
+                    .repartition("bucket").sortWithinPartitions("bucket")
+                    .mapInArrow(_candidates(threshold, False), CANDIDATE))
     lines = found.where("doc2 is null").select(F.col("a").alias("class"), "doc", "line")
     pairs = found.where("doc2 is not null")
     removed = durable(similar(pairs))
@@ -399,12 +498,19 @@ def kept_lines(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, id_col:
     if left:
         probes, tokens = again.select("class").distinct(), again.select("token").distinct()
         if left <= BROADCAST_ROWS:
-            probes, tokens = F.broadcast(probes), F.broadcast(tokens)
-        marked = (postings.join(tokens, "token", "left_semi")
-                  .join(probes.withColumn("probe", F.lit(True)), "class", "left")
-                  .select(*[c.split()[0] for c in POSTING.split(", ")],
-                          F.coalesce("probe", F.lit(False)).alias("probe")))
-        removed = removed.union(similar(candidates(marked, True))).distinct()
+            only = np.sort(np.array([r["token"] for r in tokens.collect()], np.int64))
+            postings = keyed.mapInArrow(
+                _postings(sent, threshold, spark.sparkContext.broadcast(only)), POSTING)
+            probes = F.broadcast(probes)
+        else:
+            postings = keyed.mapInArrow(_postings(sent, threshold), POSTING).join(
+                tokens, "token", "left_semi")
+        marked = (postings.join(probes.withColumn("probe", F.lit(True)), "class", "left")
+                  .select(*PACKED, F.coalesce("probe", F.lit(False)).alias("probe")))
+        pairs = durable(marked.repartition("token", "block")
+                        .sortWithinPartitions("token", "block", "doc", "line")
+                        .mapInArrow(_candidates(threshold, True), CANDIDATE))
+        removed = removed.union(similar(pairs)).distinct()
     first = lines.groupBy("class").agg(F.min(F.struct("doc", "line")).alias("at"))
     kept = (first.join(removed.toDF("class"), "class", "left_anti")
             .groupBy(F.col("at.doc").alias("doc"))
