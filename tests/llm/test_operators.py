@@ -122,8 +122,10 @@ def test_line_dedup_equals_brute_force(docs, rows, empty):
     assert line_dedup.line_report(empty).count() == 0
 
 
-def test_line_dedup_second_round_takes_every_candidate(spark, monkeypatch):
+@pytest.mark.parametrize("broadcast_rows", [100_000, 0])
+def test_line_dedup_second_round_takes_every_candidate(spark, monkeypatch, broadcast_rows):
     monkeypatch.setattr(line_dedup, "FIRST_PAIRS", 1)
+    monkeypatch.setattr(line_dedup, "BROADCAST_ROWS", broadcast_rows)
     rng = random.Random(5)
     base = [f"b{i}" for i in range(40)]
     rows = []
