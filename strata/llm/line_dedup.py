@@ -17,7 +17,10 @@ buckets grows with the words of all documents and the session's shuffle partitio
 
 Lines with equal sets are one class, posted once per task, so a common line costs one row a
 task. In a group each line passes on only about ``FIRST_PAIRS`` candidates; a line that has
-more, and whose candidates all fail the exact check, goes through a second round that takes every candidate. A word whose count could
+more, and whose candidates all fail the exact check, goes on in steps: ``STEP_PAIRS`` candidates
+of the group after those tried (four times as many each step, up to ``MOST_PAIRS``), until one is
+verified or none is left. Their postings hold 32-bit hashes of the words of lines up to
+``HASHED_WORDS`` words, which leave hardly a false candidate of such lines. A word whose count could
 make a group of more than ``GROUP_ROWS`` rows is cut into blocks of rows that meet pairwise.
 
 Defined results: lines without a word are kept and never compared; null and empty texts have no
@@ -41,6 +44,10 @@ KEY_BITS = 44
 LINES_AT_ONCE = 1 << 18
 SMALL_GROUP = 4096
 FIRST_PAIRS = 8
+STEP_PAIRS = 64
+MOST_PAIRS = 4096
+HASHED_WORDS = 128
+PAIRS_AT_ONCE = 1 << 14
 GROUP_ROWS = 1 << 20
 NO_ID = -(1 << 63)
 BROADCAST_ROWS = 100_000
@@ -50,6 +57,7 @@ PACKED_ROWS = 1 << 20
 BUCKET_WORDS = 1 << 23
 POSTING = ("token long, block int, doc long, line int, class long, n int, pos int, "
            "low long, high long, short boolean")
+HASHED = POSTING + ", hashes binary"
 PACKED = {"token": "<i8", "block": "<i4", "doc": "<i8", "line": "<i4", "class": "<i8", "n": "<i4",
           "pos": "<i4", "low": "<i8", "high": "<i8", "short": "?"}
 
@@ -127,7 +135,7 @@ class LineSets:
         words, keys, owner = words[fresh], keys[fresh], owner[fresh]
         n = np.bincount(owner, minlength=len(lines))
         out = {"text": text, "line": number.astype(np.int32), "n": n, "owner": owner,
-               "keys": keys.astype(np.int64)}
+               "keys": keys.astype(np.int64), "hashes": words.astype(np.uint32)}
         if not len(lines):
             return out | {k: np.zeros(0, np.int64) for k in ("starts", "class", "low", "high")}
         starts = np.concatenate([[0], np.cumsum(n)[:-1]]).astype(np.int64)
@@ -141,10 +149,11 @@ class LineSets:
             "high": np.bitwise_xor.reduceat(bit * upper, starts).view(np.int64)}
 
 
-def _postings(sent, threshold, only=None):
+def _postings(sent, threshold, only=None, hashed=False):
     """A row per prefix word of a line; a copy of a line already posted here has one row, n = 0.
 
-    ``only``: broadcast sorted tokens; rows under other tokens are left out.
+    ``only``: broadcast sorted tokens; rows under other tokens are left out. ``hashed``: with the
+    word hashes of the line, empty if it has more than ``HASHED_WORDS`` words.
     """
     def run(batches):
         sets, seen = LineSets(sent.value), {}
@@ -186,12 +195,16 @@ def _postings(sent, threshold, only=None):
         high = np.where(short, 0, s["high"])
         low, high = np.where(posted, low, 0), np.where(posted, high, 0)
         n = np.where(posted, s["n"], 0)[own].astype(np.int32)
+        columns = [pa.array(s["keys"][at]), pa.array(np.concatenate(block).astype(np.int32)),
+                   pa.array(doc[own]), pa.array(line[own]), pa.array(s["class"][own]), pa.array(n),
+                   pa.array(pos[at].astype(np.int32)), pa.array(low[own]), pa.array(high[own]),
+                   pa.array(short[own])]
+        if hashed:
+            columns.append(pa.array([
+                s["hashes"][a:a + k].tobytes() if k <= HASHED_WORDS else b""
+                for a, k in zip(s["starts"][own].tolist(), n.tolist())], pa.binary()))
         return pa.RecordBatch.from_arrays(
-            [pa.array(s["keys"][at]), pa.array(np.concatenate(block).astype(np.int32)),
-             pa.array(doc[own]), pa.array(line[own]), pa.array(s["class"][own]), pa.array(n),
-             pa.array(pos[at].astype(np.int32)), pa.array(low[own]), pa.array(high[own]),
-             pa.array(short[own])],
-            names=[c.split()[0] for c in POSTING.split(", ")])
+            columns, names=[c.split()[0] for c in (HASHED if hashed else POSTING).split(", ")])
 
     return run
 
@@ -269,7 +282,7 @@ def _sorted(held: list[dict]) -> dict:
 
 def _groups(batches):
     """Plain marked postings, sorted by group, in runs of whole groups."""
-    names, held = [*PACKED, "probe"], None
+    names, held = [*PACKED, "hashes", "probe"], None
     for batch in batches:
         t = _columns(batch, names)
         held = t if held is None else {k: np.concatenate([held[k], t[k]]) for k in t}
@@ -302,19 +315,61 @@ def may_match(t: dict, x, y, threshold) -> np.ndarray:
     return ok
 
 
-def group_pairs(t: dict, threshold, every: bool) -> tuple:
-    """(later, earlier, more) posting pairs of arrays sorted by token, block, document and line.
+def with_hashes(t: dict) -> dict:
+    """``hashes`` of all postings as one array, and where those of each posting ``from`` and how
+    many there are (0: not known)."""
+    sizes = np.fromiter(map(len, t["hashes"]), np.int64, len(t["hashes"])) // 4
+    return t | {"hashes": np.frombuffer(b"".join(t["hashes"]), np.uint32).astype(np.int64),
+                "from": np.cumsum(sizes) - sizes, "hashed": sizes}
+
+
+def may_share(t: dict, x, y, threshold) -> np.ndarray:
+    """Whether the posting pairs (x, y) have hashes in common for the overlap they need."""
+    ok = np.ones(len(x), bool)
+    known = np.flatnonzero((t["hashed"][x] > 0) & (t["hashed"][y] > 0))
+    for s in range(0, len(known), PAIRS_AT_ONCE):
+        at = known[s:s + PAIRS_AT_ONCE]
+        keys = []
+        for z in (x[at], y[at]):
+            n = t["hashed"][z]
+            word = np.arange(int(n.sum())) + np.repeat(t["from"][z] - (np.cumsum(n) - n), n)
+            keys.append((np.repeat(np.arange(len(at)), n) << 32) | t["hashes"][word])
+        keys = np.sort(np.concatenate(keys))
+        # colliding hashes only add to the count
+        both = np.bincount(keys[1:][keys[1:] == keys[:-1]] >> 32, minlength=len(at))
+        ok[at] = both >= least_overlap(t["n"][x[at]] + t["n"][y[at]], threshold)
+    return ok
+
+
+def group_pairs(t: dict, threshold, tried: int, upto: int, every: bool):
+    """(later, earlier, more) posting pairs of arrays sorted by token, block, document and line, in
+    pieces of about ``PAIRS_AT_ONCE`` pairs or the rows of a group.
 
-    In a group a line passes on about ``FIRST_PAIRS`` only, the last with ``more`` set; with ``every``
-    the lines marked ``probe`` pass on all of theirs, and others none.
+    In a group a line passes on the candidates after the first ``tried`` up to about ``upto``, the last
+    with ``more`` set; with ``every`` only the lines marked ``probe`` do, and hashes are compared.
     """
     size = len(t["token"])
+    if every:
+        t = with_hashes(t)
     edge = np.flatnonzero((t["token"][1:] != t["token"][:-1])
                           | (t["block"][1:] != t["block"][:-1])) + 1
     starts = np.concatenate([[0], edge, [size]]).astype(np.int64)
     lengths = np.diff(starts)
     after = np.repeat(starts[1:], lengths) - np.arange(size)  # rows to the end of the group
-    later, earlier, more = [], [], []
+    held, count = [], 0
+
+    def passes(x, y):
+        ok = may_match(t, x, y, threshold)
+        if every and ok.any():
+            ok[ok] = may_share(t, x[ok], y[ok], threshold)
+        return ok
+
+    def piece():
+        nonlocal held, count
+        out = tuple(np.concatenate(a) for a in zip(*held))
+        held, count = [], 0
+        return out
+
     # middle-sized groups: by set size, so that only sets of similar sizes meet
     num, den = threshold
     by = np.lexsort((t["n"], np.repeat(np.arange(len(lengths)), lengths)))
@@ -327,39 +382,40 @@ def group_pairs(t: dict, threshold, every: bool) -> tuple:
             break
         one, two = by[x], by[x + d]
         last, first = np.maximum(one, two), np.minimum(one, two)
-        open_ = t["probe"][last] if every else had[last] < FIRST_PAIRS
+        open_ = had[last] < upto
+        if every:
+            open_ &= t["probe"][last]
         last, first = last[open_], first[open_]
-        ok = may_match(t, first, last, threshold)
+        ok = passes(first, last)
         last, first = last[ok], first[ok]
         np.add.at(had, last, 1)
-        later.append(last)
-        earlier.append(first)
-        more.append(had[last] >= FIRST_PAIRS)
+        new = had[last] > tried
+        held.append((last[new], first[new], had[last[new]] >= upto))
+        count += int(new.sum())
+        if count >= PAIRS_AT_ONCE:
+            yield piece()
     for g in np.flatnonzero(lengths > SMALL_GROUP).tolist():
         s, e = int(starts[g]), int(starts[g + 1])
+        left = np.arange(s, e)
         if every:
-            for y in (np.flatnonzero(t["probe"][s:e]) + s).tolist():
-                x = np.arange(s, y)
-                x = x[may_match(t, x, np.full(len(x), y), threshold)]
-                later.append(np.full(len(x), y))
-                earlier.append(x)
-                more.append(np.zeros(len(x), bool))
-            continue
-        left, had = np.arange(s, e), np.zeros(e - s, np.int8)
+            left = left[t["probe"][s:e]]
+        had = np.zeros(e - s, np.int64)
         for x in range(s, e):
             left = left[np.searchsorted(left, x, "right"):]
             if not len(left):
                 break
-            ok = may_match(t, np.full(len(left), x), left, threshold)
+            ok = passes(np.full(len(left), x), left)
             if ok.any():
                 found = left[ok]
                 had[found - s] += 1
-                later.append(found)
-                earlier.append(np.full(len(found), x))
-                more.append(had[found - s] == FIRST_PAIRS)
-                left = left[had[left - s] < FIRST_PAIRS]
-    return tuple(np.concatenate(a) if a else np.zeros(0, k)
-                 for a, k in ((later, int), (earlier, int), (more, bool)))
+                left = left[had[left - s] < upto]
+                found = found[had[found - s] > tried]
+                held.append((found, np.full(len(found), x), had[found - s] >= upto))
+                count += len(found)
+                if count >= PAIRS_AT_ONCE:
+                    yield piece()
+    if held:
+        yield piece()
 
 
 def earliest(t: dict) -> dict:
@@ -373,9 +429,9 @@ def earliest(t: dict) -> dict:
     return {k: v[at] for k, v in t.items()}
 
 
-def _candidates(threshold, every: bool):
-    """Rows of two kinds: candidate pairs (class a after class b), and every line with its class
-    (``doc2`` null)."""
+def _candidates(threshold, tried: int, upto: int, every: bool):
+    """Rows of two kinds: candidate pairs (class a after class b), and, without ``every``, every line
+    with its class (``doc2`` null)."""
     def run(batches):
         for t in _groups(batches) if every else _buckets(batches):
             t |= {k: t[k].view(np.uint64) for k in ("low", "high")}
@@ -384,13 +440,14 @@ def _candidates(threshold, every: bool):
                 yield output(*(t[k][lines] for k in ("class", "class", "doc", "line")))
             posted = t["n"] > 0
             if posted.any():
-                yield pairs({k: v[posted] for k, v in t.items()})
+                yield from pairs({k: v[posted] for k, v in t.items()})
 
     def pairs(t):
         t = earliest(t)
-        later, earlier, more = group_pairs(t, threshold, every)
-        return output(t["class"][later], t["class"][earlier], t["doc"][later], t["line"][later],
-                      t["doc"][earlier], t["line"][earlier], t["token"][later], more)
+        for later, earlier, more in group_pairs(t, threshold, tried, upto, every):
+            yield output(t["class"][later], t["class"][earlier], t["doc"][later],
+                         t["line"][later], t["doc"][earlier], t["line"][earlier],
+                         t["token"][later], more)
 
     def output(a, b, doc, line, doc2=None, line2=None, token=None, more=None):
         none = [None] * len(a)
@@ -480,29 +537,33 @@ def kept_lines(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, id_col:
     found = durable(keyed.mapInArrow(_packed_postings(sent, threshold, buckets),
                                      "bucket int, packed binary")
                     .repartition("bucket").sortWithinPartitions("bucket")
-                    .mapInArrow(_candidates(threshold, False), CANDIDATE))
+                    .mapInArrow(_candidates(threshold, 0, FIRST_PAIRS, False), CANDIDATE))
     lines = found.where("doc2 is null").select(F.col("a").alias("class"), "doc", "line")
     pairs = found.where("doc2 is not null")
     removed = durable(similar(pairs))
-    again = durable(pairs.where("more").select(F.col("a").alias("class"), "token").distinct()
-                    .join(removed.toDF("class"), "class", "left_anti"))
-    left = again.count()
-    if left:
-        probes, tokens = again.select("class").distinct(), again.select("token").distinct()
+    tried, step = 0, STEP_PAIRS
+    while True:
+        again = durable(pairs.where("more").select(F.col("a").alias("class"), "token").distinct()
+                        .join(removed.toDF("class"), "class", "left_anti"))
+        left = again.count()
+        if not left:
+            break
+        probes, tokens = again, again.select("token").distinct()
         if left <= BROADCAST_ROWS:
             only = np.sort(np.array([r["token"] for r in tokens.collect()], np.int64))
             postings = keyed.mapInArrow(
-                _postings(sent, threshold, spark.sparkContext.broadcast(only)), POSTING)
+                _postings(sent, threshold, spark.sparkContext.broadcast(only), True), HASHED)
             probes = F.broadcast(probes)
         else:
-            postings = keyed.mapInArrow(_postings(sent, threshold), POSTING).join(
+            postings = keyed.mapInArrow(_postings(sent, threshold, hashed=True), HASHED).join(
                 tokens, "token", "left_semi")
-        marked = (postings.join(probes.withColumn("probe", F.lit(True)), "class", "left")
-                  .select(*PACKED, F.coalesce("probe", F.lit(False)).alias("probe")))
+        marked = (postings.join(probes.withColumn("probe", F.lit(True)), ["class", "token"], "left")
+                  .select(*PACKED, "hashes", F.coalesce("probe", F.lit(False)).alias("probe")))
         pairs = durable(marked.repartition("token", "block")
                         .sortWithinPartitions("token", "block", "doc", "line")
-                        .mapInArrow(_candidates(threshold, True), CANDIDATE))
-        removed = removed.union(similar(pairs)).distinct()
+                        .mapInArrow(_candidates(threshold, tried, tried + step, True), CANDIDATE))
+        removed = durable(removed.union(similar(pairs)).distinct())
+        tried, step = tried + step, min(4 * step, MOST_PAIRS)
     first = lines.groupBy("class").agg(F.min(F.struct("doc", "line")).alias("at"))
     kept = (first.join(removed.toDF("class"), "class", "left_anti")
             .groupBy(F.col("at.doc").alias("doc"))

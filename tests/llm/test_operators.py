@@ -142,6 +142,57 @@ def test_line_dedup_second_round_takes_every_candidate(spark, monkeypatch, broad
     assert {r.doc_id for r in got.collect() if r.kept} == kept
 
 
+def brute_force_kept(rows):
+    lines, kept = [], set()
+    for i, t in rows:
+        words = set(t.split())
+        if not any(5 * len(words & w) >= 4 * len(words | w) for w in lines):
+            kept.add(i)
+        lines.append(words)
+    return kept
+
+
+@pytest.mark.parametrize("small_group", [4096, 64])
+def test_line_dedup_templated_lines_verify_few_pairs(spark, monkeypatch, small_group):
+    monkeypatch.setattr(line_dedup, "SMALL_GROUP", small_group)
+    checked, verify = spark.sparkContext.accumulator(0), line_dedup._verify
+
+    def counting(threshold):
+        def run(batches):
+            def tallied():
+                for batch in batches:
+                    checked.add(batch.num_rows)
+                    yield batch
+            yield from verify(threshold)(tallied())
+        return run
+
+    monkeypatch.setattr(line_dedup, "_verify", counting)
+    template = "user logged on at host port from address"
+    rows = [(i, f"{template} a{i} b{i}") for i in range(600)]
+    rows += [(600 + i, f"{template} a{i} c{i}") for i in range(0, 600, 50)]
+    got = line_dedup.line_report(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.doc_id for r in got.collect() if r.kept} == brute_force_kept(rows)
+    assert checked.value < 12 * len(rows)
+
+
+@pytest.mark.parametrize("small_group", [4096, 8])
+def test_line_dedup_steps_until_none_is_left(spark, monkeypatch, small_group):
+    for name, value in (("FIRST_PAIRS", 1), ("STEP_PAIRS", 1), ("MOST_PAIRS", 4),
+                        ("HASHED_WORDS", 0), ("PAIRS_AT_ONCE", 2), ("SMALL_GROUP", small_group)):
+        monkeypatch.setattr(line_dedup, name, value)
+    rng = random.Random(7)
+    base, rows = [f"b{i}" for i in range(200)], []
+    for i in range(40):
+        line = list(base)
+        for at in rng.sample(range(200), 24):  # not alike: 48 words differ of about 224
+            line[at] = f"c{i}x{at}"
+        rows.append((i, " ".join(line)))
+    for i in range(40, 50):  # alike to one of them only
+        rows.append((i, rows[i - 40][1] + f" d{i} e{i}"))
+    got = line_dedup.line_report(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.doc_id for r in got.collect() if r.kept} == brute_force_kept(rows)
+
+
 def test_substring_dedup_equals_brute_force(docs, rows, empty):
     size = 35
     texts = [(i, word_list(t)) for i, t in rows]
