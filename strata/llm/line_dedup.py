@@ -1,7 +1,7 @@
 """Line deduplication by an exact set-similarity join.
 
-A line is the set of its words. A line is removed if a line before it (by document id, then line
-number) has a Jaccard similarity of ``THRESHOLD`` or more to it; what was removed still counts as
+A line is the set of its words. A line is removed if a line before it (by document id, text hash,
+then line number) has a Jaccard similarity of ``THRESHOLD`` or more to it; what was removed still counts as
 a line before others.
 
 1. Word counts of all documents give the order: rare words first. Words are counted in
@@ -24,7 +24,8 @@ verified or none is left. Their postings hold 32-bit hashes of the words of line
 make a group of more than ``GROUP_ROWS`` rows is cut into blocks of rows that meet pairwise.
 
 Defined results: lines without a word are kept and never compared; null and empty texts have no
-lines to remove; rows with the same id are one document; a null id comes before all others; an
+lines to remove; rows with the same id and text (by a 64-bit hash) are one document, rows with the
+same id and other texts are others; null ids come before all others and are told apart by text; an
 empty table gives no rows; extra columns are not read, and ``remove_lines`` passes them on.
 """
 
@@ -55,10 +56,10 @@ SCAN_BYTES = 1 << 20
 # Postings a task gathers before it packs them, and words of all documents per bucket at most.
 PACKED_ROWS = 1 << 20
 BUCKET_WORDS = 1 << 23
-POSTING = ("token long, block int, doc long, line int, class long, n int, pos int, "
+POSTING = ("token long, block int, doc long, copy long, line int, class long, n int, pos int, "
            "low long, high long, short boolean")
 HASHED = POSTING + ", hashes binary"
-PACKED = {"token": "<i8", "block": "<i4", "doc": "<i8", "line": "<i4", "class": "<i8", "n": "<i4",
+PACKED = {"token": "<i8", "block": "<i4", "doc": "<i8", "copy": "<i8", "line": "<i4", "class": "<i8", "n": "<i4",
           "pos": "<i4", "low": "<i8", "high": "<i8", "short": "?"}
 
 
@@ -73,9 +74,14 @@ def prefix_words(n, threshold=THRESHOLD):
     return n - (-(-num * n // den)) + 1
 
 
+def _key(id_col: str, text_col: str) -> list:
+    """A document: its id and the hash of its text."""
+    return [F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc"),
+            F.xxhash64(F.col(text_col).cast("binary")).alias("copy")]
+
+
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc"),
-                       as_bytes(text_col))
+    return docs.select(*_key(id_col, text_col), as_bytes(text_col))
 
 
 def bucket_counts(keyed: DataFrame) -> np.ndarray:
@@ -160,15 +166,16 @@ def _postings(sent, threshold, only=None, hashed=False):
         counts = np.sort(sent.value)  # by rank
         hot = int(np.searchsorted(counts, GROUP_ROWS, "right"))
         for batch in slices(batches, limit=SCAN_BYTES):
-            s = sets.of(batch.column(1).to_pylist())
-            docs = batch.column(0).to_numpy()
-            yield post(s, docs[s["text"]], s["line"], seen, counts, hot)
+            s = sets.of(batch.column(2).to_pylist())
+            doc, copy = (batch.column(i).to_numpy()[s["text"]] for i in (0, 1))
+            yield post(s, doc, copy, s["line"], seen, counts, hot)
             if len(seen) > MEMO_ENTRIES:
                 seen.clear()
 
-    def post(s, doc, line, seen, counts, hot):
+    def post(s, doc, copy, line, seen, counts, hot):
         new = np.zeros(len(line), bool)
-        for i, (c, *at) in enumerate(zip(s["class"].tolist(), doc.tolist(), line.tolist())):
+        for i, (c, *at) in enumerate(zip(s["class"].tolist(), doc.tolist(), copy.tolist(),
+                                         line.tolist())):
             if c not in seen or at < seen[c]:
                 seen[c], new[i] = at, True
         # such a set is no more similar to one with a word more, nor to any other but its own
@@ -196,7 +203,8 @@ def _postings(sent, threshold, only=None, hashed=False):
         low, high = np.where(posted, low, 0), np.where(posted, high, 0)
         n = np.where(posted, s["n"], 0)[own].astype(np.int32)
         columns = [pa.array(s["keys"][at]), pa.array(np.concatenate(block).astype(np.int32)),
-                   pa.array(doc[own]), pa.array(line[own]), pa.array(s["class"][own]), pa.array(n),
+                   pa.array(doc[own]), pa.array(copy[own]), pa.array(line[own]),
+                   pa.array(s["class"][own]), pa.array(n),
                    pa.array(pos[at].astype(np.int32)), pa.array(low[own]), pa.array(high[own]),
                    pa.array(short[own])]
         if hashed:
@@ -276,7 +284,7 @@ def _buckets(batches):
 
 def _sorted(held: list[dict]) -> dict:
     t = {k: np.concatenate([h[k] for h in held]) for k in held[0]}
-    by = np.lexsort((t["line"], t["doc"], t["block"], t["token"]))
+    by = np.lexsort((t["line"], t["copy"], t["doc"], t["block"], t["token"]))
     return {k: v[by] for k, v in t.items()}
 
 
@@ -437,7 +445,7 @@ def _candidates(threshold, tried: int, upto: int, every: bool):
             t |= {k: t[k].view(np.uint64) for k in ("low", "high")}
             if not every:
                 lines = t["pos"] == 0  # a split word repeats such rows, which changes nothing
-                yield output(*(t[k][lines] for k in ("class", "class", "doc", "line")))
+                yield output(*(t[k][lines] for k in ("class", "class", "doc", "copy", "line")))
             posted = t["n"] > 0
             if posted.any():
                 yield from pairs({k: v[posted] for k, v in t.items()})
@@ -445,16 +453,19 @@ def _candidates(threshold, tried: int, upto: int, every: bool):
     def pairs(t):
         t = earliest(t)
         for later, earlier, more in group_pairs(t, threshold, tried, upto, every):
-            yield output(t["class"][later], t["class"][earlier], t["doc"][later],
-                         t["line"][later], t["doc"][earlier], t["line"][earlier],
+            yield output(t["class"][later], t["class"][earlier],
+                         *(t[k][later] for k in ("doc", "copy", "line")),
+                         *(t[k][earlier] for k in ("doc", "copy", "line")),
                          t["token"][later], more)
 
-    def output(a, b, doc, line, doc2=None, line2=None, token=None, more=None):
+    def output(a, b, doc, copy, line, doc2=None, copy2=None, line2=None, token=None,
+               more=None):
         none = [None] * len(a)
         return pa.RecordBatch.from_arrays(
             [pa.array(x, kind) for x, kind in (
-                (a, pa.int64()), (b, pa.int64()), (doc, pa.int64()), (line, pa.int32()),
-                (none if doc2 is None else doc2, pa.int64()),
+                (a, pa.int64()), (b, pa.int64()), (doc, pa.int64()), (copy, pa.int64()),
+                (line, pa.int32()), (none if doc2 is None else doc2, pa.int64()),
+                (none if copy2 is None else copy2, pa.int64()),
                 (none if line2 is None else line2, pa.int32()),
                 (none if token is None else token, pa.int64()),
                 (none if more is None else more, pa.bool_()))],
@@ -463,7 +474,8 @@ def _candidates(threshold, tried: int, upto: int, every: bool):
     return run
 
 
-CANDIDATE = ("a long, b long, doc long, line int, doc2 long, line2 int, token long, more boolean")
+CANDIDATE = ("a long, b long, doc long, copy long, line int, doc2 long, copy2 long, line2 int, "
+             "token long, more boolean")
 
 
 def _wanted_lines(sent):
@@ -491,8 +503,8 @@ def _packed(batches):
     pack = zstandard.ZstdCompressor(level=1).compress
     for batch in slices(batches):
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array([pack(t) for t in batch.column(1).to_pylist()],
-                                       pa.binary())], names=["doc", "packed"])
+            [*batch.columns[:2], pa.array([pack(t) for t in batch.column(2).to_pylist()],
+                                          pa.binary())], names=["doc", "copy", "packed"])
 
 
 def _verify(threshold):
@@ -513,8 +525,9 @@ def _verify(threshold):
 
 def kept_lines(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, id_col: str = "doc_id",
                text_col: str = "text") -> DataFrame:
-    """(doc, n_lines, kept): for every document with a line that has a word, how many such lines
-    it has and the numbers of those that stay (from 0, counting all lines)."""
+    """(doc, copy, n_lines, kept): for every document (id and text hash) with a line that has a
+    word, how many such lines it has and the numbers of those that stay (from 0, counting all
+    lines)."""
     keyed, spark = _keyed(docs, id_col, text_col), docs.sparkSession
     total = bucket_counts(keyed)
     sent = spark.sparkContext.broadcast(total)
@@ -524,11 +537,12 @@ def kept_lines(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, id_col:
     def similar(pairs: DataFrame) -> DataFrame:
         """Classes with a verified earlier match."""
         unique = pairs.select("a", "b").distinct()
-        wanted = (pairs.select(F.col("a").alias("class"), "doc", "line")
-                  .union(pairs.select("b", "doc2", "line2"))
-                  .groupBy("doc").agg(F.collect_set(F.struct("class", "line")).alias("wanted")))
+        wanted = (pairs.select(F.col("a").alias("class"), "doc", "copy", "line")
+                  .union(pairs.select("b", "doc2", "copy2", "line2"))
+                  .groupBy("doc", "copy").agg(F.collect_set(F.struct("class", "line")).alias("wanted")))
         texts = durable(keyed.where("text is not null").mapInArrow(
-            _packed, "doc long, packed binary").join(wanted, "doc").select("packed", "wanted")
+            _packed, "doc long, copy long, packed binary").join(wanted, ["doc", "copy"])
+            .select("packed", "wanted")
             .mapInArrow(_wanted_lines(sent), "class long, words binary")
             .groupBy("class").agg(F.min("words").alias("words")))
         return (unique.join(texts.toDF("a", "wa"), "a").join(texts.toDF("b", "wb"), "b")
@@ -538,7 +552,7 @@ def kept_lines(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, id_col:
                                      "bucket int, packed binary")
                     .repartition("bucket").sortWithinPartitions("bucket")
                     .mapInArrow(_candidates(threshold, 0, FIRST_PAIRS, False), CANDIDATE))
-    lines = found.where("doc2 is null").select(F.col("a").alias("class"), "doc", "line")
+    lines = found.where("doc2 is null").select(F.col("a").alias("class"), "doc", "copy", "line")
     pairs = found.where("doc2 is not null")
     removed = durable(similar(pairs))
     tried, step = 0, STEP_PAIRS
@@ -560,28 +574,30 @@ def kept_lines(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, id_col:
         marked = (postings.join(probes.withColumn("probe", F.lit(True)), ["class", "token"], "left")
                   .select(*PACKED, "hashes", F.coalesce("probe", F.lit(False)).alias("probe")))
         pairs = durable(marked.repartition("token", "block")
-                        .sortWithinPartitions("token", "block", "doc", "line")
+                        .sortWithinPartitions("token", "block", "doc", "copy", "line")
                         .mapInArrow(_candidates(threshold, tried, tried + step, True), CANDIDATE))
         removed = durable(removed.union(similar(pairs)).distinct())
         tried, step = tried + step, min(4 * step, MOST_PAIRS)
-    first = lines.groupBy("class").agg(F.min(F.struct("doc", "line")).alias("at"))
+    first = lines.groupBy("class").agg(F.min(F.struct("doc", "copy", "line")).alias("at"))
     kept = (first.join(removed.toDF("class"), "class", "left_anti")
-            .groupBy(F.col("at.doc").alias("doc"))
+            .groupBy(F.col("at.doc").alias("doc"), F.col("at.copy").alias("copy"))
             .agg(F.sort_array(F.collect_set("at.line")).alias("kept")))
-    counts = (lines.select("doc", "line").distinct()
-              .groupBy("doc").agg(F.count("*").alias("n_lines")))
-    return counts.join(kept, "doc", "left").select(
-        "doc", "n_lines", F.coalesce("kept", F.array().cast("array<int>")).alias("kept"))
+    counts = (lines.select("doc", "copy", "line").distinct()
+              .groupBy("doc", "copy").agg(F.count("*").alias("n_lines")))
+    return counts.join(kept, ["doc", "copy"], "left").select(
+        "doc", "copy", "n_lines", F.coalesce("kept", F.array().cast("array<int>")).alias("kept"))
 
 
 def line_report(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, id_col: str = "doc_id",
                 text_col: str = "text") -> DataFrame:
-    """(doc_id, n_lines, n_removed, kept): one row per document id, lines with a word counted."""
-    ids = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc"),
+    """(doc_id, n_lines, n_removed, kept): one row per document (id and text), lines with a word
+    counted."""
+    ids = docs.select(*_key(id_col, text_col),
                       F.col(id_col).cast("long").alias("doc_id")).distinct()
     n = F.coalesce("n_lines", F.lit(0)).cast("long")
     kept = F.coalesce("kept", F.array().cast("array<int>"))
-    return ids.join(kept_lines(docs, threshold, id_col, text_col), "doc", "left").select(
+    return ids.join(kept_lines(docs, threshold, id_col, text_col), ["doc", "copy"],
+                    "left").select(
         "doc_id", n.alias("n_lines"), (n - F.size(kept)).alias("n_removed"), kept.alias("kept"))
 
 
@@ -589,17 +605,17 @@ def remove_lines(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, id_col
                  text_col: str = "text") -> DataFrame:
     """``docs`` with the removed lines taken out of the text; lines without a word stay. Columns
     ``n_lines`` and ``n_removed`` follow (theirs replace columns of the same names)."""
-    key, out = "_line_dedup_doc", docs.drop("n_lines", "n_removed")
-    verdict = kept_lines(docs, threshold, id_col, text_col).toDF(key, "_n", "_kept")
+    key, out = ["_line_dedup_doc", "_line_dedup_copy"], docs.drop("n_lines", "n_removed")
+    verdict = kept_lines(docs, threshold, id_col, text_col).toDF(*key, "_n", "_kept")
     spaces = " \t\x0b\f\r"
     text = F.concat_ws("\n", F.filter(
         F.split(text_col, "\n", -1),
         lambda line, i: (F.translate(line, spaces, "") == "") | F.array_contains("_kept", i)))
     n = F.coalesce("_n", F.lit(0))
-    return (out.withColumn(key, F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)))
+    return (out.withColumns(dict(zip(key, _key(id_col, text_col))))
             .join(verdict, key, "left")
             .withColumn("n_lines", n.cast("long"))
             .withColumn("n_removed", (n - F.coalesce(F.size("_kept"), F.lit(0))).cast("long"))
             .withColumn(text_col, F.when(F.col("n_removed") > 0, text)
                         .otherwise(F.col(text_col)))
-            .drop(key, "_n", "_kept"))
+            .drop(*key, "_n", "_kept"))

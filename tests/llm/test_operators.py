@@ -193,6 +193,40 @@ def test_line_dedup_steps_until_none_is_left(spark, monkeypatch, small_group):
     assert {r.doc_id for r in got.collect() if r.kept} == brute_force_kept(rows)
 
 
+def test_line_dedup_tells_rows_of_an_id_apart_by_text(spark):
+    import corpus_pipeline as pipeline
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    common, rng = "a line that very many rows hold word for word", random.Random(11)
+    rows = [(i, t) for i in (None, 5) for t in
+            ["\n".join([*(f"only {rng.random()} here {rng.random()}" for _ in range(k % 4)), common,
+                        *(f"then {rng.random()} there {rng.random()}" for _ in range(k % 3))])
+             for k in range(12)] + [common, common + "\n" + common, "", None]]
+    rows += [rows[3], (9, common + "\n\nlast words of all")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], schema)
+    hashes = {(r.doc_id, r.text): r.h for r in docs.select(
+        "doc_id", "text", F.xxhash64(F.col("text").cast("binary")).alias("h")).collect()}
+    order = sorted(hashes, key=lambda k: (k[0] is not None, k[0] or 0, hashes[k]))
+    lines, left, report = [], {}, []
+    for i, t in order:
+        n, kept, parts = 0, [], (t or "").split("\n")
+        for at, part in enumerate(parts):
+            words = frozenset(word_list(part))
+            if words:
+                n += 1
+                if not any(5 * len(words & w) >= 4 * len(words | w) for w in lines):
+                    kept.append(at)
+                lines.append(words)
+        report.append((i, n, n - len(kept), kept))
+        left[i, t] = None if t is None else "\n".join(
+            p for at, p in enumerate(parts) if at in kept or not word_list(p))
+        if n and not kept:
+            left[i, t] = "gone"
+    same(line_dedup.line_report(docs), report)
+    got = collections.Counter((r.doc_id, r.text) for r in
+                              pipeline.line_dedup(spark, docs, SF).collect())
+    assert got == collections.Counter((i, left[i, t]) for i, t in rows if left[i, t] != "gone")
+
+
 def test_substring_dedup_equals_brute_force(docs, rows, empty):
     size = 35
     texts = [(i, word_list(t)) for i, t in rows]
