@@ -51,7 +51,9 @@ HASHED_WORDS = 128
 PAIRS_AT_ONCE = 1 << 14
 GROUP_ROWS = 1 << 20
 NO_ID = -(1 << 63)
+# Lines gone on with: broadcast by hint up to so many, else as the planner joins them.
 BROADCAST_ROWS = 100_000
+TOKEN_BITS = 1 << 23
 SCAN_BYTES = 1 << 20
 # Postings a task gathers before it packs them, and words of all documents per bucket at most.
 PACKED_ROWS = 1 << 20
@@ -155,10 +157,21 @@ class LineSets:
             "high": np.bitwise_xor.reduceat(bit * upper, starts).view(np.int64)}
 
 
+def token_bits(tokens: DataFrame) -> np.ndarray:
+    """A bit map of fixed size that has the bits of all ``tokens`` (by hash bits of the word)."""
+    slot = F.col("token").bitwiseAND(F.lit(TOKEN_BITS - 1))
+    rows = tokens.groupBy(F.shiftright(slot, 6).cast("int").alias("at")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(token & 63 as int))")).alias("bits"))
+    table = np.zeros(TOKEN_BITS // 64, np.int64)
+    for r in rows.collect():  # at most ``TOKEN_BITS`` / 64 rows
+        table[r["at"]] = r["bits"]
+    return table
+
+
 def _postings(sent, threshold, only=None, hashed=False):
     """A row per prefix word of a line; a copy of a line already posted here has one row, n = 0.
 
-    ``only``: broadcast sorted tokens; rows under other tokens are left out. ``hashed``: with the
+    ``only``: broadcast ``token_bits``; rows under tokens not in it are left out. ``hashed``: with the
     word hashes of the line, empty if it has more than ``HASHED_WORDS`` words.
     """
     def run(batches):
@@ -185,8 +198,8 @@ def _postings(sent, threshold, only=None, hashed=False):
         pos = np.arange(len(s["keys"])) - s["starts"][s["owner"]]
         at = np.flatnonzero(pos < prefix[s["owner"]])
         if only is not None:
-            near = np.searchsorted(only.value, s["keys"][at])
-            at = at[only.value[np.minimum(near, len(only.value) - 1)] == s["keys"][at]]
+            slot = s["keys"][at] & (TOKEN_BITS - 1)
+            at = at[(only.value[slot >> 6] >> (slot & 63)) & 1 == 1]
         rank = s["keys"][at] >> 28
         row, block = [np.flatnonzero(rank < hot)], [np.zeros(int((rank < hot).sum()), np.int64)]
         for k in np.flatnonzero(rank >= hot).tolist():
@@ -382,7 +395,10 @@ def group_pairs(t: dict, threshold, tried: int, upto: int, every: bool):
     num, den = threshold
     by = np.lexsort((t["n"], np.repeat(np.arange(len(lengths)), lengths)))
     sizes, had = t["n"][by].astype(np.int64), np.zeros(size, np.int64)
-    x = np.flatnonzero(np.repeat(lengths <= SMALL_GROUP, lengths))
+    met = lengths <= SMALL_GROUP
+    if every:
+        met &= np.logical_or.reduceat(t["probe"], starts[:-1])
+    x = np.flatnonzero(np.repeat(met, lengths))
     for d in range(1, SMALL_GROUP):
         x = x[after[x] > d]
         x = x[num * sizes[x + d] <= den * sizes[x]]
@@ -562,15 +578,9 @@ def kept_lines(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, id_col:
         left = again.count()
         if not left:
             break
-        probes, tokens = again, again.select("token").distinct()
-        if left <= BROADCAST_ROWS:
-            only = np.sort(np.array([r["token"] for r in tokens.collect()], np.int64))
-            postings = keyed.mapInArrow(
-                _postings(sent, threshold, spark.sparkContext.broadcast(only), True), HASHED)
-            probes = F.broadcast(probes)
-        else:
-            postings = keyed.mapInArrow(_postings(sent, threshold, hashed=True), HASHED).join(
-                tokens, "token", "left_semi")
+        only = spark.sparkContext.broadcast(token_bits(again))
+        postings = keyed.mapInArrow(_postings(sent, threshold, only, True), HASHED)
+        probes = F.broadcast(again) if left <= BROADCAST_ROWS else again
         marked = (postings.join(probes.withColumn("probe", F.lit(True)), ["class", "token"], "left")
                   .select(*PACKED, "hashes", F.coalesce("probe", F.lit(False)).alias("probe")))
         pairs = durable(marked.repartition("token", "block")

@@ -193,6 +193,26 @@ def test_line_dedup_steps_until_none_is_left(spark, monkeypatch, small_group):
     assert {r.doc_id for r in got.collect() if r.kept} == brute_force_kept(rows)
 
 
+@pytest.mark.parametrize("broadcast_rows", [100_000, 0])
+def test_line_dedup_filters_postings_at_every_size(spark, monkeypatch, broadcast_rows):
+    monkeypatch.setattr(line_dedup, "FIRST_PAIRS", 1)
+    monkeypatch.setattr(line_dedup, "BROADCAST_ROWS", broadcast_rows)
+    filters, postings = [], line_dedup._postings
+
+    def noted(sent, threshold, only=None, *rest, **more):
+        filters.append(only is not None)
+        return postings(sent, threshold, only, *rest, **more)
+
+    monkeypatch.setattr(line_dedup, "_postings", noted)
+    rows = [(i, " ".join(f"{'c' if k in (i, 39 - i) else 'b'}{k}" for k in range(40)) + f" z{i % 9}")
+            for i in range(20)] + [(i, f"v{i} same words of ten in a line as others w{i} x{i}")
+                                   for i in range(20, 40)]
+    got = line_dedup.line_report(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.doc_id for r in got.collect() if r.kept} == brute_force_kept(rows)
+    # the first round runs inside the packing task; every later one is built on the driver
+    assert filters and all(filters)
+
+
 def test_line_dedup_tells_rows_of_an_id_apart_by_text(spark):
     import corpus_pipeline as pipeline
     schema = "doc_id long, text string, lang string, source string, n_chars long"
