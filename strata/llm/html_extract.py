@@ -4,7 +4,12 @@ Each block of text passes points (one, one per comma, and for its length) to its
 less, to the containers above; points are discounted by a container's link density. The container with
 the most points, or the article around it, is kept with those of its siblings that are headings
 or have a share of its points. Menus, headers, footers, sidebars, notices, adverts, forms,
-scripts, styles and reader comments are known by tag, role, class or id and never score.
+scripts, styles and reader comments are known by tag, role, class or id and never score. A class or
+id, or a form, does not leave out a container of blocks with more than half of the page's text
+outside links and all its articles, nor an article or main element in it; reader comments stay left out unless an article of
+that name has so much of the text, or the main element is among them. Names that only state
+a trait (no-sidebar, comments-open) do not count. A page without a text by these rules is read again without
+names and forms.
 
 Defined results: null, empty, text-free and unparsable pages give an empty text; unclosed and misnested tags
 and cut-off pages are read as far as they go; repeated rows each get a row; null ids and urls
@@ -31,7 +36,7 @@ BLOCK = frozenset(
     "ul".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 UNWANTED = frozenset(
-    "aside audio button canvas dialog embed footer form head header iframe input label math menu "
+    "aside audio button canvas dialog embed footer head header iframe input label menu "
     "meta nav noscript object script select style svg template textarea title video".split())
 ROLES = frozenset(
     "alert alertdialog banner complementary contentinfo dialog form menu menubar navigation "
@@ -48,6 +53,10 @@ CLUTTER = re.compile(
     r"footer|gdpr|header|login|masthead|menu|modal|nav\w*|newsletter|notices?|notification|"
     r"outbrain|pager|pagination|popup|promo\w*|recommend\w*|related|share|sharing|sidebar|signup|"
     r"social|sponsor\w*|subscribe|taboola|teaser|toolbar|widget)([\s_-]|$)")
+# Parts of a class that say what a page has or lacks, or are a page builder's name for any element.
+TRAIT = re.compile(
+    r"(?i)(?<!\S)((no|not|has|have|with|without)[-_]\S+(?!\S)|"
+    r"\S+[-_](open|opened|closed|enabled|disabled|on|off)(?!\S)|elementor-widget(-|(?!\S)))")
 CUT_OFF = re.compile(r"<(!--(?!.*-->)|[a-zA-Z/!?][^<>]*$).*\Z", re.DOTALL)
 SIBLING_SHARE = 0.2
 LINKS_IN_LIST = 3
@@ -57,9 +66,13 @@ CLIMB = 5
 class _Page(HTMLParser):
     """Flat tree: parallel lists by node, parents before children, and blocks of text."""
 
-    def __init__(self):
+    def __init__(self, left_out: list[bool] | None = None):
+        """``left_out``: by node, from a first reading; without it, all text is read that no tag
+        leaves out."""
         super().__init__(convert_charrefs=True)
-        self.tag, self.parent, self.skip = ["#root"], [-1], [""]
+        self.left_out = left_out
+        self.tag, self.parent, self.why, self.skip = ["#root"], [-1], [""], [False]
+        self.plain = [0]  # characters outside links
         self.stack = [0]
         self.links = [0]
         self.blocks: list[tuple[int, str, int]] = []  # node, text, characters in links
@@ -88,7 +101,12 @@ class _Page(HTMLParser):
         self.tag.append(tag)
         self.parent.append(up)
         self.links.append(int(tag == "a"))
-        self.skip.append(self.reason(tag, dict(attrs), self.skip[up]))
+        self.plain.append(0)
+        if self.left_out is None:
+            self.why.append(self.reason(tag, dict(attrs)))
+            self.skip.append(self.skip[up] or self.why[node] == "tag")
+        else:
+            self.skip.append(self.left_out[node])
         self.stack.append(node)
         self.depth_in_link += tag == "a"
 
@@ -125,28 +143,59 @@ class _Page(HTMLParser):
             self.depth_in_link -= self.tag[node] == "a"
         del self.stack[at:]
 
-    def reason(self, tag: str, attrs: dict, above: str) -> str:
-        """Why the node is left out: by "tag", as "comments", as "clutter", or not ("")."""
-        names = f"{attrs.get('class') or ''} {attrs.get('id') or ''}"
-        if above in ("tag", "comments"):
-            return above
-        if COMMENTS.search(names) and tag not in ("body", "html"):
+    def reason(self, tag: str, attrs: dict) -> str:
+        """Why the node may be left out: by "tag", "form", "comments", "clutter", or not ("")."""
+        names = TRAIT.sub(" ", f"{attrs.get('class') or ''} {attrs.get('id') or ''}")
+        style = (attrs.get("style") or "").replace(" ", "").lower()
+        named = tag not in ("body", "html")
+        if named and COMMENTS.search(names):
             return "comments"
         if tag in MAIN:
             return ""
-        if above:
-            return above
-        style = (attrs.get("style") or "").replace(" ", "").lower()
         if (tag in UNWANTED or "hidden" in attrs or "display:none" in style
                 or (attrs.get("role") or "").lower() in ROLES
                 or (attrs.get("aria-hidden") or "").lower() == "true"):
             return "tag"
-        if CLUTTER.search(names) and tag not in ("body", "html"):
-            return "clutter"
-        return ""
+        if tag == "form":
+            return "form"
+        return "clutter" if named and CLUTTER.search(names) else ""
+
+    def choose(self) -> list[bool]:
+        """By node, whether it is left out, by the reasons and the texts below the nodes."""
+        n = len(self.tag)
+        plain, holds_main = list(self.plain), [t == "main" for t in self.tag]
+        for node in range(n - 1, 0, -1):
+            plain[self.parent[node]] += plain[node]
+            holds_main[self.parent[node]] |= holds_main[node]
+        mains, blocks = [0] * n, [0] * n  # in the subtree: main elements with a text, blocks
+        for node in range(n - 1, 0, -1):
+            up = self.parent[node]
+            mains[node] += (self.tag[node] in MAIN and plain[node] > 0 and not self.why[node]
+                            and not self.skip[node])
+            mains[up] += mains[node]
+            blocks[up] += blocks[node] + (self.tag[node] in BLOCK)
+        out = [""] * n
+        for node in range(1, n):
+            why, above = self.why[node], out[self.parent[node]]
+            large = (2 * plain[node] > plain[0] and mains[node] == mains[0]
+                     and blocks[node] > 0)
+            main = self.tag[node] in MAIN
+            if above in ("tag", "comments"):
+                out[node] = above
+            elif why == "comments":
+                out[node] = "" if holds_main[node] or (main and large) else why
+            elif why == "tag":
+                out[node] = why
+            elif not main:
+                out[node] = above or ("" if large else why)
+        return [bool(x) for x in out]
 
     def handle_data(self, data):
         if not self.skip[self.stack[-1]]:
+            if self.left_out is None:
+                if not self.depth_in_link:
+                    self.plain[self.stack[-1]] += len(" ".join(data.split()))
+                return
             self.text.append(data)
             if self.depth_in_link:
                 self.linked += len(" ".join(data.split()))
@@ -156,10 +205,25 @@ def main_text(html: str | None) -> str:
     """The main text of a page: its blocks, one a line."""
     if not html or not html.strip():
         return ""
-    page = _Page()
-    page.feed(CUT_OFF.sub("", html) if html.rfind("<") > html.rfind(">") else html)
+    html = CUT_OFF.sub("", html) if html.rfind("<") > html.rfind(">") else html
+    first = read(html)
+    left_out = first.choose()
+    text = scored(read(html, left_out))
+    if not text and left_out != first.skip:
+        text = scored(read(html, first.skip))
+    return text
+
+
+def read(html: str, left_out: list[bool] | None = None) -> _Page:
+    page = _Page(left_out)
+    page.feed(html)
     page.close()
     page.flush()
+    return page
+
+
+def scored(page: _Page) -> str:
+    """The blocks of the best container and what belongs to it."""
     n = len(page.tag)
     length, linked, points = [0] * n, [0] * n, [0.0] * n
     links = list(page.links)

@@ -488,6 +488,35 @@ def test_pipeline_stages_keep_what_they_should(spark, docs):
     assert pieces.columns == Q.PIECE_COLUMNS and pieces.count() > 0
 
 
+STORY = "".join(f"<p>Sentence {i} of the story, long enough, and with commas, to score.</p>"
+                for i in range(8))
+STORY_TEXT = "\n".join(f"Sentence {i} of the story, long enough, and with commas, to score."
+                       for i in range(8))
+
+
+@pytest.mark.parametrize("page", [
+    "<div class='site has-sidebar'>{}</div>", "<div class='no-sidebar'>{}</div>",
+    "<div class='login'>{}</div>", "<form id='aspnetForm'>{}</form>",
+    "<form><article>{}</article></form>", "<article class='post comments-open'>{}</article>",
+    "<article class='no-comments'>{}</article>", "<article class='comments'>{}</article>",
+    "<div class='comments'><main>{}</main></div>", "<div class='replies'>{}</div>",
+    "<div class='elementor-widget elementor-widget-text-editor'>{}</div>"])
+def test_html_names_do_not_lose_the_page(page):
+    nav = "<nav><a href='/'>Home</a> <a href='/n'>News</a></nav>"
+    assert main_text(f"<html><body>{nav}{page.format(STORY)}</body></html>") == STORY_TEXT
+
+
+def test_html_names_still_leave_out_minor_parts():
+    parts = ("<div class='sidebar'><p>Side text, not long.</p></div><form><p>Your name, please"
+             "</p></form><div class='comments'>" + "<p>A reader, with an opinion, says this "
+             "much and more.</p>" * 30 + "</div><div class='elementor-widget-nav-menu'>Menu</div>")
+    assert main_text(f"<body><div class='text'>{STORY}</div>{parts}</body>") == STORY_TEXT
+    assert main_text("<body><div class='ad'><p>An advert, longer than the article.</p></div>"
+                     "<article><h1>Title</h1><p>Short.</p></article></body>") == "Title\nShort."
+    assert main_text(f"<body><article>{STORY}<p>As <math><mi>x</mi></math> is.</p></article>"
+                     f"{parts}</body>") == STORY_TEXT + "\nAs x is."
+
+
 def test_registered_results_are_complete(spark):
     n = spark.read.parquet(f"{SF}/documents.parquet").count()
     for name in ("op2_line_dedup", "op3_substring_dedup", "op6_simhash", "op9_token_counts"):
