@@ -12,7 +12,8 @@ a line before others.
 3. The lines of the pairs left are fetched from their documents (which travel as zstd frames) and
    the Jaccard similarity is computed exactly.
 
-Postings travel in columns, compressed, one row per task and bucket of words. The number of
+Postings hold the text hash of a document only if its id may have several texts (by a bit map of
+such ids, of fixed size). They travel in columns, compressed, one row per task and bucket of words. The number of
 buckets grows with the words of all documents and the session's shuffle partitions.
 
 Lines with equal sets are one class, posted once per task, so a common line costs one row a
@@ -158,7 +159,7 @@ class LineSets:
 
 
 def token_bits(tokens: DataFrame) -> np.ndarray:
-    """A bit map of fixed size that has the bits of all ``tokens`` (by hash bits of the word)."""
+    """A bit map of fixed size that has the bits of all ``tokens`` (by their lowest bits)."""
     slot = F.col("token").bitwiseAND(F.lit(TOKEN_BITS - 1))
     rows = tokens.groupBy(F.shiftright(slot, 6).cast("int").alias("at")).agg(
         F.bit_or(F.expr("shiftleft(1L, cast(token & 63 as int))")).alias("bits"))
@@ -168,7 +169,25 @@ def token_bits(tokens: DataFrame) -> np.ndarray:
     return table
 
 
-def _postings(sent, threshold, only=None, hashed=False):
+def told_apart(batch: pa.RecordBatch, several) -> np.ndarray:
+    """The text hashes of the documents (columns doc, copy) whose id may have several texts (``several``:
+    broadcast ``token_bits`` of such ids), 0 for others."""
+    doc, copy = (batch.column(i).to_numpy() for i in (0, 1))
+    slot = doc & (TOKEN_BITS - 1)
+    return np.where((several.value[slot >> 6] >> (slot & 63)) & 1 == 1, copy, 0)
+
+
+def _told_apart(several):
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:2], pa.array(told_apart(batch, several), pa.int64())],
+                names=["doc", "whole", "copy"])
+
+    return run
+
+
+def _postings(sent, threshold, only=None, hashed=False, several=None):
     """A row per prefix word of a line; a copy of a line already posted here has one row, n = 0.
 
     ``only``: broadcast ``token_bits``; rows under tokens not in it are left out. ``hashed``: with the
@@ -180,8 +199,8 @@ def _postings(sent, threshold, only=None, hashed=False):
         hot = int(np.searchsorted(counts, GROUP_ROWS, "right"))
         for batch in slices(batches, limit=SCAN_BYTES):
             s = sets.of(batch.column(2).to_pylist())
-            doc, copy = (batch.column(i).to_numpy()[s["text"]] for i in (0, 1))
-            yield post(s, doc, copy, s["line"], seen, counts, hot)
+            doc, copy = batch.column(0).to_numpy(), told_apart(batch, several)
+            yield post(s, doc[s["text"]], copy[s["text"]], s["line"], seen, counts, hot)
             if len(seen) > MEMO_ENTRIES:
                 seen.clear()
 
@@ -251,13 +270,13 @@ def _unpack_rows(packed: bytes) -> dict:
     return out
 
 
-def _packed_postings(sent, threshold, buckets: int):
+def _packed_postings(sent, threshold, buckets: int, several):
     """The postings of a task by bucket, a row each; a token's block lies in one bucket."""
     names = list(PACKED)
 
     def run(batches):
         held, size = [], 0
-        for batch in _postings(sent, threshold)(batches):
+        for batch in _postings(sent, threshold, several=several)(batches):
             held.append(_columns(batch, names))
             size += batch.num_rows
             if size >= PACKED_ROWS:
@@ -515,12 +534,16 @@ def _wanted_lines(sent):
     return run
 
 
-def _packed(batches):
-    pack = zstandard.ZstdCompressor(level=1).compress
-    for batch in slices(batches):
-        yield pa.RecordBatch.from_arrays(
-            [*batch.columns[:2], pa.array([pack(t) for t in batch.column(2).to_pylist()],
-                                          pa.binary())], names=["doc", "copy", "packed"])
+def _packed(several):
+    def run(batches):
+        pack = zstandard.ZstdCompressor(level=1).compress
+        for batch in slices(batches):
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(told_apart(batch, several), pa.int64()),
+                 pa.array([pack(t) for t in batch.column(2).to_pylist()], pa.binary())],
+                names=["doc", "copy", "packed"])
+
+    return run
 
 
 def _verify(threshold):
@@ -545,6 +568,9 @@ def kept_lines(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, id_col:
     word, how many such lines it has and the numbers of those that stay (from 0, counting all
     lines)."""
     keyed, spark = _keyed(docs, id_col, text_col), docs.sparkSession
+    documents = durable(keyed.select("doc", "copy").distinct())
+    several = spark.sparkContext.broadcast(token_bits(
+        documents.groupBy("doc").count().where("count > 1").select(F.col("doc").alias("token"))))
     total = bucket_counts(keyed)
     sent = spark.sparkContext.broadcast(total)
     buckets = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")),
@@ -557,14 +583,14 @@ def kept_lines(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, id_col:
                   .union(pairs.select("b", "doc2", "copy2", "line2"))
                   .groupBy("doc", "copy").agg(F.collect_set(F.struct("class", "line")).alias("wanted")))
         texts = durable(keyed.where("text is not null").mapInArrow(
-            _packed, "doc long, copy long, packed binary").join(wanted, ["doc", "copy"])
+            _packed(several), "doc long, copy long, packed binary").join(wanted, ["doc", "copy"])
             .select("packed", "wanted")
             .mapInArrow(_wanted_lines(sent), "class long, words binary")
             .groupBy("class").agg(F.min("words").alias("words")))
         return (unique.join(texts.toDF("a", "wa"), "a").join(texts.toDF("b", "wb"), "b")
                 .select("a", "wa", "wb").mapInArrow(_verify(threshold), "a long").distinct())
 
-    found = durable(keyed.mapInArrow(_packed_postings(sent, threshold, buckets),
+    found = durable(keyed.mapInArrow(_packed_postings(sent, threshold, buckets, several),
                                      "bucket int, packed binary")
                     .repartition("bucket").sortWithinPartitions("bucket")
                     .mapInArrow(_candidates(threshold, 0, FIRST_PAIRS, False), CANDIDATE))
@@ -579,7 +605,8 @@ def kept_lines(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, id_col:
         if not left:
             break
         only = spark.sparkContext.broadcast(token_bits(again))
-        postings = keyed.mapInArrow(_postings(sent, threshold, only, True), HASHED)
+        postings = keyed.mapInArrow(_postings(sent, threshold, only, True, several),
+                                    HASHED)
         probes = F.broadcast(again) if left <= BROADCAST_ROWS else again
         marked = (postings.join(probes.withColumn("probe", F.lit(True)), ["class", "token"], "left")
                   .select(*PACKED, "hashes", F.coalesce("probe", F.lit(False)).alias("probe")))
@@ -594,8 +621,10 @@ def kept_lines(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, id_col:
             .agg(F.sort_array(F.collect_set("at.line")).alias("kept")))
     counts = (lines.select("doc", "copy", "line").distinct()
               .groupBy("doc", "copy").agg(F.count("*").alias("n_lines")))
-    return counts.join(kept, ["doc", "copy"], "left").select(
-        "doc", "copy", "n_lines", F.coalesce("kept", F.array().cast("array<int>")).alias("kept"))
+    found = counts.join(kept, ["doc", "copy"], "left")
+    return documents.mapInArrow(_told_apart(several), "doc long, whole long, copy long").join(
+        found, ["doc", "copy"]).select(
+        "doc", F.col("whole").alias("copy"), "n_lines", F.coalesce("kept", F.array().cast("array<int>")).alias("kept"))
 
 
 def line_report(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, id_col: str = "doc_id",
