@@ -105,3 +105,32 @@ select doc_id, cast(len(words) as bigint) as n_words, cast(coalesce(n, 0) as big
        sha256(coalesce(names, '')) as items_sha256, coalesce(n, 0) > 0 as contaminated
 from docs left join hit using (r) left join named using (r)
 """
+
+_HEX = "cast('0x' || substr(seed, {}, 8) as bigint)"
+
+FILL_MIDDLE = rf"""
+with parts as (
+  select coalesce(text, '') as t, doc_id, sha256('1:' || coalesce(cast(doc_id as varchar), '')) as seed,
+         regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') as units
+  from documents
+), cuts as (
+  select *, len(units) as n, {_HEX.format(1)} % (len(units) + 1) as x,
+         {_HEX.format(9)} % (len(units) + 1) as y,
+         case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>')
+                   or {_HEX.format(17)} % 100 >= 90 then 'plain'
+              when {_HEX.format(25)} % 100 < 20 then 'spm' else 'psm' end as form
+  from parts
+), cut as (
+  select *, array_to_string(units[1:least(x, y)], '') as p,
+         array_to_string(units[least(x, y) + 1:greatest(x, y)], '') as m,
+         array_to_string(units[greatest(x, y) + 1:], '') as s
+  from cuts
+)
+select doc_id, cast(n as bigint) as n, form,
+       case when form <> 'plain' then cast(length(p) as bigint) end as prefix_chars,
+       case when form <> 'plain' then cast(length(m) as bigint) end as middle_chars,
+       sha256(case form when 'plain' then t when 'spm' then '<S>' || s || '<P>' || p || '<M>' || m
+                        else '<P>' || p || '<S>' || s || '<M>' || m end) as output_sha256,
+       sha256(t) as restored_sha256
+from cut
+"""

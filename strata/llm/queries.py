@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from strata.llm import oracle, quality_classifier, toxicity
 from strata.llm.common import read_table
 from strata.llm.decontam import benchmark_hits
+from strata.llm.fill_middle import fill_middle, restored
 from strata.llm.html_extract import extract
 from strata.llm.line_dedup import line_report
 from strata.llm.packing import byte_bpe_encoder, pack
@@ -100,6 +101,13 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"))
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle(read_table(spark, sf_dir, "documents"), ["doc_id"])
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                       F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(restored(), 256).alias("restored_sha256"))
+
+
 QUERIES = {
     "op1_pack": op1_pack,
     "op2_line_dedup": op2_line_dedup,
@@ -111,9 +119,11 @@ QUERIES = {
     "op8_html_extract": op8_html_extract,
     "op9_token_counts": op9_token_counts,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_fill_middle": op11_fill_middle,
 }
 ORACLE = {
     "op3_substring_dedup": oracle.SUBSTRING_DEDUP,
     "op4_quality_rules": oracle.QUALITY_RULES,
     "op7_decontaminate": oracle.DECONTAMINATE,
+    "op11_fill_middle": oracle.FILL_MIDDLE,
 }
