@@ -14,6 +14,7 @@ from strata.llm.line_dedup import line_report
 from strata.llm.packing import byte_bpe_encoder, pack
 from strata.llm.quality_rules import judge
 from strata.llm.sampling import id_crc
+from strata.llm.secret_scan import KINDS, find_secrets, span_text
 from strata.llm.simhash import near_duplicates
 from strata.llm.substring_dedup import remove_repeats
 from strata.llm.token_counts import Vocabulary, token_counts
@@ -108,6 +109,17 @@ def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(restored(), 256).alias("restored_sha256"))
 
 
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_secrets(read_table(spark, sf_dir, "documents"), keep=["doc_id"])
+    base = F.filter("secrets", lambda s: s["odds"].isNull())
+
+    def count(kind: str):
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(count, KINDS), F.sha2(span_text(base), 256).alias("base_sha256"),
+                        span_text(F.col("secrets")).alias("spans"))
+
+
 QUERIES = {
     "op1_pack": op1_pack,
     "op2_line_dedup": op2_line_dedup,
@@ -120,6 +132,7 @@ QUERIES = {
     "op9_token_counts": op9_token_counts,
     "op10_quality_classifier": op10_quality_classifier,
     "op11_fill_middle": op11_fill_middle,
+    "op12_secret_scan": op12_secret_scan,
 }
 ORACLE = {
     "op3_substring_dedup": oracle.SUBSTRING_DEDUP,
