@@ -18,6 +18,7 @@ from strata.llm.secret_scan import KINDS, find_secrets, span_text
 from strata.llm.simhash import near_duplicates
 from strata.llm.substring_dedup import remove_repeats
 from strata.llm.token_counts import Vocabulary, token_counts
+from strata.llm.vector_codes import compress, with_label_error
 
 PIECE_COLUMNS = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 QUALITY_THRESHOLD = 0.3
@@ -120,6 +121,12 @@ def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         span_text(F.col("secrets")).alias("spans"))
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = compress(read_table(spark, sf_dir, "embeddings"), keep=["vec_id", "label"])
+    return with_label_error(found.rows).select("vec_id", "code", "error", "label_error",
+                                               F.lit(found.digest()).alias("codebooks_sha256"))
+
+
 QUERIES = {
     "op1_pack": op1_pack,
     "op2_line_dedup": op2_line_dedup,
@@ -133,6 +140,7 @@ QUERIES = {
     "op10_quality_classifier": op10_quality_classifier,
     "op11_fill_middle": op11_fill_middle,
     "op12_secret_scan": op12_secret_scan,
+    "op13_vector_codes": op13_vector_codes,
 }
 ORACLE = {
     "op3_substring_dedup": oracle.SUBSTRING_DEDUP,
