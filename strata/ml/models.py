@@ -10,7 +10,6 @@ from __future__ import annotations
 from typing import NamedTuple, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame
@@ -18,6 +17,8 @@ from pyspark.sql import functions as F
 
 from strata.functions.metrics import predicted_congestion_index
 from strata.functions.rounding import round_half_even
+from strata.ml import ensembles
+from strata.ml.evaluation import regression_metrics, split_bucket
 
 # Model features and labels.
 SPEED_FEATURES = ("avg_current_speed", "avg_free_flow_speed", "avg_temperature", "avg_humidity",
@@ -61,12 +62,18 @@ def split(df: DataFrame, keys: Sequence[str] = ROW_KEYS, train_percent: int = TR
           seed: int = SPLIT_SEED) -> tuple[DataFrame, DataFrame]:
     """A hash split on the row key; unlike ``randomSplit`` it does not depend on the
     partitioning, so reruns and resized clusters give the same sets."""
-    bucket = F.pmod(F.xxhash64(*[F.col(k) for k in keys if k in df.columns], F.lit(seed)), F.lit(100))
-    marked = df.withColumn("__bucket", bucket)
+    marked = df.withColumn("__bucket", split_bucket([k for k in keys if k in df.columns], seed))
     return (marked.filter(F.col("__bucket") < train_percent).drop("__bucket"),
             marked.filter(F.col("__bucket") >= train_percent).drop("__bucket"))
 
 
+def feature_rows(df: DataFrame, features: Sequence[str] = SPEED_FEATURES, label: str = SPEED_LABEL,
+                 fill: float = SPEED_FILL) -> DataFrame:
+    """P14 + P15 + X1: the analytics rows with every feature and the label present and filled."""
+    columns = list(dict.fromkeys([*features, label]))
+    return add_missing_defaults(df).fillna(fill, subset=columns)
+
+
 def _pipeline(features: Sequence[str], label: str, estimator, prefix: str) -> Pipeline:
     assembler = VectorAssembler(inputCols=list(features), outputCol=f"{prefix}_raw", handleInvalid="keep")
     scaler = StandardScaler(inputCol=f"{prefix}_raw", outputCol=f"{prefix}_features", withMean=True, withStd=True)
@@ -74,22 +81,12 @@ def _pipeline(features: Sequence[str], label: str, estimator, prefix: str) -> Pi
     return Pipeline(stages=[assembler, scaler, estimator])
 
 
-def _metrics(pred: DataFrame, label: str, prediction: str, names: Sequence[str], digits: int = 4) -> dict:
-    """RMSE / MAE / R2 on the test set; R2 is 1.0 when the test set has at most one row."""
-    out = {}
-    n = pred.count()
-    for name in names:
-        if name == "r2" and n <= 1:
-            out["r2_score"] = 1.0
-            continue
-        if n == 0:
-            out[name if name != "r2" else "r2_score"] = None
-            continue
-        ev = RegressionEvaluator(labelCol=label, predictionCol=prediction, metricName=name)
-        out[name if name != "r2" else "r2_score"] = round(float(ev.evaluate(pred)), digits)
-    out["train_rows"] = None
-    out["test_rows"] = n
-    return out
+def _metrics(pred: DataFrame, label: str, prediction: str, names: Sequence[str], train: DataFrame) -> dict:
+    """X6 on the test set, in one job with the row counts of both sets; R2 is 1.0 when the test set has at most one row."""
+    row = (regression_metrics(pred, by=(), label=label, prediction=prediction)
+           .withColumn("train_rows", train.agg(F.count(F.lit(1))).scalar()).first())
+    out = {{"r2": "r2_score"}.get(n, n): row[{"r2": "r2_score"}.get(n, n)] for n in names}
+    return out | {"train_rows": row.train_rows, "test_rows": row.rows}
 
 
 FIT_PARTITIONS = 8
@@ -115,26 +112,22 @@ def train_speed(df: DataFrame, drop_label_from_features: bool = True, num_trees:
     feature (and the score is meaningless).
     """
     feats = [f for f in SPEED_FEATURES if not (drop_label_from_features and f == SPEED_LABEL)]
-    data = add_missing_defaults(df)
-    data = _materialize(data.fillna(SPEED_FILL, subset=list(set(feats) | {SPEED_LABEL})))
+    data = _materialize(feature_rows(df, feats, SPEED_LABEL, SPEED_FILL))
     train, test = split(data)
     rf = RandomForestRegressor(numTrees=num_trees, maxDepth=max_depth, seed=seed, featureSubsetStrategy="all")
     model = _pipeline(feats, SPEED_LABEL, rf, "speed").fit(train)
-    metrics = _metrics(model.transform(test), SPEED_LABEL, "speed_prediction", ("rmse", "mae", "r2"))
-    metrics["train_rows"] = train.count()
+    metrics = _metrics(model.transform(test), SPEED_LABEL, "speed_prediction", ("rmse", "mae", "r2"), train)
     return Trained(model, metrics)
 
 
 def train_aqi(df: DataFrame, max_iter: int = 120, step_size: float = 0.05, max_depth: int = 6,
               seed: int = 42) -> Trained:
     """Gradient-boosted trees for the AQI average."""
-    data = add_missing_defaults(df)
-    data = _materialize(data.fillna(AQI_FILL, subset=list(set(AQI_FEATURES) | {AQI_LABEL})))
+    data = _materialize(feature_rows(df, AQI_FEATURES, AQI_LABEL, AQI_FILL))
     train, test = split(data)
     gbt = GBTRegressor(maxIter=max_iter, stepSize=step_size, maxDepth=max_depth, seed=seed)
     model = _pipeline(AQI_FEATURES, AQI_LABEL, gbt, "aqi").fit(train)
-    metrics = _metrics(model.transform(test), AQI_LABEL, "aqi_prediction", ("rmse", "r2"))
-    metrics["train_rows"] = train.count()
+    metrics = _metrics(model.transform(test), AQI_LABEL, "aqi_prediction", ("rmse", "r2"), train)
     return Trained(model, metrics)
 
 
@@ -147,11 +140,13 @@ def metrics_frame(spark, trained: dict[str, Trained]) -> DataFrame:
 def score(df: DataFrame, speed_model: PipelineModel, aqi_model: PipelineModel,
           current_speed: str = "current_speed", free_flow_speed: str = "free_flow_speed",
           temperature: str = "temperature", humidity: str = "humidity", aqi: str = "aqi",
-          hour: str = "hour", defaults: dict = SCORING_DEFAULTS) -> DataFrame:
+          hour: str = "hour", defaults: dict = SCORING_DEFAULTS,
+          nodes: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """X5 + P16 + P17: predicted speed and AQI (one decimal) and the derived congestion index.
 
     Row columns map onto the model features; pressure, wind speed and day of week come from
-    the row when present, else from the scoring defaults.
+    the row when present, else from the scoring defaults. With ``nodes``, the node tables of the two models
+    (``ensembles.node_table``), the trees are walked in column expressions instead of ``transform``.
     """
     def pick(name: str):
         return F.col(name) if name in df.columns else F.lit(defaults[name])
@@ -167,7 +162,11 @@ def score(df: DataFrame, speed_model: PipelineModel, aqi_model: PipelineModel,
         "day_of_week": pick("day_of_week"),
         "hour": F.col(hour),
     })
-    scored = aqi_model.transform(speed_model.transform(feats))
+    if nodes:
+        scored = ensembles.predict(feats, nodes[0], speed_model, "speed_prediction")
+        scored = ensembles.predict(scored, nodes[1], aqi_model, "aqi_prediction")
+    else:
+        scored = aqi_model.transform(speed_model.transform(feats))
     out = scored.withColumns({
         "predicted_speed": round_half_even(F.col("speed_prediction"), 1),
         "predicted_aqi": round_half_even(F.col("aqi_prediction"), 1),

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from strata.functions.metrics import delay_seconds, severity_index, speed_ratio
 from strata.functions.rounding import round_half_up
 from strata.operators.quality import Order, dedup
+from strata.operators.skew import heavy_hitter_join
 
 # Weather measures carried to gold, in the mart's column order.
 WEATHER_MEASURES = ("temperature", "humidity", "weather_condition", "wind_speed", "aqi",
@@ -55,21 +56,36 @@ def hourly_weather(weather: DataFrame, measures: Sequence[str] = WEATHER_MEASURE
 
 
 def _join_condition(traffic: DataFrame, hourly: DataFrame, keys=HOUR_KEYS) -> Column:
+    """Equality of all keys, and of one hash of them.
+
+    The hash adds nothing to the result. Without it the weather side, a window over the same keys, meets the
+    join in that window's own partitioning, and adaptive execution splits a hot location-hour only where both
+    sides of a join are plain exchanges. With it the (small) weather side is exchanged once more.
+    """
     cond = None
     for alias, src in keys:
         c = traffic[src] == hourly[alias]
         cond = c if cond is None else cond & c
+    if all(traffic.schema[src].dataType == hourly.schema[alias].dataType for alias, src in keys):
+        cond = cond & (F.xxhash64(*[traffic[src] for _, src in keys])
+                       == F.xxhash64(*[hourly[alias] for alias, _ in keys]))
     return cond
 
 
-def hourly_join(traffic: DataFrame, hourly: DataFrame, keys=HOUR_KEYS, how: str = "inner") -> DataFrame:
+def hourly_join(traffic: DataFrame, hourly: DataFrame, keys=HOUR_KEYS, how: str = "inner",
+                hot_share: float | None = None) -> DataFrame:
     """J1 + P6: traffic joined to the weather of the same location and clock hour.
 
     The weather side is unique per key, so a traffic row gets at most one match. No hint:
-    adaptive execution broadcasts the weather side when its runtime size allows, otherwise
-    sort-merge reuses the hash partitioning of D2; skewed hours are split by AQE.
+    adaptive execution broadcasts the weather side when its runtime size allows; otherwise a
+    sort-merge join, whose hot location-hours it splits. With ``hot_share`` location-hours above that share of all
+    traffic rows are counted and salted instead (``skew.heavy_hitter_join``), whatever adaptive execution does;
+    this suits stored tables, where counting reads the key columns alone.
     """
-    joined = traffic.join(hourly, _join_condition(traffic, hourly, keys), how)
+    if hot_share is not None:
+        joined = heavy_hitter_join(traffic, hourly, keys, how, hot_share)
+    else:
+        joined = traffic.join(hourly, _join_condition(traffic, hourly, keys), how)
     return joined.drop(*[alias for alias, _ in keys])
 
 
@@ -88,9 +104,13 @@ def location_fallback_join(traffic: DataFrame, hourly: DataFrame, keys=HOUR_KEYS
     return joined.drop(*[alias for alias, _ in keys])
 
 
-def per_row_fallback_join(traffic: DataFrame, hourly: DataFrame, keys=HOUR_KEYS,
-                          measures: Sequence[str] = WEATHER_MEASURES) -> DataFrame:
-    """T7 option: hourly weather where it exists, else the location's latest; one plan, no branch."""
+def _with_fallback(traffic: DataFrame, hourly: DataFrame, keys, measures: Sequence[str],
+                   any_match: Column | None) -> DataFrame:
+    """Traffic with the hourly weather and the location's latest weather in one pass.
+
+    Without ``any_match`` each row takes its hourly weather, else the latest. With it, rows take hourly weather
+    and only matched rows stay where it is true; all rows take the latest where it is false.
+    """
     loc_alias, loc_src = keys[0]
     latest = latest_weather_by_location(hourly, keys)
     h = hourly.select(*[F.col(a) for a, _ in keys], *[F.col(m).alias(f"__h_{m}") for m in measures],
@@ -99,9 +119,18 @@ def per_row_fallback_join(traffic: DataFrame, hourly: DataFrame, keys=HOUR_KEYS,
     j = traffic.join(h, _join_condition(traffic, h, keys), "left")
     j = j.join(lt, j[loc_src] == lt["__l_city"], "left")
     matched = F.coalesce(F.col("__matched"), F.lit(False))
+    if any_match is not None:
+        j = j.withColumn("__any", any_match).where(matched | ~F.col("__any"))
+        matched = F.col("__any")
     j = j.withColumns({m: F.when(matched, F.col(f"__h_{m}")).otherwise(F.col(f"__l_{m}")) for m in measures})
-    drop = [a for a, _ in keys] + ["__matched", "__l_city"] + [f"__h_{m}" for m in measures] + [f"__l_{m}" for m in measures]
-    return j.drop(*drop)
+    drop = [a for a, _ in keys] + ["__matched", "__any", "__l_city"]
+    return j.drop(*drop, *[f"__{side}_{m}" for side in "hl" for m in measures])
+
+
+def per_row_fallback_join(traffic: DataFrame, hourly: DataFrame, keys=HOUR_KEYS,
+                          measures: Sequence[str] = WEATHER_MEASURES) -> DataFrame:
+    """T7 option: hourly weather where it exists, else the location's latest; one plan, no branch."""
+    return _with_fallback(traffic, hourly, keys, measures, None)
 
 
 def hourly_matches(traffic: DataFrame, hourly: DataFrame, keys=HOUR_KEYS) -> DataFrame:
@@ -111,23 +140,31 @@ def hourly_matches(traffic: DataFrame, hourly: DataFrame, keys=HOUR_KEYS) -> Dat
     return left.join(right, _join_condition(left, right, keys), "left_semi")
 
 
+def global_fallback_join(traffic: DataFrame, hourly: DataFrame, keys=HOUR_KEYS,
+                         measures: Sequence[str] = WEATHER_MEASURES) -> DataFrame:
+    """J1, or J2 for all rows when J1 is empty everywhere, in one plan.
+
+    The gate is an uncorrelated ``exists`` over the key columns. It runs as a subquery when the plan is
+    executed, beside the other stages; building the plan starts no job, and traffic is joined once.
+    """
+    gate = hourly_matches(traffic, hourly, keys).exists()
+    return _with_fallback(traffic, hourly, keys, measures, gate)
+
+
 def join_weather(traffic: DataFrame, hourly: DataFrame, fallback: str = "global",
-                 keys=HOUR_KEYS) -> DataFrame:
+                 keys=HOUR_KEYS, hot_share: float | None = None) -> DataFrame:
     """J1 with the J2 fallback.
 
     ``fallback="global"`` (the reference): when the hourly join is empty everywhere, use the
-    location-level left join instead. The test is a semi join of the key columns alone that
-    stops at its first match; nothing is persisted. ``"per_row"``: the T7 option in
-    one plan. ``"none"``: the hourly join only (streaming refreshes, and jobs that decide from
-    the row count they observe while writing).
+    location-level left join instead (``global_fallback_join``). ``"per_row"``: the T7 option.
+    ``"none"``: the hourly join only (streaming refreshes, and jobs that decide from
+    the row count they observe while writing), with ``hot_share`` as in ``hourly_join``.
     """
     if fallback == "per_row":
         return per_row_fallback_join(traffic, hourly, keys)
-    joined = hourly_join(traffic, hourly, keys)
     if fallback == "global":
-        if hourly_matches(traffic, hourly, keys).isEmpty():
-            return location_fallback_join(traffic, hourly, keys)
-    return joined
+        return global_fallback_join(traffic, hourly, keys)
+    return hourly_join(traffic, hourly, keys, hot_share=hot_share)
 
 
 def add_gold_features(joined: DataFrame, fills: dict | None = None) -> DataFrame:
@@ -146,10 +183,10 @@ def add_gold_features(joined: DataFrame, fills: dict | None = None) -> DataFrame
 
 
 def feature_mart(traffic_silver: DataFrame, weather_silver: DataFrame, fallback: str = "global",
-                 dedup_method: str = "window") -> DataFrame:
+                 dedup_method: str = "window", hot_share: float | None = None) -> DataFrame:
     """W4 (mart half): hourly weather, join with fallback, gold features."""
     hourly = hourly_weather(weather_silver, dedup_method=dedup_method)
-    return add_gold_features(join_weather(traffic_silver, hourly, fallback=fallback))
+    return add_gold_features(join_weather(traffic_silver, hourly, fallback=fallback, hot_share=hot_share))
 
 
 def kpi_rollup(mart: DataFrame, keys: Sequence[str] = KPI_KEYS, averages=KPI_AVERAGES,

@@ -79,10 +79,14 @@ def require_known_locations(df: DataFrame, dim: DataFrame, name_col: str = "city
                             max_listed: int = 20) -> DataFrame:
     """F5, strict form: raise when ``df`` names a location the dimension lacks.
 
-    One short job: the anti join stops at the first ``max_listed`` unknown names, which are the
-    only rows brought to the driver. Returns ``df`` unchanged when every name is known.
+    The error lists the first ``max_listed`` unknown names and says how many there are in all; only these are
+    brought to the driver. Returns ``df`` unchanged when every name is known.
     """
-    unknown = [r.name_seen for r in unknown_locations(df, dim, name_col).select("name_seen").take(max_listed)]
+    found = unknown_locations(df, dim, name_col).select(F.coalesce("name_seen", F.lit("(null)")).alias("name"))
+    total = found.agg(F.count(F.lit(1))).scalar()
+    unknown = found.orderBy("name").limit(max_listed).withColumn("total", total).collect()
     if unknown:
-        raise UnknownLocationError(f"locations not configured: {unknown}")
+        names = [r.name for r in unknown]
+        more = unknown[0].total - len(names)
+        raise UnknownLocationError(f"locations not configured: {names}" + (f" and {more} more" if more else ""))
     return df

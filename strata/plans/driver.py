@@ -9,18 +9,19 @@ from __future__ import annotations
 
 import dataclasses
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata import schemas
+from strata.functions.metrics import predicted_congestion_index
 from strata.functions.rounding import round_half_up
-from strata.ml import models
+from strata.ml import ensembles, evaluation, models
 from strata.operators import decisions, gold, locations, measures, quality, silver
 from strata.operators.layers import add_layer_metadata, add_temporal_features
 from strata.plans import medallion
 from strata.session import scratch_path
-from strata.sinks import writers
-from strata.sources import fixtures, landing, payloads
+from strata.sinks import landing_zone, publishing, writers
+from strata.sources import fixtures, landing, payloads, topics
 from strata.streaming import streams
 
 TRAFFIC_COLS = ["event_id", "timestamp", "city_name", "latitude", "longitude", "current_speed",
@@ -98,6 +99,22 @@ def hourly_join(spark: SparkSession, sf: str) -> DataFrame:
     return gold.hourly_join(_silver_traffic(spark, sf), hourly).select(*JOIN_COLS)
 
 
+def hourly_join_hot(spark: SparkSession, sf: str) -> DataFrame:
+    """J1 with a hot location-hour: the timestamps of one location move into one hour, which then holds most of its rows; the
+    measured hot hour is salted."""
+    stored = scratch_path(spark, "hot-hour")
+    traffic = _silver_traffic(spark, sf)
+    hot = (F.col("city_name") == "ASIA") & (F.col("day_of_month") <= 20)
+    writers.write_layer(traffic.withColumns({
+        "day_of_month": F.when(hot, F.lit(3)).otherwise(F.col("day_of_month")),
+        "month": F.when(hot, F.lit(1)).otherwise(F.col("month")),
+        "hour": F.when(hot, F.lit(5)).otherwise(F.col("hour"))}), stored)
+    weather = gold.hourly_weather(_silver_weather(spark, sf))
+    silver_schema = medallion.layer_schema(traffic)
+    joined = gold.hourly_join(writers.read_layer(spark, stored, silver_schema), weather, hot_share=0.01)
+    return joined.select(*JOIN_COLS)
+
+
 def fallback_join(spark: SparkSession, sf: str) -> DataFrame:
     """D3 + J2: weather shifted one year, so the hourly join is empty and the location-level
     fallback runs."""
@@ -117,6 +134,19 @@ def kpi_rollup(spark: SparkSession, sf: str) -> DataFrame:
     return gold.kpi_rollup(_mart(spark, sf)).select(*KPI_COLS)
 
 
+def kpi_ordered(spark: SparkSession, sf: str) -> DataFrame:
+    """O1: the KPI table in its order (location, hour, then the other keys), with each row's position in it.
+
+    Positions come from the sorted rows of each location and the row counts of the locations before it."""
+    kpi = gold.kpi_rollup(_mart(spark, sf), order_by=None)
+    before = Window.orderBy("city_name").rowsBetween(Window.unboundedPreceding, -1)
+    counts = (kpi.groupBy("city_name").agg(F.count(F.lit(1)).alias("n"))  # one row per location
+              .select("city_name", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before")))
+    within = F.row_number().over(Window.partitionBy("city_name").orderBy(*gold.KPI_KEYS[1:]))
+    return (kpi.withColumn("within", within).join(counts, "city_name")
+            .select(*gold.KPI_KEYS, "total_observations", (F.col("before") + F.col("within")).alias("position")))
+
+
 MEASURE_COLS = ["avg_congestion_ratio", "avg_current_speed", "avg_free_flow_speed", "congestion_index_pct",
                 "peak_hour_congestion", "average_aqi", "average_pm2_5", "weather_risk_level"]
 # Measures are means of means in double arithmetic; six decimals make them engine independent.
@@ -161,10 +191,11 @@ def location_enrich(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def location_unknown(spark: SparkSession, sf: str) -> DataFrame:
-    """location names of both raw feeds without a dimension entry."""
+    """location names of both raw feeds that a dimension without one of the regions lacks."""
     names = (fixtures.traffic_raw(spark, sf).select("city_name")
              .unionByName(fixtures.weather_raw(spark, sf).select("city_name")))
-    return locations.unknown_locations(names, region_locations(spark, sf)).select(
+    known = region_locations(spark, sf).where("name <> 'asia'")
+    return locations.unknown_locations(names, known).select(
         F.col("name_seen").alias("city_name"), "events")
 
 
@@ -201,9 +232,11 @@ QUERIES = {
     "silver_weather": silver_weather,
     "hourly_weather": hourly_weather,
     "hourly_join": hourly_join,
+    "hourly_join_hot": hourly_join_hot,
     "fallback_join": fallback_join,
     "feature_mart": feature_mart,
     "kpi_rollup": kpi_rollup,
+    "kpi_ordered": kpi_ordered,
     "measures_by_location": measures_by_location,
     "measures_total": measures_total,
     "measures_by_location_hour": measures_by_location_hour,
@@ -265,38 +298,72 @@ def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def landing_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    """K8 + S1: traffic events written to the landing fallback, read back with the schema."""
+    """K8 + S1: traffic events published to the landing fallback in two epochs, each tried twice, and read back."""
     path = scratch_path(spark, "landing")
-    writers.write_landing(writers.publish_frame(_flat_traffic(spark, sf), None), path)
+    events = _flat_traffic(spark, sf)
+    for epoch in (0, 1, 1, 0):  # a replayed epoch lands once
+        part = events.where(F.pmod("poll_id", F.lit(2)) == epoch)
+        writers.publish(writers.publish_frame(part, None), path, epoch=f"run-{epoch}")
     schema = schemas.with_fields(schemas.TRAFFIC_SCHEMA, [("poll_id", schemas.L), ("payload_error", schemas.S)])
-    df = landing.read_landing(spark, f"{path}/topic={writers.DEFAULT_TOPICS['traffic']}", schema,
-                              multi_line=False, glob=None)
+    df = landing_zone.read_epochs(spark, path, writers.DEFAULT_TOPICS["traffic"], schema)
     return df.select(*FLAT_TRAFFIC_COLS)
 
 
+def topic_bronze(spark: SparkSession, sf: str) -> DataFrame:
+    """ST1 + W5: published traffic events as topic records ``(topic, partition, offset, key, value)``, appended to bronze in
+    two overlapping reads with the stored offsets between them."""
+    bronze = scratch_path(spark, "topic-bronze")
+    order = Window.partitionBy("partition").orderBy(F.get_json_object("value", "$.poll_id").cast("long"))
+    records = (writers.publish_frame(_flat_traffic(spark, sf), None)
+               .withColumn("partition", F.pmod(F.xxhash64("key"), F.lit(3)).cast("int"))
+               .withColumn("offset", F.row_number().over(order).cast("long") - 1))
+    schema = schemas.with_fields(schemas.TRAFFIC_SCHEMA, [("poll_id", schemas.L), ("payload_error", schemas.S)])
+    for cut in (records.where("offset < 100 or partition = 0"), records):
+        topics.append_bronze(spark, cut, bronze, schema)
+    return topics.read_bronze(spark, bronze, schema).select(*FLAT_TRAFFIC_COLS)
+
+
 def layer_publish(spark: SparkSession, sf: str) -> DataFrame:
-    """K1 + K9: write the silver traffic layer, publish it to a second location, summarise."""
+    """K1 + K9: publish the silver traffic layer three times: whole, unchanged, and with one location's partition
+    written anew. One row per publish: whether all, none or some of the files were written, and the rows of the copy."""
     src, dst = scratch_path(spark, "silver-traffic"), scratch_path(spark, "published")
-    writers.write_layer(_silver_traffic(spark, sf), src)
-    return writers.publish_layer(spark, src, dst, layer="silver/traffic")
+    layer = _silver_traffic(spark, sf)
+    writers.write_layer(layer, src)
+    out = None
+    for step in range(1, 4):
+        if step == 3:
+            writers.write_layer(layer.where("city_name = 'ASIA' and hour < 12"), src, replace="partitions")
+        summary = publishing.publish_layer(spark, src, dst, layer="silver/traffic")
+        rows = publishing.read_as_text(spark, dst).agg(F.count(F.lit(1)).alias("rows")).first().rows
+        sent = (F.when(F.col("uploaded_files") == 0, "none")
+                .when(F.col("uploaded_files") == F.col("total_files"), "all").otherwise("some"))
+        row = summary.select("layer", F.lit(step).alias("publish"), sent.alias("uploaded"),
+                             (F.col("uploaded_files") + F.col("skipped_files") == F.col("total_files")).alias("adds_up"),
+                             F.lit(rows).cast("long").alias("rows"))
+        out = row if out is None else out.unionByName(row)
+    return out
 
 
 def layer_publish_rows(spark: SparkSession, sf: str) -> DataFrame:
     """K1 + K9: the published copy of the silver weather layer, counted per location partition."""
     src, dst = scratch_path(spark, "silver-weather"), scratch_path(spark, "published-weather")
     writers.write_layer(_silver_weather(spark, sf), src)
-    writers.publish_layer(spark, src, dst, layer="silver/weather")
-    return spark.read.parquet(dst).groupBy("city_name").agg(F.count(F.lit(1)).alias("rows"))
+    publishing.publish_layer(spark, src, dst, layer="silver/weather")
+    return publishing.read_as_text(spark, dst).groupBy("city_name").agg(F.count(F.lit(1)).alias("rows"))
 
 
 def object_manifest(spark: SparkSession, sf: str) -> DataFrame:
-    """The file manifest of a freshly written layer, summed per partition folder."""
+    """The file manifest of a freshly written layer against the rows each file holds, per partition folder."""
     path = scratch_path(spark, "manifest")
     writers.write_layer(_silver_weather(spark, sf), path)
-    m = writers.object_manifest(spark, path)
-    part = F.regexp_extract("path", r"city_name=([^/]+)/", 1)
-    return m.groupBy(part.alias("partition")).agg(F.count(F.lit(1)).alias("files"),
-                                                 F.sum("length").alias("bytes"))
+    files = publishing.object_manifest(spark, path)
+    held = (publishing.read_as_text(spark, path)
+            .groupBy(F.col("city_name").alias("partition"), F.col("_metadata.file_name").alias("name"))
+            .agg(F.count(F.lit(1)).alias("n")))
+    listed = files.select(F.regexp_extract("relative", r"city_name=([^/]+)/", 1).alias("partition"),
+                          F.regexp_extract("relative", "[^/]*$", 0).alias("name"), "length")
+    return listed.join(held, ["partition", "name"], "full").groupBy("partition").agg(
+        F.sum("n").alias("rows"), F.count_if(F.col("n").isNull() | (F.col("length") <= 0)).alias("wrong_files"))
 
 
 QUERIES.update({
@@ -306,6 +373,7 @@ QUERIES.update({
     "publish_events": publish_events,
     "csv_roundtrip": csv_roundtrip,
     "landing_roundtrip": landing_roundtrip,
+    "topic_bronze": topic_bronze,
     "layer_publish": layer_publish,
     "layer_publish_rows": layer_publish_rows,
     "object_manifest": object_manifest,
@@ -318,6 +386,20 @@ LANDING_TRAFFIC_SCHEMA = schemas.with_fields(
     schemas.TRAFFIC_SCHEMA, [("event_id", schemas.L), ("ingestion_timestamp", schemas.T.TimestampNTZType())])
 
 
+LANDING_WEATHER_SCHEMA = schemas.with_fields(
+    schemas.WEATHER_SCHEMA, [("event_id", schemas.L), ("ingestion_timestamp", schemas.T.TimestampNTZType())])
+
+
+def _stream_round(spark: SparkSession, base: str, kind: str, events: DataFrame, schema, rules) -> streams.DayTables:
+    """Land events as two files in hashed (not time) order and stream them into silver one file a micro-batch."""
+    land = f"{base}/landing/{kind}"
+    landing.write_landing_json(events.select(*schema.names).repartition(2, "event_id"), land)
+    tables = streams.silver_tables(spark, f"{base}/silver/{kind}", schema)
+    stream = streams.landing_stream(spark, land, schema, max_files_per_trigger=1)
+    streams.run_silver_refresh(stream, rules, tables, f"{base}/checkpoint/{kind}")
+    return tables
+
+
 def stream_silver(spark: SparkSession, sf: str) -> DataFrame:
     """ST2-ST5: landing stream, merge by touched days, rules, calendar features.
 
@@ -325,19 +407,10 @@ def stream_silver(spark: SparkSession, sf: str) -> DataFrame:
     read one file a micro-batch, so most rows come behind the newest event seen; none is lost.
     """
     base = scratch_path(spark, "silver-stream")
-    land = f"{base}/landing"
     for generation in (0, 1):
-        frame = fixtures.traffic_raw(spark, sf, generation=generation)
-        landing.write_landing_json(
-            frame.select(*LANDING_TRAFFIC_SCHEMA.names).repartition(2, "event_id"), land)
-        stream = streams.landing_stream(spark, land, LANDING_TRAFFIC_SCHEMA, max_files_per_trigger=1)
-        streams.run_silver_refresh(stream, quality.traffic_rules(), f"{base}/survivors",
-                                   f"{base}/silver", f"{base}/checkpoint")
-    return spark.read.parquet(f"{base}/silver").select(*SILVER_TRAFFIC_COLS)
-
-
-LANDING_WEATHER_SCHEMA = schemas.with_fields(
-    schemas.WEATHER_SCHEMA, [("event_id", schemas.L), ("ingestion_timestamp", schemas.T.TimestampNTZType())])
+        tables = _stream_round(spark, base, "traffic", fixtures.traffic_raw(spark, sf, generation=generation),
+                               LANDING_TRAFFIC_SCHEMA, quality.traffic_rules())
+    return tables.read("silver").select(*SILVER_TRAFFIC_COLS)
 
 
 def _weather_generations(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
@@ -352,13 +425,12 @@ def _weather_generations(spark: SparkSession, sf: str) -> tuple[DataFrame, DataF
 
 
 def stream_gold_refresh(spark: SparkSession, sf: str) -> DataFrame:
-    """ST2-ST6: both feeds land in two rounds and stream through silver; after each round the
-    ``foreachBatch`` gold refresh rebuilds the touched days.
+    """ST2-ST6: both feeds land in three rounds and stream through silver, one file in hashed order a
+    micro-batch; after each round the ``foreachBatch`` gold refresh rebuilds the touched days.
 
-    Round one lands all traffic and the earlier half of the weather, so days of the later half
-    get no hourly matches yet. Round two lands the late traffic copies (dropped by the
-    watermark dedup) and the later weather, which re-triggers exactly those days. The final KPI
-    table equals the batch rollup.
+    Round one lands weather alone (its earlier half), so nothing matches. Round two lands all traffic: days
+    of the later half get no hourly matches yet. Round three lands the late traffic copies and the later
+    weather, which re-triggers exactly those days. The final KPI table equals the batch rollup.
     """
     base = scratch_path(spark, "gold-refresh")
     _stream_gold_rounds(spark, sf, base)
@@ -366,20 +438,15 @@ def stream_gold_refresh(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _stream_gold_rounds(spark: SparkSession, sf: str, base: str, after_round=None) -> None:
-    silver_t, silver_w = f"{base}/silver/traffic", f"{base}/silver/weather"
-    rounds = [
-        (fixtures.traffic_raw(spark, sf, generation=0), _weather_generations(spark, sf)[0]),
-        (fixtures.traffic_raw(spark, sf, generation=1), _weather_generations(spark, sf)[1]),
-    ]
+    early, late = _weather_generations(spark, sf)
+    nothing = fixtures.traffic_raw(spark, sf).limit(0)
+    rounds = [(nothing, early), (fixtures.traffic_raw(spark, sf, generation=0), early.limit(0)),
+              (fixtures.traffic_raw(spark, sf, generation=1), late)]
     for traffic, weather in rounds:
-        landing.write_landing_json(traffic.select(*LANDING_TRAFFIC_SCHEMA.names), f"{base}/landing/traffic")
-        landing.write_landing_json(weather.select(*LANDING_WEATHER_SCHEMA.names), f"{base}/landing/weather")
-        for kind, schema, rules, out in (("traffic", LANDING_TRAFFIC_SCHEMA, quality.traffic_rules(), silver_t),
-                                         ("weather", LANDING_WEATHER_SCHEMA, quality.weather_rules(), silver_w)):
-            stream = streams.landing_stream(spark, f"{base}/landing/{kind}", schema)
-            streams.run_to_table(streams.silver_stream(stream, rules), out, f"{base}/checkpoint/{kind}")
-        streams.run_gold_refresh(spark, silver_t, silver_w, f"{base}/gold/feature_mart",
-                                 f"{base}/gold/analytics", f"{base}/checkpoint/gold")
+        t = _stream_round(spark, base, "traffic", traffic, LANDING_TRAFFIC_SCHEMA, quality.traffic_rules())
+        w = _stream_round(spark, base, "weather", weather, LANDING_WEATHER_SCHEMA, quality.weather_rules())
+        streams.run_gold_refresh(t, w, streams.gold_tables(t, w, f"{base}/gold/tables"), f"{base}/gold/analytics",
+                                 f"{base}/checkpoint/gold")
         if after_round:
             after_round(f"{base}/gold/analytics")
 
@@ -392,16 +459,60 @@ QUERIES.update({
 
 # --- models ---------------------------------------------------------------------------------------
 
-_TRAINED: dict = {}
+def _kpi(spark: SparkSession, sf: str) -> DataFrame:
+    return gold.kpi_rollup(_mart(spark, sf), order_by=None)
 
 
-def _trained(spark: SparkSession, sf: str, which: str):
-    """Fit once per application and scale (the fits are reused by the scoring queries)."""
-    key = (spark.sparkContext.applicationId, sf, which)
-    if key not in _TRAINED:
-        kpi = gold.kpi_rollup(_mart(spark, sf), order_by=None)
-        _TRAINED[key] = models.train_speed(kpi) if which == "speed" else models.train_aqi(kpi)
-    return _TRAINED[key]
+def _trained(spark: SparkSession, sf: str, which: str) -> models.Trained:
+    return models.train_speed(_kpi(spark, sf)) if which == "speed" else models.train_aqi(_kpi(spark, sf))
+
+
+def feature_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """P14 + P15 + X1: the speed model's features and label per KPI row."""
+    return models.feature_rows(_kpi(spark, sf)).select(
+        "city_name", "is_weekend", "congestion_level", *models.SPEED_FEATURES, "avg_pressure", "avg_wind_speed")
+
+
+def split_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Which set each KPI row falls in."""
+    train, test = models.split(_kpi(spark, sf))
+    return (train.select(*gold.KPI_KEYS, F.lit("train").alias("part"))
+            .unionByName(test.select(*gold.KPI_KEYS, F.lit("test").alias("part"))))
+
+
+def scaled_features(spark: SparkSession, sf: str) -> DataFrame:
+    """The speed features of all KPI rows, scaled by the training rows' mean and deviation."""
+    rows = models.feature_rows(_kpi(spark, sf)).withColumn("clock_hour", F.col("hour"))
+    scaled = evaluation.scale(rows, models.SPEED_FEATURES, evaluation.scaler(models.split(rows)[0], models.SPEED_FEATURES))
+    return scaled.select("city_name", "clock_hour", "is_weekend", "congestion_level",
+                         *[round_half_up(F.col(c), 6).alias(f"scaled_{c}") for c in models.SPEED_FEATURES])
+
+
+def congestion_index(spark: SparkSession, sf: str) -> DataFrame:
+    """P16 + P17: the derived index of the stand-in predictions, per mart row."""
+    return scored_mart(spark, sf).select(
+        "event_id", "predicted_speed", "predicted_aqi",
+        predicted_congestion_index("predicted_speed", "free_flow_speed").alias("derived_congestion_index"))
+
+
+def metrics_check(spark: SparkSession, sf: str) -> DataFrame:
+    """X6 for both stand-in predictions over all mart rows, in one pass."""
+    pairs = F.explode(F.array(
+        F.struct(F.lit("speed").alias("model"), F.col("current_speed").cast("double").alias("label"),
+                 F.col("predicted_speed").alias("prediction")),
+        F.struct(F.lit("aqi").alias("model"), F.col("aqi").cast("double").alias("label"),
+                 F.col("predicted_aqi").alias("prediction"))))
+    return evaluation.regression_metrics(scored_mart(spark, sf).select(pairs.alias("p")).select("p.*"))
+
+
+def training_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """W6 + S8: the training job over a written analytics table; the rows of each set, as the job reports them."""
+    layout = medallion.Layout(scratch_path(spark, "training"))
+    writers.write_layer(_kpi(spark, sf), layout.analytics)
+    done = medallion.training_job(spark, layout.analytics, layout.mart, layout.models,
+                                  {"num_trees": 5, "max_depth": 4}, {"max_iter": 3, "max_depth": 3})
+    return spark.createDataFrame([(k, m["train_rows"], m["test_rows"]) for k, m in done.items()],
+                                 "model string, train_rows long, test_rows long")
 
 
 def train_speed(spark: SparkSession, sf: str) -> DataFrame:
@@ -414,31 +525,45 @@ def train_aqi(spark: SparkSession, sf: str) -> DataFrame:
     return models.metrics_frame(spark, {"aqi_boosted_trees": _trained(spark, sf, "aqi")})
 
 
+def _scored(spark: SparkSession, sf: str) -> DataFrame:
+    return models.score(_mart(spark, sf), *(_trained(spark, sf, which).model for which in ("speed", "aqi")))
+
+
 def score_batch(spark: SparkSession, sf: str) -> DataFrame:
     """X5 + P16 + P17: both models over every mart row."""
-    scored = models.score(_mart(spark, sf), _trained(spark, sf, "speed").model, _trained(spark, sf, "aqi").model)
-    return scored.select("event_id", "city_name", "hour", "current_speed", "predicted_speed",
-                         "predicted_aqi", "derived_congestion_index")
+    return _scored(spark, sf).select("event_id", "city_name", "hour", "current_speed", "predicted_speed",
+                                     "predicted_aqi", "derived_congestion_index")
 
 
 def scored_decisions(spark: SparkSession, sf: str) -> DataFrame:
     """R1-R8 over model predictions (the reference's intended use of the rule engine)."""
-    scored = models.score(_mart(spark, sf), _trained(spark, sf, "speed").model, _trained(spark, sf, "aqi").model)
-    out = decisions.recommend(scored)
+    out = decisions.recommend(_scored(spark, sf))
     return out.select("event_id", "city_name", "hour", "predicted_speed", "predicted_aqi", "primary_alert",
                       F.array_join("alerts", " | ").alias("alerts_text"), "recommended_travel_window")
 
 
 def model_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    """Save the speed pipeline, load it back and score the KPI table with the copy."""
-    path = scratch_path(spark, "model-speed")
-    t = _trained(spark, sf, "speed")
-    models.save(t.model, path)
-    kpi = models.add_missing_defaults(gold.kpi_rollup(_mart(spark, sf), order_by=None))
-    kpi = kpi.fillna(models.SPEED_FILL, subset=list(models.SPEED_FEATURES))
-    out = models.load(path).transform(kpi)
-    return out.select("city_name", "hour", "is_weekend", "congestion_level",
-                      F.col("speed_prediction").alias("predicted_speed"))
+    """Save the speed pipeline and load it; how many KPI rows it scores differently from the one in memory."""
+    path, trained = scratch_path(spark, "model-speed"), _trained(spark, sf, "speed")
+    models.save(trained.model, path)
+    rows = models.feature_rows(_kpi(spark, sf))
+    both = models.load(path).transform(trained.model.transform(rows).select(
+        *rows.columns, F.col("speed_prediction").alias("before")))
+    return both.agg(F.count(F.lit(1)).alias("rows"),
+                    F.count_if(~F.col("before").eqNullSafe(F.col("speed_prediction"))).alias("differing"))
+
+
+def node_table_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """X4a + X4b + X5: both ensembles written out as node tables and scored as column expressions over every mart
+    row; how many rows differ from the fitted pipelines."""
+    kpi = _kpi(spark, sf)
+    speed, aqi = models.train_speed(kpi, num_trees=20).model, models.train_aqi(kpi, max_iter=20).model
+    nodes = tuple(ensembles.node_table(m, scratch_path(spark, "nodes"), spark) for m in (speed, aqi))
+    outputs = ("predicted_speed", "predicted_aqi", "derived_congestion_index")
+    rows = models.score(_mart(spark, sf), speed, aqi)
+    rows = models.score(rows.withColumns({f"by_{c}": F.col(c) for c in outputs}), speed, aqi, nodes=nodes)
+    return rows.agg(F.count(F.lit(1)).alias("rows"), *[
+        F.count_if(~F.col(c).eqNullSafe(F.col(f"by_{c}"))).alias(f"differing_{c}") for c in outputs])
 
 
 QUERIES.update({
@@ -447,6 +572,13 @@ QUERIES.update({
     "score_batch": score_batch,
     "scored_decisions": scored_decisions,
     "model_roundtrip": model_roundtrip,
+    "feature_rows": feature_rows,
+    "split_rows": split_rows,
+    "scaled_features": scaled_features,
+    "congestion_index": congestion_index,
+    "metrics_check": metrics_check,
+    "training_rows": training_rows,
+    "node_table_scores": node_table_scores,
 })
 
 
@@ -463,6 +595,17 @@ def medallion_files(spark: SparkSession, sf: str) -> DataFrame:
     return writers.read_layer(spark, layout.analytics, schemas.ANALYTICS_SCHEMA).select(*KPI_COLS)
 
 
+def table_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """A4 + W1-W4: the row counts that the jobs observe while they write each layer table."""
+    layout = medallion.Layout(scratch_path(spark, "medallion-counts"))
+    landing.write_landing_json(fixtures.traffic_raw(spark, sf), layout.landing(layout.traffic_topic))
+    landing.write_landing_json(fixtures.weather_raw(spark, sf), layout.landing(layout.weather_topic))
+    log = medallion.medallion_run(spark, layout, multi_line=False, stamp_ingestion=False, train=False, export=False)
+    counts = [(entry["path"].removeprefix(f"{layout.root}/"), entry["rows"]) for entry in log if "path" in entry]
+    counts += [(f"gold/{t}", log[-1][f"{n}_rows"]) for t, n in (("feature_mart", "mart"), ("analytics", "analytics"))]
+    return spark.createDataFrame(counts, "table string, rows long")
+
+
 def medallion_from_payloads(spark: SparkSession, sf: str) -> DataFrame:
     """S11-S13 + J3, K6-K8, W1-W4: raw API bodies flattened, published (no broker here, so to
     the landing fallback), then bronze, silver and gold from what landed; returns the KPI table."""
@@ -486,3 +629,4 @@ def medallion_rerun_without_landing(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES["medallion_files"] = medallion_files
 QUERIES["medallion_rerun_without_landing"] = medallion_rerun_without_landing
 QUERIES["medallion_from_payloads"] = medallion_from_payloads
+QUERIES["table_counts"] = table_counts

@@ -7,8 +7,10 @@ files, so a failed stage restarts from the last written table, not from the raw
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,8 +18,8 @@ from strata import schemas
 from strata.ml import models
 from strata.operators import gold, quality, silver
 from strata.operators.layers import add_layer_metadata
-from strata.sinks import writers
-from strata.sources import landing
+from strata.sinks import landing_zone, publishing, writers
+from strata.sources import landing, topics
 
 
 @dataclass(frozen=True)
@@ -81,7 +83,10 @@ class Observed:
     def get(self) -> dict:
         try:
             return self.observation.get
-        except Exception:  # noqa: BLE001 - py4j error: the observed node was optimized away
+        except Py4JJavaError as error:
+            # an observation that was dropped has a row without fields, which Spark asserts against
+            if error.java_exception.getClass().getName() != "java.lang.AssertionError":
+                raise
             return self.source.agg(*self.metrics).first().asDict()
 
     def rows(self) -> int:
@@ -108,10 +113,15 @@ def bronze_job(spark: SparkSession, src: str, dst: str, schema, multi_line: bool
                stamp_ingestion: bool = True) -> dict:
     """Landing JSON (declared schema) + P1, written partitioned by location.
 
-    ``stamp_ingestion=False`` keeps an ``ingestion_timestamp`` already present in the events.
+    ``stamp_ingestion=False`` keeps an ``ingestion_timestamp`` already present in the events. A landing zone with a
+    ledger (``<zone>/topic=<name>`` beside ``<zone>/_ledger``) is read by its epochs.
     """
-    df = landing.read_landing(spark, src, schema, multi_line=multi_line,
-                              glob="*.json" if multi_line else None)
+    zone, _, folder = src.rstrip("/").rpartition("/")
+    if folder.startswith("topic=") and not landing_zone.ledger(spark, zone).isEmpty():
+        df = landing_zone.read_epochs(spark, zone, folder.removeprefix("topic="), schema)
+    else:
+        df = landing.read_landing(spark, src, schema, multi_line=multi_line,
+                                  glob="*.json" if multi_line else None)
     if df.isEmpty():  # nothing landed: the table of an earlier run stays as it is
         return {"layer": "bronze", "path": dst, "rows": 0, "skipped": True}
     seen = Observed(bronze_frame(df, stamp_ingestion), "bronze")
@@ -125,7 +135,8 @@ def silver_job(spark: SparkSession, src: str, dst: str, rules, filter_first: boo
     accounting (D4) observed in the same pass: input rows, duplicates removed, rejects per rule
     (first rule failed) and rows written. ``schema`` declares the bronze table, so that partition
     values keep their types and a table without rows can be read."""
-    bronze = landing.read_table(spark, src, schema)
+    bronze = (topics.read_bronze(spark, src, schema) if schema is not None and topics.last_batch(spark, src)
+              else landing.read_table(spark, src, schema))
     if bronze is None:  # S5: nothing landed yet is not an error
         return {"layer": "silver", "path": dst, "rows_in": 0, "rows": 0, "duplicates": 0,
                 "rejects": {}, "skipped": True}
@@ -188,14 +199,16 @@ def medallion_run(spark: SparkSession, layout: Layout, multi_line: bool = True,
                   stamp_ingestion: bool = True, train: bool = True, export: bool = True,
                   publish_to: str | None = None, model_params: dict | None = None,
                   events: tuple[DataFrame | None, DataFrame | None] | None = None,
-                  bootstrap_servers: str | None = None) -> list[dict]:
-    """(publish) -> landing -> bronze -> silver -> gold (-> layer publish, models, BI export).
+                  bootstrap_servers: str | None = None,
+                  read_topics: Callable = topics.read_topic_batch) -> list[dict]:
+    """(publish) -> landing or topics -> bronze -> silver -> gold (-> layer publish, models, BI export).
 
     ``events`` = ``(traffic, weather)`` standardized events (e.g. flattened API payloads) are
     first published (K6/K7) to the broker, or to the landing zone when there is none (K8); the
-    bronze jobs then read what landed (JSON lines).
+    bronze jobs then read what landed (JSON lines). After a broker publish they read the topics instead, on from
+    their stored offsets, with ``read_topics(spark, bootstrap_servers, [topic], starting_offsets)``.
     """
-    log = []
+    log, route = [], None
     if events is not None:
         frame = writers.publish_frame(*events)
         route = writers.publish(frame, layout.landing_root, bootstrap_servers)
@@ -209,26 +222,37 @@ def medallion_run(spark: SparkSession, layout: Layout, multi_line: bool = True,
               layout.silver_weather, quality.weather_rules())]
     bronze = [bronze_frame(landing.empty(spark, f[1]), stamp_ingestion) for f in feeds]
     tables = [layer_schema(silver.silver(b, f[3])) for b, f in zip(bronze, feeds)]
-    log += [bronze_job(spark, layout.landing(topic), layout.bronze(topic), schema,
-                       multi_line=multi_line, stamp_ingestion=stamp_ingestion)
-            for topic, schema, _, _ in feeds]
+    for topic, schema, _, _ in feeds:
+        path = layout.bronze(topic)
+        if route == landing_zone.TOPICS:
+            records = read_topics(spark, bootstrap_servers, [topic], topics.starting_offsets(spark, path))
+            if "headers" in records.columns:
+                records = landing_zone.only_routed(records, spark, layout.landing_root)
+            log.append(topics.append_bronze(spark, records, path, schema, stamp_ingestion))
+        else:
+            log.append(bronze_job(spark, layout.landing(topic), path, schema, multi_line=multi_line,
+                                  stamp_ingestion=stamp_ingestion))
     log += [silver_job(spark, layout.bronze(topic), dst, rules, schema=layer_schema(b))
             for (topic, _, dst, rules), b in zip(feeds, bronze)]
     log.append(gold_job(spark, layout.silver_traffic, layout.silver_weather, layout.mart,
                         layout.analytics, silver_tables=tables))
     if publish_to:
-        for name, path in (("silver/traffic", layout.silver_traffic), ("silver/weather", layout.silver_weather),
-                           ("gold/feature_mart", layout.mart), ("gold/analytics", layout.analytics)):
-            summary = writers.publish_layer(spark, path, f"{publish_to}/{name}", layer=name).first()
+        bronze_layers = [(f"bronze/{f[0]}", layout.bronze(f[0])) for f in feeds]
+        for name, path in (*bronze_layers, ("silver/traffic", layout.silver_traffic),
+                           ("silver/weather", layout.silver_weather), ("gold/feature_mart", layout.mart),
+                           ("gold/analytics", layout.analytics)):
+            summary = publishing.publish_layer(spark, path, f"{publish_to}/{name}", layer=name).first()
             log.append({**summary.asDict(), "layer": f"publish {name}"})
     if train:
         mp = model_params or {}
         log.append({"layer": "models", **training_job(spark, layout.analytics, layout.mart, layout.models,
                                                        mp.get("speed"), mp.get("aqi"))})
     if export:
-        for name, path in (("gold_feature_mart", layout.mart), ("gold_analytics", layout.analytics)):
-            t = landing.read_table(spark, path)
-            if t is not None:
-                writers.export_csv(t, f"{layout.exports}/{name}")
+        mart_schema = layer_schema(gold.feature_mart(*(landing.empty(spark, t) for t in tables), fallback="none"))
+        for name, path, schema in (("gold_feature_mart", layout.mart, mart_schema),
+                                   ("gold_analytics", layout.analytics, schemas.ANALYTICS_SCHEMA)):
+            t = landing.read_table(spark, path, schema)
+            if t is not None:  # the analytics table is small: one file, as the dashboards read it
+                writers.export_csv(t, f"{layout.exports}/{name}", single_file=name == "gold_analytics")
         log.append({"layer": "export", "path": layout.exports})
     return log

@@ -400,7 +400,7 @@ def gold_oracle() -> dict[str, str]:
 FROM silver_traffic t JOIN loc_dim d ON lower(trim(t.city_name)) = lower(trim(d.name))""")
     q["location_unknown"] = with_query(traffic_raw_ctes() + weather_raw_ctes() + [LOC_DIM_CTE], """SELECT city_name, count(*) AS events
 FROM (SELECT city_name FROM traffic_raw UNION ALL SELECT city_name FROM weather_raw) n
-WHERE NOT EXISTS (SELECT 1 FROM loc_dim d WHERE lower(trim(d.name)) = lower(trim(n.city_name)))
+WHERE NOT EXISTS (SELECT 1 FROM loc_dim d WHERE d.name <> 'asia' AND lower(trim(d.name)) = lower(trim(n.city_name)))
 GROUP BY city_name""")
     q["decision_alerts"] = _decision_sql()
     return q
@@ -485,16 +485,96 @@ UNION ALL SELECT 'aqi-raw-events', city_name, poll_id, "timestamp" FROM flat_wea
     q["csv_roundtrip"] = with_query(kpi_ctes(), f"SELECT {cols(KPI_COLS)} FROM kpi")
     q["layer_publish_rows"] = with_query(
         silver_weather_ctes(), 'SELECT city_name, count(*) AS "rows" FROM silver_weather GROUP BY city_name')
-    q["landing_roundtrip"] = q["flatten_raw_traffic"]
+    q["landing_roundtrip"] = q["topic_bronze"] = q["flatten_raw_traffic"]
+    q["layer_publish"] = with_query(silver_traffic_ctes(), """
+SELECT 'silver/traffic' AS layer, publish, CASE publish WHEN 1 THEN 'all' WHEN 2 THEN 'none' ELSE 'some' END AS uploaded,
+       true AS adds_up, (SELECT count(*) FROM silver_traffic
+                         WHERE publish < 3 OR city_name <> 'ASIA' OR hour < 12) AS "rows"
+FROM (SELECT CAST(unnest([1, 2, 3]) AS INTEGER) AS publish)""")
+    q["object_manifest"] = with_query(
+        silver_weather_ctes(), 'SELECT city_name AS "partition", count(*) AS "rows", CAST(0 AS BIGINT) AS wrong_files '
+                               'FROM silver_weather GROUP BY city_name')
     return q
 
 
 def all_oracle() -> dict[str, str]:
-    return {**base_oracle(), **gold_oracle(), **sink_oracle(), **stream_oracle(), **job_oracle()}
+    return {**base_oracle(), **gold_oracle(), **sink_oracle(), **stream_oracle(), **job_oracle(), **model_oracle()}
+
+
+SPEED_FEATURES = ("avg_current_speed", "avg_free_flow_speed", "avg_temperature", "avg_humidity", "avg_aqi", "hour",
+                  "day_of_week")
+
+
+def feature_ctes() -> list[str]:
+    """KPI rows with the defaults and fills of the speed model, and the set each falls in."""
+    key = " || '|' || ".join(["'42'"] + [f"coalesce(CAST({c} AS VARCHAR), '')"
+                                         for c in ("city_name", "hour", "is_weekend", "congestion_level")])
+    fills = ", ".join(f"coalesce({c}, {dbl(20.0)}) AS {c}" for c in SPEED_FEATURES[:5])
+    return kpi_ctes() + [f"""features AS (
+  SELECT * REPLACE ({fills}), {dbl(1013.0)} AS avg_pressure, {dbl(4.2)} AS avg_wind_speed, 3 AS day_of_week,
+         CASE WHEN CAST('0x' || substr(md5({key}), 1, 8) AS BIGINT) % 100 < 80 THEN 'train' ELSE 'test' END AS part
+  FROM kpi)"""]
+
+
+def scored_ctes() -> list[str]:
+    """Mart rows with the location-hour averages as predictions."""
+    return mart_ctes() + [f"""pred AS (
+  SELECT city_name, hour, {rhu('avg(current_speed)', 1)} AS predicted_speed, {rhu('avg(aqi)', 1)} AS predicted_aqi
+  FROM mart GROUP BY city_name, hour)""",
+        "scored AS (SELECT mart.*, predicted_speed, predicted_aqi FROM mart JOIN pred USING (city_name, hour))"]
+
+
+def model_oracle() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["feature_rows"] = with_query(feature_ctes(), "SELECT city_name, is_weekend, congestion_level, "
+                                   f"{cols(SPEED_FEATURES)}, avg_pressure, avg_wind_speed FROM features")
+    q["split_rows"] = with_query(
+        feature_ctes(), "SELECT city_name, hour, is_weekend, congestion_level, part FROM features")
+    stats = ", ".join(f"avg({c}) AS m_{c}, stddev_samp({c}) AS s_{c}" for c in SPEED_FEATURES)
+    scaled = ", ".join(f"""CASE WHEN coalesce(s_{c}, 0) = 0 THEN {dbl(0.0)}
+              ELSE {rhu(f'({c} - m_{c}) / s_{c}', 6)} END AS scaled_{c}""" for c in SPEED_FEATURES)
+    q["scaled_features"] = with_query(
+        feature_ctes() + [f"stats AS (SELECT {stats} FROM features WHERE part = 'train')"],
+        f"SELECT city_name, hour AS clock_hour, is_weekend, congestion_level, {scaled} FROM features, stats")
+    index = f"({dbl(1.0)} - predicted_speed / greatest(free_flow_speed, {dbl(1.0)})) * {dbl(100.0)}"
+    q["congestion_index"] = with_query(scored_ctes(), f"""
+SELECT event_id, predicted_speed, predicted_aqi,
+       {rhe(f'greatest({dbl(0.0)}, least({dbl(100.0)}, {index}))', 1)} AS derived_congestion_index FROM scored""")
+    q["metrics_check"] = with_query(scored_ctes() + ["""pairs AS (
+  SELECT 'speed' AS model, current_speed AS y, predicted_speed AS p FROM scored
+  UNION ALL SELECT 'aqi', CAST(aqi AS DOUBLE), predicted_aqi FROM scored)"""], f"""
+SELECT model, count(*) AS "rows", {rhu('sqrt(avg((p - y) * (p - y)))', 4)} AS rmse, {rhu('avg(abs(p - y))', 4)} AS mae,
+       {rhu('1 - sum((p - y) * (p - y)) / (var_pop(y) * count(*))', 4)} AS r2_score
+FROM pairs GROUP BY model""")
+    q["training_rows"] = with_query(feature_ctes(), """
+SELECT model, count(*) FILTER (part = 'train') AS train_rows, count(*) FILTER (part = 'test') AS test_rows
+FROM features, (SELECT unnest(['speed', 'aqi']) AS model) GROUP BY model""")
+    q["model_roundtrip"] = with_query(kpi_ctes(), 'SELECT count(*) AS "rows", CAST(0 AS BIGINT) AS differing FROM kpi')
+    q["node_table_scores"] = with_query(mart_ctes(), """
+SELECT count(*) AS "rows", CAST(0 AS BIGINT) AS differing_predicted_speed, CAST(0 AS BIGINT) AS differing_predicted_aqi,
+       CAST(0 AS BIGINT) AS differing_derived_congestion_index FROM mart""")
+    return q
+
+
+def moved_ctes() -> list[str]:
+    """Silver traffic with one location's first days in one hour, joined to the hourly weather."""
+    hot = "city_name = 'ASIA' AND day_of_month <= 20"
+    m = ", ".join(f"w.{c}" for c in WEATHER_MEASURES)
+    return silver_traffic_ctes() + silver_weather_ctes() + [hourly_weather_cte(), f"""moved AS (
+  SELECT * REPLACE (CASE WHEN {hot} THEN 3 ELSE day_of_month END AS day_of_month,
+                    CASE WHEN {hot} THEN 1 ELSE month END AS month, CASE WHEN {hot} THEN 5 ELSE hour END AS hour)
+  FROM silver_traffic)""", f"""joined AS (
+  SELECT t.*, {m} FROM moved t JOIN w_hourly w
+    ON t.city_name = w.w_city AND t.year = w.w_year AND t.month = w.w_month
+   AND t.day_of_month = w.w_day AND t.hour = w.w_hour)"""]
 
 
 def stream_oracle() -> dict[str, str]:
     return {
+        "hourly_join_hot": with_query(moved_ctes(), f"SELECT {cols(JOIN_COLS)} FROM joined"),
+        "kpi_ordered": with_query(kpi_ctes(), """
+SELECT city_name, hour, is_weekend, congestion_level, total_observations,
+       row_number() OVER (ORDER BY city_name, hour, is_weekend, congestion_level) AS position FROM kpi"""),
         "stream_silver": base_oracle()["silver_traffic"],
         "stream_gold_refresh": with_query(kpi_ctes(), f"SELECT {cols(KPI_COLS)} FROM kpi"),
     }
@@ -518,5 +598,12 @@ def job_oracle() -> dict[str, str]:
     return {
         "medallion_files": with_query(kpi_ctes(), f"SELECT {cols(KPI_COLS)} FROM kpi"),
         "medallion_rerun_without_landing": with_query(kpi_ctes(), f"SELECT {cols(KPI_COLS)} FROM kpi"),
+        "table_counts": with_query(mart_ctes() + [kpi_cte()], """
+SELECT 'bronze/traffic-raw-events' AS "table", count(*) AS "rows" FROM traffic_raw
+UNION ALL SELECT 'bronze/weather-raw-events', count(*) FROM weather_raw
+UNION ALL SELECT 'silver/traffic', count(*) FROM silver_traffic
+UNION ALL SELECT 'silver/weather', count(*) FROM silver_weather
+UNION ALL SELECT 'gold/feature_mart', count(*) FROM mart
+UNION ALL SELECT 'gold/analytics', count(*) FROM kpi"""),
         "medallion_from_payloads": with_query(payload_kpi_ctes(), f"SELECT {cols(KPI_COLS)} FROM kpi"),
     }

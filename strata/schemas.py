@@ -45,6 +45,11 @@ def weather_schema() -> T.StructType:
     return WEATHER_SCHEMA
 
 
+def struct(**fields: T.DataType) -> T.StructType:
+    """A schema of nullable fields."""
+    return _struct(fields.items())
+
+
 def with_fields(schema: T.StructType, extra) -> T.StructType:
     """``schema`` plus extra ``(name, type)`` fields at the end."""
     return T.StructType(list(schema.fields) + [T.StructField(n, t, True) for n, t in extra])

@@ -72,15 +72,29 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/strata/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
+def _hadoop(spark: SparkSession, path: str):
+    """(Hadoop path, its file system)"""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath, jpath.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def local_fs_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jpath, fs = _hadoop(spark, path)
+    return fs.exists(jpath)
 
 
-def ensure_parent(path: str) -> None:
-    """Create the parent folder of a local path (no-op for object stores)."""
-    if is_local_path(path):
-        os.makedirs(os.path.dirname(local_fs_path(path)) or ".", exist_ok=True)
+def qualified_path(spark: SparkSession, path: str) -> str:
+    """The path with its file system, as Spark lists files."""
+    jpath, fs = _hadoop(spark, path)
+    return fs.makeQualified(jpath).toString()
+
+
+def remove_path(spark: SparkSession, path: str) -> bool:
+    jpath, fs = _hadoop(spark, path)
+    return fs.delete(jpath, True)
+
+
+def list_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a glob pattern."""
+    jpath, fs = _hadoop(spark, pattern)
+    return [status.getPath().toString() for status in fs.globStatus(jpath) or []]

@@ -1,4 +1,5 @@
-"""Sinks K1-K11 (model save/load lives in ``strata.ml``)."""
+"""Sinks K1-K8. The landing zone is in ``landing_zone``, layer publish and manifests (K9, K10) in ``publishing``,
+model save and load (K11) in ``strata.ml``."""
 
 from __future__ import annotations
 
@@ -7,6 +8,8 @@ from typing import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.sinks import landing_zone
+
 # Topic names are parameters (T12); these are the producer's defaults.
 DEFAULT_TOPICS = {"traffic": "traffic-raw-events", "weather": "weather-raw-events", "aqi": "aqi-raw-events"}
 
@@ -82,60 +85,39 @@ def publish_frame(traffic: DataFrame | None, weather: DataFrame | None,
     return out
 
 
-def write_topics(frame: DataFrame, bootstrap_servers: str, acks: str = "all", retries: int = 3,
-                 linger_ms: int = 100) -> None:
-    """K6: publish ``(topic, key, value)`` with the Kafka sink (needs the Kafka connector)."""
-    (frame.selectExpr("topic", "CAST(key AS BINARY) AS key", "CAST(value AS BINARY) AS value")
-          .write.format("kafka")
+def write_topics(frame: DataFrame, bootstrap_servers: str, epoch: str | None = None, acks: str = "all",
+                 retries: int = 3, linger_ms: int = 100) -> None:
+    """K6: publish ``(topic, key, value)`` with the Kafka sink (needs the Kafka connector). ``epoch`` goes out as a header
+    of every record."""
+    frame = frame.selectExpr("topic", "CAST(key AS BINARY) AS key", "CAST(value AS BINARY) AS value")
+    if epoch is not None:
+        frame = frame.withColumn("headers", F.array(F.struct(
+            F.lit(landing_zone.EPOCH_HEADER).alias("key"), F.lit(epoch).cast("binary").alias("value"))))
+    (frame.write.format("kafka")
           .option("kafka.bootstrap.servers", bootstrap_servers)
           .option("kafka.acks", acks)
           .option("kafka.retries", str(retries))
           .option("kafka.linger.ms", str(linger_ms))
+          .option("includeHeaders", str(epoch is not None).lower())
           .save())
 
 
-def write_landing(frame: DataFrame, path: str, mode: str = "append") -> None:
-    """K8: the landing-zone fallback: event JSON below ``<path>/topic=<name>/``."""
-    (frame.select("topic", F.col("value"))
-          .write.mode(mode).partitionBy("topic").text(path))
+def _sender(bootstrap_servers: str | None):
+    if bootstrap_servers is None:
+        return None
+    return lambda frame, epoch: write_topics(frame, bootstrap_servers, epoch)
 
 
-def publish(frame: DataFrame, landing_path: str, bootstrap_servers: str | None = None) -> str:
+def publish(frame: DataFrame, landing_path: str, bootstrap_servers: str | None = None,
+            epoch: str | None = None) -> str:
     """K6 with the K8 fallback: try the broker, else write the landing zone. Returns the route."""
-    if bootstrap_servers:
-        try:
-            write_topics(frame, bootstrap_servers)
-            return "topics"
-        except Exception:  # noqa: BLE001 - any connector failure routes to the fallback
-            pass
-    write_landing(frame, landing_path)
-    return "landing"
+    return landing_zone.publish_once(frame, landing_path, epoch, _sender(bootstrap_servers))
 
 
-def publish_batch(landing_path: str, bootstrap_servers: str | None = None):
+def publish_batch(landing_path: str, bootstrap_servers: str | None = None, writer: str = "stream"):
     """K8 for streams: a ``foreachBatch`` function that publishes each micro-batch of
-    ``(topic, key, value)`` rows to the broker, or to the landing zone when that fails. The
-    stream's checkpoint replays a batch that failed both ways."""
+    ``(topic, key, value)`` rows to the broker, or to the landing zone when that fails, once per epoch of
+    ``writer`` (which tells streams into one landing zone apart)."""
     def run(batch: DataFrame, epoch_id: int) -> None:
-        publish(batch, landing_path, bootstrap_servers)
+        publish(batch, landing_path, bootstrap_servers, f"{writer}-{epoch_id}")
     return run
-
-
-def object_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """Every file below ``path`` (paths, sizes, times); file contents are not read.
-    Hidden and ``_``-prefixed files are skipped by the file index."""
-    return (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-                 .select("path", "length", "modificationTime"))
-
-
-def publish_layer(spark: SparkSession, src: str, dst: str, partition_by: Sequence[str] = ("city_name",),
-                  layer: str | None = None) -> DataFrame:
-    """K9: copy a layer table to ``dst`` (any URI the cluster can write, e.g. an object store)
-    and return a one-row summary ``(layer, files, bytes, rows)`` built from the manifest."""
-    df = spark.read.parquet(src)
-    write_layer(df, dst, partition_by=[c for c in partition_by if c in df.columns])
-    name = layer or dst
-    rows = spark.read.parquet(dst).agg(F.count(F.lit(1))).scalar()
-    return (object_manifest(spark, dst)
-            .agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
-            .select(F.lit(name).alias("layer"), "files", "bytes", rows.alias("rows")))

@@ -6,6 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from strata.session import path_exists
 
 # Microsecond timestamps in landing JSON (the writer's default keeps milliseconds only).
 JSON_TIME_OPTIONS = {
@@ -44,6 +45,8 @@ def read_landing(spark: SparkSession, path: str, schema: T.StructType, multi_lin
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
     """A layer table, or ``None`` when it does not exist."""
+    if not path_exists(spark, path):
+        return None
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)

@@ -1,8 +1,8 @@
 """Streaming sources, the silver stream and the gold refresh (ST1-ST6).
 
-The silver stream uses the same column functions as the batch job; only the dedup differs:
-``dropDuplicatesWithinWatermark`` keeps the first arrival of a key and forgets keys once the
-event-time watermark has passed them, so its state stays bounded.
+The refreshes (``run_silver_refresh``, ``run_gold_refresh``) give the batch job's tables however events are cut
+into micro-batches. ``silver_stream`` is the form with bounded state: ``dropDuplicatesWithinWatermark`` keeps the first
+arrival of a key and forgets keys once the event-time watermark has passed them.
 """
 
 from __future__ import annotations
@@ -17,9 +17,9 @@ from strata.operators import gold
 from strata.operators.layers import add_layer_metadata, add_temporal_features
 from strata.operators.quality import apply_rules, dedup
 from strata.operators.silver import EVENT_KEYS, FIRST_INGESTED
-from strata.session import checkpoint_root
+from strata.sinks.snapshots import DAY, DayTables, day_of, stored
 from strata.sinks.writers import write_layer
-from strata.sources.landing import JSON_TIME_OPTIONS, read_table
+from strata.sources.landing import JSON_TIME_OPTIONS
 
 
 def read_topics(spark: SparkSession, bootstrap_servers: str, topics: Sequence[str],
@@ -77,101 +77,88 @@ def run_to_table(df: DataFrame, path: str, checkpoint: str, partition_by: Sequen
     return q
 
 
-def silver_refresh_batch(spark: SparkSession, rules, survivors_path: str, silver_path: str,
-                         schema: T.StructType, tz: str = "UTC") -> Callable[[DataFrame, int], None]:
+def silver_tables(spark: SparkSession, root: str, events: T.StructType, tz: str = "UTC") -> DayTables:
+    """ST4: the dedup survivors (before the rules) and the silver rows of one feed, which change together."""
+    survivors = add_temporal_features(spark.createDataFrame([], events), "timestamp", tz)
+    silver = add_layer_metadata(survivors, "Silver", "processed_timestamp")
+    return DayTables(spark, root, {"survivors": survivors.schema, "silver": silver.schema})
+
+
+def silver_refresh_batch(tables: DayTables, rules, writer: str, tz: str = "UTC") -> Callable[[DataFrame, int], None]:
     """ST4 + ST5 without a watermark: a ``foreachBatch`` function that merges a micro-batch.
 
-    ``survivors_path`` holds the dedup survivors of all batches, before the rules, by location
-    and day. The partitions a batch touches are merged with it, deduplicated by the batch job's
-    total order and written again; silver is the rules over them. So the result does not depend
-    on how events are cut into batches or how late they come, no row is dropped for being late, and a
-    replayed batch gives the same tables. Work per batch grows with the touched days.
+    The days a batch touches are merged with their survivors of all earlier batches, deduplicated by the batch job's
+    total order and committed as one snapshot with silver, the rules over them. So the result does not depend
+    on how events are cut into batches or how late they come, no row is dropped for being late, a day that loses its
+    last accepted row leaves silver, and a replayed batch changes nothing. Work per batch grows with the touched
+    days: survivors of other days are pruned by folder.
     """
-    parts = ("city_name", "event_day")
-
     def refresh(batch: DataFrame, epoch_id: int) -> None:
-        day = F.to_date("event_timestamp")
-        new = add_temporal_features(batch, "timestamp", tz).withColumn("event_day", day)
-        touched = new.select(*parts).distinct()
-        old = read_table(spark, survivors_path, silver_survivor_schema(spark, schema, tz))
-        if old is not None:
-            keep = [F.col(f"o.{p}").eqNullSafe(F.col(f"t.{p}")) for p in parts]
-            new = new.unionByName(old.alias("o").join(touched.alias("t"), keep, "left_semi"))
-        order = [o for o in FIRST_INGESTED if o.column in new.columns]
-        merged = dedup(new, EVENT_KEYS, order, tie_break="event_id" not in new.columns)
-        checkpoint_root(spark)
-        merged = merged.checkpoint()  # its partitions are about to be replaced
-        write_layer(merged, survivors_path, partition_by=parts, replace="partitions")
-        clean = add_layer_metadata(apply_rules(merged, rules), "Silver", "processed_timestamp")
-        write_layer(clean, silver_path, partition_by=parts, replace="partitions")
+        new = add_temporal_features(batch, "timestamp", tz).withColumn(DAY, day_of())
+        days = stored(new.select(DAY).distinct())
+        if not tables.committed(writer, epoch_id):
+            merged = tables.read("survivors", days).unionByName(new)
+            order = [o for o in FIRST_INGESTED if o.column in new.columns]
+            merged = dedup(merged, EVENT_KEYS, order, tie_break="event_id" not in new.columns)
+            tables.commit(days, {
+                "survivors": merged,
+                "silver": lambda written: add_layer_metadata(
+                    apply_rules(written["survivors"], rules), "Silver", "processed_timestamp"),
+            }, writer, epoch_id)
+        tables.announce(days)
 
     return refresh
 
 
-def silver_survivor_schema(spark: SparkSession, schema: T.StructType, tz: str = "UTC") -> T.StructType:
-    """Declared schema of the survivors table, so that partition values keep their types."""
-    frame = add_temporal_features(spark.createDataFrame([], schema), "timestamp", tz)
-    return frame.withColumn("event_day", F.to_date("event_timestamp")).schema
+def run_silver_refresh(events: DataFrame, rules, tables: DayTables, checkpoint: str, tz: str = "UTC",
+                       available_now: bool = True):
+    """ST2-ST5: stream events into silver through ``silver_refresh_batch``. The checkpoint names the writer."""
+    return _run_batches(events, silver_refresh_batch(tables, rules, checkpoint, tz), checkpoint, available_now)
 
 
-def run_silver_refresh(events: DataFrame, rules, survivors_path: str, silver_path: str,
-                       checkpoint: str, tz: str = "UTC", available_now: bool = True):
-    """ST2-ST5: stream events into silver through ``silver_refresh_batch``."""
-    fn = silver_refresh_batch(events.sparkSession, rules, survivors_path, silver_path,
-                              events.schema, tz)
-    w = events.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
-    q = w.start()
-    if available_now:
-        q.awaitTermination()
-    return q
+def gold_tables(traffic: DayTables, weather: DayTables, root: str) -> DayTables:
+    """ST6: the feature mart and the KPI state per day, which change together."""
+    mart = gold.feature_mart(traffic.read("silver"), weather.read("silver"), fallback="none")
+    return DayTables(traffic.spark, root, {"mart": mart.schema, "kpi_partials": gold.kpi_partials(mart, period=(DAY,)).schema})
 
 
-def gold_refresh_batch(spark: SparkSession, silver_traffic_path: str, silver_weather_path: str,
-                       mart_path: str, analytics_path: str, partials_path: str | None = None,
-                       fallback: str = "none") -> Callable[[DataFrame, int], None]:
-    """ST6: a ``foreachBatch`` function that refreshes gold for the (location, day) pairs a
-    micro-batch touched.
+def gold_refresh_batch(traffic: DayTables, weather: DayTables, tables: DayTables, analytics_path: str,
+                       writer: str, fallback: str = "none") -> Callable[[DataFrame, int], None]:
+    """ST6: a ``foreachBatch`` function that refreshes gold for the days that silver commits touched.
 
     The hourly join only pairs rows of the same day, so the mart is rebuilt for touched days
-    alone and written with a dynamic overwrite of those ``(city_name, year, month,
-    day_of_month)`` partitions. KPI state is kept per day as sums and counts
-    (``kpi_partials``); the KPI table is re-derived from that small table. Work per batch
-    grows with the touched days, not with the history. Touched keys stay a DataFrame (semi
-    joins, no collect). The refresh is idempotent: a micro-batch replayed after a failure
-    recomputes the same partitions from silver and overwrites them with the same rows.
+    alone; both silver scans are pruned to their folders. KPI state is kept per day as sums and counts
+    (``kpi_partials``), committed with the mart; the KPI table is re-derived from that small table. Work per batch
+    grows with the touched days, not with the history. A day without a match leaves the mart.
+    Touched days stay a DataFrame (semi joins, no collect). A replayed batch rewrites the KPI table alone.
     """
-    partials_path = partials_path or f"{mart_path.rstrip('/')}_kpi_partials"
-    day = list(gold.DAY_KEYS)
-
     def refresh(batch: DataFrame, epoch_id: int) -> None:
-        touched = batch.select(*day).distinct()
-        traffic = spark.read.parquet(silver_traffic_path).join(touched, day, "left_semi")
-        weather = spark.read.parquet(silver_weather_path).join(touched, day, "left_semi")
-        write_layer(gold.feature_mart(traffic, weather, fallback=fallback), mart_path, partition_by=day,
-                    replace="partitions")
-        written = spark.read.parquet(mart_path).join(touched, day, "left_semi")
-        write_layer(gold.kpi_partials(written), partials_path, partition_by=day, replace="partitions")
-        kpi = gold.kpi_from_partials(spark.read.parquet(partials_path))
+        if not tables.committed(writer, epoch_id):
+            days = stored(batch.select(DAY).distinct())
+            mart = gold.feature_mart(traffic.read("silver", days), weather.read("silver", days),
+                                     fallback=fallback)
+            tables.commit(days, {
+                "mart": mart,
+                "kpi_partials": lambda written: gold.kpi_partials(written["mart"], period=(DAY,)),
+            }, writer, epoch_id)
+        kpi = gold.kpi_from_partials(tables.read("kpi_partials"))
         write_layer(kpi, analytics_path, partition_by=("city_name",))
+
     return refresh
 
 
-def run_gold_refresh(spark: SparkSession, silver_traffic_path: str, silver_weather_path: str,
-                     mart_path: str, analytics_path: str, checkpoint: str, available_now: bool = True,
-                     fallback: str = "none"):
-    """ST6: stream new files of both silver tables; refresh gold after each micro-batch.
+def run_gold_refresh(traffic: DayTables, weather: DayTables, tables: DayTables, analytics_path: str, checkpoint: str,
+                     available_now: bool = True, fallback: str = "none"):
+    """ST6: follow the commits of both silver groups; refresh gold after each micro-batch.
 
     New weather for an already processed day re-triggers that day as well as new traffic."""
-    day = list(gold.DAY_KEYS)
-    sources = []
-    for path in (silver_traffic_path, silver_weather_path):
-        schema = spark.read.parquet(path).schema
-        sources.append(spark.readStream.schema(schema).parquet(path).select(*day))
-    src = sources[0].unionByName(sources[1])
-    fn = gold_refresh_batch(spark, silver_traffic_path, silver_weather_path, mart_path, analytics_path,
-                            fallback=fallback)
-    w = src.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
+    days = traffic.changes().unionByName(weather.changes())
+    fn = gold_refresh_batch(traffic, weather, tables, analytics_path, checkpoint, fallback)
+    return _run_batches(days, fn, checkpoint, available_now)
+
+
+def _run_batches(source: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str, available_now: bool):
+    w = source.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     q = w.start()
     if available_now:

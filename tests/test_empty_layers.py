@@ -65,10 +65,10 @@ def test_stream_merge_loses_no_late_row(spark, sf_small):
     events = fixtures.traffic_raw(spark, sf_small)
     landing.write_landing_json(events.repartition(3, "event_id"), f"{base}/land")
     stream = streams.landing_stream(spark, f"{base}/land", events.schema, max_files_per_trigger=1)
-    streams.run_silver_refresh(stream, quality.traffic_rules(), f"{base}/survivors",
-                               f"{base}/silver", f"{base}/ck")
+    tables = streams.silver_tables(spark, f"{base}/silver", events.schema)
+    streams.run_silver_refresh(stream, quality.traffic_rules(), tables, f"{base}/ck")
     want = silver.silver_traffic(events, processed_col=None)
-    got = spark.read.parquet(f"{base}/silver").select(*want.columns)
+    got = tables.read("silver").select(*want.columns)
     assert rows(got) == rows(want)
 
 

@@ -2,10 +2,9 @@
 topic fan-out (K6, K7, ST1), landing fallback (K8), layer publish and manifest (K9, K10)."""
 
 import json
-import os
 
 from strata import schemas
-from strata.sinks import writers
+from strata.sinks import landing_zone, writers
 from strata.sources import landing, payloads
 from strata.session import scratch_path
 from strata.streaming import streams
@@ -70,19 +69,13 @@ def test_publish_fan_out_and_topic_parse(spark):
     assert rows(parsed, "key", "city_name", "current_speed") == [("A", "A", 30.0)]
 
 
-def test_landing_fallback_csv_and_manifest(spark):
+def test_landing_fallback_and_csv(spark):
     base = scratch_path(spark, "test-io")
     t = spark.createDataFrame([("A", "t1", 30.0), ("B", "t2", 31.0)], "city_name string, timestamp string, current_speed double")
     route = writers.publish(writers.publish_frame(t, None), f"{base}/landing", bootstrap_servers=None)
     assert route == "landing"
-    back = landing.read_landing(spark, f"{base}/landing/topic=traffic-raw-events", schemas.TRAFFIC_SCHEMA,
-                                multi_line=False, glob=None)
+    back = landing_zone.read_epochs(spark, f"{base}/landing", "traffic-raw-events", schemas.TRAFFIC_SCHEMA)
     assert rows(back, "city_name", "current_speed") == [("A", 30.0), ("B", 31.0)]
-    writers.write_layer(t, f"{base}/layer")
-    summary = writers.publish_layer(spark, f"{base}/layer", f"{base}/published", layer="x").first()
-    assert summary.rows == 2 and summary.files >= 2
-    m = writers.object_manifest(spark, f"{base}/published")
-    assert m.count() == summary.files and all(not os.path.basename(p).startswith((".", "_")) for p, in m.select("path").collect())
     writers.export_csv(t, f"{base}/csv", single_file=True)
     back = writers.read_csv(spark, f"{base}/csv", "city_name string, timestamp string, current_speed double")
     assert rows(back) == rows(t)
