@@ -38,7 +38,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import MEMO_ENTRIES, WordScanner, as_bytes, durable, mix, slices
+from strata.llm.common import WordScanner, as_bytes, durable, mix, slices
 
 THRESHOLD = (4, 5)
 BUCKETS = 1 << 16
@@ -57,8 +57,11 @@ BROADCAST_ROWS = 100_000
 TOKEN_BITS = 1 << 23
 SCAN_BYTES = 1 << 20
 # Postings a task gathers before it packs them, and words of all documents per bucket at most.
-PACKED_ROWS = 1 << 20
+PACKED_ROWS = 1 << 18
 BUCKET_WORDS = 1 << 23
+# Rows of a bucket that are sorted and paired at once, and classes a task remembers as posted.
+RUN_ROWS = 1 << 16
+POSTED_SLOTS = 1 << 18
 POSTING = ("token long, block int, doc long, copy long, line int, class long, n int, pos int, "
            "low long, high long, short boolean")
 HASHED = POSTING + ", hashes binary"
@@ -187,6 +190,30 @@ def _told_apart(several):
     return run
 
 
+class PostedClasses:
+    """The earliest line of a class that a task has posted, in a table of fixed size (a class takes
+    the place of another with the same lowest bits; its lines are posted again then)."""
+
+    def __init__(self, slots: int = POSTED_SLOTS):
+        self.slots = slots
+        self.held = [np.zeros(slots, np.int64) for _ in range(3)] + [np.full(slots, -1, np.int32)]
+
+    def earlier(self, cls, doc, copy, line) -> np.ndarray:
+        """Which lines come before all others of their class in this call and in the table."""
+        new = np.zeros(len(cls), bool)
+        by = np.lexsort((line, copy, doc, cls))
+        first = by[np.flatnonzero(np.diff(cls[by], prepend=~cls[by[:1]]) != 0)]
+        at = (cls[first] & (self.slots - 1)).astype(np.int64)
+        known, d, c, n = (h[at] for h in self.held)
+        before = (doc[first] < d) | ((doc[first] == d) & (
+            (copy[first] < c) | ((copy[first] == c) & (line[first] < n))))
+        take = (known != cls[first]) | (n < 0) | before
+        new[first[take]] = True
+        for h, values in zip(self.held, (cls, doc, copy, line)):
+            h[at[take]] = values[first[take]]
+        return new
+
+
 def _postings(sent, threshold, only=None, hashed=False, several=None):
     """A row per prefix word of a line; a copy of a line already posted here has one row, n = 0.
 
@@ -194,22 +221,16 @@ def _postings(sent, threshold, only=None, hashed=False, several=None):
     word hashes of the line, empty if it has more than ``HASHED_WORDS`` words.
     """
     def run(batches):
-        sets, seen = LineSets(sent.value), {}
+        sets, seen = LineSets(sent.value), PostedClasses()
         counts = np.sort(sent.value)  # by rank
         hot = int(np.searchsorted(counts, GROUP_ROWS, "right"))
         for batch in slices(batches, limit=SCAN_BYTES):
             s = sets.of(batch.column(2).to_pylist())
             doc, copy = batch.column(0).to_numpy(), told_apart(batch, several)
             yield post(s, doc[s["text"]], copy[s["text"]], s["line"], seen, counts, hot)
-            if len(seen) > MEMO_ENTRIES:
-                seen.clear()
 
     def post(s, doc, copy, line, seen, counts, hot):
-        new = np.zeros(len(line), bool)
-        for i, (c, *at) in enumerate(zip(s["class"].tolist(), doc.tolist(), copy.tolist(),
-                                         line.tolist())):
-            if c not in seen or at < seen[c]:
-                seen[c], new[i] = at, True
+        new = seen.earlier(s["class"], doc, copy, line)
         # such a set is no more similar to one with a word more, nor to any other but its own
         alone = threshold[1] * s["n"] < threshold[0] * (s["n"] + 1)
         posted = new & ~alone
@@ -301,17 +322,30 @@ def _packed_postings(sent, threshold, buckets: int, several):
 
 
 def _buckets(batches):
-    """The postings of one bucket after the other, sorted like a group."""
+    """The postings of one bucket after the other, sorted like a group, in runs of whole tokens of about
+    ``RUN_ROWS`` rows."""
     held, last = [], None
     for batch in batches:
         for bucket, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             if bucket != last and held:
-                yield _sorted(held)
+                yield from _runs(held)
                 held = []
             held.append(_unpack_rows(packed))
             last = bucket
     if held:
-        yield _sorted(held)
+        yield from _runs(held)
+
+
+def _runs(held: list[dict]):
+    """``held``: tables that are each sorted by token."""
+    tokens = np.sort(np.concatenate([h["token"] for h in held]))
+    edges = np.unique(tokens[RUN_ROWS::RUN_ROWS])  # a run ends before such a token
+    del tokens
+    cuts = [[0, *np.searchsorted(h["token"], edges).tolist(), len(h["token"])] for h in held]
+    for i in range(len(edges) + 1):
+        parts = [{k: v[c[i]:c[i + 1]] for k, v in h.items()} for h, c in zip(held, cuts) if c[i + 1] > c[i]]
+        if parts:
+            yield _sorted(parts)
 
 
 def _sorted(held: list[dict]) -> dict:
