@@ -66,12 +66,13 @@ def byte_bpe_encoder(path: str, end_id: int = 1) -> Callable[[str], bytes]:
     """text -> little-endian 32-bit ids of the byte-level BPE file at ``path``, then ``end_id``.
 
     Pre-tokens are encoded independently of each other, so each distinct one is encoded once and
-    remembered (bounded memo). Special strings in a text are ordinary text.
+    remembered (bounded memo). A text with one of the file's special strings is handed whole to the tokenizer, which
+    makes it the special token.
     """
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
+    special = [token.content for token in tokenizer.get_added_tokens_decoder().values()]
     end = end_id.to_bytes(TOKEN_BYTES, "little")
     split, letters, model = split_pattern().findall, byte_letters(), tokenizer.model
 
@@ -89,7 +90,7 @@ def byte_bpe_encoder(path: str, end_id: int = 1) -> Callable[[str], bytes]:
     memo = Memo()
 
     def run(text: str) -> bytes:
-        if OTHER_CHARACTERS.search(text):
+        if OTHER_CHARACTERS.search(text) or any(s in text for s in special):
             return encode(text) + end
         if len(memo) > MEMO_ENTRIES:
             memo.clear()
