@@ -20,8 +20,9 @@ Lines with equal sets are one class, posted once per task, so a common line cost
 task. In a group each line passes on only about ``FIRST_PAIRS`` candidates; a line that has
 more, and whose candidates all fail the exact check, goes on in steps: ``STEP_PAIRS`` candidates
 of the group after those tried (four times as many each step, up to ``MOST_PAIRS``), until one is
-verified or none is left. Their postings hold 32-bit hashes of the words of lines up to
-``HASHED_WORDS`` words, which leave hardly a false candidate of such lines. A word whose count could
+verified or none is left. The postings of these groups are stored with 32-bit hashes of the words of lines up to
+``HASHED_WORDS`` words, which leave hardly a false candidate of such lines, and so is each of their lines once: later
+steps read no document. A word whose count could
 make a group of more than ``GROUP_ROWS`` rows is cut into blocks of rows that meet pairwise.
 
 Defined results: lines without a word are kept and never compared; null and empty texts have no
@@ -38,7 +39,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import WordScanner, as_bytes, durable, mix, slices
+from strata.llm.common import WordScanner, as_bytes, durable, mix, slices, written
 
 THRESHOLD = (4, 5)
 BUCKETS = 1 << 16
@@ -48,12 +49,13 @@ SMALL_GROUP = 4096
 FIRST_PAIRS = 8
 STEP_PAIRS = 64
 MOST_PAIRS = 4096
-HASHED_WORDS = 128
-PAIRS_AT_ONCE = 1 << 14
+HASHED_WORDS = 1024
+PAIRS_AT_ONCE = 1 << 13
+# Bits of a line's words that pairs of a run of so many rows are compared by before their hashes.
+SKETCH_BITS = 1 << 14
+SKETCHED_ROWS = 1 << 13
 GROUP_ROWS = 1 << 20
 NO_ID = -(1 << 63)
-# Lines gone on with: broadcast by hint up to so many, else as the planner joins them.
-BROADCAST_ROWS = 100_000
 TOKEN_BITS = 1 << 23
 SCAN_BYTES = 1 << 20
 # Postings a task gathers before it packs them, and words of all documents per bucket at most.
@@ -393,14 +395,30 @@ def with_hashes(t: dict) -> dict:
     """``hashes`` of all postings as one array, and where those of each posting ``from`` and how
     many there are (0: not known)."""
     sizes = np.fromiter(map(len, t["hashes"]), np.int64, len(t["hashes"])) // 4
-    return t | {"hashes": np.frombuffer(b"".join(t["hashes"]), np.uint32).astype(np.int64),
-                "from": np.cumsum(sizes) - sizes, "hashed": sizes}
+    t = t | {"hashes": np.frombuffer(b"".join(t["hashes"]), np.uint32).astype(np.int64),
+             "from": np.cumsum(sizes) - sizes, "hashed": sizes, "bits": None}
+    if len(sizes) <= SKETCHED_ROWS:
+        bits = np.zeros((len(sizes), SKETCH_BITS // 64), np.uint64)
+        slot = t["hashes"] & (SKETCH_BITS - 1)
+        np.bitwise_or.at(bits, (np.repeat(np.arange(len(sizes)), sizes), slot >> 6),
+                         np.uint64(1) << (slot & 63).astype(np.uint64))
+        t |= {"bits": bits, "lost": t["n"] - np.bitwise_count(bits).sum(1).astype(np.int64)}
+    return t
 
 
 def may_share(t: dict, x, y, threshold) -> np.ndarray:
     """Whether the posting pairs (x, y) have hashes in common for the overlap they need."""
     ok = np.ones(len(x), bool)
     known = np.flatnonzero((t["hashed"][x] > 0) & (t["hashed"][y] > 0))
+    if t["bits"] is not None:
+        for s in range(0, len(known), PAIRS_AT_ONCE):
+            at = known[s:s + PAIRS_AT_ONCE]
+            a, b = x[at], y[at]
+            # a word of either line that shares its bit with another of that line may be in common too
+            most = (np.bitwise_count(t["bits"][a] & t["bits"][b]).sum(1, dtype=np.int64)
+                    + np.minimum(t["lost"][a], t["lost"][b]))
+            ok[at] = most >= least_overlap(t["n"][a] + t["n"][b], threshold)
+        known = known[ok[known]]
     for s in range(0, len(known), PAIRS_AT_ONCE):
         at = known[s:s + PAIRS_AT_ONCE]
         keys = []
@@ -610,17 +628,18 @@ def kept_lines(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, id_col:
     buckets = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")),
                   int(total.sum()) // BUCKET_WORDS)
 
-    def similar(pairs: DataFrame) -> DataFrame:
-        """Classes with a verified earlier match."""
-        unique = pairs.select("a", "b").distinct()
-        wanted = (pairs.select(F.col("a").alias("class"), "doc", "copy", "line")
-                  .union(pairs.select("b", "doc2", "copy2", "line2"))
-                  .groupBy("doc", "copy").agg(F.collect_set(F.struct("class", "line")).alias("wanted")))
-        texts = durable(keyed.where("text is not null").mapInArrow(
+    def texts_of(lines: DataFrame) -> DataFrame:
+        """(class, words) of lines (class, doc, copy, line), each class once."""
+        wanted = lines.groupBy("doc", "copy").agg(F.collect_set(F.struct("class", "line")).alias("wanted"))
+        return durable(keyed.where("text is not null").mapInArrow(
             _packed(several), "doc long, copy long, packed binary").join(wanted, ["doc", "copy"])
             .select("packed", "wanted")
             .mapInArrow(_wanted_lines(sent), "class long, words binary")
             .groupBy("class").agg(F.min("words").alias("words")))
+
+    def similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+        """Classes with a verified earlier match."""
+        unique = pairs.select("a", "b").distinct()
         return (unique.join(texts.toDF("a", "wa"), "a").join(texts.toDF("b", "wb"), "b")
                 .select("a", "wa", "wb").mapInArrow(_verify(threshold), "a long").distinct())
 
@@ -630,24 +649,29 @@ def kept_lines(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, id_col:
                     .mapInArrow(_candidates(threshold, 0, FIRST_PAIRS, False), CANDIDATE))
     lines = found.where("doc2 is null").select(F.col("a").alias("class"), "doc", "copy", "line")
     pairs = found.where("doc2 is not null")
-    removed = durable(similar(pairs))
-    tried, step = 0, STEP_PAIRS
+    removed = durable(similar(pairs, texts_of(
+        pairs.select(F.col("a").alias("class"), "doc", "copy", "line")
+        .union(pairs.select("b", "doc2", "copy2", "line2")))))
+    tried, step, postings, texts = 0, STEP_PAIRS, None, None
     while True:
-        again = durable(pairs.where("more").select(F.col("a").alias("class"), "token").distinct()
-                        .join(removed.toDF("class"), "class", "left_anti"))
-        left = again.count()
-        if not left:
+        # a written table: the planner knows its size and may broadcast it
+        again = written(pairs.where("more").select(F.col("a").alias("class"), "token").distinct()
+                        .join(removed.toDF("class"), "class", "left_anti"), "line-dedup-again")
+        if again.isEmpty():
             break
-        only = spark.sparkContext.broadcast(token_bits(again))
-        postings = keyed.mapInArrow(_postings(sent, threshold, only, True, several),
-                                    HASHED)
-        probes = F.broadcast(again) if left <= BROADCAST_ROWS else again
-        marked = (postings.join(probes.withColumn("probe", F.lit(True)), ["class", "token"], "left")
+        if postings is None:
+            # the tokens of later steps are among those of the first: documents are read for postings and for
+            # the texts of their lines here and not again
+            only = spark.sparkContext.broadcast(token_bits(again))
+            postings = durable(keyed.mapInArrow(_postings(sent, threshold, only, True, several), HASHED))
+            texts = texts_of(postings.where("n > 0").groupBy("class").agg(
+                F.min(F.struct("doc", "copy", "line")).alias("at")).select("class", "at.*"))
+        marked = (postings.join(again.withColumn("probe", F.lit(True)), ["class", "token"], "left")
                   .select(*PACKED, "hashes", F.coalesce("probe", F.lit(False)).alias("probe")))
         pairs = durable(marked.repartition("token", "block")
                         .sortWithinPartitions("token", "block", "doc", "copy", "line")
                         .mapInArrow(_candidates(threshold, tried, tried + step, True), CANDIDATE))
-        removed = durable(removed.union(similar(pairs)).distinct())
+        removed = durable(removed.union(similar(pairs, texts)).distinct())
         tried, step = tried + step, min(4 * step, MOST_PAIRS)
     first = lines.groupBy("class").agg(F.min(F.struct("doc", "copy", "line")).alias("at"))
     kept = (first.join(removed.toDF("class"), "class", "left_anti")
