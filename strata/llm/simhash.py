@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import durable, map_texts
+from strata.llm.common import durable, join_aggregate, map_texts
 from strata.llm.graph import components
 
 SHINGLE_WORDS = 3
@@ -113,7 +113,7 @@ def near_links(classes: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS,
     large = (met.groupBy("n", "bits").agg(F.count("*").alias("c")).where(F.col("c") > 1)
              .select("n", "bits", F.ceil(F.col("c") / tile_rows).cast("int").alias("parts")))
     own = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
-    units = (met.join(large, ["n", "bits"])
+    units = (join_aggregate(met, large, ["n", "bits"])
              .select("fp", "n", "bits", own.alias("own"),
                      F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
              .select("fp", "n", "bits", F.least("own", "other").alias("p"),

@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import (BASE_A, BASE_B, WordHashes, as_bytes, durable, slices,
+from strata.llm.common import (BASE_A, BASE_B, WordHashes, as_bytes, durable, join_aggregate, slices,
                                sliding_hash, window_hash)
 
 WINDOW = 35
@@ -56,7 +56,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, period: int = PERIOD,
     places = source.select("rid", "text").mapInArrow(
         _anchors(window, period, cover), "h long, rid long, pos int")
     twice = places.groupBy("h").agg(F.count("*").alias("c")).where("c > 1").select("h")
-    shared = durable(places.join(twice, "h", "left_semi")
+    shared = durable(join_aggregate(places, twice, ["h"], "left_semi")
                      .groupBy("rid").agg(F.collect_set("pos").alias("anchors")))
     # Both joins read one and the same exchange of the packed texts.
     packed = source.mapInArrow(_pack_texts, "doc_id long, rid long, packed binary") \
