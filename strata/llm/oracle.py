@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from strata.llm.quality_rules import BOILERPLATE
-
 _WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 
 
@@ -11,6 +9,13 @@ def _count(column: str, characters: str) -> str:
     return (f"(length({column}) - length(translate({column}, '{characters}', '')))")
 
 
+_STOCK = ("cookies?|privacy_policy|terms_of_(use|service)|all_rights_reserved|javascript|lorem_ipsum|click_here|read_more|"
+          "sign_(in|up)|log_?in|subscribe|newsletter|share_this|follow_us|skip_to_content|back_to_top|powered_by")
+_SPACED = r"regexp_replace(' ' || translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') || ' ', '[\x00-\x40\x5B-\x60\x7B-\x7F]+', '  ', 'g')"
+_LETTERS = f"replace({_SPACED}, ' ', '')"
+_PHRASE_LETTERS = (f"(length({_LETTERS}) - length(replace(regexp_replace({_SPACED}, "
+                   f"' ({_STOCK.replace('_?', '( ?| {2})').replace('_', '  ')}) ', '', 'g'), ' ', '')))")
+
 QUALITY_RULES = rf"""
 with parts as (
   select row_number() over () as r, doc_id, coalesce(text, '') as t, {_WORDS} as words,
@@ -30,7 +35,7 @@ with parts as (
       regexp_matches(l, '[.!?…]["''”’»)\]]*(\s|$)')
       and {_count('l', '|>»·•')} * 20 <= length(l)
       and {_count('l', '#*$%&<!')} * 20 <= length(l)
-      and not regexp_matches(l, '{BOILERPLATE}')) as ok
+      and ({_PHRASE_LETTERS} = 0 or 100 * {_PHRASE_LETTERS} < 33 * length({_LETTERS}))) as ok
   from parts
 ), counts as (
   select doc_id, cast(len(words) as bigint) as n_words,

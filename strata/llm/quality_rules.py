@@ -7,7 +7,8 @@ take away. A line fails the
   closing quotes and brackets allowed);
 * navigation rule: more than one separator (``| > » · •``) in 20 characters;
 * boilerplate rules: more than one symbol (``# * $ % & <``) or exclamation mark in 20 characters,
-  or a stock phrase (``BOILERPLATE``).
+  or stock phrases (``PHRASES``, whole words in any case) that hold ``PHRASE_PERCENT`` of its letters or more, so
+  that a word like "cookie" in a sentence, or a long text in one line, does not fail for it.
 
 A document is rejected if its base rules fail or its passing lines hold less than
 ``min_kept_percent`` of the characters of all its lines.
@@ -33,10 +34,15 @@ SYMBOLS = "#*$%&|<>"
 LINE_SYMBOLS = "#*$%&<!"
 SEPARATORS = "|>»·•"
 SENTENCE_END = "[.!?…][\"'”’»)\\]]*(\\s|$)"
-BOILERPLATE = (
-    "(?i)(cookie|privacy policy|terms of (use|service)|all rights reserved|javascript|"
-    "lorem ipsum|click here|read more|sign (in|up)|log ?in|subscribe|newsletter|"
-    "share this|follow us|skip to content|back to top|powered by)")
+PHRASE_PERCENT = 33
+PHRASES = (
+    "cookie", "cookies", "privacy policy", "terms of use", "terms of service", "all rights reserved", "javascript",
+    "lorem ipsum", "click here", "read more", "sign in", "sign up", "login", "log in", "subscribe", "newsletter",
+    "share this", "follow us", "skip to content", "back to top", "powered by")
+# A line without the first word of a phrase has none.
+MAY_HOLD_PHRASE = "(?i)(" + "|".join(sorted({p.split()[0] for p in PHRASES})) + ")"
+CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+NOT_LETTERS = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def let(value: Column, body) -> Column:
@@ -80,12 +86,25 @@ def repeat_words(words: Column, size: int = REPEAT_WORDS) -> Column:
             .otherwise(covered(repeated(h))))))
 
 
+def phrase_heavy(line: Column) -> Column:
+    """Whether stock phrases hold ``PHRASE_PERCENT`` of the line's letters (all characters beyond ASCII count as letters)."""
+    # two spaces between words: a phrase takes the one on either side of it
+    words = F.concat(F.lit(" "), F.regexp_replace(F.translate(line, CAPITALS, CAPITALS.lower()), NOT_LETTERS, "  "), F.lit(" "))
+    phrases = " (" + "|".join(p.replace(" ", "  ") for p in PHRASES) + ") "
+
+    def letters(text):
+        return F.char_length(F.translate(text, " ", ""))
+
+    return let(words, lambda w: 100 * (letters(w) - letters(F.regexp_replace(w, phrases, "")))
+               >= PHRASE_PERCENT * letters(w))
+
+
 def line_passes(line: Column) -> Column:
     length = F.char_length(line)
     return (line.rlike(SENTENCE_END)
             & (count_of(line, SEPARATORS) * 20 <= length)
             & (count_of(line, LINE_SYMBOLS) * 20 <= length)
-            & ~line.rlike(BOILERPLATE))
+            & ~(line.rlike(MAY_HOLD_PHRASE) & phrase_heavy(line)))
 
 
 def judge(docs: DataFrame, min_words: int = MIN_WORDS,
