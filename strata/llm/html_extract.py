@@ -2,8 +2,9 @@
 
 Each block of text passes points (one, one per comma, and for its length) to its container and,
 less, to the containers above; points are discounted by a container's link density. The container with
-the most points, or the article around it, is kept with those of its siblings that are headings
-or have a share of its points. Menus, headers, footers, sidebars, notices, adverts, forms,
+the most points, or the article around it, or else the widest container around it whose text is mostly outside links,
+is kept with its siblings, however short, unless most of their text is in links. So are lists of links in an article. A header
+inside an article or main element is part of it. Menus, headers, footers, sidebars, notices, adverts, forms,
 scripts, styles and reader comments are known by tag, role, class or id and never score. A class or
 id, or a form, does not leave out a container of blocks with more than half of the page's text
 outside links and all its articles, nor an article or main element in it; reader comments stay left out unless an article of
@@ -36,7 +37,7 @@ BLOCK = frozenset(
     "ul".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 UNWANTED = frozenset(
-    "aside audio button canvas dialog embed footer head header iframe input label menu "
+    "aside audio button canvas dialog embed footer head iframe input menu "
     "meta nav noscript object script select style svg template textarea title video".split())
 ROLES = frozenset(
     "alert alertdialog banner complementary contentinfo dialog form menu menubar navigation "
@@ -58,7 +59,8 @@ TRAIT = re.compile(
     r"(?i)(?<!\S)((no|not|has|have|with|without)[-_]\S+(?!\S)|"
     r"\S+[-_](open|opened|closed|enabled|disabled|on|off)(?!\S)|elementor-widget(-|(?!\S)))")
 CUT_OFF = re.compile(r"<(!--(?!.*-->)|[a-zA-Z/!?][^<>]*$).*\Z", re.DOTALL)
-SIBLING_SHARE = 0.2
+# What holds more of its text in links, and three links or more, is a menu (outside article and main elements).
+LINK_DENSITY = 0.5
 LINKS_IN_LIST = 3
 CLIMB = 5
 
@@ -74,6 +76,9 @@ class _Page(HTMLParser):
         self.tag, self.parent, self.why, self.skip = ["#root"], [-1], [""], [False]
         self.plain = [0]  # characters outside links
         self.stack = [0]
+        # places on the stack of the open elements: by tag, of scopes and of blocks
+        self.open: dict[str, list[int]] = {}
+        self.scopes, self.open_blocks, self.mains = [], [0], 0
         self.links = [0]
         self.blocks: list[tuple[int, str, int]] = []  # node, text, characters in links
         self.text: list[str] = []
@@ -87,7 +92,7 @@ class _Page(HTMLParser):
             self.text, self.linked = [], 0
 
     def holder(self) -> int:
-        return next(n for n in reversed(self.stack) if self.tag[n] in BLOCK or n == 0)
+        return self.stack[self.open_blocks[-1]]
 
     def handle_starttag(self, tag, attrs):
         if tag == "br":
@@ -107,7 +112,14 @@ class _Page(HTMLParser):
             self.skip.append(self.skip[up] or self.why[node] == "tag")
         else:
             self.skip.append(self.left_out[node])
+        at = len(self.stack)
         self.stack.append(node)
+        self.open.setdefault(tag, []).append(at)
+        if tag in SCOPE:
+            self.scopes.append(at)
+        if tag in BLOCK:
+            self.open_blocks.append(at)
+        self.mains += tag in MAIN
         self.depth_in_link += tag == "a"
 
     def handle_startendtag(self, tag, attrs):
@@ -115,32 +127,39 @@ class _Page(HTMLParser):
         if tag not in VOID and tag not in BLOCK:
             self.handle_endtag(tag)
 
+    def last(self, tags) -> int:
+        """Place of the innermost open element of these tags, 0 if there is none."""
+        return max((places[-1] for places in map(self.open.get, tags) if places), default=0)
+
     def close_for(self, tag: str) -> None:
         closing = CLOSES.get(tag, ())
-        for at in range(len(self.stack) - 1, 0, -1):
-            name = self.tag[self.stack[at]]
-            if name == "p" or name in closing or (name in HEADINGS and tag in HEADINGS):
-                self.pop(at)
-                if name == "p" and closing:
-                    continue
+        may_close = {"p", *closing, *(HEADINGS if tag in HEADINGS else ())}
+        while True:
+            at = self.last(may_close)
+            if not at or (self.scopes and at < self.scopes[-1]):
                 return
-            if name in SCOPE:
+            paragraph = self.tag[self.stack[at]] == "p"
+            self.pop(at)
+            if not (paragraph and closing):
                 return
 
     def handle_endtag(self, tag):
         if tag in BLOCK:
             self.flush()
-        for at in range(len(self.stack) - 1, 0, -1):
-            name = self.tag[self.stack[at]]
-            if name == tag:
-                self.pop(at)
-                return
-            if name in SCOPE and tag not in SCOPE:
-                return  # an inline or paragraph end does not close containers
+        at = self.last((tag,))
+        if at and (tag in SCOPE or not self.scopes or at > self.scopes[-1]):
+            self.pop(at)  # an inline or paragraph end does not close containers
 
     def pop(self, at: int) -> None:
-        for node in self.stack[at:]:
-            self.depth_in_link -= self.tag[node] == "a"
+        for node in reversed(self.stack[at:]):
+            tag = self.tag[node]
+            self.open[tag].pop()
+            if tag in SCOPE:
+                self.scopes.pop()
+            if tag in BLOCK:
+                self.open_blocks.pop()
+            self.mains -= tag in MAIN
+            self.depth_in_link -= tag == "a"
         del self.stack[at:]
 
     def reason(self, tag: str, attrs: dict) -> str:
@@ -152,7 +171,7 @@ class _Page(HTMLParser):
             return "comments"
         if tag in MAIN:
             return ""
-        if (tag in UNWANTED or "hidden" in attrs or "display:none" in style
+        if (tag in UNWANTED or (tag == "header" and not self.mains) or "hidden" in attrs or "display:none" in style
                 or (attrs.get("role") or "").lower() in ROLES
                 or (attrs.get("aria-hidden") or "").lower() == "true"):
             return "tag"
@@ -251,18 +270,21 @@ def scored(page: _Page) -> str:
     while up > 0 and page.tag[up] not in MAIN:
         up = page.parent[up]
     best = up if up > 0 else best
-    kept, left_out = [False] * n, [False] * n
+    while (best > 0 and page.tag[best] not in MAIN and page.parent[best] > 0
+           and page.tag[page.parent[best]] != "body" and density[page.parent[best]] <= LINK_DENSITY):
+        best = page.parent[best]
+    kept, left_out, in_main = [False] * n, [False] * n, [False] * n
     kept[best] = True
     for i in range(1, n):
         if i != best and best and page.parent[i] == page.parent[best]:
-            kept[i] = (page.tag[i] in HEADINGS
-                       or score[i] >= max(SIBLING_SHARE * score[best], 1e-9)
-                       or (page.tag[i] == "p" and density[i] < 0.25))
+            kept[i] = page.tag[i] in HEADINGS or density[i] <= LINK_DENSITY
     for i in range(1, n):
-        kept[i] = kept[i] or kept[page.parent[i]]
-        left_out[i] = left_out[page.parent[i]] or (
-            page.tag[i] in ("ul", "ol", "table", "div", "section", "dl") and i != best
-            and links[i] >= LINKS_IN_LIST and density[i] > 0.5)
+        up = page.parent[i]
+        kept[i] = kept[i] or kept[up]
+        in_main[i] = in_main[up] or page.tag[i] in MAIN
+        left_out[i] = left_out[up] or (
+            page.tag[i] in ("ul", "ol", "table", "div", "section", "dl") and i != best and not in_main[i]
+            and links[i] >= LINKS_IN_LIST and density[i] > LINK_DENSITY)
     return "\n".join(t for node, t, _ in page.blocks if kept[node] and not left_out[node])
 
 
