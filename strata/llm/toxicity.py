@@ -56,6 +56,16 @@ def sentence_spans(text: bytes | None) -> list[tuple[int, int, list[bytes]]]:
     return [x for x in found if x[2]]
 
 
+def in_characters(text: bytes, spans: list[tuple[int, int, float]]) -> list[dict]:
+    """Spans in bytes, in order, as spans in characters."""
+    at, passed, out = 0, 0, []
+    for start, end, score in spans:
+        first = passed + len(text[at:start].decode("utf-8", "replace"))
+        at, passed = end, first + len(text[start:end].decode("utf-8", "replace"))
+        out.append({"start": first, "end": passed, "score": score})
+    return out
+
+
 def noisy_or(logits: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """1 - prod(1 - p) of each run of sentences that begins at ``starts``."""
     return -np.expm1(-np.add.reduceat(np.logaddexp(0, logits), starts))
@@ -165,10 +175,8 @@ def score(docs: DataFrame, weights: np.ndarray, offending: float = OFFENDING,
                 z = np.array([sum(map(memo.__getitem__, w)) for _, _, w in sentences]) + bias
                 scores.append(float(noisy_or(z, np.zeros(1, int))[0]))
                 p = 1 / (1 + np.exp(-z))
-                spans.append([
-                    {"start": len(text[:sentences[i][0]].decode("utf-8", "replace")),
-                     "end": len(text[:sentences[i][1]].decode("utf-8", "replace")),
-                     "score": float(p[i])} for i in np.flatnonzero(p >= offending)])
+                spans.append(in_characters(text, [(*sentences[i][:2], float(p[i]))
+                                                  for i in np.flatnonzero(p >= offending)]))
             if len(memo) > MEMO_ENTRIES:
                 memo.clear()
             yield pa.RecordBatch.from_arrays(
