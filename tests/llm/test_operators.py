@@ -8,6 +8,7 @@ import itertools
 import random
 import re
 import struct
+import time
 import zlib
 
 import pytest
@@ -74,7 +75,6 @@ def same(df, expected):
 def test_packing_is_lossless_and_dense(docs, rows, empty):
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(Q.tokenizer_path("byte_bpe_50k.json"))
-    tok.encode_special_tokens = True
     pieces = packing.pack(docs, Q.bpe_encoder, window=256, open_windows=4).collect()
     wanted = collections.Counter()
     for i, t in rows:
@@ -96,6 +96,14 @@ def test_packing_is_lossless_and_dense(docs, rows, empty):
     assert packing.pack(empty, Q.bpe_encoder).count() == 0
 
 
+def test_special_strings_are_what_the_tokenizer_makes_of_them():
+    from tokenizers import Tokenizer
+    exact, encode = Tokenizer.from_file(Q.tokenizer_path("byte_bpe_50k.json")), Q.bpe_encoder()
+    for text in ("a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|> é日", "<|endoftext|", "plain text's 12"):
+        ids = struct.unpack(f"<{len(encode(text)) // 4}I", encode(text))
+        assert list(ids) == exact.encode(text, add_special_tokens=False).ids + [1]
+
+
 def test_line_dedup_equals_brute_force(docs, rows, empty):
     by_id = {}
     for i, t in rows:
@@ -122,10 +130,20 @@ def test_line_dedup_equals_brute_force(docs, rows, empty):
     assert line_dedup.line_report(empty).count() == 0
 
 
-@pytest.mark.parametrize("broadcast_rows", [100_000, 0])
-def test_line_dedup_second_round_takes_every_candidate(spark, monkeypatch, broadcast_rows):
+@pytest.fixture
+def no_broadcast(spark, request):
+    """Joins without broadcasting if the parameter is true."""
+    names = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    for name in names if request.param else []:
+        spark.conf.set(name, "-1")
+    yield
+    for name in names:
+        spark.conf.unset(name)
+
+
+@pytest.mark.parametrize("no_broadcast", [False, True], indirect=True)
+def test_line_dedup_second_round_takes_every_candidate(spark, monkeypatch, no_broadcast):
     monkeypatch.setattr(line_dedup, "FIRST_PAIRS", 1)
-    monkeypatch.setattr(line_dedup, "BROADCAST_ROWS", broadcast_rows)
     rng = random.Random(5)
     base = [f"b{i}" for i in range(40)]
     rows = []
@@ -193,10 +211,9 @@ def test_line_dedup_steps_until_none_is_left(spark, monkeypatch, small_group):
     assert {r.doc_id for r in got.collect() if r.kept} == brute_force_kept(rows)
 
 
-@pytest.mark.parametrize("broadcast_rows", [100_000, 0])
-def test_line_dedup_filters_postings_at_every_size(spark, monkeypatch, broadcast_rows):
+@pytest.mark.parametrize("no_broadcast", [False, True], indirect=True)
+def test_line_dedup_filters_postings_at_every_size(spark, monkeypatch, no_broadcast):
     monkeypatch.setattr(line_dedup, "FIRST_PAIRS", 1)
-    monkeypatch.setattr(line_dedup, "BROADCAST_ROWS", broadcast_rows)
     filters, postings = [], line_dedup._postings
 
     def noted(sent, threshold, only=None, *rest, **more):
@@ -213,6 +230,41 @@ def test_line_dedup_filters_postings_at_every_size(spark, monkeypatch, broadcast
     assert filters and all(filters)
 
 
+@pytest.mark.parametrize("words, lines", [(175, 1500), (1500, 60)])
+def test_line_dedup_long_lines_that_narrowly_differ(spark, monkeypatch, words, lines):
+    """Jaccard 0.75 throughout, so all candidates fail; documents are read a fixed number of times."""
+    reads, scan = spark.sparkContext.accumulator(0), line_dedup.LineSets.of
+
+    def counting(self, texts):
+        reads.add(sum(len(t or b"") for t in texts))
+        return scan(self, texts)
+
+    monkeypatch.setattr(line_dedup.LineSets, "of", counting)
+    own = words // 7
+    common = " ".join(f"w{k}" for k in range(words - own))
+    rows = [(i, common + "".join(f" x{i}y{k}" for k in range(own))) for i in range(lines)]
+    started = time.monotonic()
+    got = line_dedup.line_report(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    assert got.where("n_removed > 0").count() == 0 and got.count() == lines
+    assert time.monotonic() - started < 90
+    # both counts evaluate the plan; postings twice and the wanted lines in up to two fetches, at every number of steps
+    assert reads.value < 10 * sum(len(t) for _, t in rows)
+
+
+def test_posted_classes_remember_the_earliest():
+    import numpy as np
+    rng, table, seen, posted = np.random.default_rng(1), line_dedup.PostedClasses(64), {}, {}
+    for _ in range(60):
+        n = int(rng.integers(0, 200))
+        cls = rng.integers(0, 300, n) * (1 << 40) + rng.integers(0, 2, n)
+        doc, copy, line = rng.integers(0, 50, n), rng.integers(-2, 2, n), rng.integers(0, 9, n).astype(np.int32)
+        for c, *at, new in zip(cls, doc, copy, line, table.earlier(cls, doc, copy, line)):
+            seen[c] = min(seen.get(c, [99]), at)
+            if new:
+                posted[c] = min(posted.get(c, [99]), at)
+    assert posted == seen
+
+
 def test_line_dedup_tells_rows_of_an_id_apart_by_text(spark):
     import corpus_pipeline as pipeline
     schema = "doc_id long, text string, lang string, source string, n_chars long"
@@ -285,6 +337,20 @@ def test_quality_rules(spark, docs, rows, empty):
     assert kept[5].n_repeat_words == 22 and kept[5].n_words == 22
 
 
+def test_stock_phrases_count_as_whole_words_and_by_their_share(spark):
+    lines = {"They catalog insects in the field.": True, "The design in question was new.": True,
+             "We thread more beads.": True, "We eat a cookie with every cup of tea.": True, "écookie law, in full.": True,
+             "Please read more of the chapters that follow us through this long book.": True,
+             "Click here to read more.": False, "Sign-in or LOG  IN.": False, "We use cookies.": False,
+             "Subscribe to our newsletter!": False, "All rights reserved.": False, "123 456.": True}
+    df = spark.createDataFrame(list(lines), "string").select(
+        "value", quality_rules.line_passes(F.col("value")).alias("ok"))
+    assert {r.value: r.ok for r in df.collect()} == lines
+    long_line = "Words go on and on in one line without an end to them, " * 30 + "and then we say subscribe."
+    texts = spark.createDataFrame([(1, long_line.replace("on and on", "on{} and on"))], "doc_id long, text string")
+    assert quality_rules.judge(texts).first().kept_line_chars == len(long_line) + 60
+
+
 def test_simhash_equals_all_pairs(docs, rows, empty):
     def fp(text):
         w = word_list(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
