@@ -9,8 +9,8 @@ a line before others.
 2. A line posts itself under the words of its prefix: lines similar enough share one. Lines that
    meet under a word pass the length filter, the positional filter and a 128-bit parity sketch of
    their words that can't differ in more bits than the sets do in words.
-3. The lines of the pairs left are fetched from their documents (which travel as zstd frames) and
-   the Jaccard similarity is computed exactly.
+3. The lines of the pairs left are fetched from their documents (which travel as zstd frames, if a bit map of
+   fixed size has their id) and the Jaccard similarity is computed exactly.
 
 Postings hold the text hash of a document only if its id may have several texts (by a bit map of
 such ids, of fixed size). They travel in columns, compressed, one row per task and bucket of words. The number of
@@ -56,7 +56,9 @@ SKETCH_BITS = 1 << 14
 SKETCHED_ROWS = 1 << 13
 GROUP_ROWS = 1 << 20
 NO_ID = -(1 << 63)
+# Sizes of the bit maps of tokens and of wanted documents (8 MB): fuller maps only pass on more.
 TOKEN_BITS = 1 << 23
+DOC_BITS = 1 << 26
 SCAN_BYTES = 1 << 20
 # Postings a task gathers before it packs them, and words of all documents per bucket at most.
 PACKED_ROWS = 1 << 18
@@ -163,23 +165,26 @@ class LineSets:
             "high": np.bitwise_xor.reduceat(bit * upper, starts).view(np.int64)}
 
 
-def token_bits(tokens: DataFrame) -> np.ndarray:
+def token_bits(tokens: DataFrame, size: int = TOKEN_BITS) -> np.ndarray:
     """A bit map of fixed size that has the bits of all ``tokens`` (by their lowest bits)."""
-    slot = F.col("token").bitwiseAND(F.lit(TOKEN_BITS - 1))
+    slot = F.col("token").bitwiseAND(F.lit(size - 1))
     rows = tokens.groupBy(F.shiftright(slot, 6).cast("int").alias("at")).agg(
         F.bit_or(F.expr("shiftleft(1L, cast(token & 63 as int))")).alias("bits"))
-    table = np.zeros(TOKEN_BITS // 64, np.int64)
-    for r in rows.collect():  # at most ``TOKEN_BITS`` / 64 rows
-        table[r["at"]] = r["bits"]
+    table, found = np.zeros(size // 64, np.int64), rows.toArrow()  # at most ``size`` / 64 rows
+    table[found["at"].to_numpy()] = found["bits"].to_numpy()
     return table
 
 
+def has_bit(table: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    slot = tokens & (64 * len(table) - 1)
+    return (table[slot >> 6] >> (slot & 63)) & 1 == 1
+
+
 def told_apart(batch: pa.RecordBatch, several) -> np.ndarray:
     """The text hashes of the documents (columns doc, copy) whose id may have several texts (``several``:
     broadcast ``token_bits`` of such ids), 0 for others."""
     doc, copy = (batch.column(i).to_numpy() for i in (0, 1))
-    slot = doc & (TOKEN_BITS - 1)
-    return np.where((several.value[slot >> 6] >> (slot & 63)) & 1 == 1, copy, 0)
+    return np.where(has_bit(several.value, doc), copy, 0)
 
 
 def _told_apart(several):
@@ -240,8 +245,7 @@ def _postings(sent, threshold, only=None, hashed=False, several=None):
         pos = np.arange(len(s["keys"])) - s["starts"][s["owner"]]
         at = np.flatnonzero(pos < prefix[s["owner"]])
         if only is not None:
-            slot = s["keys"][at] & (TOKEN_BITS - 1)
-            at = at[(only.value[slot >> 6] >> (slot & 63)) & 1 == 1]
+            at = at[has_bit(only.value, s["keys"][at])]
         rank = s["keys"][at] >> 28
         row, block = [np.flatnonzero(rank < hot)], [np.zeros(int((rank < hot).sum()), np.int64)]
         for k in np.flatnonzero(rank >= hot).tolist():
@@ -586,10 +590,15 @@ def _wanted_lines(sent):
     return run
 
 
-def _packed(several):
+def _packed(several, wanted):
+    """Packed texts of the documents whose id may be wanted (``wanted``: broadcast ``token_bits``)."""
     def run(batches):
         pack = zstandard.ZstdCompressor(level=1).compress
-        for batch in slices(batches):
+        for batch in batches:
+            yield from packed(slices([batch.filter(pa.array(has_bit(wanted.value, batch.column(0).to_numpy())))]), pack)
+
+    def packed(batches, pack):
+        for batch in batches:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(told_apart(batch, several), pa.int64()),
                  pa.array([pack(t) for t in batch.column(2).to_pylist()], pa.binary())],
@@ -630,9 +639,11 @@ def kept_lines(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, id_col:
 
     def texts_of(lines: DataFrame) -> DataFrame:
         """(class, words) of lines (class, doc, copy, line), each class once."""
-        wanted = lines.groupBy("doc", "copy").agg(F.collect_set(F.struct("class", "line")).alias("wanted"))
+        wanted = written(lines.groupBy("doc", "copy").agg(
+            F.collect_set(F.struct("class", "line")).alias("wanted")), "line-dedup-wanted")
+        bits = spark.sparkContext.broadcast(token_bits(wanted.select(F.col("doc").alias("token")), DOC_BITS))
         return durable(keyed.where("text is not null").mapInArrow(
-            _packed(several), "doc long, copy long, packed binary").join(wanted, ["doc", "copy"])
+            _packed(several, bits), "doc long, copy long, packed binary").join(wanted, ["doc", "copy"])
             .select("packed", "wanted")
             .mapInArrow(_wanted_lines(sent), "class long, words binary")
             .groupBy("class").agg(F.min("words").alias("words")))
