@@ -16,7 +16,7 @@ from strata import schemas
 from strata.functions.metrics import predicted_congestion_index
 from strata.functions.rounding import round_half_up
 from strata.ml import ensembles, evaluation, models
-from strata.operators import decisions, gold, locations, measures, quality, silver
+from strata.operators import decisions, gold, locations, measures, quality, silver, skew
 from strata.operators.layers import add_layer_metadata, add_temporal_features
 from strata.plans import medallion
 from strata.session import scratch_path
@@ -206,7 +206,7 @@ def scored_mart(spark: SparkSession, sf: str) -> DataFrame:
         round_half_up(F.avg("current_speed"), 1).alias("predicted_speed"),
         round_half_up(F.avg("aqi"), 1).alias("predicted_aqi"),
     )
-    return mart.join(pred, ["city_name", "hour"], "inner")
+    return skew.join_aggregate(mart, pred, ["city_name", "hour"])
 
 
 def decision_alerts(spark: SparkSession, sf: str) -> DataFrame:

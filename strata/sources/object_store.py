@@ -20,8 +20,3 @@ def s3a_options(access_key: str | None = None, secret_key: str | None = None,
     if path_style:
         conf["spark.hadoop.fs.s3a.path.style.access"] = "true"
     return conf
-
-
-def layer_uri(bucket: str, prefix: str, layer: str) -> str:
-    """``s3a://<bucket>/<prefix><layer>`` (prefixes such as ``bronze/`` end with a slash)."""
-    return f"s3a://{bucket}/{prefix}{layer}"

@@ -33,18 +33,16 @@ WRONG_TYPE = "value of a wrong type"
 _CORRUPT = "_corrupt_body"
 
 
-def _ok(body: str) -> Column:
-    """True when the body is a JSON object."""
-    return F.json_object_keys(F.col(body)).isNotNull()
-
-
 def _parsed(raw: DataFrame, body: str, schema) -> DataFrame:
     """The body parsed once into ``__p`` and its validity computed once into ``__ok``; field
     extraction then reads these columns (Catalyst does not inline an expensive expression into
-    several consumers), so each body is parsed a fixed number of times, not once per field."""
+    several consumers), so each body is parsed once, not once per field. A body is valid if it is a JSON object; only
+    one that the parse complains of is looked at again, since a value of a wrong type is a complaint too."""
     marked = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType(), True)])
     parsed = F.from_json(F.col(body), marked, {"columnNameOfCorruptRecord": _CORRUPT})
-    return raw.withColumns({"__p": parsed, "__ok": _ok(body)})
+    ok = (F.col(body).rlike(r"^\s*\{")
+          & (F.col("__p")[_CORRUPT].isNull() | F.json_object_keys(F.col(body)).isNotNull()))
+    return raw.withColumn("__p", parsed).withColumn("__ok", F.coalesce(ok, F.lit(False)))
 
 
 def _pick(ok: Column, value: Column, default) -> Column:
