@@ -15,6 +15,8 @@ below the checkpoint folder and reads them again for the next.
 
 Null ids and texts are kept like others; an empty table passes through empty. Columns beyond those of
 ``documents`` are dropped.
+
+A stage's rows are removed from the checkpoint folder once the next stage has written its own; the last ones stay.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ from strata.llm.packing import pack
 from strata.llm.quality_classifier import score
 from strata.llm.queries import PIECE_COLUMNS, QUALITY_THRESHOLD, bpe_encoder, quality_model
 from strata.llm.simhash import one_of_each
-from strata.session import scratch_path
+from strata.session import remove_path, scratch_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -63,15 +65,18 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [("quality", quality), ("line_dedup", line_dedup), ("near_dedup", near_dedup),
           ("decontaminate", decontaminate), ("pack", packing)]
 
-# A classifier, an iterative component search and a tokenizer are beyond SQL; the tests hold
-# the stages against brute force instead.
+# A classifier, an iterative component search and a tokenizer are beyond SQL; tests/llm/test_pipeline.py
+# holds the rows of each stage against brute force instead.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
+    docs, before = read_table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = scratch_path(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            remove_path(spark, before)
+        before = path
     return docs

@@ -34,19 +34,6 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def join_aggregate(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
-    """``left`` joined to an aggregate by the same ``keys``, so that adaptive execution may split a hot key.
-
-    It splits only where both sides are exchanged for the join. The aggregate's own exchange would serve the join as it is; one
-    more equality, of a hash of the keys, asks for another.
-    """
-    renamed = right.withColumnsRenamed({k: f"_{k}" for k in keys})
-    same = F.xxhash64(*keys) == F.xxhash64(*[f"_{k}" for k in keys])
-    for k in keys:
-        same = same & (F.col(k) == F.col(f"_{k}"))
-    return left.join(renamed, same, how).drop(*[f"_{k}" for k in keys])
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

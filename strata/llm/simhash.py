@@ -23,8 +23,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import durable, join_aggregate, map_texts
+from strata.llm.common import durable, map_texts
 from strata.llm.graph import components
+from strata.operators.skew import join_aggregate
 
 SHINGLE_WORDS = 3
 RADIUS = 2

@@ -27,8 +27,9 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import (BASE_A, BASE_B, WordHashes, as_bytes, durable, join_aggregate, slices,
+from strata.llm.common import (BASE_A, BASE_B, WordHashes, as_bytes, durable, slices,
                                sliding_hash, window_hash)
+from strata.operators.skew import join_aggregate
 
 WINDOW = 35
 PERIOD = 21
