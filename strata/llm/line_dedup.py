@@ -39,7 +39,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import WordScanner, as_bytes, durable, mix, slices, written
+from strata.llm.common import WordScanner, as_bytes, durable, mix, slices, tidied, written
 
 THRESHOLD = (4, 5)
 BUCKETS = 1 << 16
@@ -59,9 +59,9 @@ NO_ID = -(1 << 63)
 # Sizes of the bit maps of tokens and of wanted documents (8 MB): fuller maps only pass on more.
 TOKEN_BITS = 1 << 23
 DOC_BITS = 1 << 26
-SCAN_BYTES = 1 << 20
+SCAN_BYTES = 1 << 18
 # Postings a task gathers before it packs them, and words of all documents per bucket at most.
-PACKED_ROWS = 1 << 18
+PACKED_ROWS = 1 << 17
 BUCKET_WORDS = 1 << 23
 # Rows of a bucket that are sorted and paired at once, and classes a task remembers as posted.
 RUN_ROWS = 1 << 16
@@ -106,7 +106,7 @@ def bucket_counts(keyed: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(total[used])],
                                          names=["b", "c"])
 
-    rows = (keyed.select("text").mapInArrow(run, "b int, c long")
+    rows = (keyed.select("text").mapInArrow(tidied(run), "b int, c long")
             .groupBy("b").agg(F.sum("c").alias("c")))
     counts = np.zeros(BUCKETS, np.int64)
     for r in rows.collect():  # at most ``BUCKETS`` rows
@@ -642,22 +642,24 @@ def kept_lines(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, id_col:
         wanted = written(lines.groupBy("doc", "copy").agg(
             F.collect_set(F.struct("class", "line")).alias("wanted")), "line-dedup-wanted")
         bits = spark.sparkContext.broadcast(token_bits(wanted.select(F.col("doc").alias("token")), DOC_BITS))
-        return durable(keyed.where("text is not null").mapInArrow(
-            _packed(several, bits), "doc long, copy long, packed binary").join(wanted, ["doc", "copy"])
+        return durable(keyed.where("text is not null")
+            .mapInArrow(tidied(_packed(several, bits)), "doc long, copy long, packed binary")
+            .join(wanted, ["doc", "copy"])
             .select("packed", "wanted")
-            .mapInArrow(_wanted_lines(sent), "class long, words binary")
+            .mapInArrow(tidied(_wanted_lines(sent)), "class long, words binary")
             .groupBy("class").agg(F.min("words").alias("words")))
 
     def similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         """Classes with a verified earlier match."""
         unique = pairs.select("a", "b").distinct()
         return (unique.join(texts.toDF("a", "wa"), "a").join(texts.toDF("b", "wb"), "b")
-                .select("a", "wa", "wb").mapInArrow(_verify(threshold), "a long").distinct())
+                .select("a", "wa", "wb").mapInArrow(tidied(_verify(threshold)), "a long").distinct())
 
-    found = durable(keyed.mapInArrow(_packed_postings(sent, threshold, buckets, several),
+    found = written(keyed.mapInArrow(tidied(_packed_postings(sent, threshold, buckets, several)),
                                      "bucket int, packed binary")
                     .repartition("bucket").sortWithinPartitions("bucket")
-                    .mapInArrow(_candidates(threshold, 0, FIRST_PAIRS, False), CANDIDATE))
+                    .mapInArrow(tidied(_candidates(threshold, 0, FIRST_PAIRS, False)), CANDIDATE),
+                    "line-dedup-found")
     lines = found.where("doc2 is null").select(F.col("a").alias("class"), "doc", "copy", "line")
     pairs = found.where("doc2 is not null")
     removed = durable(similar(pairs, texts_of(
@@ -674,14 +676,14 @@ def kept_lines(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, id_col:
             # the tokens of later steps are among those of the first: documents are read for postings and for
             # the texts of their lines here and not again
             only = spark.sparkContext.broadcast(token_bits(again))
-            postings = durable(keyed.mapInArrow(_postings(sent, threshold, only, True, several), HASHED))
+            postings = durable(keyed.mapInArrow(tidied(_postings(sent, threshold, only, True, several)), HASHED))
             texts = texts_of(postings.where("n > 0").groupBy("class").agg(
                 F.min(F.struct("doc", "copy", "line")).alias("at")).select("class", "at.*"))
         marked = (postings.join(again.withColumn("probe", F.lit(True)), ["class", "token"], "left")
                   .select(*PACKED, "hashes", F.coalesce("probe", F.lit(False)).alias("probe")))
         pairs = durable(marked.repartition("token", "block")
                         .sortWithinPartitions("token", "block", "doc", "copy", "line")
-                        .mapInArrow(_candidates(threshold, tried, tried + step, True), CANDIDATE))
+                        .mapInArrow(tidied(_candidates(threshold, tried, tried + step, True)), CANDIDATE))
         removed = durable(removed.union(similar(pairs, texts)).distinct())
         tried, step = tried + step, min(4 * step, MOST_PAIRS)
     first = lines.groupBy("class").agg(F.min(F.struct("doc", "copy", "line")).alias("at"))
@@ -691,7 +693,7 @@ def kept_lines(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, id_col:
     counts = (lines.select("doc", "copy", "line").distinct()
               .groupBy("doc", "copy").agg(F.count("*").alias("n_lines")))
     found = counts.join(kept, ["doc", "copy"], "left")
-    return documents.mapInArrow(_told_apart(several), "doc long, whole long, copy long").join(
+    return documents.mapInArrow(tidied(_told_apart(several)), "doc long, whole long, copy long").join(
         found, ["doc", "copy"]).select(
         "doc", F.col("whole").alias("copy"), "n_lines", F.coalesce("kept", F.array().cast("array<int>")).alias("kept"))
 

@@ -26,7 +26,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import MEMO_ENTRIES, as_bytes, map_texts, slices
+from strata.llm.common import MEMO_ENTRIES, as_bytes, map_texts, slices, tidied
 from strata.llm.sampling import labelled_sample
 
 BUCKETS = 1 << 14
@@ -88,7 +88,7 @@ def word_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
 
     names = [f"d{d}" for d in range(DIMENSIONS)]
     sums = (docs.select(as_bytes(text_col))
-            .mapInArrow(run, "bucket int, " + ", ".join(f"{n} long" for n in names))
+            .mapInArrow(tidied(run), "bucket int, " + ", ".join(f"{n} long" for n in names))
             .groupBy("bucket").agg(*(F.sum(n).alias(n) for n in names)))
     table = np.zeros((BUCKETS, DIMENSIONS))
     for row in sums.collect():  # at most BUCKETS rows
