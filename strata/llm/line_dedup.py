@@ -9,8 +9,8 @@ a line before others.
 2. A line posts itself under the words of its prefix: lines similar enough share one. Lines that
    meet under a word pass the length filter, the positional filter and a 128-bit parity sketch of
    their words that can't differ in more bits than the sets do in words.
-3. The lines of the pairs left are fetched from their documents (which travel as zstd frames, if a bit map of
-   fixed size has their id) and the Jaccard similarity is computed exactly.
+3. The lines of the pairs left are fetched from their documents (lines travel if a bit map of fixed size has them)
+   and the Jaccard similarity is computed exactly.
 
 Postings hold the text hash of a document only if its id may have several texts (by a bit map of
 such ids, of fixed size). They travel in columns, compressed, one row per task and bucket of words. The number of
@@ -56,9 +56,9 @@ SKETCH_BITS = 1 << 14
 SKETCHED_ROWS = 1 << 13
 GROUP_ROWS = 1 << 20
 NO_ID = -(1 << 63)
-# Sizes of the bit maps of tokens and of wanted documents (8 MB): fuller maps only pass on more.
+# Sizes of the bit maps of tokens and of wanted lines (8 MB): fuller maps only pass on more.
 TOKEN_BITS = 1 << 23
-DOC_BITS = 1 << 26
+LINE_BITS = 1 << 26
 SCAN_BYTES = 1 << 18
 # Postings a task gathers before it packs them, and words of all documents per bucket at most.
 PACKED_ROWS = 1 << 17
@@ -569,40 +569,47 @@ CANDIDATE = ("a long, b long, doc long, copy long, line int, doc2 long, copy2 lo
              "token long, more boolean")
 
 
-def _wanted_lines(sent):
-    """(class, words) of the wanted lines of a document, if they are of that class."""
+def line_tokens(doc: np.ndarray, line: np.ndarray) -> np.ndarray:
+    """One number per line of a document, for a bit map of lines."""
+    return mix(doc.astype(np.int64).view(np.uint64) ^ mix(line.astype(np.uint64) + np.uint64(1))).view(np.int64)
+
+
+def _tokens_of(batches):
+    for batch in batches:
+        made = line_tokens(*(batch.column(i).to_numpy() for i in (0, 1)))
+        yield pa.RecordBatch.from_arrays([pa.array(made)], names=["token"])
+
+
+def _lines(several, wanted):
+    """(doc, copy, line, words) of the lines that may be wanted (``wanted``: broadcast ``token_bits`` of line tokens)."""
     def run(batches):
-        sets, unpack = LineSets(sent.value), zstandard.ZstdDecompressor().decompress
-        for batch in batches:
-            classes, words = [], []
-            for packed, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                parts = unpack(packed).split(b"\n")
-                wanted = [w for w in wanted if w["line"] < len(parts) and parts[w["line"]].split()]
-                found = sets.of([parts[w["line"]] for w in wanted])["class"].tolist()
-                for w, c in zip(wanted, found):
-                    if w["class"] == c:
-                        classes.append(c)
-                        words.append(parts[w["line"]])
+        for batch in slices(batches):
+            parts = [(t or b"").split(b"\n") for t in batch.column(2).to_pylist()]
+            sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+            line = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            doc, copy = (np.repeat(x, sizes) for x in (batch.column(0).to_numpy(), told_apart(batch, several)))
+            at = np.flatnonzero(has_bit(wanted.value, line_tokens(doc, line)))
+            text = np.repeat(np.arange(len(parts)), sizes)[at].tolist()
+            line = line[at]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(classes, pa.int64()), pa.array(words, pa.binary())],
-                names=["class", "words"])
+                [pa.array(doc[at]), pa.array(copy[at]), pa.array(line.astype(np.int32)),
+                 pa.array([parts[i][k] for i, k in zip(text, line.tolist())], pa.binary())],
+                names=["doc", "copy", "line", "words"])
 
     return run
 
 
-def _packed(several, wanted):
-    """Packed texts of the documents whose id may be wanted (``wanted``: broadcast ``token_bits``)."""
+def _of_class(sent):
+    """The lines (class, words) that are of that class."""
     def run(batches):
-        pack = zstandard.ZstdCompressor(level=1).compress
-        for batch in batches:
-            yield from packed(slices([batch.filter(pa.array(has_bit(wanted.value, batch.column(0).to_numpy())))]), pack)
-
-    def packed(batches, pack):
-        for batch in batches:
+        sets = LineSets(sent.value)
+        for batch in slices(batches, rows=1 << 14, limit=SCAN_BYTES):
+            rows = [(c, w) for c, w in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) if w.split()]
+            found = sets.of([w for _, w in rows])["class"].tolist()
+            same = [(c, w) for (c, w), f in zip(rows, found) if c == f]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(told_apart(batch, several), pa.int64()),
-                 pa.array([pack(t) for t in batch.column(2).to_pylist()], pa.binary())],
-                names=["doc", "copy", "packed"])
+                [pa.array([c for c, _ in same], pa.int64()), pa.array([w for _, w in same], pa.binary())],
+                names=["class", "words"])
 
     return run
 
@@ -639,15 +646,14 @@ def kept_lines(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, id_col:
 
     def texts_of(lines: DataFrame) -> DataFrame:
         """(class, words) of lines (class, doc, copy, line), each class once."""
-        wanted = written(lines.groupBy("doc", "copy").agg(
-            F.collect_set(F.struct("class", "line")).alias("wanted")), "line-dedup-wanted")
-        bits = spark.sparkContext.broadcast(token_bits(wanted.select(F.col("doc").alias("token")), DOC_BITS))
+        wanted = written(lines, "line-dedup-wanted")
+        bits = spark.sparkContext.broadcast(token_bits(
+            wanted.select("doc", "line").mapInArrow(tidied(_tokens_of), "token long"), LINE_BITS))
         return durable(keyed.where("text is not null")
-            .mapInArrow(tidied(_packed(several, bits)), "doc long, copy long, packed binary")
-            .join(wanted, ["doc", "copy"])
-            .select("packed", "wanted")
-            .mapInArrow(tidied(_wanted_lines(sent)), "class long, words binary")
-            .groupBy("class").agg(F.min("words").alias("words")))
+                       .mapInArrow(tidied(_lines(several, bits)), "doc long, copy long, line int, words binary")
+                       .join(wanted, ["doc", "copy", "line"]).select("class", "words")
+                       .mapInArrow(tidied(_of_class(sent)), "class long, words binary")
+                       .groupBy("class").agg(F.min("words").alias("words")))
 
     def similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         """Classes with a verified earlier match."""
@@ -662,9 +668,11 @@ def kept_lines(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, id_col:
                     "line-dedup-found")
     lines = found.where("doc2 is null").select(F.col("a").alias("class"), "doc", "copy", "line")
     pairs = found.where("doc2 is not null")
-    removed = durable(similar(pairs, texts_of(
-        pairs.select(F.col("a").alias("class"), "doc", "copy", "line")
-        .union(pairs.select("b", "doc2", "copy2", "line2")))))
+    # the first line of each class in all documents stands for it
+    first = written(lines.groupBy("class").agg(F.min(F.struct("doc", "copy", "line")).alias("at")).select("class", "at.*"),
+                    "line-dedup-first")
+    paired = pairs.select("a").union(pairs.select("b")).distinct().toDF("class")
+    removed = durable(similar(pairs, texts_of(first.join(paired, "class"))))
     tried, step, postings, texts = 0, STEP_PAIRS, None, None
     while True:
         # a written table: the planner knows its size and may broadcast it
@@ -677,8 +685,7 @@ def kept_lines(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, id_col:
             # the texts of their lines here and not again
             only = spark.sparkContext.broadcast(token_bits(again))
             postings = durable(keyed.mapInArrow(tidied(_postings(sent, threshold, only, True, several)), HASHED))
-            texts = texts_of(postings.where("n > 0").groupBy("class").agg(
-                F.min(F.struct("doc", "copy", "line")).alias("at")).select("class", "at.*"))
+            texts = texts_of(first.join(postings.where("n > 0").select("class").distinct(), "class"))
         marked = (postings.join(again.withColumn("probe", F.lit(True)), ["class", "token"], "left")
                   .select(*PACKED, "hashes", F.coalesce("probe", F.lit(False)).alias("probe")))
         pairs = durable(marked.repartition("token", "block")
@@ -686,10 +693,8 @@ def kept_lines(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, id_col:
                         .mapInArrow(tidied(_candidates(threshold, tried, tried + step, True)), CANDIDATE))
         removed = durable(removed.union(similar(pairs, texts)).distinct())
         tried, step = tried + step, min(4 * step, MOST_PAIRS)
-    first = lines.groupBy("class").agg(F.min(F.struct("doc", "copy", "line")).alias("at"))
     kept = (first.join(removed.toDF("class"), "class", "left_anti")
-            .groupBy(F.col("at.doc").alias("doc"), F.col("at.copy").alias("copy"))
-            .agg(F.sort_array(F.collect_set("at.line")).alias("kept")))
+            .groupBy("doc", "copy").agg(F.sort_array(F.collect_set("line")).alias("kept")))
     counts = (lines.select("doc", "copy", "line").distinct()
               .groupBy("doc", "copy").agg(F.count("*").alias("n_lines")))
     found = counts.join(kept, ["doc", "copy"], "left")
