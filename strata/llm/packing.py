@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import MEMO_ENTRIES, as_bytes, durable, slices
+from strata.llm.common import MEMO_ENTRIES, as_bytes, durable, slices, tidied
 
 WINDOW = 2048
 OPEN_WINDOWS = 64
@@ -211,7 +211,7 @@ def pack(docs: DataFrame, encoder: Callable[[], Callable[[str], bytes]], window:
         yield rows.batch()
 
     placed = durable(docs.select(F.col(id_col).cast("long").alias("doc_id"), as_bytes(text_col))
-                     .mapInArrow(place, PIECE_SCHEMA))
+                     .mapInArrow(tidied(place), PIECE_SCHEMA))
     done, rests = [placed.where("sequence_id is not null")], placed.where("sequence_id is null")
     for level in range(1, merge_rounds + 2):
         last = level == merge_rounds + 1

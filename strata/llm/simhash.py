@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import durable, map_texts
+from strata.llm.common import durable, map_texts, tidied
 from strata.llm.graph import components
 from strata.operators.skew import join_aggregate
 
@@ -143,7 +143,7 @@ def near_links(classes: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS,
 
     unit = ["n", "bits", "p", "q"]
     return (units.repartition(*unit).sortWithinPartitions(*unit)
-            .mapInArrow(run, "a long, b long"))
+            .mapInArrow(tidied(run), "a long, b long"))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS, radius: int = RADIUS,
