@@ -313,10 +313,9 @@ def topic_bronze(spark: SparkSession, sf: str) -> DataFrame:
     """ST1 + W5: published traffic events as topic records ``(topic, partition, offset, key, value)``, appended to bronze in
     two overlapping reads with the stored offsets between them."""
     bronze = scratch_path(spark, "topic-bronze")
-    order = Window.partitionBy("partition").orderBy(F.get_json_object("value", "$.poll_id").cast("long"))
-    records = (writers.publish_frame(_flat_traffic(spark, sf), None)
-               .withColumn("partition", F.pmod(F.xxhash64("key"), F.lit(3)).cast("int"))
-               .withColumn("offset", F.row_number().over(order).cast("long") - 1))
+    sent = (writers.publish_frame(_flat_traffic(spark, sf), None)
+            .withColumn("partition", F.pmod(F.xxhash64("key"), F.lit(3)).cast("int")))
+    records = topics.with_offsets(sent, F.get_json_object("value", "$.poll_id").cast("long"))
     schema = schemas.with_fields(schemas.TRAFFIC_SCHEMA, [("poll_id", schemas.L), ("payload_error", schemas.S)])
     for cut in (records.where("offset < 100 or partition = 0"), records):
         topics.append_bronze(spark, cut, bronze, schema)

@@ -15,13 +15,13 @@ from __future__ import annotations
 import json
 from typing import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.operators.layers import add_layer_metadata
 from strata.schemas import I, L, S, struct
-from strata.session import checkpoint_root
+from strata.session import checkpoint_root, remove_path, scratch_path
 from strata.sinks.writers import write_layer
 from strata.sources.landing import JSON_TIME_OPTIONS, empty, read_table
 
@@ -64,6 +64,27 @@ def read_topic_batch(spark: SparkSession, bootstrap_servers: str, topics: Sequen
             .load())
 
 
+def with_offsets(records: DataFrame, order: Column) -> DataFrame:
+    """Adds ``offset`` to records with a ``topic`` and a ``partition``: each one's place in its topic partition by ``order``.
+
+    The few topic partitions are sorted by many tasks: records are dealt into ranges of the order and stored, each range is
+    numbered by itself and starts where the ranges before it end.
+    """
+    spark, keys = records.sparkSession, ["topic", "partition"]
+    dealt, numbered = scratch_path(spark, "topic-ranges"), scratch_path(spark, "topic-records")
+    (records.withColumn("__order", order).repartitionByRange(*keys, "__order", F.xxhash64("value"))
+     .withColumn("__range", F.spark_partition_id()).write.parquet(dealt))
+    ranges = spark.read.parquet(dealt)
+    before = Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (ranges.groupBy(*keys, "__range").agg(F.count(F.lit(1)).alias("n"))  # one row per range
+              .select(*keys, "__range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__start")))
+    within = F.row_number().over(Window.partitionBy(*keys, "__range").orderBy("__order"))
+    (ranges.withColumn("__within", within).join(F.broadcast(starts), [*keys, "__range"])
+     .select(*records.columns, (F.col("__start") + F.col("__within") - 1).alias("offset")).write.parquet(numbered))
+    remove_path(spark, dealt)
+    return spark.read.parquet(numbered)
+
+
 def append_bronze(spark: SparkSession, records: DataFrame, bronze: str, schema: T.StructType,
                   stamp_ingestion: bool = True) -> dict:
     """W1 from topic records ``(topic, partition, offset, key, value)``: those at or after the stored offsets, as one batch.
@@ -71,7 +92,8 @@ def append_bronze(spark: SparkSession, records: DataFrame, bronze: str, schema:
     Returns the batch number and how many records it read. Nothing new writes nothing.
     """
     bronze, before = bronze.rstrip("/"), stored_offsets(spark, bronze)
-    new = (records.join(before, ["topic", "partition"], "left")
+    # one row per topic partition is broadcast, so that records aren't dealt by topic partition
+    new = (records.join(F.broadcast(before), ["topic", "partition"], "left")
            .where(F.col("offset") >= F.coalesce("next_offset", F.lit(0))).drop("next_offset"))
     # a broker may deliver a record more than once within a read
     ends = new.groupBy("topic", "partition").agg(
@@ -82,7 +104,7 @@ def append_bronze(spark: SparkSession, records: DataFrame, bronze: str, schema:
     upto = spark.createDataFrame([(r.topic, r.partition, r.next_offset) for r in ends],
                                  "topic string, partition int, upto long")
     # the batch ends where it was counted, whatever the broker has taken since
-    events = (new.join(upto, ["topic", "partition"]).where(F.col("offset") < F.col("upto"))
+    events = (new.join(F.broadcast(upto), ["topic", "partition"]).where(F.col("offset") < F.col("upto"))
               .dropDuplicates(["topic", "partition", "offset"])
               .select(F.from_json(F.col("value").cast("string"), schema, JSON_TIME_OPTIONS).alias("e")).select("e.*"))
     events = add_layer_metadata(events, "Bronze", "ingestion_timestamp" if stamp_ingestion else None)

@@ -108,6 +108,28 @@ def records(spark, frame_, partitions=3):
             .withColumn("offset", (F.row_number().over(order) - 1).cast("long")))
 
 
+def test_offsets_of_one_topic_partition_are_dealt_to_many_tasks(spark):
+    sent = spark.range(4000).select(F.lit(TOPIC).alias("topic"), F.when(F.col("id") < 3990, 0).otherwise(1).alias("partition"),
+                                    F.lit("k").alias("key"), F.col("id").cast("string").alias("value"))
+    sent = sent.unionByName(sent.where("value like '%0'"))  # some orders come twice
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        dealt = topics.with_offsets(sent, F.when(F.col("value") != "7", F.col("value").cast("long")))
+        tasks = dealt.groupBy("partition", F.input_file_name().alias("f")).count().where("partition = 0").collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(tasks) > 3 and max(r["count"] for r in tasks) < 2500  # one window over the topic partition had one task
+    got = dealt.orderBy("partition", "offset").collect()
+    for part in (0, 1):
+        assert [r.offset for r in got if r.partition == part] == list(range(sum(r.partition == part for r in got)))
+    assert [r.value for r in got] == ["7"] + sorted((r.value for r in got if r.value != "7"), key=int)  # null first
+
+
+def test_topic_records_without_rows(spark):
+    none = spark.createDataFrame([], "topic string, partition int, key string, value string")
+    assert topics.with_offsets(none, F.col("value")).count() == 0
+
+
 def test_two_cuts_of_a_topic_equal_one(spark, sf_small):
     base = scratch_path(spark, "test-topics")
     events = driver._flat_traffic(spark, sf_small)
