@@ -1,14 +1,14 @@
 """Tree ensembles as node tables.
 
-A fitted forest or boosted ensemble is written out as one row per node. Scoring takes the table as a constant array and
-walks the trees in column expressions, so it is plain JVM code over any frame, needs no model object on the
-executors and can be held against the pipeline's own ``transform``.
+A fitted forest or boosted ensemble is written out as one row per node. Scoring takes the table as arrays and walks the
+trees in a column expression, a level at a time for a whole Arrow batch of rows, so it runs over any frame, needs no model
+object on the executors and can be held against the pipeline's own ``transform``.
 """
 
 from __future__ import annotations
 
-import json
-
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.ml.regression import RandomForestRegressionModel
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -53,11 +53,34 @@ def scaled_vector(model: PipelineModel):
     return F.array(*values)
 
 
-def _constant(rows: list[list], fields: str):
-    """Rows as one constant array of structs: JSON text, which the optimizer folds into a literal once."""
-    names = [f.split()[0] for f in fields.split(", ")]
-    text = json.dumps([dict(zip(names, r)) for r in rows])
-    return F.from_json(F.lit(text), f"array<struct<{fields.replace(' ', ': ').replace(',: ', ', ')}>>")
+def walker(rows: list, depth: int, trees: int | None):
+    """The function from feature rows (a matrix) to predictions: the weighted sum of the trees' leaves in the order of the
+    trees, or their average over ``trees``. A leaf leads to itself. Tasks need only numpy for it, not this package."""
+    def column(name, kind):
+        return np.array([r[name] or 0 for r in rows], kind)
+
+    here, leaf = np.arange(len(rows)), column("left", np.int64) < 0
+    left, right = (np.where(leaf, here, column(c, np.int64)) for c in ("left", "right"))
+    feature = np.where(leaf, 0, column("feature", np.int64))
+    threshold, prediction = column("threshold", np.float64), column("prediction", np.float64)
+    first: dict = {}
+    for r in rows:
+        first.setdefault(r["tree"], (r["node"], r["weight"]))
+    roots = [first[t] for t in sorted(first)]
+
+    def walk(x: np.ndarray) -> np.ndarray:
+        total, values, row = np.zeros(len(x)), x.ravel(), np.arange(len(x)) * x.shape[1]
+        for root, weight in roots:
+            at = np.full(len(x), root)
+            for _ in range(depth):
+                below = np.where(values[row + feature[at]] <= threshold[at], left[at], right[at])
+                if np.array_equal(below, at):
+                    break
+                at = below
+            total += prediction[at] * weight
+        return total / trees if trees else total
+
+    return walk
 
 
 def predict(df: DataFrame, nodes: DataFrame, model: PipelineModel, output: str) -> DataFrame:
@@ -65,25 +88,13 @@ def predict(df: DataFrame, nodes: DataFrame, model: PipelineModel, output: str)
     depth and the kind of ensemble are read."""
     ensemble = model.stages[-1]
     averaged = isinstance(ensemble, RandomForestRegressionModel)
-    rows = nodes.orderBy("node").collect()  # bounded by the model: at most trees x 2 ** (depth + 1)
-    walked = _constant([[r.feature, r.threshold, r.left, r.right, r.prediction] for r in rows],
-                       "f int, t double, l int, r int, p double")
-    first: dict = {}
-    for r in rows:
-        first.setdefault(r.tree, [r.node, r.weight])
-    roots = _constant([first[t] for t in sorted(first)], "node int, weight double")
-    levels = F.sequence(F.lit(1), F.lit(max(int(ensemble.getOrDefault("maxDepth")), 1)))
-
-    def step(at):
-        node = F.get(walked, at)
-        return (F.when(node["l"] < 0, at)
-                .when(F.get(F.col("__x"), node["f"]) <= node["t"], node["l"]).otherwise(node["r"]))
-
-    def add(total, tree):
-        leaf = F.aggregate(levels, tree["node"], lambda at, _: step(at))
-        return total + F.get(walked, leaf)["p"] * tree["weight"]
-
-    total = F.aggregate(roots, F.lit(0.0), add)
-    if averaged:
-        total = total / F.lit(float(len(ensemble.treeWeights)))
-    return df.withColumn("__x", scaled_vector(model)).withColumn(output, total).drop("__x")
+    rows = [r.asDict() for r in nodes.orderBy("node").collect()]  # bounded by the model: at most trees x 2 ** (depth + 1)
+    walk = walker(rows, max(int(ensemble.getOrDefault("maxDepth")), 1), len(ensemble.treeWeights) if averaged else None)
+    width = len(model.stages[0].getInputCols())
+
+    @F.arrow_udf("double")
+    def walked(vectors: pa.Array) -> pa.Array:
+        values = vectors.flatten().to_numpy(zero_copy_only=False)
+        return pa.array(walk(values.reshape(len(vectors), width)), pa.float64())
+
+    return df.withColumn(output, walked(scaled_vector(model)))

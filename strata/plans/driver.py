@@ -19,7 +19,7 @@ from strata.ml import ensembles, evaluation, models
 from strata.operators import decisions, gold, locations, measures, quality, silver, skew
 from strata.operators.layers import add_layer_metadata, add_temporal_features
 from strata.plans import medallion
-from strata.session import scratch_path
+from strata.session import checkpoint_root, scratch_path
 from strata.sinks import landing_zone, publishing, writers
 from strata.sources import fixtures, landing, payloads, topics
 from strata.streaming import streams
@@ -555,7 +555,8 @@ def model_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 def node_table_scores(spark: SparkSession, sf: str) -> DataFrame:
     """X4a + X4b + X5: both ensembles written out as node tables and scored as column expressions over every mart
     row; how many rows differ from the fitted pipelines."""
-    kpi = _kpi(spark, sf)
+    checkpoint_root(spark)
+    kpi = _kpi(spark, sf).checkpoint()  # small; both fits read it, so the mart is not built for each
     speed, aqi = models.train_speed(kpi, num_trees=20).model, models.train_aqi(kpi, max_iter=20).model
     nodes = tuple(ensembles.node_table(m, scratch_path(spark, "nodes"), spark) for m in (speed, aqi))
     outputs = ("predicted_speed", "predicted_aqi", "derived_congestion_index")
