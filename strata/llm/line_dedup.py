@@ -20,9 +20,9 @@ Lines with equal sets are one class, posted once per task, so a common line cost
 task. In a group each line passes on only about ``FIRST_PAIRS`` candidates; a line that has
 more, and whose candidates all fail the exact check, goes on in steps: ``STEP_PAIRS`` candidates
 of the group after those tried (four times as many each step, up to ``MOST_PAIRS``), until one is
-verified or none is left. The postings of these groups are stored with 32-bit hashes of the words of lines up to
-``HASHED_WORDS`` words, which leave hardly a false candidate of such lines, and so is each of their lines once: later
-steps read no document. A word whose count could
+verified or none is left. The first round stores the postings of groups in which a line has more, packed; the steps read
+them, not the documents: rows of such a group that may meet a line that goes on, with 32-bit hashes of the words of lines up to
+``HASHED_WORDS`` words, which leave hardly a false candidate of such lines. Documents are read once more for the texts of their lines. A word whose count could
 make a group of more than ``GROUP_ROWS`` rows is cut into blocks of rows that meet pairwise.
 
 Defined results: lines without a word are kept and never compared; null and empty texts have no
@@ -68,7 +68,6 @@ RUN_ROWS = 1 << 16
 POSTED_SLOTS = 1 << 18
 POSTING = ("token long, block int, doc long, copy long, line int, class long, n int, pos int, "
            "low long, high long, short boolean")
-HASHED = POSTING + ", hashes binary"
 PACKED = {"token": "<i8", "block": "<i4", "doc": "<i8", "copy": "<i8", "line": "<i4", "class": "<i8", "n": "<i4",
           "pos": "<i4", "low": "<i8", "high": "<i8", "short": "?"}
 
@@ -221,12 +220,28 @@ class PostedClasses:
         return new
 
 
-def _postings(sent, threshold, only=None, hashed=False, several=None):
+def _postings(sent, threshold, only=None, several=None):
     """A row per prefix word of a line; a copy of a line already posted here has one row, n = 0.
 
-    ``only``: broadcast ``token_bits``; rows under tokens not in it are left out. ``hashed``: with the
-    word hashes of the line, empty if it has more than ``HASHED_WORDS`` words.
+    ``only``: broadcast ``token_bits`` of lines and tokens that are tried again; the postings are not made from
+    documents then but read from packed rows of whole groups. Of a group rows up to the last such line stay, if their
+    sizes are not too far from those of all such lines.
     """
+    def unpacked(batches):
+        num, den = threshold
+        for batch in batches:
+            for packed in batch.column(0).to_pylist():
+                t = _unpack_rows(packed)
+                starts = _starts(t)
+                group = np.repeat(np.arange(len(starts)), np.diff(starts, append=len(t["token"])))
+                probe, n = has_bit(only.value, pair_tokens(t["class"], t["token"])), t["n"].astype(np.int64)
+                least = np.minimum.reduceat(np.where(probe, n, np.iinfo(np.int32).max), starts)
+                most = np.maximum.reduceat(np.where(probe, n, 0), starts)
+                last = np.maximum.reduceat(np.where(probe, np.arange(len(n)), -1), starts)
+                at = np.flatnonzero((np.arange(len(n)) <= last[group]) & (num * least[group] <= den * n)
+                                    & (num * n <= den * most[group]))
+                yield pa.RecordBatch.from_arrays([pa.array(t[k][at]) for k in PACKED], names=list(PACKED))
+
     def run(batches):
         sets, seen = LineSets(sent.value), PostedClasses()
         counts = np.sort(sent.value)  # by rank
@@ -244,8 +259,6 @@ def _postings(sent, threshold, only=None, hashed=False, several=None):
         prefix = np.where(posted, prefix_words(s["n"], threshold), 1)
         pos = np.arange(len(s["keys"])) - s["starts"][s["owner"]]
         at = np.flatnonzero(pos < prefix[s["owner"]])
-        if only is not None:
-            at = at[has_bit(only.value, s["keys"][at])]
         rank = s["keys"][at] >> 28
         row, block = [np.flatnonzero(rank < hot)], [np.zeros(int((rank < hot).sum()), np.int64)]
         for k in np.flatnonzero(rank >= hot).tolist():
@@ -266,20 +279,21 @@ def _postings(sent, threshold, only=None, hashed=False, several=None):
                    pa.array(s["class"][own]), pa.array(n),
                    pa.array(pos[at].astype(np.int32)), pa.array(low[own]), pa.array(high[own]),
                    pa.array(short[own])]
-        if hashed:
-            columns.append(pa.array([
-                s["hashes"][a:a + k].tobytes() if k <= HASHED_WORDS else b""
-                for a, k in zip(s["starts"][own].tolist(), n.tolist())], pa.binary()))
-        return pa.RecordBatch.from_arrays(
-            columns, names=[c.split()[0] for c in (HASHED if hashed else POSTING).split(", ")])
+        return pa.RecordBatch.from_arrays(columns, names=list(PACKED))
 
-    return run
+    return run if only is None else unpacked
 
 
 def _columns(batch: pa.RecordBatch, names) -> dict:
     return {k: batch.column(i).to_numpy(zero_copy_only=False) for i, k in enumerate(names)}
 
 
+def _starts(t: dict) -> np.ndarray:
+    """Where the groups of postings sorted by token and block start."""
+    edge = np.flatnonzero((t["token"][1:] != t["token"][:-1]) | (t["block"][1:] != t["block"][:-1])) + 1
+    return np.concatenate([[0], edge]).astype(np.int64)
+
+
 def _pack_rows(t: dict) -> bytes:
     """Postings by column and byte position (equal bytes side by side), compressed."""
     return zstandard.ZstdCompressor(level=1).compress(b"".join(
@@ -447,9 +461,7 @@ def group_pairs(t: dict, threshold, tried: int, upto: int, every: bool):
     size = len(t["token"])
     if every:
         t = with_hashes(t)
-    edge = np.flatnonzero((t["token"][1:] != t["token"][:-1])
-                          | (t["block"][1:] != t["block"][:-1])) + 1
-    starts = np.concatenate([[0], edge, [size]]).astype(np.int64)
+    starts = np.append(_starts(t), size)
     lengths = np.diff(starts)
     after = np.repeat(starts[1:], lengths) - np.arange(size)  # rows to the end of the group
     held, count = [], 0
@@ -528,55 +540,63 @@ def earliest(t: dict) -> dict:
     return {k: v[at] for k, v in t.items()}
 
 
-def _candidates(threshold, tried: int, upto: int, every: bool):
-    """Rows of two kinds: candidate pairs (class a after class b), and, without ``every``, every line
-    with its class (``doc2`` null)."""
+def _candidates(threshold, tried: int, upto: int, every: bool, sent=None):
+    """Candidate pairs (class a after class b). Without ``every`` rows of two more kinds: every line with its class
+    a, once, and whether it is the ``first`` of its class in all documents; and the packed postings of the groups in
+    which a line has more candidates than it passes on. ``sent``: broadcast ``bucket_counts``."""
     def run(batches):
         for t in _groups(batches) if every else _buckets(batches):
             t |= {k: t[k].view(np.uint64) for k in ("low", "high")}
             if not every:
-                lines = t["pos"] == 0  # a split word repeats such rows, which changes nothing
-                yield output(*(t[k][lines] for k in ("class", "class", "doc", "copy", "line")))
+                yield lines(t)
             posted = t["n"] > 0
             if posted.any():
                 yield from pairs({k: v[posted] for k, v in t.items()})
 
+    def lines(t):
+        # all lines of a class have the same first word; a split word repeats them in several blocks
+        parts = -(-np.sort(sent.value)[t["token"] >> 28] // GROUP_ROWS)
+        at = np.flatnonzero((t["pos"] == 0) & (t["class"] % parts == t["block"]))
+        at = at[np.argsort(t["class"][at], kind="stable")]  # document order stays
+        cls, place = t["class"][at], [t[k][at] for k in ("doc", "copy", "line")]
+        first, new = np.ones(len(at), bool), np.ones(len(at), bool)
+        first[1:] = cls[1:] != cls[:-1]
+        new[1:] = first[1:] | np.logical_or.reduce([p[1:] != p[:-1] for p in place])  # rows may repeat
+        return output(int(new.sum()), a=cls[new], first=first[new],
+                      **{k: p[new] for k, p in zip(("doc", "copy", "line"), place)})
+
     def pairs(t):
         t = earliest(t)
+        rest = np.zeros(len(t["token"]), bool)
         for later, earlier, more in group_pairs(t, threshold, tried, upto, every):
-            yield output(t["class"][later], t["class"][earlier],
-                         *(t[k][later] for k in ("doc", "copy", "line")),
-                         *(t[k][earlier] for k in ("doc", "copy", "line")),
-                         t["token"][later], more)
-
-    def output(a, b, doc, copy, line, doc2=None, copy2=None, line2=None, token=None,
-               more=None):
-        none = [None] * len(a)
+            rest[later[more]] = True
+            yield output(len(later), a=t["class"][later], b=t["class"][earlier], token=t["token"][later], more=more)
+        if rest.any() and not every:
+            starts = _starts(t)
+            whole = np.repeat(np.logical_or.reduceat(rest, starts), np.diff(starts, append=len(rest)))
+            yield output(1, packed=[_pack_rows({k: v[whole] for k, v in t.items()})])
+
+    def output(size, **columns):
         return pa.RecordBatch.from_arrays(
-            [pa.array(x, kind) for x, kind in (
-                (a, pa.int64()), (b, pa.int64()), (doc, pa.int64()), (copy, pa.int64()),
-                (line, pa.int32()), (none if doc2 is None else doc2, pa.int64()),
-                (none if copy2 is None else copy2, pa.int64()),
-                (none if line2 is None else line2, pa.int32()),
-                (none if token is None else token, pa.int64()),
-                (none if more is None else more, pa.bool_()))],
-            names=[c.split()[0] for c in CANDIDATE.split(", ")])
+            [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(size, f.type) for f in CANDIDATE],
+            schema=CANDIDATE)
 
     return run
 
 
-CANDIDATE = ("a long, b long, doc long, copy long, line int, doc2 long, copy2 long, line2 int, "
-             "token long, more boolean")
+CANDIDATE = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("doc", pa.int64()), ("copy", pa.int64()), ("line", pa.int32()),
+                       ("first", pa.bool_()), ("token", pa.int64()), ("more", pa.bool_()), ("packed", pa.binary())])
+CANDIDATES = "a long, b long, doc long, copy long, line int, first boolean, token long, more boolean, packed binary"
 
 
-def line_tokens(doc: np.ndarray, line: np.ndarray) -> np.ndarray:
-    """One number per line of a document, for a bit map of lines."""
-    return mix(doc.astype(np.int64).view(np.uint64) ^ mix(line.astype(np.uint64) + np.uint64(1))).view(np.int64)
+def pair_tokens(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """One number per pair of numbers (a document and a line, a class and a token), for a bit map of them."""
+    return mix(x.astype(np.int64).view(np.uint64) ^ mix(y.astype(np.uint64) + np.uint64(1))).view(np.int64)
 
 
 def _tokens_of(batches):
     for batch in batches:
-        made = line_tokens(*(batch.column(i).to_numpy() for i in (0, 1)))
+        made = pair_tokens(*(batch.column(i).to_numpy() for i in (0, 1)))
         yield pa.RecordBatch.from_arrays([pa.array(made)], names=["token"])
 
 
@@ -588,7 +608,7 @@ def _lines(several, wanted):
             sizes = np.fromiter(map(len, parts), np.int64, len(parts))
             line = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
             doc, copy = (np.repeat(x, sizes) for x in (batch.column(0).to_numpy(), told_apart(batch, several)))
-            at = np.flatnonzero(has_bit(wanted.value, line_tokens(doc, line)))
+            at = np.flatnonzero(has_bit(wanted.value, pair_tokens(doc, line)))
             text = np.repeat(np.arange(len(parts)), sizes)[at].tolist()
             line = line[at]
             yield pa.RecordBatch.from_arrays(
@@ -602,18 +622,32 @@ def _lines(several, wanted):
 def _of_class(sent):
     """The lines (class, words) that are of that class."""
     def run(batches):
-        sets = LineSets(sent.value)
-        for batch in slices(batches, rows=1 << 14, limit=SCAN_BYTES):
-            rows = [(c, w) for c, w in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) if w.split()]
-            found = sets.of([w for _, w in rows])["class"].tolist()
-            same = [(c, w) for (c, w), f in zip(rows, found) if c == f]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([c for c, _ in same], pa.int64()), pa.array([w for _, w in same], pa.binary())],
-                names=["class", "words"])
+        for batch, classes, s in _sets_of(sent, batches):
+            yield batch.filter(pa.array(s["class"] == classes, pa.bool_()))
+
+    return run
+
+
+def _hashes_of(sent):
+    """(class, hashes) of lines (class, words): 32-bit hashes of the words, empty if there are more than
+    ``HASHED_WORDS`` of them."""
+    def run(batches):
+        for batch, _, s in _sets_of(sent, batches):
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(
+                [s["hashes"][a:a + n].tobytes() if n <= HASHED_WORDS else b""
+                 for a, n in zip(s["starts"].tolist(), s["n"].tolist())], pa.binary())], names=["class", "hashes"])
 
     return run
 
 
+def _sets_of(sent, batches):
+    """Lines (class, words) that have a word, their classes and their ``LineSets``."""
+    sets = LineSets(sent.value)
+    for batch in slices(batches, rows=1 << 14, limit=SCAN_BYTES):
+        batch = batch.filter(pa.array([bool(w.split()) for w in batch.column(1).to_pylist()], pa.bool_()))
+        yield batch, batch.column(0).to_numpy(), sets.of(batch.column(1).to_pylist())
+
+
 def _verify(threshold):
     num, den = threshold
 
@@ -649,58 +683,63 @@ def kept_lines(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, id_col:
         wanted = written(lines, "line-dedup-wanted")
         bits = spark.sparkContext.broadcast(token_bits(
             wanted.select("doc", "line").mapInArrow(tidied(_tokens_of), "token long"), LINE_BITS))
+        # rows that repeat an id and a text are grouped by the keys of the join: texts are dealt out once
         return durable(keyed.where("text is not null")
                        .mapInArrow(tidied(_lines(several, bits)), "doc long, copy long, line int, words binary")
-                       .join(wanted, ["doc", "copy", "line"]).select("class", "words")
-                       .mapInArrow(tidied(_of_class(sent)), "class long, words binary")
-                       .groupBy("class").agg(F.min("words").alias("words")))
+                       .join(wanted, ["doc", "copy", "line"])
+                       .groupBy("doc", "copy", "line").agg(F.min("class").alias("class"), F.min("words").alias("words"))
+                       .select("class", "words").mapInArrow(tidied(_of_class(sent)), "class long, words binary"))
+
+    def unique(pairs: DataFrame) -> DataFrame:
+        # a written table: the planner knows its size and may broadcast it
+        return written(pairs.select("a", "b").distinct(), "line-dedup-pairs")
 
     def similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         """Classes with a verified earlier match."""
-        unique = pairs.select("a", "b").distinct()
-        return (unique.join(texts.toDF("a", "wa"), "a").join(texts.toDF("b", "wb"), "b")
+        return (pairs.join(texts.toDF("a", "wa"), "a").join(texts.toDF("b", "wb"), "b")
                 .select("a", "wa", "wb").mapInArrow(tidied(_verify(threshold)), "a long").distinct())
 
     found = written(keyed.mapInArrow(tidied(_packed_postings(sent, threshold, buckets, several)),
                                      "bucket int, packed binary")
                     .repartition("bucket").sortWithinPartitions("bucket")
-                    .mapInArrow(tidied(_candidates(threshold, 0, FIRST_PAIRS, False)), CANDIDATE),
+                    .mapInArrow(tidied(_candidates(threshold, 0, FIRST_PAIRS, False, sent)), CANDIDATES),
                     "line-dedup-found")
-    lines = found.where("doc2 is null").select(F.col("a").alias("class"), "doc", "copy", "line")
-    pairs = found.where("doc2 is not null")
+    lines = found.where("doc is not null").select(F.col("a").alias("class"), "doc", "copy", "line", "first")
+    pairs = found.where("b is not null")
     # the first line of each class in all documents stands for it
-    first = written(lines.groupBy("class").agg(F.min(F.struct("doc", "copy", "line")).alias("at")).select("class", "at.*"),
-                    "line-dedup-first")
-    paired = pairs.select("a").union(pairs.select("b")).distinct().toDF("class")
-    removed = durable(similar(pairs, texts_of(first.join(paired, "class"))))
+    first = lines.where("first").drop("first")
+    met = unique(pairs)
+    paired = met.select("a").union(met.select("b")).distinct().toDF("class")
+    removed = durable(similar(met, texts_of(first.join(paired, "class"))))
     tried, step, postings, texts = 0, STEP_PAIRS, None, None
     while True:
-        # a written table: the planner knows its size and may broadcast it
         again = written(pairs.where("more").select(F.col("a").alias("class"), "token").distinct()
                         .join(removed.toDF("class"), "class", "left_anti"), "line-dedup-again")
         if again.isEmpty():
             break
         if postings is None:
-            # the tokens of later steps are among those of the first: documents are read for postings and for
-            # the texts of their lines here and not again
-            only = spark.sparkContext.broadcast(token_bits(again))
-            postings = durable(keyed.mapInArrow(tidied(_postings(sent, threshold, only, True, several)), HASHED))
-            texts = texts_of(first.join(postings.where("n > 0").select("class").distinct(), "class"))
+            # the groups of later steps are among those of the first: documents are read for the texts of
+            # their lines here and not again
+            only = spark.sparkContext.broadcast(token_bits(
+                again.select("class", "token").mapInArrow(tidied(_tokens_of), "token long")))
+            postings = written(found.where("packed is not null").select("packed")
+                               .mapInArrow(tidied(_postings(sent, threshold, only)), POSTING), "line-dedup-postings")
+            texts = texts_of(first.join(postings.select("class").distinct(), "class"))
+            postings = durable(postings.join(
+                texts.mapInArrow(tidied(_hashes_of(sent)), "class long, hashes binary"), "class"))
         marked = (postings.join(again.withColumn("probe", F.lit(True)), ["class", "token"], "left")
                   .select(*PACKED, "hashes", F.coalesce("probe", F.lit(False)).alias("probe")))
         pairs = durable(marked.repartition("token", "block")
                         .sortWithinPartitions("token", "block", "doc", "copy", "line")
-                        .mapInArrow(tidied(_candidates(threshold, tried, tried + step, True)), CANDIDATE))
-        removed = durable(removed.union(similar(pairs, texts)).distinct())
+                        .mapInArrow(tidied(_candidates(threshold, tried, tried + step, True)), CANDIDATES))
+        removed = durable(removed.union(similar(unique(pairs), texts)).distinct())
         tried, step = tried + step, min(4 * step, MOST_PAIRS)
-    kept = (first.join(removed.toDF("class"), "class", "left_anti")
-            .groupBy("doc", "copy").agg(F.sort_array(F.collect_set("line")).alias("kept")))
-    counts = (lines.select("doc", "copy", "line").distinct()
-              .groupBy("doc", "copy").agg(F.count("*").alias("n_lines")))
-    found = counts.join(kept, ["doc", "copy"], "left")
+    stays = F.when(F.col("first") & F.col("gone").isNull(), F.col("line"))
+    found = (lines.join(removed.select(F.col("a").alias("class"), F.lit(True).alias("gone")), "class", "left")
+             .groupBy("doc", "copy").agg(F.count("*").alias("n_lines"), F.sort_array(F.collect_list(stays)).alias("kept")))
     return documents.mapInArrow(tidied(_told_apart(several)), "doc long, whole long, copy long").join(
         found, ["doc", "copy"]).select(
-        "doc", F.col("whole").alias("copy"), "n_lines", F.coalesce("kept", F.array().cast("array<int>")).alias("kept"))
+        "doc", F.col("whole").alias("copy"), "n_lines", "kept")
 
 
 def line_report(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, id_col: str = "doc_id",

@@ -251,6 +251,44 @@ def test_line_dedup_long_lines_that_narrowly_differ(spark, monkeypatch, words, l
     assert reads.value < 10 * sum(len(t) for _, t in rows)
 
 
+def test_line_dedup_later_steps_read_stored_groups(spark, monkeypatch):
+    """Few lines go on, so the words of all documents are hashed for their postings once."""
+    reads, scan = spark.sparkContext.accumulator(0), line_dedup.LineSets.of
+
+    def counting(self, texts):
+        reads.add(sum(len(t or b"") for t in texts))
+        return scan(self, texts)
+
+    monkeypatch.setattr(line_dedup.LineSets, "of", counting)
+    common = " ".join(f"w{k}" for k in range(30))
+    rows = [(i, " ".join(f"u{i}x{k}" for k in range(300))) for i in range(200)]
+    rows += [(200 + i, common + "".join(f" x{i}y{k}" for k in range(5))) for i in range(40)]
+    rows += [(240 + i, rows[200 + i][1] + " z") for i in (7, 31)]
+    got = line_dedup.line_report(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert {r.doc_id for r in got.collect() if r.kept} == brute_force_kept(rows)
+    assert reads.value < 1.5 * sum(len(t) for _, t in rows)
+
+
+def test_line_dedup_counts_lines_under_split_words_once(spark, monkeypatch):
+    for name, value in (("GROUP_ROWS", 8), ("FIRST_PAIRS", 1), ("STEP_PAIRS", 2), ("RUN_ROWS", 16)):
+        monkeypatch.setattr(line_dedup, name, value)
+    rng, rows = random.Random(3), []
+    for i in range(60):
+        lines = [" ".join(rng.sample("abcdefghijkl", rng.randint(1, 9))) for _ in range(5)]
+        rows.append((i, "\n".join([*lines, "", lines[0]])))
+    got = line_dedup.line_report(spark.createDataFrame(rows + rows[:9], "doc_id long, text string").repartition(3))
+    seen, kept = [], collections.defaultdict(list)
+    for i, t in rows:
+        for at, part in enumerate(t.split("\n")):
+            words = set(part.split())
+            if words:
+                if not any(5 * len(words & w) >= 4 * len(words | w) for w in seen):
+                    kept[i].append(at)
+                seen.append(words)
+    assert sorted((r.doc_id, r.n_lines, r.n_removed, r.kept) for r in got.collect()) == [
+        (i, 6, 6 - len(kept[i]), kept[i]) for i, _ in rows]
+
+
 def test_posted_classes_remember_the_earliest():
     import numpy as np
     rng, table, seen, posted = np.random.default_rng(1), line_dedup.PostedClasses(64), {}, {}
