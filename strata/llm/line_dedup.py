@@ -5,7 +5,8 @@ then line number) has a Jaccard similarity of ``THRESHOLD`` or more to it; what
 a line before others.
 
 1. Word counts of all documents give the order: rare words first. Words are counted in
-   ``BUCKETS`` hash buckets, a table of fixed size; a word ranks as its bucket, then by hash.
+   ``BUCKETS`` hash buckets, a table of fixed size; a word ranks as its bucket, then by hash. The same
+   reading lists the documents and counts their lines.
 2. A line posts itself under the words of its prefix: lines similar enough share one. Lines that
    meet under a word pass the length filter, the positional filter and a 128-bit parity sketch of
    their words that can't differ in more bits than the sets do in words.
@@ -17,7 +18,7 @@ such ids, of fixed size). They travel in columns, compressed, one row per task a
 buckets grows with the words of all documents and the session's shuffle partitions.
 
 Lines with equal sets are one class, posted once per task, so a common line costs one row a
-task. In a group each line passes on only about ``FIRST_PAIRS`` candidates; a line that has
+task; its first line in all documents stands for it, and only that one may stay. In a group each line passes on only about ``FIRST_PAIRS`` candidates; a line that has
 more, and whose candidates all fail the exact check, goes on in steps: ``STEP_PAIRS`` candidates
 of the group after those tried (four times as many each step, up to ``MOST_PAIRS``), until one is
 verified or none is left. The first round stores the postings of groups in which a line has more, packed; the steps read
@@ -60,6 +61,7 @@ NO_ID = -(1 << 63)
 TOKEN_BITS = 1 << 23
 LINE_BITS = 1 << 26
 SCAN_BYTES = 1 << 18
+SCANS_AT_ONCE = 16
 # Postings a task gathers before it packs them, and words of all documents per bucket at most.
 PACKED_ROWS = 1 << 17
 BUCKET_WORDS = 1 << 23
@@ -93,26 +95,56 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(*_key(id_col, text_col), as_bytes(text_col))
 
 
-def bucket_counts(keyed: DataFrame) -> np.ndarray:
+def _scanned(batches):
+    """Documents (doc_id, doc, copy, n_lines), lines with a word counted, and how many words of a task fall in each hash
+    bucket (b, c)."""
+    scanner, total, held = WordScanner(), np.zeros(BUCKETS, np.int64), []
+    for batch in slices(batches, limit=SCAN_BYTES):
+        texts = [t or b"" for t in batch.column(3).to_pylist()]
+        words, at, data = scanner.scan(b"\n".join(texts))
+        held.append((words & np.uint64(BUCKETS - 1)).astype(np.int32))
+        if len(held) == SCANS_AT_ONCE:
+            total += np.bincount(np.concatenate(held), minlength=BUCKETS)
+            held = []
+        lines = at[_line_starts(at, data)[1]]
+        n = np.bincount(np.searchsorted(_offsets(texts), lines, "right") - 1, minlength=len(texts))
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns[:3], pa.array(n), pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.int64())],
+            schema=SCANNED)
+    if held:
+        total += np.bincount(np.concatenate(held), minlength=BUCKETS)
+    used = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays(
+        [*[pa.nulls(len(used), pa.int64())] * 4, pa.array(used.astype(np.int32)), pa.array(total[used])], schema=SCANNED)
+
+
+SCANNED = pa.schema([(k, pa.int32() if k == "b" else pa.int64()) for k in ("doc_id", "doc", "copy", "n_lines", "b", "c")])
+
+
+def bucket_counts(scanned: DataFrame) -> np.ndarray:
     """How many words of all documents fall in each hash bucket."""
-    def run(batches):
-        scanner, total = WordScanner(), np.zeros(BUCKETS, np.int64)
-        for batch in slices(batches, limit=SCAN_BYTES):
-            text = b"\n".join(t or b"" for t in batch.column(0).to_pylist())
-            total += np.bincount((scanner.scan(text)[0] % np.uint64(BUCKETS)).astype(np.int64),
-                                 minlength=BUCKETS)
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(total[used])],
-                                         names=["b", "c"])
-
-    rows = (keyed.select("text").mapInArrow(tidied(run), "b int, c long")
-            .groupBy("b").agg(F.sum("c").alias("c")))
+    rows = scanned.where("b is not null").groupBy("b").agg(F.sum("c").alias("c"))
     counts = np.zeros(BUCKETS, np.int64)
     for r in rows.collect():  # at most ``BUCKETS`` rows
         counts[r["b"]] = r["c"]
     return counts
 
 
+def _offsets(texts: list) -> np.ndarray:
+    """Where each text starts when they are joined by a byte."""
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
+    return np.cumsum(sizes) - sizes
+
+
+def _line_starts(at: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Line breaks of ``data``, and for each of its words (that start ``at``) whether it is the first of a line."""
+    breaks = np.flatnonzero(data == 10)
+    first = np.zeros(len(at) + 1, bool)
+    first[np.searchsorted(at, breaks)] = True
+    first[0] = True
+    return breaks, first[:-1]
+
+
 class LineSets:
     """Word sets of lines as arrays. A word's sort key is its bucket's rank, then hash bits."""
 
@@ -126,17 +158,14 @@ class LineSets:
         """By line with a word: text and line number, set size, class, sketches; by line and word,
         rare ones first: owner and sort key."""
         texts = [t or b"" for t in texts]
-        offsets = np.cumsum([0] + [len(t) + 1 for t in texts[:-1]])
+        offsets = _offsets(texts)
         words, at, data = self.scanner.scan(b"\n".join(texts))
-        breaks = np.flatnonzero(data == 10)
-        row = np.searchsorted(breaks, at)  # line breaks before each word
-        first = np.ones(len(row), bool)
-        first[1:] = row[1:] != row[:-1]
+        breaks, first = _line_starts(at, data)
         lines = at[first]
         owner = np.cumsum(first) - 1
         text = np.searchsorted(offsets, lines, "right") - 1
-        number = row[first] - np.searchsorted(breaks, offsets[text])
-        keys = (self.rank[(words % np.uint64(BUCKETS)).astype(np.int64)] << np.uint64(28)) \
+        number = np.searchsorted(breaks, lines) - np.searchsorted(breaks, offsets[text])
+        keys = (self.rank[(words & np.uint64(BUCKETS - 1)).astype(np.int64)] << np.uint64(28)) \
             | (words >> np.uint64(36))
         chunks = []
         for s in range(0, max(len(lines), 1), LINES_AT_ONCE):  # an owner must fit above the key
@@ -189,9 +218,7 @@ def told_apart(batch: pa.RecordBatch, several) -> np.ndarray:
 def _told_apart(several):
     def run(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:2], pa.array(told_apart(batch, several), pa.int64())],
-                names=["doc", "whole", "copy"])
+            yield batch.append_column("told", pa.array(told_apart(batch, several), pa.int64()))
 
     return run
 
@@ -221,7 +248,8 @@ class PostedClasses:
 
 
 def _postings(sent, threshold, only=None, several=None):
-    """A row per prefix word of a line; a copy of a line already posted here has one row, n = 0.
+    """A row per prefix word of a line; a line that can only be like its copies has one row, n = 0, and a copy of an
+    earlier line posted here has none.
 
     ``only``: broadcast ``token_bits`` of lines and tokens that are tried again; the postings are not made from
     documents then but read from packed rows of whole groups. Of a group rows up to the last such line stay, if their
@@ -258,7 +286,7 @@ def _postings(sent, threshold, only=None, several=None):
         posted = new & ~alone
         prefix = np.where(posted, prefix_words(s["n"], threshold), 1)
         pos = np.arange(len(s["keys"])) - s["starts"][s["owner"]]
-        at = np.flatnonzero(pos < prefix[s["owner"]])
+        at = np.flatnonzero(pos < np.where(new, prefix, 0)[s["owner"]])
         rank = s["keys"][at] >> 28
         row, block = [np.flatnonzero(rank < hot)], [np.zeros(int((rank < hot).sum()), np.int64)]
         for k in np.flatnonzero(rank >= hot).tolist():
@@ -330,7 +358,7 @@ def _packed_postings(sent, threshold, buckets: int, several):
         t = {k: np.concatenate([h[k] for h in held]) for k in names}
         place = mix(t["token"].view(np.uint64) + mix(t["block"].astype(np.uint64)))
         bucket = (place % np.uint64(buckets)).astype(np.int32)
-        by = np.lexsort((t["token"], bucket))
+        by = np.argsort((bucket.astype(np.int64) << KEY_BITS) | t["token"])
         bucket, t = bucket[by], {k: v[by] for k, v in t.items()}
         edges = [0, *(np.flatnonzero(bucket[1:] != bucket[:-1]) + 1).tolist(), len(bucket)]
         packed = [_pack_rows({k: v[a:b] for k, v in t.items()}) for a, b in zip(edges, edges[1:])]
@@ -370,7 +398,11 @@ def _runs(held: list[dict]):
 
 def _sorted(held: list[dict]) -> dict:
     t = {k: np.concatenate([h[k] for h in held]) for k in held[0]}
-    by = np.lexsort((t["line"], t["copy"], t["doc"], t["block"], t["token"]))
+    by = np.argsort(t["token"])
+    same = np.diff(t["token"][by]) == 0
+    more = np.flatnonzero(np.append(same, False) | np.concatenate([[False], same]))
+    at = by[more]  # rows that share their token: most have one of their own
+    by[more] = at[np.lexsort([t[k][at] for k in ("line", "copy", "doc", "block", "token")])]
     return {k: v[by] for k, v in t.items()}
 
 
@@ -480,7 +512,7 @@ def group_pairs(t: dict, threshold, tried: int, upto: int, every: bool):
 
     # middle-sized groups: by set size, so that only sets of similar sizes meet
     num, den = threshold
-    by = np.lexsort((t["n"], np.repeat(np.arange(len(lengths)), lengths)))
+    by = np.argsort((np.repeat(np.arange(len(lengths)), lengths) << 32) | t["n"], kind="stable")
     sizes, had = t["n"][by].astype(np.int64), np.zeros(size, np.int64)
     met = lengths <= SMALL_GROUP
     if every:
@@ -529,44 +561,44 @@ def group_pairs(t: dict, threshold, tried: int, upto: int, every: bool):
         yield piece()
 
 
-def earliest(t: dict) -> dict:
-    """The first posting of each class in each group: that of its first line in all documents."""
-    by = np.lexsort((t["class"], t["block"], t["token"]))  # stable: document order stays
+def earliest(t: dict, at: np.ndarray) -> dict:
+    """Of the postings ``at`` the first of each class in each group: that of its first line in all documents."""
+    cls = t["class"][at]
+    group = np.zeros(len(t["token"]), np.int32)
+    group[_starts(t)[1:]] = 1
+    group = np.cumsum(group, dtype=np.int32)[at]
+    by = np.argsort(cls, kind="stable")  # groups and, in them, documents stay in order
     keep = np.ones(len(by), bool)
-    keep[1:] = False
-    for k in ("token", "block", "class"):
-        keep[1:] |= t[k][by[1:]] != t[k][by[:-1]]
-    at = np.sort(by[keep])
+    keep[1:] = (np.diff(cls[by]) != 0) | (np.diff(group[by]) != 0)
+    at = at[np.sort(by[keep])]
     return {k: v[at] for k, v in t.items()}
 
 
 def _candidates(threshold, tried: int, upto: int, every: bool, sent=None):
-    """Candidate pairs (class a after class b). Without ``every`` rows of two more kinds: every line with its class
-    a, once, and whether it is the ``first`` of its class in all documents; and the packed postings of the groups in
-    which a line has more candidates than it passes on. ``sent``: broadcast ``bucket_counts``."""
+    """Candidate pairs (class a after class b). Without ``every`` rows of two more kinds: the first line in all
+    documents of every class a; and the packed postings of the groups in which a line has more candidates than it
+    passes on. ``sent``: broadcast ``bucket_counts``."""
     def run(batches):
         for t in _groups(batches) if every else _buckets(batches):
             t |= {k: t[k].view(np.uint64) for k in ("low", "high")}
             if not every:
                 yield lines(t)
             posted = t["n"] > 0
+            starts = _starts(t)
+            lengths = np.diff(starts, append=len(posted))
+            posted &= np.repeat(lengths > 1, lengths)  # others meet none
             if posted.any():
-                yield from pairs({k: v[posted] for k, v in t.items()})
+                yield from pairs(earliest(t, np.flatnonzero(posted)))
 
     def lines(t):
         # all lines of a class have the same first word; a split word repeats them in several blocks
         parts = -(-np.sort(sent.value)[t["token"] >> 28] // GROUP_ROWS)
         at = np.flatnonzero((t["pos"] == 0) & (t["class"] % parts == t["block"]))
         at = at[np.argsort(t["class"][at], kind="stable")]  # document order stays
-        cls, place = t["class"][at], [t[k][at] for k in ("doc", "copy", "line")]
-        first, new = np.ones(len(at), bool), np.ones(len(at), bool)
-        first[1:] = cls[1:] != cls[:-1]
-        new[1:] = first[1:] | np.logical_or.reduce([p[1:] != p[:-1] for p in place])  # rows may repeat
-        return output(int(new.sum()), a=cls[new], first=first[new],
-                      **{k: p[new] for k, p in zip(("doc", "copy", "line"), place)})
+        at = at[np.diff(t["class"][at], prepend=~t["class"][at[:1]]) != 0]
+        return output(len(at), a=t["class"][at], **{k: t[k][at] for k in ("doc", "copy", "line")})
 
     def pairs(t):
-        t = earliest(t)
         rest = np.zeros(len(t["token"]), bool)
         for later, earlier, more in group_pairs(t, threshold, tried, upto, every):
             rest[later[more]] = True
@@ -585,8 +617,8 @@ def _candidates(threshold, tried: int, upto: int, every: bool, sent=None):
 
 
 CANDIDATE = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("doc", pa.int64()), ("copy", pa.int64()), ("line", pa.int32()),
-                       ("first", pa.bool_()), ("token", pa.int64()), ("more", pa.bool_()), ("packed", pa.binary())])
-CANDIDATES = "a long, b long, doc long, copy long, line int, first boolean, token long, more boolean, packed binary"
+                       ("token", pa.int64()), ("more", pa.bool_()), ("packed", pa.binary())])
+CANDIDATES = "a long, b long, doc long, copy long, line int, token long, more boolean, packed binary"
 
 
 def pair_tokens(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -666,14 +698,22 @@ def _verify(threshold):
 
 def kept_lines(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, id_col: str = "doc_id",
                text_col: str = "text") -> DataFrame:
-    """(doc, copy, n_lines, kept): for every document (id and text hash) with a line that has a
-    word, how many such lines it has and the numbers of those that stay (from 0, counting all
-    lines)."""
+    """(doc, copy, n_lines, kept): for every document (id and text hash) how many of its lines have a word, and the
+    numbers of those that stay (from 0, counting all lines)."""
+    return _verdicts(docs, threshold, id_col, text_col, ["doc", "copy"])
+
+
+def _verdicts(docs: DataFrame, threshold, id_col: str, text_col: str, keys: list[str]) -> DataFrame:
+    """``kept_lines`` by ``keys``: doc, copy and, if the id is wanted as it was, doc_id."""
     keyed, spark = _keyed(docs, id_col, text_col), docs.sparkSession
-    documents = durable(keyed.select("doc", "copy").distinct())
+    # one reading for what is counted: the documents themselves, their lines and their words
+    scanned = written(docs.select(F.col(id_col).cast("long").alias("doc_id"), *_key(id_col, text_col), as_bytes(text_col))
+                      .mapInArrow(tidied(_scanned), "doc_id long, doc long, copy long, n_lines long, b int, c long"),
+                      "line-dedup-documents")
+    documents = durable(scanned.where("doc is not null").groupBy(*keys).agg(F.max("n_lines").alias("n_lines")))
     several = spark.sparkContext.broadcast(token_bits(
         documents.groupBy("doc").count().where("count > 1").select(F.col("doc").alias("token"))))
-    total = bucket_counts(keyed)
+    total = bucket_counts(scanned)
     sent = spark.sparkContext.broadcast(total)
     buckets = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")),
                   int(total.sum()) // BUCKET_WORDS)
@@ -704,10 +744,9 @@ def kept_lines(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, id_col:
                     .repartition("bucket").sortWithinPartitions("bucket")
                     .mapInArrow(tidied(_candidates(threshold, 0, FIRST_PAIRS, False, sent)), CANDIDATES),
                     "line-dedup-found")
-    lines = found.where("doc is not null").select(F.col("a").alias("class"), "doc", "copy", "line", "first")
+    # the first line of each class in all documents stands for it, its copies go
+    first = found.where("doc is not null").select(F.col("a").alias("class"), "doc", "copy", "line")
     pairs = found.where("b is not null")
-    # the first line of each class in all documents stands for it
-    first = lines.where("first").drop("first")
     met = unique(pairs)
     paired = met.select("a").union(met.select("b")).distinct().toDF("class")
     removed = durable(similar(met, texts_of(first.join(paired, "class"))))
@@ -734,25 +773,20 @@ def kept_lines(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, id_col:
                         .mapInArrow(tidied(_candidates(threshold, tried, tried + step, True)), CANDIDATES))
         removed = durable(removed.union(similar(unique(pairs), texts)).distinct())
         tried, step = tried + step, min(4 * step, MOST_PAIRS)
-    stays = F.when(F.col("first") & F.col("gone").isNull(), F.col("line"))
-    found = (lines.join(removed.select(F.col("a").alias("class"), F.lit(True).alias("gone")), "class", "left")
-             .groupBy("doc", "copy").agg(F.count("*").alias("n_lines"), F.sort_array(F.collect_list(stays)).alias("kept")))
-    return documents.mapInArrow(tidied(_told_apart(several)), "doc long, whole long, copy long").join(
-        found, ["doc", "copy"]).select(
-        "doc", F.col("whole").alias("copy"), "n_lines", "kept")
+    stay = (first.join(removed.toDF("class"), "class", "left_anti")
+            .groupBy("doc", F.col("copy").alias("told")).agg(F.sort_array(F.collect_list("line")).alias("kept")))
+    order = ["doc", "copy", "n_lines", *(k for k in keys if k not in ("doc", "copy"))]
+    told = documents.select(*order).mapInArrow(tidied(_told_apart(several)), ", ".join(f"{k} long" for k in [*order, "told"]))
+    return told.join(stay, ["doc", "told"], "left").select(
+        *keys, "n_lines", F.coalesce("kept", F.array().cast("array<int>")).alias("kept"))
 
 
 def line_report(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, id_col: str = "doc_id",
                 text_col: str = "text") -> DataFrame:
     """(doc_id, n_lines, n_removed, kept): one row per document (id and text), lines with a word
     counted."""
-    ids = docs.select(*_key(id_col, text_col),
-                      F.col(id_col).cast("long").alias("doc_id")).distinct()
-    n = F.coalesce("n_lines", F.lit(0)).cast("long")
-    kept = F.coalesce("kept", F.array().cast("array<int>"))
-    return ids.join(kept_lines(docs, threshold, id_col, text_col), ["doc", "copy"],
-                    "left").select(
-        "doc_id", n.alias("n_lines"), (n - F.size(kept)).alias("n_removed"), kept.alias("kept"))
+    found = _verdicts(docs, threshold, id_col, text_col, ["doc_id", "doc", "copy"])
+    return found.select("doc_id", "n_lines", (F.col("n_lines") - F.size("kept")).alias("n_removed"), "kept")
 
 
 def remove_lines(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, id_col: str = "doc_id",

@@ -9,6 +9,7 @@ import random
 import re
 import struct
 import time
+import types
 import zlib
 
 import pytest
@@ -289,6 +290,38 @@ def test_line_dedup_counts_lines_under_split_words_once(spark, monkeypatch):
         (i, 6, 6 - len(kept[i]), kept[i]) for i, _ in rows]
 
 
+def test_line_dedup_posts_a_line_once_and_scans_words_apart(spark):
+    import numpy as np
+    import pyarrow as pa
+    held = [types.SimpleNamespace(value=v) for v in (
+        np.ones(line_dedup.BUCKETS, np.int64), np.zeros(line_dedup.TOKEN_BITS // 64, np.int64))]
+    texts = [b"one two three four five six\nalone"] * 50
+    ids = pa.array(range(50), pa.int64())
+    batch = pa.RecordBatch.from_arrays([ids, ids, pa.array(texts, pa.binary())], names=["doc", "copy", "text"])
+    got = pa.Table.from_batches(line_dedup._postings(held[0], line_dedup.THRESHOLD, several=held[1])([batch]))
+    # copies of posted lines are neither paired nor counted here
+    assert sorted(zip(got["doc"].to_pylist(), got["line"].to_pylist(), got["n"].to_pylist())) == [
+        (0, 0, 6), (0, 0, 6), (0, 1, 0)]
+    words = [b"x" * n for n in range(1, 40)] + [b"x" * n + b"\0" for n in range(1, 20)] + [
+        b"abcdefgh" + b"ijklmnop" * n + b"q" for n in range(4)] + [b"ijklmnopabcdefghq", "日本".encode()]
+    scan = line_dedup.WordScanner().scan
+    hashes, starts, _ = scan(b"\t ".join(words))
+    assert len(set(hashes.tolist())) == len(words) and starts.tolist() == [
+        sum(len(w) + 2 for w in words[:i]) for i in range(len(words))]
+    assert scan(b" \n" + b"\x0b".join(words[::-1]))[0].tolist() == hashes[::-1].tolist()
+    assert not len(scan(b"")[0]) and not len(scan(b" \n ")[0])
+
+
+def test_line_dedup_reads_documents_once_for_counts_and_rows(spark, monkeypatch):
+    """Lines are counted where words are; the report starts from that table, not from the documents."""
+    rows = [(None, "a b c\n\na b c"), (line_dedup.NO_ID, "a b c\n\na b c"), (3, None), (3, ""), (4, "a b c\nd")] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = line_dedup.line_report(docs)
+    same(got, [(None, 2, 1, [0]), (line_dedup.NO_ID, 2, 1, [0]), (3, 0, 0, []), (3, 0, 0, []), (4, 2, 1, [1])])
+    assert "text" not in got._jdf.queryExecution().analyzed().toString()
+    assert line_dedup.kept_lines(docs).count() == 4  # one row per id and text
+
+
 def test_posted_classes_remember_the_earliest():
     import numpy as np
     rng, table, seen, posted = np.random.default_rng(1), line_dedup.PostedClasses(64), {}, {}
