@@ -22,7 +22,7 @@ task; its first line in all documents stands for it, and only that one may stay.
 more, and whose candidates all fail the exact check, goes on in steps: ``STEP_PAIRS`` candidates
 of the group after those tried (four times as many each step, up to ``MOST_PAIRS``), until one is
 verified or none is left. The first round stores the postings of groups in which a line has more, packed; the steps read
-them, not the documents: rows of such a group that may meet a line that goes on, with 32-bit hashes of the words of lines up to
+them, not the documents: rows of such a group that pass the filters with a line that goes on, with 32-bit hashes of the words of lines up to
 ``HASHED_WORDS`` words, which leave hardly a false candidate of such lines. Documents are read once more for the texts of their lines. A word whose count could
 make a group of more than ``GROUP_ROWS`` rows is cut into blocks of rows that meet pairwise.
 
@@ -52,12 +52,13 @@ STEP_PAIRS = 64
 MOST_PAIRS = 4096
 HASHED_WORDS = 1024
 PAIRS_AT_ONCE = 1 << 13
+MEET_PAIRS = 1 << 17
 # Bits of a line's words that pairs of a run of so many rows are compared by before their hashes.
 SKETCH_BITS = 1 << 14
 SKETCHED_ROWS = 1 << 13
 GROUP_ROWS = 1 << 20
 NO_ID = -(1 << 63)
-# Sizes of the bit maps of tokens and of wanted lines (8 MB): fuller maps only pass on more.
+# Sizes of the bit maps of ids, and of wanted lines and lines that go on (8 MB): fuller maps only pass on more.
 TOKEN_BITS = 1 << 23
 LINE_BITS = 1 << 26
 SCAN_BYTES = 1 << 18
@@ -252,22 +253,13 @@ def _postings(sent, threshold, only=None, several=None):
     earlier line posted here has none.
 
     ``only``: broadcast ``token_bits`` of lines and tokens that are tried again; the postings are not made from
-    documents then but read from packed rows of whole groups. Of a group rows up to the last such line stay, if their
-    sizes are not too far from those of all such lines.
+    documents then but read from packed rows of whole groups. Of a group such lines stay and rows that ``may_meet`` them.
     """
     def unpacked(batches):
-        num, den = threshold
         for batch in batches:
             for packed in batch.column(0).to_pylist():
                 t = _unpack_rows(packed)
-                starts = _starts(t)
-                group = np.repeat(np.arange(len(starts)), np.diff(starts, append=len(t["token"])))
-                probe, n = has_bit(only.value, pair_tokens(t["class"], t["token"])), t["n"].astype(np.int64)
-                least = np.minimum.reduceat(np.where(probe, n, np.iinfo(np.int32).max), starts)
-                most = np.maximum.reduceat(np.where(probe, n, 0), starts)
-                last = np.maximum.reduceat(np.where(probe, np.arange(len(n)), -1), starts)
-                at = np.flatnonzero((np.arange(len(n)) <= last[group]) & (num * least[group] <= den * n)
-                                    & (num * n <= den * most[group]))
+                at = np.flatnonzero(may_meet(t, has_bit(only.value, pair_tokens(t["class"], t["token"])), threshold))
                 yield pa.RecordBatch.from_arrays([pa.array(t[k][at]) for k in PACKED], names=list(PACKED))
 
     def run(batches):
@@ -441,6 +433,33 @@ def may_match(t: dict, x, y, threshold) -> np.ndarray:
     return ok
 
 
+def may_meet(t: dict, probe: np.ndarray, threshold) -> np.ndarray:
+    """Which rows of whole groups are marked ``probe`` or pass ``may_match`` with a later such row of their group."""
+    num, den = threshold
+    t = t | {k: t[k].view(np.uint64) for k in ("low", "high")}
+    starts, keep, at = _starts(t), probe.copy(), np.flatnonzero(probe)
+    group = np.repeat(np.arange(len(starts)), np.diff(starts, append=len(probe))) << 32
+    rest = np.flatnonzero(~probe)  # not met so far; by set size, so that only sets of similar sizes meet
+    rest = rest[np.argsort(group[rest] | t["n"][rest], kind="stable")]
+
+    def similar_sizes(y):
+        sizes, n = group[rest] | t["n"][rest], t["n"][y].astype(np.int64)
+        first = np.searchsorted(sizes, group[y] | -(-num * n // den))
+        return first, np.searchsorted(sizes, group[y] | den * n // num, "right") - first
+
+    pairs = np.cumsum(similar_sizes(at)[1])
+    while len(at) and len(rest):
+        end = max(1, int(np.searchsorted(pairs, pairs[0] + MEET_PAIRS)))
+        y, at, pairs = at[:end], at[end:], pairs[end:]
+        first, count = similar_sizes(y)
+        x = rest[np.arange(int(count.sum())) + np.repeat(first - (np.cumsum(count) - count), count)]
+        y = np.repeat(y, count)
+        x, y = x[x < y], y[x < y]
+        keep[x[may_match(t, x, y, threshold)]] = True
+        rest = rest[~keep[rest]]
+    return keep
+
+
 def with_hashes(t: dict) -> dict:
     """``hashes`` of all postings as one array, and where those of each posting ``from`` and how
     many there are (0: not known)."""
@@ -760,7 +779,7 @@ def _verdicts(docs: DataFrame, threshold, id_col: str, text_col: str, keys: list
             # the groups of later steps are among those of the first: documents are read for the texts of
             # their lines here and not again
             only = spark.sparkContext.broadcast(token_bits(
-                again.select("class", "token").mapInArrow(tidied(_tokens_of), "token long")))
+                again.select("class", "token").mapInArrow(tidied(_tokens_of), "token long"), LINE_BITS))
             postings = written(found.where("packed is not null").select("packed")
                                .mapInArrow(tidied(_postings(sent, threshold, only)), POSTING), "line-dedup-postings")
             texts = texts_of(first.join(postings.select("class").distinct(), "class"))

@@ -270,6 +270,35 @@ def test_line_dedup_later_steps_read_stored_groups(spark, monkeypatch):
     assert reads.value < 1.5 * sum(len(t) for _, t in rows)
 
 
+def test_line_dedup_later_steps_take_only_rows_that_pass_the_filters(monkeypatch):
+    """Of a stored group the lines that go on stay, and the rows before them that may be like one; not all rows of such sizes."""
+    import numpy as np
+    import pyarrow as pa
+    rng, (num, den) = np.random.default_rng(3), line_dedup.THRESHOLD
+    for pairs_at_once in (1, 50, 1 << 17):
+        monkeypatch.setattr(line_dedup, "MEET_PAIRS", pairs_at_once, raising=False)
+        size = 400
+        t = {"token": np.sort(rng.integers(0, 5, size)), "block": np.zeros(size, np.int32), "doc": np.arange(size),
+             "copy": np.zeros(size, np.int64), "line": np.zeros(size, np.int32), "class": rng.integers(0, 300, size),
+             "n": rng.integers(1, 40, size).astype(np.int32), "pos": np.zeros(size, np.int32),
+             "low": rng.integers(-1 << 62, 1 << 62, 6)[rng.integers(0, 6, size)] ^ (1 << rng.integers(0, 60, size)),
+             "high": np.zeros(size, np.int64), "short": np.ones(size, bool)}
+        goes_on = rng.random(size) < 0.1
+        bits = np.zeros(line_dedup.LINE_BITS // 64, np.int64)
+        slot = line_dedup.pair_tokens(t["class"], t["token"])[goes_on] & (line_dedup.LINE_BITS - 1)
+        np.bitwise_or.at(bits, slot >> 6, 1 << (slot & 63))
+        probe = line_dedup.has_bit(bits, line_dedup.pair_tokens(t["class"], t["token"]))  # others of that class too
+        seen, want = {k: v.view(np.uint64) if k in ("low", "high") else v for k, v in t.items()}, probe.copy()
+        for y in np.flatnonzero(probe):
+            x = np.flatnonzero(t["token"][:y] == t["token"][y])
+            want[x[line_dedup.may_match(seen, x, np.full(len(x), y), (num, den))]] = True
+        packed = pa.RecordBatch.from_arrays([pa.array([line_dedup._pack_rows(t)], pa.binary())], names=["packed"])
+        only = types.SimpleNamespace(value=bits)
+        got = pa.Table.from_batches(line_dedup._postings(None, (num, den), only)([packed]))
+        assert got["doc"].to_pylist() == np.flatnonzero(want).tolist()
+        assert probe.sum() < want.sum() < size / 2
+
+
 def test_line_dedup_counts_lines_under_split_words_once(spark, monkeypatch):
     for name, value in (("GROUP_ROWS", 8), ("FIRST_PAIRS", 1), ("STEP_PAIRS", 2), ("RUN_ROWS", 16)):
         monkeypatch.setattr(line_dedup, name, value)
