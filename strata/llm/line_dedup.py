@@ -5,8 +5,8 @@ then line number) has a Jaccard similarity of ``THRESHOLD`` or more to it; what
 a line before others.
 
 1. Word counts of all documents give the order: rare words first. Words are counted in
-   ``BUCKETS`` hash buckets, a table of fixed size; a word ranks as its bucket, then by hash. The same
-   reading lists the documents and counts their lines.
+   ``BUCKETS`` hash buckets, a table of fixed size (many, so that hardly a rare word ranks with a common one); a word
+   ranks as its bucket, then by hash. The same reading lists the documents and counts their lines.
 2. A line posts itself under the words of its prefix: lines similar enough share one. Lines that
    meet under a word pass the length filter, the positional filter and a 128-bit parity sketch of
    their words that can't differ in more bits than the sets do in words.
@@ -43,8 +43,12 @@ from pyspark.sql import functions as F
 from strata.llm.common import WordScanner, as_bytes, durable, mix, slices, tidied, written
 
 THRESHOLD = (4, 5)
-BUCKETS = 1 << 16
+BUCKET_BITS = 20
+BUCKETS = 1 << BUCKET_BITS
 KEY_BITS = 44
+HASH_BITS = KEY_BITS - BUCKET_BITS
+# Rows that the table of counts is dealt out in.
+PIECES = 64
 LINES_AT_ONCE = 1 << 18
 SMALL_GROUP = 4096
 FIRST_PAIRS = 8
@@ -56,13 +60,14 @@ MEET_PAIRS = 1 << 17
 # Bits of a line's words that pairs of a run of so many rows are compared by before their hashes.
 SKETCH_BITS = 1 << 14
 SKETCHED_ROWS = 1 << 13
+SKETCHES_AT_ONCE = 1 << 9
 GROUP_ROWS = 1 << 20
 NO_ID = -(1 << 63)
 # Sizes of the bit maps of ids, and of wanted lines and lines that go on (8 MB): fuller maps only pass on more.
 TOKEN_BITS = 1 << 23
 LINE_BITS = 1 << 26
 SCAN_BYTES = 1 << 18
-SCANS_AT_ONCE = 16
+SCANS_AT_ONCE = 32
 # Postings a task gathers before it packs them, and words of all documents per bucket at most.
 PACKED_ROWS = 1 << 17
 BUCKET_WORDS = 1 << 23
@@ -98,7 +103,7 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def _scanned(batches):
     """Documents (doc_id, doc, copy, n_lines), lines with a word counted, and how many words of a task fall in each hash
-    bucket (b, c)."""
+    bucket (piece, counts): a row per piece of the table, packed."""
     scanner, total, held = WordScanner(), np.zeros(BUCKETS, np.int64), []
     for batch in slices(batches, limit=SCAN_BYTES):
         texts = [t or b"" for t in batch.column(3).to_pylist()]
@@ -110,25 +115,50 @@ def _scanned(batches):
         lines = at[_line_starts(at, data)[1]]
         n = np.bincount(np.searchsorted(_offsets(texts), lines, "right") - 1, minlength=len(texts))
         yield pa.RecordBatch.from_arrays(
-            [*batch.columns[:3], pa.array(n), pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.int64())],
+            [*batch.columns[:3], pa.array(n), pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary())],
             schema=SCANNED)
     if held:
         total += np.bincount(np.concatenate(held), minlength=BUCKETS)
-    used = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays(
-        [*[pa.nulls(len(used), pa.int64())] * 4, pa.array(used.astype(np.int32)), pa.array(total[used])], schema=SCANNED)
+    if total.any():
+        packed = _pack_pieces({i: piece for i, piece in enumerate(np.split(total, PIECES)) if piece.any()})
+        yield pa.RecordBatch.from_arrays(
+            [*[pa.nulls(packed.num_rows, pa.int64())] * 4, *packed.columns], schema=SCANNED)
+
+
+SCANNED = pa.schema([*((k, pa.int64()) for k in ("doc_id", "doc", "copy", "n_lines")),
+                     ("piece", pa.int32()), ("counts", pa.binary())])
+
+
+def _pack_pieces(pieces: dict) -> pa.RecordBatch:
+    """Numbers of each piece by byte position, compressed."""
+    packed = [zstandard.ZstdCompressor(level=1).compress(
+        np.ascontiguousarray(v.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes()) for v in pieces.values()]
+    return pa.RecordBatch.from_arrays([pa.array(list(pieces), pa.int32()), pa.array(packed, pa.binary())],
+                                      names=["piece", "counts"])
 
 
-SCANNED = pa.schema([(k, pa.int32() if k == "b" else pa.int64()) for k in ("doc_id", "doc", "copy", "n_lines", "b", "c")])
+def _unpack_piece(packed: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view("<i8").ravel()
+
+
+def _added(batches):
+    """The sum of the tables (piece, counts) of a task, by piece."""
+    total = {}
+    for batch in batches:
+        for piece, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            total[piece] = total.get(piece, 0) + _unpack_piece(packed)
+    yield _pack_pieces(total)
 
 
 def bucket_counts(scanned: DataFrame) -> np.ndarray:
     """How many words of all documents fall in each hash bucket."""
-    rows = scanned.where("b is not null").groupBy("b").agg(F.sum("c").alias("c"))
-    counts = np.zeros(BUCKETS, np.int64)
-    for r in rows.collect():  # at most ``BUCKETS`` rows
-        counts[r["b"]] = r["c"]
-    return counts
+    rows = (scanned.where("piece is not null").select("piece", "counts").repartition("piece")
+            .mapInArrow(tidied(_added), "piece int, counts binary"))
+    counts = np.zeros((PIECES, BUCKETS // PIECES), np.int64)
+    for r in rows.collect():  # at most ``PIECES`` rows
+        counts[r["piece"]] = _unpack_piece(r["counts"])
+    return counts.ravel()
 
 
 def _offsets(texts: list) -> np.ndarray:
@@ -151,9 +181,9 @@ class LineSets:
 
     def __init__(self, counts: np.ndarray):
         self.scanner = WordScanner()
-        order = np.lexsort((np.arange(BUCKETS), counts))
-        self.rank = np.empty(BUCKETS, np.uint64)
-        self.rank[order] = np.arange(BUCKETS, dtype=np.uint64)
+        order = np.sort((counts << BUCKET_BITS) | np.arange(BUCKETS)) & (BUCKETS - 1)
+        self.rank = np.empty(BUCKETS, np.uint32)
+        self.rank[order] = np.arange(BUCKETS, dtype=np.uint32)
 
     def of(self, texts: list) -> dict:
         """By line with a word: text and line number, set size, class, sketches; by line and word,
@@ -166,8 +196,8 @@ class LineSets:
         owner = np.cumsum(first) - 1
         text = np.searchsorted(offsets, lines, "right") - 1
         number = np.searchsorted(breaks, lines) - np.searchsorted(breaks, offsets[text])
-        keys = (self.rank[(words & np.uint64(BUCKETS - 1)).astype(np.int64)] << np.uint64(28)) \
-            | (words >> np.uint64(36))
+        keys = (self.rank[(words & np.uint64(BUCKETS - 1)).astype(np.int64)].astype(np.uint64) << np.uint64(HASH_BITS)) \
+            | (words >> np.uint64(64 - HASH_BITS))
         chunks = []
         for s in range(0, max(len(lines), 1), LINES_AT_ONCE):  # an owner must fit above the key
             a, b = np.searchsorted(owner, [s, s + LINES_AT_ONCE])
@@ -279,7 +309,7 @@ def _postings(sent, threshold, only=None, several=None):
         prefix = np.where(posted, prefix_words(s["n"], threshold), 1)
         pos = np.arange(len(s["keys"])) - s["starts"][s["owner"]]
         at = np.flatnonzero(pos < np.where(new, prefix, 0)[s["owner"]])
-        rank = s["keys"][at] >> 28
+        rank = s["keys"][at] >> HASH_BITS
         row, block = [np.flatnonzero(rank < hot)], [np.zeros(int((rank < hot).sum()), np.int64)]
         for k in np.flatnonzero(rank >= hot).tolist():
             parts = int(-(-counts[rank[k]] // GROUP_ROWS))
@@ -409,10 +439,19 @@ def _groups(batches):
         other = (held["token"] != held["token"][-1]) | (held["block"] != held["block"][-1])
         if other.any():
             cut = len(other) - int(np.argmax(other[::-1]))
-            yield {k: v[:cut] for k, v in held.items()}
+            yield from _portions({k: v[:cut] for k, v in held.items()})
             held = {k: v[cut:] for k, v in held.items()}
     if held is not None and len(held["token"]):
-        yield held
+        yield from _portions(held)
+
+
+def _portions(t: dict):
+    """Whole groups that have ``SKETCHED_ROWS`` rows together at most, or one group."""
+    edges, s = np.append(_starts(t), len(t["token"])), 0
+    while s < len(edges) - 1:
+        e = max(s + 1, int(np.searchsorted(edges, edges[s] + SKETCHED_ROWS, "right")) - 1)
+        yield {k: v[edges[s]:edges[e]] for k, v in t.items()}
+        s = e
 
 
 def may_match(t: dict, x, y, threshold) -> np.ndarray:
@@ -480,8 +519,8 @@ def may_share(t: dict, x, y, threshold) -> np.ndarray:
     ok = np.ones(len(x), bool)
     known = np.flatnonzero((t["hashed"][x] > 0) & (t["hashed"][y] > 0))
     if t["bits"] is not None:
-        for s in range(0, len(known), PAIRS_AT_ONCE):
-            at = known[s:s + PAIRS_AT_ONCE]
+        for s in range(0, len(known), SKETCHES_AT_ONCE):
+            at = known[s:s + SKETCHES_AT_ONCE]
             a, b = x[at], y[at]
             # a word of either line that shares its bit with another of that line may be in common too
             most = (np.bitwise_count(t["bits"][a] & t["bits"][b]).sum(1, dtype=np.int64)
@@ -598,10 +637,11 @@ def _candidates(threshold, tried: int, upto: int, every: bool, sent=None):
     documents of every class a; and the packed postings of the groups in which a line has more candidates than it
     passes on. ``sent``: broadcast ``bucket_counts``."""
     def run(batches):
+        counts = None if every else np.sort(sent.value)  # by rank
         for t in _groups(batches) if every else _buckets(batches):
             t |= {k: t[k].view(np.uint64) for k in ("low", "high")}
             if not every:
-                yield lines(t)
+                yield lines(t, counts)
             posted = t["n"] > 0
             starts = _starts(t)
             lengths = np.diff(starts, append=len(posted))
@@ -609,9 +649,9 @@ def _candidates(threshold, tried: int, upto: int, every: bool, sent=None):
             if posted.any():
                 yield from pairs(earliest(t, np.flatnonzero(posted)))
 
-    def lines(t):
+    def lines(t, counts):
         # all lines of a class have the same first word; a split word repeats them in several blocks
-        parts = -(-np.sort(sent.value)[t["token"] >> 28] // GROUP_ROWS)
+        parts = -(-counts[t["token"] >> HASH_BITS] // GROUP_ROWS)
         at = np.flatnonzero((t["pos"] == 0) & (t["class"] % parts == t["block"]))
         at = at[np.argsort(t["class"][at], kind="stable")]  # document order stays
         at = at[np.diff(t["class"][at], prepend=~t["class"][at[:1]]) != 0]
@@ -703,10 +743,12 @@ def _verify(threshold):
     num, den = threshold
 
     def run(batches):
+        held = [(None, None)] * 2  # pairs come sorted by one of their lines
         for batch in batches:
             ok = []
-            for a, b in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                x, y = set(a.split()), set(b.split())
+            for pair in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                held = [last if last[0] == words else (words, set(words.split())) for last, words in zip(held, pair)]
+                (_, x), (_, y) = held
                 both = len(x & y)
                 ok.append(den * both >= num * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(ok, pa.bool_()))],
@@ -727,7 +769,7 @@ def _verdicts(docs: DataFrame, threshold, id_col: str, text_col: str, keys: list
     keyed, spark = _keyed(docs, id_col, text_col), docs.sparkSession
     # one reading for what is counted: the documents themselves, their lines and their words
     scanned = written(docs.select(F.col(id_col).cast("long").alias("doc_id"), *_key(id_col, text_col), as_bytes(text_col))
-                      .mapInArrow(tidied(_scanned), "doc_id long, doc long, copy long, n_lines long, b int, c long"),
+                      .mapInArrow(tidied(_scanned), "doc_id long, doc long, copy long, n_lines long, piece int, counts binary"),
                       "line-dedup-documents")
     documents = durable(scanned.where("doc is not null").groupBy(*keys).agg(F.max("n_lines").alias("n_lines")))
     several = spark.sparkContext.broadcast(token_bits(

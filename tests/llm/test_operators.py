@@ -299,6 +299,46 @@ def test_line_dedup_later_steps_take_only_rows_that_pass_the_filters(monkeypatch
         assert probe.sum() < want.sum() < size / 2
 
 
+def test_line_dedup_ranks_a_rare_word_before_a_common_one_of_near_hash(spark):
+    """Words that agree in the lowest 16 bits of their hashes are counted apart, so groups of rare words stay small."""
+    import numpy as np
+    words = [f"w{i}" for i in range(3000)]
+    hashes = dict(zip(words, line_dedup.WordScanner().scan(" ".join(words).encode())[0].tolist()))
+    near = collections.defaultdict(list)
+    for w in words:
+        near[hashes[w] & 0xFFFF].append(w)
+    pairs = [(common, rare) for same_bits in near.values() for common, rare in itertools.permutations(same_bits, 2)
+             if hashes[common] >> 36 < hashes[rare] >> 36 and (hashes[common] ^ hashes[rare]) & 0xFFFFF]
+    assert len(pairs) > 10
+    texts = [" ".join([common, rare] + [common] * 5) for common, rare in pairs[:10]] + [None, "", " ".join(words)]
+    docs = spark.createDataFrame([(i, 0, 0, t) for i, t in enumerate(texts)],
+                                 "doc_id long, doc long, copy long, text string").repartition(3)
+    scanned = docs.withColumn("text", F.col("text").cast("binary")).mapInArrow(
+        line_dedup._scanned, "doc_id long, doc long, copy long, n_lines long, piece int, counts binary")
+    got = line_dedup.bucket_counts(scanned)
+    want = np.zeros(line_dedup.BUCKETS, np.int64)
+    for t in texts:
+        for w in (t or "").split():
+            want[hashes[w] & (line_dedup.BUCKETS - 1)] += 1
+    assert (got == want).all()
+    sets = line_dedup.LineSets(got).of([t.encode() for t in texts[:10]])
+    assert sets["n"].tolist() == [2] * 10
+    by_hash = [[hashes[w] & 0xFFFFFFFF for w in (rare, common)] for common, rare in pairs[:10]]
+    assert sets["hashes"].reshape(-1, 2).tolist() == by_hash
+
+
+def test_line_dedup_steps_go_by_portions_of_whole_groups():
+    import numpy as np
+    token = np.sort(np.random.default_rng(5).integers(0, 40, 3 * line_dedup.SKETCHED_ROWS))
+    token[:line_dedup.SKETCHED_ROWS + 9] = 0  # one group that is larger
+    t = {"token": np.sort(token), "block": np.zeros(len(token), np.int32), "at": np.arange(len(token))}
+    portions = list(line_dedup._portions(t))
+    assert np.concatenate([p["at"] for p in portions]).tolist() == list(range(len(token)))
+    ends = [set(p["token"][[0, -1]].tolist()) for p in portions]
+    assert len(portions) > 3 and not any(a & b for a, b in itertools.combinations(ends, 2))
+    assert all(len(p["at"]) <= line_dedup.SKETCHED_ROWS or len(set(p["token"].tolist())) == 1 for p in portions)
+
+
 def test_line_dedup_counts_lines_under_split_words_once(spark, monkeypatch):
     for name, value in (("GROUP_ROWS", 8), ("FIRST_PAIRS", 1), ("STEP_PAIRS", 2), ("RUN_ROWS", 16)):
         monkeypatch.setattr(line_dedup, name, value)
