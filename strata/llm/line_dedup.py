@@ -34,6 +34,8 @@ empty table gives no rows; extra columns are not read, and ``remove_lines`` pass
 
 from __future__ import annotations
 
+import gc
+
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -834,6 +836,9 @@ def _verdicts(docs: DataFrame, threshold, id_col: str, text_col: str, keys: list
                         .mapInArrow(tidied(_candidates(threshold, tried, tried + step, True)), CANDIDATES))
         removed = durable(removed.union(similar(unique(pairs), texts)).distinct())
         tried, step = tried + step, min(4 * step, MOST_PAIRS)
+    # shuffle files of tables that are written stay until the driver collects its garbage; the next join may be as large
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
     stay = (first.join(removed.toDF("class"), "class", "left_anti")
             .groupBy("doc", F.col("copy").alias("told")).agg(F.sort_array(F.collect_list("line")).alias("kept")))
     order = ["doc", "copy", "n_lines", *(k for k in keys if k not in ("doc", "copy"))]
